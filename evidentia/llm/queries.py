@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from evidentia.llm.common import read
+from evidentia.llm import bpe
+from evidentia.llm.common import read, text_or_empty
 from evidentia.llm.mixing import BUDGET_PERCENT, DOMAIN_WEIGHTS, EPOCHS, LANG_WEIGHTS, SEED, mix_sources
+from evidentia.llm.secrets import BASE, scan_secrets
 from evidentia.llm.sharding import shard_documents
 
 
@@ -15,6 +18,28 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 16)
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = F.filter("spans", lambda x: x["kind"].isin(*BASE))
+    said = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said("spans").alias("spans"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    ids = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", text_or_empty().alias("text")), path).drop("text")
+    return bpe.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
@@ -55,7 +80,7 @@ SELECT doc_id, epoch, domain, lang, source, n_tokens, leaf_budget FROM taken WHE
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_sharding": op5_sharding, "op10_mixing": op10_mixing}
+    return {"op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_bpe": op7_bpe, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
