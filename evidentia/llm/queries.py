@@ -22,8 +22,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     base = F.filter("spans", lambda x: x["kind"].isin(*BASE))
     said = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
-    return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said("spans").alias("spans"))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, BASE), F.sha2(said(base), 256).alias("base_sha256"), said("spans").alias("spans"))
 
 
 def tokenizer_path() -> str:
