@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 from evidentia.llm import bpe
 from evidentia.llm.common import read, text_or_empty
 from evidentia.llm.mixing import BUDGET_PERCENT, DOMAIN_WEIGHTS, EPOCHS, LANG_WEIGHTS, SEED, mix_sources
+from evidentia.llm.repeats import LENGTH, remove_repeats
 from evidentia.llm.secrets import BASE, scan_secrets
 from evidentia.llm.sharding import shard_documents
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(read(spark, sf_dir, "documents"), LENGTH)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 16)
 
@@ -80,7 +87,7 @@ SELECT doc_id, epoch, domain, lang, source, n_tokens, leaf_budget FROM taken WHE
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_bpe": op7_bpe, "op10_mixing": op10_mixing}
+    return {"op1_repeats": op1_repeats, "op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_bpe": op7_bpe, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
