@@ -8,6 +8,7 @@ O(n log n), also where a whole document is one word. Words seen before come from
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 #: Fixed value: the public pre-tokenizing pattern of byte-level BPE.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 350_000
 SLICE = 256
 
 
@@ -36,7 +37,11 @@ class Tokenizer:
         letters = byte_letters()
         self.byte_ids = [vocab[letters[b]] for b in range(256)]
         back = {c: b for b, c in letters.items()}
-        self.bytes_of = {i: bytes(back[c] for c in token) for token, i in vocab.items()} | {i: t.encode() for t, i in self.special.items()}
+        bytes_of = {i: bytes(back[c] for c in token) for token, i in vocab.items()} | {i: t.encode() for t, i in self.special.items()}
+        table = [bytes_of.get(i, b"") for i in range(max(bytes_of) + 1)]
+        self.letters = np.frombuffer(b"".join(table), np.uint8)
+        self.lengths = np.array([len(x) for x in table])
+        self.starts = np.cumsum(self.lengths) - self.lengths
         merges = [tuple(m.split(" ")) if isinstance(m, str) else m for m in parsed["model"]["merges"]]
         self.merged = [vocab[a + b] for a, b in merges]
         self.none = len(merges)
@@ -92,9 +97,9 @@ class Tokenizer:
 
     def encode(self, text: str) -> np.ndarray:
         """Token ids; special tokens in the text are themselves, as the file's own settings have it."""
+        if len(self.words) > CACHE_WORDS:
+            self.words = Words(self, self.words)
         words = self.words
-        if len(words) > CACHE_WORDS:
-            words.clear()
         if self.special_split is None or not any(t in text for t in self.special):
             return np.frombuffer(b"".join(map(words.__getitem__, self.split.findall(text))), np.int32)
         parts = []
@@ -102,19 +107,26 @@ class Tokenizer:
             parts += [np.int32(self.special[part]).tobytes()] if k % 2 else map(words.__getitem__, self.split.findall(part))
         return np.frombuffer(b"".join(parts), np.int32)
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray) -> str:
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        if not len(ends):
+            return ""
+        return self.letters[np.arange(ends[-1]) + np.repeat(self.starts[ids] - ends + lengths, lengths)].tobytes().decode("utf-8", "replace")
 
 
 class Words(dict):
-    """Ids of a word, as int32 bytes."""
+    """Ids of a word, as int32 bytes. ``older`` is the full cache before; its words come over when they are met again."""
 
-    def __init__(self, tokenizer: Tokenizer):
+    def __init__(self, tokenizer: Tokenizer, older: dict[str, bytes] | None = None):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.older = tokenizer, dict(older or {})
 
     def __missing__(self, word: str) -> bytes:
-        out = np.array(self.tokenizer.merge(word.encode()), np.int32).tobytes()
+        out = self.older.get(word)
+        if out is None:
+            ids = self.tokenizer.merge(word.encode())
+            out = struct.pack(f"{len(ids)}i", *ids)
         if len(word) < 64:
             self[word] = out
         return out
@@ -175,6 +187,9 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                yield with_column(part, decoded, pa.array([tok.decode(x or ()) for x in part.column(ids).to_pylist()], pa.string()))
+                lists = part.column(ids)
+                flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+                texts = [tok.decode(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+                yield with_column(part, decoded, pa.array(texts, pa.string()))
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(decoded, T.StringType())]))
