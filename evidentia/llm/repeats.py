@@ -17,6 +17,7 @@ positions are shuffled, and from the second level on only the edges of repeats.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ LENGTH = 400
 #: Gram length of the first and the second level, of ``LENGTH``.
 LEVELS = (0.5, 0.94)
 POSITION_BITS = 24
-CHUNK = 1 << 22
-SLICE = 256
+#: Bytes of strings that are processed as one, and the most of one string.
+LOT, CHUNK = 1 << 17, 1 << 22
 U = np.uint64
 
 
@@ -42,13 +43,10 @@ class Grams:
     BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
     TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 
-    def __init__(self, data: bytes, which: int):
-        codes = np.frombuffer(data, np.uint8)
-        base = self.BASES[which]
-        n = len(codes)
-        self.inverse = np.multiply.accumulate(np.concatenate((np.ones(1, U), np.full(n, U(pow(base, -1, 1 << 64)), U))))
-        powers = np.multiply.accumulate(np.concatenate((np.ones(1, U), np.full(n, U(base), U))))
-        self.sums = np.concatenate((np.zeros(1, U), np.cumsum(self.TABLE[which][codes] * powers[:n], dtype=U)))
+    def __init__(self, codes: np.ndarray, which: int):
+        powers, self.inverse = powers_of(self.BASES[which], len(codes).bit_length())
+        self.sums = np.zeros(len(codes) + 1, U)
+        np.cumsum(self.TABLE[which][codes] * powers[: len(codes)], out=self.sums[1:])
 
     def first(self, q: int) -> np.ndarray:
         return scramble((self.sums[q:] - self.sums[:-q]) * self.inverse[: len(self.sums) - q])
@@ -57,6 +55,13 @@ class Grams:
         return scramble((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(U))
 
 
+@lru_cache(maxsize=8)
+def powers_of(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2**bits powers of a base and of its inverse, modulo 2**64."""
+    ones = np.ones(1, U)
+    return tuple(np.multiply.accumulate(np.concatenate((ones, np.full((1 << bits) - 1, U(b), U)))) for b in (base, pow(base, -1, 1 << 64)))
+
+
 def scramble(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> U(32))) * U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U(29))) * U(0x94D049BB133111EB)
@@ -70,17 +75,15 @@ def refined(ids: np.ndarray, q: int, longer: int) -> np.ndarray:
     return scramble(ids[: len(ids) - offset] * U(0x9E3779B97F4A7C15) + ids[offset:]) if offset else ids
 
 
-def segments(ids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window of every segment, and the position of its gram: the leftmost smallest of ``width`` grams."""
+def grams_of_windows(ids: np.ndarray, width: int) -> np.ndarray:
+    """For every window of ``width`` grams the position of its leftmost smallest one."""
     packed = (ids >> U(POSITION_BITS) << U(POSITION_BITS)) | np.arange(len(ids), dtype=U)
     n, span, low = len(packed) - width + 1, 1, packed
     while span * 2 <= width:
         low = np.minimum(low[:-span], low[span:])
         span *= 2
     low = np.minimum(low[:n], low[width - span : width - span + n])
-    at = (low & U((1 << POSITION_BITS) - 1)).astype(np.int64)
-    starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    return starts, np.append(starts[1:], n) - 1, at[starts]
+    return (low & U((1 << POSITION_BITS) - 1)).astype(np.int64)
 
 
 def level_ids(grams: Grams, level: int, length: int) -> tuple[np.ndarray, int]:
@@ -93,48 +96,65 @@ def level_ids(grams: Grams, level: int, length: int) -> tuple[np.ndarray, int]:
     return ids, q
 
 
-SEGMENTS = "bucket long, content long, k1 long, k2 long, base int, lo int, hi int"
+class Lot:
+    """Byte strings processed as one: their windows are found in the joined bytes, without those across two strings."""
+
+    def __init__(self, strings: list[tuple[bytes, int, int, int]], length: int):
+        self.codes = np.frombuffer(b"".join(d for d, _, _, _ in strings), np.uint8)
+        sizes = np.array([len(d) for d, _, _, _ in strings])
+        starts = np.cumsum(sizes) - sizes
+        counts = sizes - length + 1
+        self.windows = np.arange(counts.sum()) + np.repeat(starts - np.cumsum(counts) + counts, counts)
+        self.owner = np.repeat(np.arange(len(strings)), counts)
+        self.k1, self.k2, self.base = (np.array([s[i] for s in strings], np.int64) for i in (1, 2, 3))
+        self.shift = self.base - starts
+
+
+def lots(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[Lot]:
+    """Strings of ``length`` bytes or more in lots of some ``LOT`` bytes; longer ones in overlapping parts."""
+    strings, size = [], 0
+    for batch in batches:
+        for data, k1, k2, base in zip(batch.column("data"), batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), batch.column("base").to_pylist(), strict=True):
+            whole = data.as_py() or b""
+            for skip in range(0, len(whole) - length + 1, CHUNK):
+                own = whole[skip : skip + CHUNK + length - 1] if len(whole) > CHUNK else whole
+                if len(own) < length:
+                    break
+                strings.append((own, k1, k2, base + skip))
+                size += len(own)
+                if size >= LOT:
+                    yield Lot(strings, length)
+                    strings, size = [], 0
+    if strings:
+        yield Lot(strings, length)
 
 
 def find_segments(df: DataFrame, level: int, length: int) -> DataFrame:
     """Segments of the windows in ``data``; ``base`` is where ``data`` begins in its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                out: list[list[np.ndarray]] = [[] for _ in range(7)]
-                for data, k1, k2, base in zip(part.column("data").to_pylist(), part.column("k1").to_numpy(), part.column("k2").to_numpy(), part.column("base").to_numpy(), strict=True):
-                    for skip in range(0, max(0, len(data or b"") - length + 1), CHUNK):
-                        own = data[skip : skip + CHUNK + length - 1]
-                        ids, q = level_ids(Grams(own, 0), level, length)
-                        lo, hi, gram = segments(ids, length - q + 1)
-                        content = Grams(own, 1).of(lo, hi + length) + scramble((gram - lo).astype(U))
-                        for k, x in enumerate((ids[gram].view(np.int64), content.view(np.int64), np.full(len(lo), k1), np.full(len(lo), k2), np.full(len(lo), base, np.int32), lo + (base + skip), hi + (base + skip))):
-                            out[k].append(x)
-                if out[0]:
-                    kinds = (np.int64,) * 4 + (np.int32,) * 3
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, kinds, strict=True)], ["bucket", "content", "k1", "k2", "base", "lo", "hi"])
-
-    return df.select("data", "k1", "k2", "base").mapInArrow(run, SEGMENTS)
+        for lot in lots(batches, length):
+            ids, q = level_ids(Grams(lot.codes, 0), level, length)
+            at = grams_of_windows(ids, length - q + 1)[lot.windows]
+            first = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (lot.owner[1:] != lot.owner[:-1]))))
+            lo, hi = lot.windows[first], lot.windows[np.append(first[1:], len(at)) - 1]
+            gram, owner = at[first], lot.owner[first]
+            content = Grams(lot.codes, 1).of(lo, hi + length) + scramble((gram - lo).astype(U))
+            columns = [ids[gram].view(np.int64), content.view(np.int64), lot.k1[owner], lot.k2[owner]]
+            columns += [x.astype(np.int32) for x in (lot.base[owner], lo + lot.shift[owner], hi + lot.shift[owner])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "content", "k1", "k2", "base", "lo", "hi"])
+
+    return df.select("data", "k1", "k2", "base").mapInArrow(run, "bucket long, content long, k1 long, k2 long, base int, lo int, hi int")
 
 
 def find_windows(df: DataFrame, length: int) -> DataFrame:
     """Both identifiers of every window in ``data``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE * 8):
-                part = batch.slice(at, SLICE * 8)
-                out: list[list[np.ndarray]] = [[] for _ in range(5)]
-                for data, k1, k2, base in zip(part.column("data").to_pylist(), part.column("k1").to_numpy(), part.column("k2").to_numpy(), part.column("base").to_numpy(), strict=True):
-                    ids = [level_ids(Grams(data, which), len(LEVELS), length)[0] for which in (0, 1)]
-                    n = len(ids[0])
-                    for k, x in enumerate((ids[0].view(np.int64), ids[1].view(np.int64), np.full(n, k1), np.full(n, k2), np.arange(base, base + n))):
-                        out[k].append(x)
-                if out[0]:
-                    kinds = (np.int64,) * 4 + (np.int32,)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, kinds, strict=True)], ["bucket", "content", "k1", "k2", "lo"])
+        for lot in lots(batches, length):
+            ids = [level_ids(Grams(lot.codes, which), len(LEVELS), length)[0][lot.windows].view(np.int64) for which in (0, 1)]
+            columns = [*ids, lot.k1[lot.owner], lot.k2[lot.owner], (lot.windows + lot.shift[lot.owner]).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "content", "k1", "k2", "lo"])
 
     return df.select("data", "k1", "k2", "base").mapInArrow(run, "bucket long, content long, k1 long, k2 long, lo int")
 
@@ -142,10 +162,11 @@ def find_windows(df: DataFrame, length: int) -> DataFrame:
 def settle(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(segments whose windows all occur elsewhere, segments to refine) of one level."""
     buckets = found.groupBy("bucket").agg(F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most")).where("n > 1")
-    shared = cut(found.join(buckets.select("bucket", (F.col("least") == F.col("most")).alias("same")), "bucket"))
+    # written apart from the join, so that Spark can split a bucket that many segments share
+    shared = cut(found.join(cut(buckets.select("bucket", (F.col("least") == F.col("most")).alias("same"))), "bucket"))
     mixed = shared.where("NOT same")
     row = F.struct("k1", "k2", "base", "lo", "hi")
-    contents = mixed.groupBy("bucket", "content").agg(F.count("*").alias("n"), F.min(row).alias("one"))
+    contents = cut(mixed.groupBy("bucket", "content").agg(F.count("*").alias("n"), F.min(row).alias("one")))
     again = mixed.join(contents.where("n > 1").select("bucket", "content"), ["bucket", "content"], "left_semi")
     whole = shared.where("same").select("k1", "k2", "lo", "hi").unionByName(again.select("k1", "k2", "lo", "hi"))
     return whole, contents.select("one.*")
@@ -170,7 +191,7 @@ def repeated_spans(rows: DataFrame, length: int) -> DataFrame:
         found.append(whole.select("k1", "k2", "lo", (F.col("hi") + length).alias("end")))
         texts = cut(take(edges, texts, length))
     windows = find_windows(texts, length)
-    counted = windows.groupBy("bucket", "content").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "content")
+    counted = cut(windows.groupBy("bucket", "content").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "content"))
     found.append(windows.join(counted, ["bucket", "content"], "left_semi").select("k1", "k2", "lo", (F.col("lo") + length).alias("end")))
     every = found[0]
     for x in found[1:]:
