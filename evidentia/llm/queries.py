@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.llm import bpe
+from evidentia.llm import bpe, toxicity
 from evidentia.llm.common import read, text_or_empty
 from evidentia.llm.mixing import BUDGET_PERCENT, DOMAIN_WEIGHTS, EPOCHS, LANG_WEIGHTS, SEED, mix_sources
+from evidentia.llm.neardup import near_duplicates
 from evidentia.llm.repeats import LENGTH, remove_repeats
 from evidentia.llm.secrets import BASE, scan_secrets
 from evidentia.llm.sharding import shard_documents
@@ -21,6 +22,12 @@ def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 16)
 
@@ -47,6 +54,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
@@ -87,7 +98,7 @@ SELECT doc_id, epoch, domain, lang, source, n_tokens, leaf_budget FROM taken WHE
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_repeats": op1_repeats, "op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_bpe": op7_bpe, "op10_mixing": op10_mixing}
+    return {"op1_repeats": op1_repeats, "op2_toxicity": op2_toxicity, "op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_bpe": op7_bpe, "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
