@@ -14,6 +14,8 @@ from evidentia.llm.neardup import near_duplicates
 from evidentia.llm.repeats import LENGTH, remove_repeats
 from evidentia.llm.secrets import BASE, scan_secrets
 from evidentia.llm.sharding import shard_documents
+from evidentia.llm.spotsigs import fingerprint_with_edit
+from evidentia.llm.topk import top_k
 
 
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +30,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_with_edit(read(spark, sf_dir, "documents"))
+
+
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 16)
 
@@ -97,9 +107,21 @@ SELECT doc_id, epoch, domain, lang, source, n_tokens, leaf_budget FROM taken WHE
 """
 
 
+OP4_SQL = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1] * p[2], 0)))::BIGINT AS score
+    FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_repeats": op1_repeats, "op2_toxicity": op2_toxicity, "op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_bpe": op7_bpe, "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing}
+    return {"op1_repeats": op1_repeats, "op2_toxicity": op2_toxicity, "op3_fingerprints": op3_fingerprints, "op4_top_k": op4_top_k, "op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_bpe": op7_bpe, "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": OP10_SQL}
+    return {"op4_top_k": OP4_SQL, "op10_mixing": OP10_SQL}
