@@ -16,6 +16,7 @@ from evidentia.llm.secrets import BASE, scan_secrets
 from evidentia.llm.sharding import shard_documents
 from evidentia.llm.spotsigs import fingerprint_with_edit
 from evidentia.llm.topk import top_k
+from evidentia.llm.wrappers import extract_text
 
 
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +65,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), size=2, percent=80)
 
@@ -120,7 +125,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_repeats": op1_repeats, "op2_toxicity": op2_toxicity, "op3_fingerprints": op3_fingerprints, "op4_top_k": op4_top_k, "op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_bpe": op7_bpe, "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing}
+    return {"op1_repeats": op1_repeats, "op2_toxicity": op2_toxicity, "op3_fingerprints": op3_fingerprints, "op4_top_k": op4_top_k, "op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_bpe": op7_bpe, "op8_main_text": op8_main_text, "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
