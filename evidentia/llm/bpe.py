@@ -158,11 +158,9 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     """``df`` with the token ids of ``text`` in a new column ``ids`` (array of int).
 
     A null or empty text has no ids. Rows are encoded one by one, whole, whatever their length; equal rows give equal
-    ids; an empty table gives none. ``ids`` may not be a column of ``df`` already.
+    ids; an empty table gives none. A column ``ids`` that ``df`` has already is replaced.
     """
-    if ids in df.columns:
-        raise ValueError(f"{ids} is a column already")
-    spec = ship(df, path)
+    df, spec = df.drop(ids), ship(df, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(spec.value)
@@ -177,10 +175,11 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``df`` with the text of ``ids`` in a new column ``decoded``; bytes that are no UTF-8 become U+FFFD, null ids ''."""
-    if decoded in df.columns:
-        raise ValueError(f"{decoded} is a column already")
-    spec = ship(df, path)
+    """``df`` with the text of ``ids`` in a new column ``decoded``; bytes that are no UTF-8 become U+FFFD, null ids ''.
+
+    A column ``decoded`` that ``df`` has already is replaced.
+    """
+    df, spec = df.drop(decoded), ship(df, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(spec.value)

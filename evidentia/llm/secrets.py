@@ -88,10 +88,9 @@ def scan_secrets(df: DataFrame, text: str = "text", spans: str = "spans", scope:
     """``df`` with an array column ``spans`` of (kind, start, end), in code points, by start and then by kind.
 
     Whole texts are scanned; a null or empty one has no spans; repeated rows are scanned each; an empty table gives
-    none. ``spans`` may not be a column of ``df`` already.
+    none. A column ``spans`` that ``df`` has already is replaced.
     """
-    if spans in df.columns:
-        raise ValueError(f"{spans} is a column already")
+    df = df.drop(spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))

@@ -20,6 +20,8 @@ from evidentia.llm.common import cut, shuffle_partitions
 BLOCK, BLOCKS_IN_GROUP, QUERIES_IN_BATCH = 256, 32, 512
 #: A batch of queries is repeated for each slot of groups, not for each group.
 SLOTS = 4096
+#: Scores that a long can not hold are cut to this, up or down.
+MOST = (1 << 63) - 1
 
 
 def quantised(vector: Column) -> Column:
@@ -112,7 +114,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, row_id: str = "vec_id",
 
     Queries are the rows for which ``is_query`` holds, candidates all rows but the query's own id. Rows whose vector or
     id is null, or with a component that is null or not finite, take no part; an empty vector scores 0. Vectors of
-    unequal lengths are compared over the shorter. Rows that repeat an id are one candidate each for other queries. An
+    unequal lengths are compared over the shorter, and scores beyond a long are cut to its limits. Rows that repeat an id are one candidate each for other queries. An
     empty table, or one row, gives none.
     """
     usable = rows.where(F.col(row_id).isNotNull() & valid(F.col(vector)))
@@ -136,7 +138,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, row_id: str = "vec_id",
                 result = search_group(np.frombuffer(at["q_ids"], np.int64), matrix(at["q_values"], at["q_width"], wide), np.frombuffer(at["ids"], np.int64), matrix(at["values"], at["width"], wide), k)
                 ids = [q for q, i, _ in result for _ in i]
                 vecs = np.concatenate([i for _, i, _ in result]) if result else np.empty(0, np.int64)
-                scores = [int(x) for _, _, s in result for x in s]
+                scores = [max(-MOST, min(MOST, int(x))) for _, _, s in result for x in s]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vecs, pa.int64()), pa.array(scores, pa.int64())], ["query_id", "vec_id", "score"])
 
     local = pairs.mapInArrow(run, "query_id long, vec_id long, score long")

@@ -282,12 +282,13 @@ def score(docs: DataFrame, model: Model | None, column: str = "score") -> DataFr
     """``docs`` with a toxicity of 0 to 1 for every row; only the text has a part in it.
 
     A null text is an empty one, and a text without words has the score of no word. Without a model (no labelled
-    words of both classes) every score is 0. ``features`` may not be a column of ``docs``, and a column named as the
-    score is replaced.
+    words of both classes) every score is 0. A column named as the score is replaced, and one named features is left
+    out.
     """
     if model is None:
         return docs.withColumn(column, F.lit(0.0))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.drop("features", column)
     z = F.lit(float(model.logistic[-1]))
     for k, w in enumerate(model.logistic[:-1]):
         z = z + F.lit(float(w)) * F.col("features")[k]
