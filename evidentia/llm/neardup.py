@@ -26,7 +26,7 @@ SHINGLE, PERCENT = 5, 80
 #: At a similarity of 0.8 a pair shares no bucket with a probability of 3 in a million.
 BANDS, ROWS = 24, 4
 WALK = 96
-#: Centres taken from a bucket at once, from the second round on.
+#: Centres taken from a bucket in the second round; four times as many in each round to come.
 CENTRES = 16
 #: The filter of classes in shared buckets has a fixed size; if it fills up, more sets than needed are shuffled.
 FILTER_BITS = 1 << 26
@@ -201,6 +201,17 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = labels.select("c", "comp")
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links: components of what the links join, the components so far being its nodes."""
+    first, second = (labels.select(F.col("c").alias(k), F.col("comp").alias(f"comp_{k}")) for k in ("a", "b"))
+    between = cut(links.join(first, "a").join(second, "b").where("comp_a <> comp_b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct())
+    if not between.limit(1).count():
+        return labels
+    roots = between.select(F.col("a").alias("c")).union(between.select("b")).distinct()
+    lower = components(roots, between).withColumnRenamed("comp", "lower").withColumnRenamed("c", "comp")
+    return cut(labels.join(lower, "comp", "left").select("c", F.coalesce("lower", "comp").alias("comp")))
+
+
 def link(docs: DataFrame, meta: DataFrame, size: int, percent: int) -> DataFrame | None:
     """(c, comp) of the classes that share a bucket with another class; None if no class does."""
     rows = meta.where("n > 0").select("c", "n", F.explode("bands").alias("band"))
@@ -214,28 +225,28 @@ def link(docs: DataFrame, meta: DataFrame, size: int, percent: int) -> DataFrame
     sets = cut(full_sets(docs, reps, size))
     close = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
-    best = F.max(F.struct("w", "c", "n")).alias("m")
-    centres = members.groupBy("band").agg(best)
-    pairs = cut(members.join(cut(centres), "band").where((F.col("c") != F.col("m.c")) & close(F.col("n"), F.col("m.n"))).select(F.col("m.c").alias("a"), F.col("c").alias("b")).distinct())
-    used = centres.select("band", F.col("m.c").alias("c"))
-    edges = cut(confirmed(pairs, sets, percent))
-    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    labels = components(weights, edges)
+    centres = members.groupBy("band").agg(F.max(F.struct("w", "c", "n")).alias("m"))
+    used = cut(centres)
+    met = members.join(used, "band").where((F.col("c") != F.col("m.c")) & close(F.col("n"), F.col("m.n")))
+    tried = cut(met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct())
+    used = used.select("band", F.col("m.c").alias("c"))
+    labels = merged(weights.select("c", F.col("c").alias("comp")), cut(confirmed(tried, sets, percent)))
+    count = CENTRES
     while True:
         # buckets whose members are in several components, and their classes that were no centre yet
-        placed = cut(members.join(labels, "c"))
-        split = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
-        left = cut(placed.join(cut(split), "band", "left_semi").join(used, ["band", "c"], "left_anti"))
-        centres = cut(left.groupBy("band", F.pmod(F.xxhash64("c"), F.lit(CENTRES)).alias("part")).agg(F.max(F.struct("w", "c", "n", "comp")).alias("m")))
+        placed = members.join(labels, "c")
+        split = cut(placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band"))
+        left = cut(placed.join(split, "band", "left_semi").join(used, ["band", "c"], "left_anti"))
+        if not left.limit(1).count():
+            return labels
+        centres = cut(left.groupBy("band", F.pmod(F.xxhash64("c"), F.lit(count)).alias("part")).agg(F.max(F.struct("w", "c", "n", "comp")).alias("m")))
         met = left.join(centres.select("band", "m"), "band").where((F.col("comp") != F.col("m.comp")) & close(F.col("n"), F.col("m.n")))
         pairs = cut(met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
-        if not centres.limit(1).count():
-            return labels
         if pairs.limit(1).count():
-            edges = cut(edges.unionByName(confirmed(pairs, sets, percent)))
-            tried = cut(tried.unionByName(pairs))
-            labels = components(weights, edges)
-        used = cut(used.unionByName(centres.select("band", F.col("m.c").alias("c"))))
+            labels = merged(labels, cut(confirmed(pairs, sets, percent)))
+            tried = tried.unionByName(pairs)
+        used = used.unionByName(centres.select("band", F.col("m.c").alias("c")))
+        count *= 4
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", row_id: str = "doc_id") -> DataFrame:
