@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions import ids, markers, times
-from evidentia.plans.tables import written
 from evidentia.operators import fold, graph, joins, projection, rules, verify
+from evidentia.plans import maps
+from evidentia.plans.tables import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -381,3 +382,39 @@ def host_reconcile(spark, sf_dir):
 def flagship(spark, sf_dir):
     """What processes did, by whether their owner is known."""
     return owned(spark, sf_dir).groupBy("event_type", F.col("owning_guid").isNotNull().alias("owned")).agg(F.count("*").alias("n"), F.count_distinct("owning_guid").alias("owners"), F.round(F.sum("value"), 2).alias("total"))
+
+
+def as_records(rows: DataFrame, fields: dict[str, Column]) -> DataFrame:
+    """Rows as raw tool records: JSON lines, parsed as a scan would."""
+    return rows.select(F.try_parse_json(F.to_json(F.struct(*(v.alias(k) for k, v in fields.items())))).alias("record"))
+
+
+@query("""SELECT 'authentication-host' || (user_id % 7) || '.example-Security-' || event_id AS guid, CASE event_type WHEN 'signup' THEN 'success' ELSE 'failure' END AS action,
+    'host' || (user_id % 7) AS host, 'user' || user_id AS target_user, CASE WHEN event_type = 'error' THEN json_extract_string(props, '$.k') END AS reason
+    FROM events WHERE event_type IN ('signup', 'error')""")
+def evtx_security_map(spark, sf_dir):
+    """Security records made of events, through the scan's parser and the map of the channel."""
+    e = table(spark, sf_dir, "events")
+    named = lambda k, v: F.struct(F.lit(k).alias("@Name"), v.cast("string").alias("#text"))
+    body = F.array(named("TargetUserName", F.concat(F.lit("user"), F.col("user_id"))), named("Status", F.get_json_object("props", "$.k")))
+    records = as_records(e, {
+        "EventId": F.when(F.col("event_type") == "signup", 4624).when(F.col("event_type") == "error", 4625).otherwise(1), "Channel": F.lit("Security"), "Computer": F.concat(F.lit("host"), F.col("user_id") % 7, F.lit(".example")),
+        "EventRecordId": F.col("event_id"), "TimeCreated": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "Payload": F.to_json(F.struct(F.struct(body.alias("Data")).alias("EventData"))),
+    })
+    rows = maps.widened(maps.apply(records, {"evtx_security": maps.MAPS["evtx_security"]}), "authentication")
+    return rows.select("guid", F.col("car_action").alias("action"), F.col("source_host").alias("host"), "target_user", F.col("decision_reason").alias("reason"))
+
+
+@query("""SELECT 'C' || o_orderkey AS guid, CASE o_orderstatus WHEN 'F' THEN 'end' WHEN 'O' THEN 'start' ELSE 'message' END AS action, '10.0.' || (o_custkey % 250) || '.1' AS src_ip,
+    'dom' || (o_custkey % 11) || '.example' AS dest_fqdn, o_custkey % 100 + o_orderkey % 10 AS packets FROM orders""")
+def zeek_flows(spark, sf_dir):
+    """Connections with the names that TLS records of the same connection give them."""
+    o = table(spark, sf_dir, "orders")
+    five = {"uid": F.concat(F.lit("C"), F.col("o_orderkey")), "ts": F.unix_seconds("o_orderdate"), "id.orig_h": F.concat(F.lit("10.0."), F.col("o_custkey") % 250, F.lit(".1"))}
+    state = F.when(F.col("o_orderstatus") == "F", "SF").when(F.col("o_orderstatus") == "O", "S0").otherwise("OTH")
+    conn = as_records(o, five | {"conn_state": state, "orig_pkts": F.col("o_custkey") % 100, "resp_pkts": F.col("o_orderkey") % 10})
+    tls = as_records(o, five | {"version": F.lit("TLSv13"), "server_name": F.concat(F.lit("dom"), F.col("o_custkey") % 11, F.lit(".example"))})
+    flows = maps.widened(maps.apply(conn, {"zeek_conn": maps.MAPS["zeek_conn"]}), "flow").drop("dest_fqdn")
+    names = maps.widened(maps.apply(tls, {"zeek_ssl": maps.MAPS["zeek_ssl"]}), "flow").select("guid", "dest_fqdn", "timestamp")
+    out = joins.lookup(flows, names, {"guid": "guid"}, {"dest_fqdn": "dest_fqdn"}, "timestamp")
+    return out.select("guid", F.col("car_action").alias("action"), "src_ip", "dest_fqdn", F.col("packet_count").cast("bigint").alias("packets"))
