@@ -22,10 +22,10 @@ def edges(rows: DataFrame, kinds: list[Column]) -> DataFrame:
     return rows.select(F.explode(F.array_compact(F.array(*kinds))).alias("e")).select("e.*")
 
 
-def edge(relationship: Column, source: tuple[str, Column], target: tuple[str, Column], when: Column, timestamp: Column, **more: Column) -> Column:
-    """An edge struct, where ``when`` holds and both ends are known."""
-    known = when & source[1].isNotNull() & target[1].isNotNull()
-    fields = [timestamp.alias("timestamp"), relationship.alias("relationship"), F.lit(source[0]).alias("source_object"), source[1].cast("string").alias("source_guid"), F.lit(target[0]).alias("target_object"), target[1].cast("string").alias("target_guid")]
+def edge(relationship: Column, start: tuple[str, Column], end: tuple[str, Column], when: Column, timestamp: Column, **more: Column) -> Column:
+    """An edge struct, where ``when`` holds and both ends (object and guid) are known."""
+    known = when & start[1].isNotNull() & end[1].isNotNull()
+    fields = [timestamp.alias("timestamp"), relationship.alias("relationship"), F.lit(start[0]).alias("source_object"), start[1].cast("string").alias("source_guid"), F.lit(end[0]).alias("target_object"), end[1].cast("string").alias("target_guid")]
     return F.when(known, F.struct(*fields, *(v.alias(k) for k, v in more.items())))
 
 
