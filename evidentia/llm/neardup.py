@@ -27,7 +27,7 @@ SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 24, 4
 WALK = 96
 #: Centres taken from a bucket in the second round; four times as many in each round to come.
-CENTRES = 16
+CENTRES = 64
 #: The filter of classes in shared buckets has a fixed size; if it fills up, more sets than needed are shuffled.
 FILTER_BITS = 1 << 26
 SLICE = 64
@@ -225,28 +225,28 @@ def link(docs: DataFrame, meta: DataFrame, size: int, percent: int) -> DataFrame
     sets = cut(full_sets(docs, reps, size))
     close = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
-    centres = members.groupBy("band").agg(F.max(F.struct("w", "c", "n")).alias("m"))
-    used = cut(centres)
-    met = members.join(used, "band").where((F.col("c") != F.col("m.c")) & close(F.col("n"), F.col("m.n")))
-    tried = cut(met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct())
-    used = used.select("band", F.col("m.c").alias("c"))
-    labels = merged(weights.select("c", F.col("c").alias("comp")), cut(confirmed(tried, sets, percent)))
-    count = CENTRES
+    left, tried, count = members, None, 1
+    labels = weights.select("c", F.col("c").alias("comp"))
     while True:
-        # buckets whose members are in several components, and their classes that were no centre yet
-        placed = members.join(labels, "c")
-        split = cut(placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band"))
-        left = cut(placed.join(split, "band", "left_semi").join(used, ["band", "c"], "left_anti"))
-        if not left.limit(1).count():
+        # only classes that were no centre yet can miss a partner, and only in buckets where they are in several components
+        placed = left.join(labels, "c")
+        split = cut(placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("band", "size"))
+        if not split.limit(1).count():
             return labels
-        centres = cut(left.groupBy("band", F.pmod(F.xxhash64("c"), F.lit(count)).alias("part")).agg(F.max(F.struct("w", "c", "n", "comp")).alias("m")))
-        met = left.join(centres.select("band", "m"), "band").where((F.col("comp") != F.col("m.comp")) & close(F.col("n"), F.col("m.n")))
-        pairs = cut(met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
-        if pairs.limit(1).count():
-            labels = merged(labels, cut(confirmed(pairs, sets, percent)))
-            tried = tried.unionByName(pairs)
-        used = used.unionByName(centres.select("band", F.col("m.c").alias("c")))
-        count *= 4
+        unmet = cut(placed.join(split, "band"))
+        part = F.when(F.col("size") <= count, F.col("c")).otherwise(F.pmod(F.xxhash64("c"), F.lit(count)).cast("string").cast("binary"))
+        centres = cut(unmet.groupBy("band", part.alias("part")).agg(F.max(F.struct("w", "c", "n", "comp")).alias("m")))
+        once = (F.col("size") > count) | (F.col("c") < F.col("m.c"))
+        met = unmet.join(centres.select("band", "m"), "band").where((F.col("comp") != F.col("m.comp")) & close(F.col("n"), F.col("m.n")) & once)
+        pairs = met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct()
+        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        labels = merged(labels, cut(confirmed(pairs, sets, percent)))
+        large = unmet.where(F.col("size") > count)
+        if not large.limit(1).count():
+            return labels
+        left = large.drop("size", "comp").join(centres.select("band", F.col("m.c").alias("c")), ["band", "c"], "left_anti")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        count = max(CENTRES, 4 * count)
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", row_id: str = "doc_id") -> DataFrame:
