@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import text_or_empty
+from evidentia.llm.common import cut, text_or_empty
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_HEX = 3
@@ -86,7 +86,8 @@ def mix_sources(
         "doc_id", F.coalesce("lang", F.lit("unknown")).alias("lang"), source.alias("source"),
         F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("n_tokens"), *([F.struct(*keep).alias("kept")] if keep else []),
     ).withColumn("domain", domain_of_source(F.col("source")))
-    light = rows.select(*leaf, "doc_id", "n_tokens")
+    light = cut(rows.select(*leaf, "doc_id", "n_tokens"))  # texts are counted once
+    rows = rows if keep else light
 
     def ordered(df: DataFrame, e: Column) -> DataFrame:
         key = F.md5(F.concat_ws(":", F.lit(str(seed)), e.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key")
@@ -103,6 +104,7 @@ def mix_sources(
     ends = filled.groupBy(*leaf, "leaf_budget").agg(
         F.min(F.when(F.col("upto") > F.col("leaf_budget"), F.struct("epoch", "bucket", (F.col("upto") - F.col("n_tokens")).alias("before")))).alias("end")
     )
+    ends = cut(ends)
     small = ends.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES
     placed = rows.join(F.broadcast(ends) if small else ends, leaf)
     final = F.coalesce(F.col("end.epoch"), F.lit(epochs))
