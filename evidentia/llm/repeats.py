@@ -99,28 +99,29 @@ def level_ids(grams: Grams, level: int, length: int) -> tuple[np.ndarray, int]:
 class Lot:
     """Byte strings processed as one: their windows are found in the joined bytes, without those across two strings."""
 
-    def __init__(self, strings: list[tuple[bytes, int, int, int]], length: int):
-        self.codes = np.frombuffer(b"".join(d for d, _, _, _ in strings), np.uint8)
-        sizes = np.array([len(d) for d, _, _, _ in strings])
+    def __init__(self, strings: list[tuple[bytes, int, int, int, int]], length: int):
+        self.codes = np.frombuffer(b"".join(s[0] for s in strings), np.uint8)
+        sizes = np.array([len(s[0]) for s in strings])
         starts = np.cumsum(sizes) - sizes
         counts = sizes - length + 1
         self.windows = np.arange(counts.sum()) + np.repeat(starts - np.cumsum(counts) + counts, counts)
         self.owner = np.repeat(np.arange(len(strings)), counts)
-        self.k1, self.k2, self.base = (np.array([s[i] for s in strings], np.int64) for i in (1, 2, 3))
-        self.shift = self.base - starts
+        # base names the row that the bytes are of, also for a later part of it; skip is where that part begins in the row
+        self.k1, self.k2, self.base, skip = (np.array([s[i] for s in strings], np.int64) for i in (1, 2, 3, 4))
+        self.shift = self.base + skip - starts
 
 
-def lots(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[Lot]:
-    """Strings of ``length`` bytes or more in lots of some ``LOT`` bytes; longer ones in overlapping parts."""
+def lots(batches: Iterator[pa.RecordBatch], length: int, chunk: int) -> Iterator[Lot]:
+    """Strings of ``length`` bytes or more in lots of some ``LOT`` bytes; those over ``chunk`` in overlapping parts."""
     strings, size = [], 0
     for batch in batches:
         for data, k1, k2, base in zip(batch.column("data"), batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), batch.column("base").to_pylist(), strict=True):
             whole = data.as_py() or b""
-            for skip in range(0, len(whole) - length + 1, CHUNK):
-                own = whole[skip : skip + CHUNK + length - 1] if len(whole) > CHUNK else whole
+            for skip in range(0, len(whole) - length + 1, chunk):
+                own = whole[skip : skip + chunk + length - 1] if len(whole) > chunk else whole
                 if len(own) < length:
                     break
-                strings.append((own, k1, k2, base + skip))
+                strings.append((own, k1, k2, base, skip))
                 size += len(own)
                 if size >= LOT:
                     yield Lot(strings, length)
@@ -129,11 +130,11 @@ def lots(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[Lot]:
         yield Lot(strings, length)
 
 
-def find_segments(df: DataFrame, level: int, length: int) -> DataFrame:
+def find_segments(df: DataFrame, level: int, length: int, chunk: int = CHUNK) -> DataFrame:
     """Segments of the windows in ``data``; ``base`` is where ``data`` begins in its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lot in lots(batches, length):
+        for lot in lots(batches, length, chunk):
             ids, q = level_ids(Grams(lot.codes, 0), level, length)
             at = grams_of_windows(ids, length - q + 1)[lot.windows]
             first = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (lot.owner[1:] != lot.owner[:-1]))))
@@ -147,11 +148,11 @@ def find_segments(df: DataFrame, level: int, length: int) -> DataFrame:
     return df.select("data", "k1", "k2", "base").mapInArrow(run, "bucket long, content long, k1 long, k2 long, base int, lo int, hi int")
 
 
-def find_windows(df: DataFrame, length: int) -> DataFrame:
+def find_windows(df: DataFrame, length: int, chunk: int = CHUNK) -> DataFrame:
     """Both identifiers of every window in ``data``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lot in lots(batches, length):
+        for lot in lots(batches, length, chunk):
             ids = [level_ids(Grams(lot.codes, which), len(LEVELS), length)[0][lot.windows].view(np.int64) for which in (0, 1)]
             columns = [*ids, lot.k1[lot.owner], lot.k2[lot.owner], (lot.windows + lot.shift[lot.owner]).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "content", "k1", "k2", "lo"])
@@ -179,7 +180,7 @@ def take(segs: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     return joined.select("k1", "k2", F.col("s.lo").alias("base"), F.substring("data", F.col("s.lo") - F.col("from") + 1, F.col("s.hi") - F.col("s.lo") + length).alias("data"))
 
 
-def repeated_spans(rows: DataFrame, length: int) -> DataFrame:
+def repeated_spans(rows: DataFrame, length: int, chunk: int = CHUNK) -> DataFrame:
     """(k1, k2, spans): start and end of strings in which each byte is covered by a repeated window.
 
     ``rows`` has k1, k2 and binary ``data``; the keys name a text, and equal ones have equal data.
@@ -187,10 +188,10 @@ def repeated_spans(rows: DataFrame, length: int) -> DataFrame:
     texts = rows.where(F.octet_length("data") >= length).withColumn("base", F.lit(0))
     found = []
     for level in range(len(LEVELS)):
-        whole, edges = settle(find_segments(texts, level, length))
+        whole, edges = settle(find_segments(texts, level, length, chunk))
         found.append(whole.select("k1", "k2", "lo", (F.col("hi") + length).alias("end")))
         texts = cut(take(edges, texts, length))
-    windows = find_windows(texts, length)
+    windows = find_windows(texts, length, chunk)
     counted = cut(windows.groupBy("bucket", "content").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "content"))
     found.append(windows.join(counted, ["bucket", "content"], "left_semi").select("k1", "k2", "lo", (F.col("lo") + length).alias("end")))
     every = found[0]
@@ -212,19 +213,19 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", row_id: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", row_id: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
     """(doc_id, n_bytes, spans, kept): the maximal removed byte runs of every text, and the bytes that stay.
 
     A byte goes where a string of ``length`` bytes around it also starts anywhere else in the table, in the same text
     or another; no string crosses texts. A null text is an empty one; texts shorter than ``length`` stay whole;
     repeated rows repeat each other and lose all such bytes; an empty table gives none; other columns are ignored.
-    ``kept`` is binary: a cut may fall within a character.
+    ``kept`` is binary: a cut may fall within a character. ``chunk`` bytes of a text are read at once.
     """
     keyed = docs.select(
         F.col(row_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("data"),
         F.xxhash64(text).alias("k1"), F.xxhash64(row_id, F.length(text)).alias("k2"),
     )
-    spans = cut(repeated_spans(keyed.drop("doc_id"), length))
+    spans = cut(repeated_spans(keyed.drop("doc_id"), length, chunk))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -167,6 +167,19 @@ def test_repeats_equal_brute_force(spark, length):
         assert (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) == want
 
 
+@pytest.mark.parametrize("chunk", [97, 300])
+def test_repeats_past_the_first_chunk_equal_brute_force(spark, chunk):
+    rng = np.random.default_rng(chunk)
+    word = lambda n: "".join(rng.choice(list("abcdé "), n))
+    shared = [word(30 + k) for k in (0, 1, 2, 5, 11, 40)]
+    long = "".join(word(150 + 13 * k) + s for k, s in enumerate(shared)) + word(200)
+    # partners in a short text, in the long one itself, past a chunk of another long one, and across the borders of chunks
+    texts = [long, *(word(20) + s + word(9) for s in shared), word(700) + shared[1] + word(310) + shared[4], word(330) + long[chunk - 20 : chunk + 25], word(50), word(900)]
+    got = repeats.remove_repeats(docs(spark, texts), 30, chunk=chunk).orderBy("doc_id").collect()
+    for r, want in zip(got, brute_repeats(texts, 30), strict=True):
+        assert (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) == want
+
+
 def test_repeats_of_repeated_rows_and_empty_tables(spark):
     rows = spark.createDataFrame([(None, "z" * 10 + "abcdefghij" * 5), (None, "z" * 10 + "abcdefghij" * 5)], "doc_id long, text string")
     assert [len(r.kept) for r in repeats.remove_repeats(rows, 30).collect()] == [0, 0]
