@@ -4,8 +4,11 @@ A page is a stream of tags and text slots. Streams of one host are aligned one a
 optional, what repeats becomes a repeated group, and texts become slots. Alignment is associative enough to run in
 stages: every task aligns the shapes that it has seen of a host, and partial wrappers are aligned again, in two
 shuffles. What is shuffled are shapes - streams without texts, repeats folded - so a host of a third of all pages
-weighs no more than its few shapes. A slot of the wrapper is kept or dropped by the elements around it, and by what the
-host's pages hold there: constant texts are template.
+weighs no more than its few shapes.
+
+What is kept is told by the texts in the slots: a slot is dropped by the names of the elements around it, and a block of
+text is dropped as template where half of the host's pages, copies of a page counting once, have it at the same place.
+Blocks are counted over all pages, by a hash. The order of the wrapper, its options and groups have no part in it.
 """
 
 from __future__ import annotations
@@ -13,9 +16,10 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Set
 from difflib import SequenceMatcher
 from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,6 +39,7 @@ RAW = frozenset("script style noscript template textarea title svg iframe object
 DROPPED = frozenset("nav header footer aside form button menu dialog fieldset label option".split()) | RAW | {"head"}
 BLOCK = frozenset("address article blockquote body caption dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 KIND = "host string, wrapper string, sizes string"
+PAGE_KIND = KIND + ", page long, blocks array<long>"
 CLOSES = {"p": frozenset(["p"]), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"])}
 #: Words of class, id and role names that mark what is not the article, and what is.
 AWAY = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer disqus footer form header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related replies respond reply share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets alert complementary contentinfo search".split())
@@ -45,6 +50,8 @@ WORDS = re.compile(r"[a-z]+")
 #: task holds before it sends their wrappers; parts of a host that are aligned first.
 PERIOD, TURN, HOSTS, PARTS = 16, 4096, 2000, 64
 BROADCAST_HOSTS = 50_000
+#: A block is template if it is on so many pages of a host at least, and on this part of them.
+CONSTANT_PAGES, CONSTANT_SHARE = 4, 0.5
 
 
 def attributes(tag: str) -> tuple[str, bool]:
@@ -145,21 +152,32 @@ class Page:
                 out[path] = out.get(path, 0) + len(text)
         return out
 
-    def main_text(self, root: int) -> str:
-        blocks, block, keep = [], [], {}
+    def blocks(self) -> Iterator[tuple[int, list[tuple[str, str]]]]:
+        """(key, texts with their paths) of each block that is not away from the article; equal blocks at the same place have equal keys."""
+        block: list[tuple[str, str]] = []
         for path, text in [*self.texts, (None, "")]:
-            if path is None:
-                if block:
-                    blocks.append(BLANK.sub(" ", "".join(block)).strip())
-                    block = []
-                continue
-            if path not in keep:
-                keep[path] = kept(path, root)
-            if keep[path]:
-                block.append(html.unescape(text) if "&" in text else text)
+            if path is not None:
+                if roots_of(path) is not None:
+                    block.append((path, text))
+            elif block:
+                said = joined(text for _, text in block)
+                if said:
+                    yield digest(block[0][0] + "\n" + said), block
+                block = []
+
+    def main_text(self, root: int, template: Set[int] = frozenset()) -> str:
+        blocks = (joined(text for path, text in block if root in roots_of(path)) for key, block in self.blocks() if key not in template)
         return "\n".join(b for b in blocks if b)
 
 
+def joined(texts: Iterable[str]) -> str:
+    return BLANK.sub(" ", "".join(html.unescape(text) if "&" in text else text for text in texts)).strip()
+
+
+def digest(said: str) -> int:
+    return int.from_bytes(blake2b(said.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 #: How the article may be told, best first: an article element, a main element, a name that says so, or nothing.
 ROOTS = range(4)
 
@@ -170,7 +188,8 @@ def part_of(label: str) -> tuple[bool, int]:
     names, _, words = label.removesuffix("!").partition(".")
     said = set(words.split(".")) if words else set()
     away = label.endswith("!") or names in DROPPED
-    if names not in ("html", "body", "article", "main") or said & STRICT:
+    # a word on html or body, such as no-sidebar, speaks of the whole page
+    if names not in ("html", "body", "article", "main") or (names in ("article", "main") and said & STRICT):
         away = away or bool(said & STRICT) or bool(said & AWAY and not said & HOME)
     root = 0 if names == "article" else 1 if names == "main" else 2 if said & HOME and names not in ("html", "body") else 3
     return away, root
@@ -183,11 +202,6 @@ def roots_of(path: str) -> frozenset[int] | None:
     return None if any(away for away, _ in parts) else frozenset([3, *(root for _, root in parts)])
 
 
-def kept(path: str, root: int) -> bool:
-    roots = roots_of(path)
-    return roots is not None and root in roots
-
-
 def best_root(sizes: dict[str, int]) -> int:
     """The first kind of root under which there is text."""
     found = {r for path in sizes for r in roots_of(path) or ()}
@@ -285,8 +299,9 @@ def host_of(url: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
 
 
-def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, sizes) of ``pages`` (host, html): the inferred expression as JSON, and text sizes by path.
+def infer_wrappers(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, wrapper, sizes) of ``pages`` (host, html): the inferred expression as JSON, and text sizes by path; and
+    (host, page, blocks): the keys of the blocks of every page, with a key for them all.
 
     Tasks send one partial wrapper for each host that they have; these are aligned by host and ``PARTS`` parts, and
     then by host.
@@ -295,13 +310,19 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts: dict[str, Induction] = {}
         for batch in batches:
-            for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                hosts.setdefault(host, Induction()).page(Page(source or ""))
+            names, keys = batch.column("host").to_pylist(), []
+            for host, source in zip(names, batch.column("html").to_pylist(), strict=True):
+                page = Page(source or "")
+                hosts.setdefault(host, Induction()).page(page)
+                keys.append(sorted({key for key, _ in page.blocks()}))
                 if len(hosts) > HOSTS:
-                    yield written(hosts)
+                    yield with_blocks(written(hosts))
                     hosts = {}
+            none = pa.nulls(len(names), pa.string())
+            whole = pa.array([digest(repr(k)) for k in keys], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), none, none, whole, pa.array(keys, pa.list_(pa.int64()))], PAGE_COLUMNS)
         if hosts:
-            yield written(hosts)
+            yield with_blocks(written(hosts))
 
     def merge(batch: pa.Table) -> pa.Table:
         host = Induction()
@@ -310,9 +331,31 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
             host.add_sizes(json.loads(sizes))
         return pa.Table.from_batches([written({batch.column("host")[0].as_py(): host})])
 
-    partial = pages.select("host", "html").mapInArrow(first, KIND).withColumn("part", F.pmod(F.xxhash64("wrapper", "sizes"), F.lit(PARTS)))
+    found = cut(pages.select("host", "html").mapInArrow(first, PAGE_KIND))
+    partial = found.where("page IS NULL").select("host", "wrapper", "sizes").withColumn("part", F.pmod(F.xxhash64("wrapper", "sizes"), F.lit(PARTS)))
     parts = partial.groupBy("host", "part").applyInArrow(merge, KIND)
-    return parts.groupBy("host").applyInArrow(merge, KIND)
+    return parts.groupBy("host").applyInArrow(merge, KIND), found.where("page IS NOT NULL").select("host", "page", "blocks")
+
+
+PAGE_COLUMNS = ["host", "wrapper", "sizes", "page", "blocks"]
+
+
+def with_blocks(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Wrappers as rows of ``PAGE_KIND``, without a page."""
+    n = batch.num_rows
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], PAGE_COLUMNS)
+
+
+def constant_blocks(blocks: DataFrame) -> DataFrame:
+    """(host, template): the keys of the blocks that ``CONSTANT_SHARE`` of a host's different pages have.
+
+    They are counted over all pages. A page has no more blocks of that kind than its host has by 1 / ``CONSTANT_SHARE``,
+    so the lists stay short.
+    """
+    different = cut(blocks.groupBy("host", "page").agg(F.first("blocks").alias("blocks")))
+    pages = different.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= CONSTANT_PAGES)
+    counts = different.select("host", F.explode("blocks").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= CONSTANT_PAGES)
+    return counts.join(pages, "host").where(F.col("n") >= F.col("pages") * CONSTANT_SHARE).groupBy("host").agg(F.collect_list("key").alias("template"))
 
 
 def written(hosts: dict[str, Induction]) -> pa.RecordBatch:
@@ -324,29 +367,30 @@ def written(hosts: dict[str, Induction]) -> pa.RecordBatch:
 def extract_text(pages: DataFrame, url: str = "url", source: str = "html", row_id: str = "page_id") -> DataFrame:
     """(page_id, url, text): the main text of every page by its host's wrapper.
 
-    The wrapper's slots tell by which element the host marks its articles; a page that has no text there is judged by
-    itself. Blocks are joined by a newline, white space in them by one space. A null or empty page, or one of template
+    The host's texts tell by which element it marks its articles, and which blocks are template; a page that has no text
+    there is judged by itself. Blocks are joined by a newline, white space in them by one space. A null or empty page, or one of template
     only, has an empty text; repeated rows are extracted each; pages without a url share the host ''; an empty table
     gives none.
     """
     rows = pages.select(F.col(row_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html"), host_of(url).alias("host"))
-    wrappers = cut(infer_wrappers(rows))
+    inferred, blocks = infer_wrappers(rows)
+    wrappers = cut(inferred)
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array([best_root(json.loads(s)) for s in batch.column("sizes").to_pylist()], pa.int32())], ["host", "root"])
 
-    table = cut(wrappers.select("host", "sizes").mapInArrow(roots, "host string, root int"))
-    # a name and a number for each host: broadcast while there are few, joined by a shuffle otherwise
+    table = cut(wrappers.select("host", "sizes").mapInArrow(roots, "host string, root int").join(constant_blocks(blocks), "host", "left"))
+    # a name, a number and a short list for each host: broadcast while there are few, joined by a shuffle otherwise
     small = table.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for page, root in zip(batch.column("html").to_pylist(), batch.column("root").to_pylist(), strict=True):
-                parsed = Page(page or "")
-                texts.append(parsed.main_text(root) or parsed.main_text(best_root(parsed.sizes())))
+            for page, root, keys in zip(batch.column("html").to_pylist(), batch.column("root").to_pylist(), batch.column("template").to_pylist(), strict=True):
+                parsed, template = Page(page or ""), frozenset(keys or ())
+                texts.append(parsed.main_text(root, template) or parsed.main_text(best_root(parsed.sizes()), template))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     schema = T.StructType([rows.schema["page_id"], rows.schema["url"], T.StructField("text", T.StringType())])
-    return rows.join(F.broadcast(table) if small else table, "host", "left").select("page_id", "url", "html", "root").mapInArrow(run, schema)
+    return rows.join(F.broadcast(table) if small else table, "host", "left").select("page_id", "url", "html", "root", "template").mapInArrow(run, schema)

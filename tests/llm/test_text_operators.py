@@ -131,6 +131,16 @@ def test_main_text(spark):
     assert wrappers.extract_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_main_text_without_the_constant_blocks_of_a_host(spark):
+    body = "<body><div>Read our <b>daily</b> letter</div><div><p>Text {0} and <i>so</i> on<p>Also {0}</div><div>All rights reserved</div></body>"
+    only = "<body><div>Read our <b>daily</b> letter</div><div>All rights reserved</div></body>"
+    pages = [(k, f"https://a.example/{k}", body.format(k)) for k in range(6)] + [(9, "https://a.example/9", only)]
+    pages += [(10 + k, f"https://copies.example/{k}", body.format(7)) for k in range(6)]
+    got = {r.page_id: r.text for r in wrappers.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(6)] == [f"Text {k} and so on\nAlso {k}" for k in range(6)] and got[9] == ""
+    assert {got[10 + k] for k in range(6)} == {"Read our daily letter\nText 7 and so on\nAlso 7\nAll rights reserved"}  # copies of one page tell nothing
+
+
 def test_wrapper_of_two_shapes():
     host = wrappers.Induction()
     for body in ("<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>a</li></ul><p>x</p><hr>", "<ul><li>a</li><li>b</li><li>c</li></ul><p>y</p>"):
