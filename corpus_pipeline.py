@@ -29,13 +29,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group at five-word shingles and a similarity of 0.8: that of the smallest id.
 
-    Rows without words are in no group and stay; of rows that repeat an id and its text one stays.
+    Rows without words are in no group and stay; of rows that repeat an id and its text one stays. Rows are told by id and
+    text: of several texts of an id each is decided alone, and of several rows without an id too, which come last.
     """
-    groups = cut(near_duplicates(docs).where("kept").groupBy("doc_id").count())
-    kept = docs.join(groups, docs["doc_id"].eqNullSafe(groups["doc_id"]), "left_semi").select(*COLUMNS)
-    if groups.where("count > 1").limit(1).count():
-        kept = kept.withColumn("said", F.xxhash64("text")).dropDuplicates(["doc_id", "said"]).drop("said")
-    return kept
+    # in the order of the ids: 20 digits of the id above the least long, and a hash of the text
+    number = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+    rows = docs.withColumn("row_key", F.concat_ws(":", F.coalesce(number, F.lit("none")), F.hex(F.xxhash64("text"))))
+    kept = cut(near_duplicates(rows, row_id="row_key").where("kept").groupBy(F.col("doc_id").alias("row_key")).count())
+    single = rows.join(kept, "row_key", "left_semi")
+    if kept.where("count > 1").limit(1).count():
+        single = single.dropDuplicates(["row_key"])
+    return single.select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

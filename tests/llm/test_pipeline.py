@@ -54,3 +54,11 @@ def test_stages(spark, sf_dir):
     texts = {r.doc_id: r.text for r in clean.collect()}
     assert sorted(r.doc_id for r in tokens) == sorted(r.doc_id for r in mixed.collect())
     assert all(r.ids == library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids and r.n_tokens == len(r.ids) for r in tokens)
+
+
+def test_near_duplicates_are_decided_by_row(spark):
+    one, two, three, four = (" ".join(f"{w}{k}" for k in range(12)) for w in ("a", "b", "c", "d"))
+    rows = [(-5, one), (7, one), (7, two), (10, two), (9, three), (None, three), (None, four), (None, four.upper()), (None, one), (11, None), (11, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, (r.text or "").lower()) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(-5, one), (7, two), (9, three), (None, four), (11, "")], key=str)
