@@ -1,7 +1,8 @@
 """Secret scans with multipart credential linking.
 
 Strong patterns (an assigned secret, an access key, a long hex string) are reported by themselves. Weak candidates -
-an access identifier, a secret-looking token, an endpoint - are reported only where complementary parts meet: their
+an access identifier (a named account or an e-mail address), a secret-looking token, an endpoint (a URL or an IPv4 address
+with or without a port) - are reported only where complementary parts meet: their
 intervals are joined within scopes (a span and ``SCOPE`` characters on either side), and a secret must find an
 identifier or an endpoint there, or one of these a secret.
 """
@@ -25,9 +26,12 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 BASE = KINDS[:3]
 
-IDENTIFIER = re.compile(r"""(?:user(?:name)?|login|account|client_?id|key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""", re.I | re.A)
-SECRET = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-ENDPOINT = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}:\d{2,5}(?!\d)""", re.A)
+# quantifiers are possessive and addresses start at the start of a run, so that long runs are read once
+IDENTIFIER = re.compile(r"""(?:user(?:name)?|login|account|client_?id|key_?id)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9@._-]{3,}+""", re.I | re.A)
+MAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+SECRET = re.compile(r"[A-Za-z0-9+/_=-]{20,}+")
+URL = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}+""", re.A)
+ADDRESS = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?(?![\d.]*\d)", re.A)
 CLASSES = (re.compile("[a-z]"), re.compile("[A-Z]"), re.compile("[0-9]"))
 SCOPE = 200
 SLICE = 512
@@ -48,9 +52,13 @@ def base_spans(text: str) -> list[Span]:
 
 def weak_spans(text: str) -> list[Span]:
     found = [(m.start(), 4, m.end()) for m in SECRET.finditer(text) if all(c.search(m[0]) for c in CLASSES)]
+    found += [(m.start(), 5, m.end()) for m in ADDRESS.finditer(text)]
     if ":" in text or "=" in text:
         found += [(m.start(), 3, m.end()) for m in IDENTIFIER.finditer(text)]
-        found += [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)]
+    if "://" in text:
+        found += [(m.start(), 5, m.end()) for m in URL.finditer(text)]
+    if "@" in text:
+        found += [(m.start(), 3, m.end()) for m in MAIL.finditer(text)]
     return found
 
 
@@ -68,11 +76,12 @@ def linked(weak: list[Span], strong: list[Span], scope: int) -> list[Span]:
         weak = [w for w in weak if not ((k := bisect_right(starts, w[0])) and ends[k - 1][1] >= w[2])]
     parts = sorted([(s, e, k == 4, k in (3, 5), (s, k, e)) for s, k, e in weak] + [(s, e, True, k == 1, None) for s, k, e in strong])
     out: set[Span] = set()
-    reach = [-1, -1]  # the furthest end so far of a secret, and of an identifier or endpoint
+    none = -(1 << 60)
+    reach = [none, none]  # the furthest end so far of a secret, and of an identifier or endpoint
     for start, end, secret, other, weak_one in parts:
         if weak_one and reach[1 if secret else 0] >= start - scope:
             out.add(weak_one)
-        reach = [max(reach[0], end if secret else -1), max(reach[1], end if other else -1)]
+        reach = [max(reach[0], end if secret else none), max(reach[1], end if other else none)]
     after = [1 << 60] * 2  # the nearest start to come
     for start, end, secret, other, weak_one in reversed(parts):
         if weak_one and after[1 if secret else 0] <= end + scope:

@@ -87,6 +87,16 @@ def test_weak_spans_link_as_by_all_pairs():
         assert secrets.linked(spans, [], 200) == want
 
 
+def test_weak_parts_are_reported_beside_a_secret_only():
+    def kinds(text):
+        return [(secrets.KINDS[k], text[s:e]) for s, k, e in secrets.linked(secrets.weak_spans(text), secrets.base_spans(text), secrets.SCOPE)]
+
+    assert kinds('mail ann.b@mail3.example.com, token = "04dbebab91ab" from 10.2.3.4, 1.2.3.4.5') == [("identifier", "ann.b@mail3.example.com"), ("endpoint", "10.2.3.4")]
+    assert kinds("mail ann.b@mail3.example.com from 10.2.3.4:80") == []
+    assert kinds('ann.b@mail3.example.com' + " far" * 60 + ' token = "04dbebab91ab"') == []
+    assert kinds("z" * 300_000 + "@" + "b." * 300_000 + "1." * 100_000 + "user" * 50_000) == []
+
+
 def test_redaction(spark):
     found = secrets.scan_secrets(docs(spark, TEXTS[:2] + ["plain"])).select(secrets.redact(F.col("text"), F.col("spans")).alias("t"), "doc_id").orderBy("doc_id").collect()
     assert [r.t for r in found] == ["[assign] and more", "API_KEY: 'abcd' [assign]", "plain"]
