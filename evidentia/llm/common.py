@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="evidentia-checkpoint-"))
 
 
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written as a Parquet table in the shared checkpoint folder and read again.
 
@@ -27,7 +31,19 @@ def cut(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Delete the files of tables that ``cut`` wrote and that nothing reads any more; other frames stay as they are."""
+    for table in tables:
+        path = _paths.pop(table, None) if table is not None else None
+        if path is not None:
+            context = table.sparkSession.sparkContext
+            file = context._jvm.org.apache.hadoop.fs.Path(path)
+            file.getFileSystem(context._jsc.hadoopConfiguration()).delete(file, True)
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -1,11 +1,15 @@
 """Near duplicates by one-permutation MinHash with optimal densification, banded buckets and star-shaped candidates.
 
 Documents of equal shingle sets are one class. A class has one hash value a bin, the smallest of its shingles there;
-an empty bin takes the value of another one, found by a fixed random walk. Bands of bins are buckets. A bucket gives a
+an empty bin takes the value of another one, found by a fixed random walk. Bands of bins are buckets. A bucket gives one
 star, not all pairs: its centre is the class that shares most buckets with others (what copies were made from), and
-every candidate is confirmed on the full sets. Where the members of a bucket are still in several components after
-that, further centres are taken from it, until each has met all the others outside its component: a link between
-members of a bucket is never lost to the shape of the star.
+every candidate is confirmed on the full sets.
+
+Classes of a bucket that is in several components after the stars are contested: a link of two points of a star may be
+missing there. They are dealt into smaller groups by their rare shingles. Where the similarity of two sets is high enough,
+both have a common shingle so early in the order of rarity that what follows can still hold the needed intersection, and
+their sizes are near; so a class is found under its early shingles and sizes only. Nothing is compared within a component,
+and no link between contested classes is lost: the groups follow from the threshold, not from chance.
 """
 
 from __future__ import annotations
@@ -20,16 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evidentia.llm.common import cut
+from evidentia.llm.common import cut, drop
 
 SHINGLE, PERCENT = 5, 80
 #: At a similarity of 0.8 a pair shares no bucket with a probability of 3 in a million.
 BANDS, ROWS = 24, 4
 WALK = 96
-#: Centres taken from a bucket in the second round; four times as many in each round to come.
-CENTRES = 64
+#: Ratio of neighbouring size classes of contested sets: narrower ones give fewer candidates and more rows to find them.
+SIZE_RATIO = 1.03
 #: The filter of classes in shared buckets has a fixed size; if it fills up, more sets than needed are shuffled.
 FILTER_BITS = 1 << 26
+PARTS = np.unique((SIZE_RATIO ** np.arange(1400)).astype(np.int64))
 SLICE = 64
 U = np.uint64
 
@@ -195,58 +200,132 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         near = links.join(labels.withColumnRenamed("c", "b"), "b").groupBy(F.col("a").alias("c")).agg(F.min("comp").alias("near"))
         lower = cut(labels.join(near, "c", "left").select("c", F.least("comp", F.coalesce("near", "comp")).alias("next"), "comp"))
         ahead = lower.select(F.col("c").alias("next"), F.col("next").alias("after"))
-        labels = cut(lower.join(ahead, "next", "left").select("c", F.coalesce("after", "next").alias("comp"), (F.coalesce("after", "next") != F.col("comp")).alias("moved")))
+        last, labels = labels, cut(lower.join(ahead, "next", "left").select("c", F.coalesce("after", "next").alias("comp"), (F.coalesce("after", "next") != F.col("comp")).alias("moved")))
+        drop(last, lower)
         if not labels.where("moved").limit(1).count():
-            return labels.select("c", "comp")
-        labels = labels.select("c", "comp")
+            drop(links)
+            return labels
 
 
-def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` after more links: components of what the links join, the components so far being its nodes."""
-    first, second = (labels.select(F.col("c").alias(k), F.col("comp").alias(f"comp_{k}")) for k in ("a", "b"))
-    between = cut(links.join(first, "a").join(second, "b").where("comp_a <> comp_b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct())
-    if not between.limit(1).count():
-        return labels
-    roots = between.select(F.col("a").alias("c")).union(between.select("b")).distinct()
-    lower = components(roots, between).withColumnRenamed("comp", "lower").withColumnRenamed("c", "comp")
-    return cut(labels.join(lower, "comp", "left").select("c", F.coalesce("lower", "comp").alias("comp")))
+def stars(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(band, c, n) of the classes that share a bucket with another one; and their stars, pairs (a, b) of near sizes."""
+    rows = classes.select("c", "n", F.explode("bands").alias("band"))
+    shared = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    sized = cut(rows.join(shared, "band"))
+    members = cut(sized.join(sized.groupBy("c").agg(F.sum("size").alias("w")), "c").select("band", "c", "n", "w"))
+    drop(sized)
+    centres = members.groupBy("band").agg(F.max(F.struct("w", "c", "n")).alias("m"))
+    near = F.least("n", "m.n") * 100 >= F.greatest("n", "m.n") * percent
+    met = members.join(centres, "band").where((F.col("c") != F.col("m.c")) & near)
+    return members, cut(met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct())
+
+
+def shingle_rows(sets: DataFrame) -> DataFrame:
+    """(c, comp, shingle), a row for each shingle of ``sets`` (c, comp, s)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                own = [np.frombuffer(x.as_py(), np.int64) for x in part.column("s")]
+                row = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))
+                yield pa.RecordBatch.from_arrays([part.column("c").take(row), part.column("comp").take(row), pa.array(np.concatenate(own))], ["c", "comp", "shingle"])
+
+    return sets.select("c", "comp", "s").mapInArrow(run, "c binary, comp binary, shingle long")
+
+
+def part_of(size: np.ndarray | int) -> np.ndarray:
+    return np.searchsorted(PARTS, size, side="right")
+
+
+def early_shingles(ranked: DataFrame, percent: int) -> DataFrame:
+    """Where a class of ``ranked`` (c, comp, n, common) is to be found: (shingle, part, c, comp, n, least, most, role).
 
+    ``common`` has the shingles that several classes have, with their count and whether several components have them. With
+    i shingles before it in the order of counts, a shingle may be the first common one of sets of n and m only if
+    (100 + percent) * (n - i) >= percent * (n + m). The larger set looks for the sizes least to most, in each part of the
+    sizes; the smaller one lies in the part of its own, and most is the largest size that may find it.
+    """
 
-def link(docs: DataFrame, meta: DataFrame, size: int, percent: int) -> DataFrame | None:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                out: list[list[np.ndarray]] = []
+                for row, (n, common) in enumerate(zip(part.column("n").to_pylist(), part.column("common"), strict=True)):
+                    own = common.values
+                    count, shingle, live = (own.field(k).to_numpy(zero_copy_only=False) for k in ("count", "shingle", "live"))
+                    order = np.lexsort((shingle, count))
+                    i = np.arange(len(order)) + n - len(order)
+                    most, least = ((100 + percent) * (n - i)) // percent - n, -(-percent * n // 100)
+                    early = live[order] & (most >= least)
+                    shingle, most = shingle[order][early], most[early]
+                    small = most >= n
+                    low, high = np.full(len(most), part_of(least)), part_of(np.minimum(most, n))
+                    times = high - low + 1
+                    again = np.repeat(np.arange(len(most)), times)
+                    parts = low[again] + np.arange(len(again)) - np.repeat(np.cumsum(times) - times, times)
+                    out.append([np.full(small.sum(), row), shingle[small], np.full(small.sum(), part_of(n)), most[small], np.zeros(small.sum(), bool)])
+                    out.append([np.full(len(again), row), shingle[again], parts, np.minimum(most, n)[again], np.ones(len(again), bool)])
+                rows, shingles, parts, most, role = (np.concatenate(x) for x in zip(*out, strict=True))
+                n = np.array(part.column("n").to_pylist(), np.int64)[rows]
+                taken = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shingles), pa.array(parts), part.column("c").take(taken), part.column("comp").take(taken), pa.array(n), pa.array(-(-percent * n // 100)), pa.array(most), pa.array(role)],
+                    ["shingle", "part", "c", "comp", "n", "least", "most", "larger"],
+                )
+
+    return ranked.select("c", "comp", "n", "common").mapInArrow(run, "shingle long, part long, c binary, comp binary, n long, least long, most long, larger boolean")
+
+
+def contested_pairs(contested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``contested`` (c, n, comp), of different components, that may be similar enough: none is missing."""
+    shingles = cut(shingle_rows(sets.join(contested.select("c", "comp"), "c")))
+    several = F.min(F.xxhash64("comp")) != F.max(F.xxhash64("comp"))
+    counts = shingles.groupBy("shingle").agg(F.count("*").alias("count"), several.alias("live")).where("count > 1")
+    common = shingles.join(counts, "shingle").groupBy("c").agg(F.collect_list(F.struct("count", "shingle", "live")).alias("common"))
+    found = cut(early_shingles(contested.join(common, "c"), percent))
+    drop(shingles)
+    group = ["shingle", "part"]
+    small, large = found.where("not larger"), found.where("larger")
+    # components first, so that the members of one are not compared with each other
+    smaller = small.groupBy(*group, F.col("comp").alias("comp_s")).agg(F.min("n").alias("m_low"), F.max("n").alias("m_high"), F.max("most").alias("up_to"))
+    larger = large.groupBy(*group, F.col("comp").alias("comp_l")).agg(F.min("least").alias("low"), F.max("most").alias("high"), F.min("n").alias("n_low"))
+    met = cut(smaller.join(larger, group).where("comp_s <> comp_l and m_low <= high and m_high >= low and up_to >= n_low").select(*group, "comp_s", "comp_l"))
+    pairs = (
+        met.join(small.select(*group, F.col("comp").alias("comp_s"), F.col("c").alias("c_s"), F.col("n").alias("m"), F.col("most").alias("up_to")), [*group, "comp_s"])
+        .join(large.select(*group, F.col("comp").alias("comp_l"), F.col("c").alias("c_l"), "n", "least", "most"), [*group, "comp_l"])
+        .where("m between least and most and n <= up_to")
+        .select(F.least("c_s", "c_l").alias("a"), F.greatest("c_s", "c_l").alias("b")).distinct()
+    )
+    out = cut(pairs)
+    drop(met, found)
+    return out
+
+
+def link(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
     """(c, comp) of the classes that share a bucket with another class; None if no class does."""
-    rows = meta.where("n > 0").select("c", "n", F.explode("bands").alias("band"))
-    shared = cut(rows.groupBy("band").agg(F.count("*").alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band", "size"))
-    members = cut(rows.join(shared, "band").groupBy("band", "c").agg(F.first("n").alias("n"), F.first("size").alias("size")))
-    weights = cut(members.groupBy("c").agg(F.sum("size").alias("w")))
-    if not weights.limit(1).count():
+    members, pairs = stars(classes, percent)
+    shared = cut(members.select("c", "n").distinct())
+    if not shared.limit(1).count():
+        drop(members, pairs, shared)
         return None
-    members = cut(members.join(weights, "c").select("band", "c", "n", "w"))
-    reps = cut(meta.where("n > 0").join(weights, "c", "left_semi").groupBy("c").agg(F.min("doc_id").alias("rep")))
-    sets = cut(full_sets(docs, reps, size))
-    close = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
-
-    left, tried, count = members, None, 1
-    labels = weights.select("c", F.col("c").alias("comp"))
-    while True:
-        # only classes that were no centre yet can miss a partner, and only in buckets where they are in several components
-        placed = left.join(labels, "c")
-        split = cut(placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("band", "size"))
-        if not split.limit(1).count():
-            return labels
-        unmet = cut(placed.join(split, "band"))
-        part = F.when(F.col("size") <= count, F.col("c")).otherwise(F.pmod(F.xxhash64("c"), F.lit(count)).cast("string").cast("binary"))
-        centres = cut(unmet.groupBy("band", part.alias("part")).agg(F.max(F.struct("w", "c", "n", "comp")).alias("m")))
-        once = (F.col("size") > count) | (F.col("c") < F.col("m.c"))
-        met = unmet.join(centres.select("band", "m"), "band").where((F.col("comp") != F.col("m.comp")) & close(F.col("n"), F.col("m.n")) & once)
-        pairs = met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct()
-        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        labels = merged(labels, cut(confirmed(pairs, sets, percent)))
-        large = unmet.where(F.col("size") > count)
-        if not large.limit(1).count():
-            return labels
-        left = large.drop("size", "comp").join(centres.select("band", F.col("m.c").alias("c")), ["band", "c"], "left_anti")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        count = max(CENTRES, 4 * count)
+    sets = cut(full_sets(docs, classes.join(shared, "c", "left_semi").select("c", "rep"), size))
+    links = cut(confirmed(pairs, sets, percent))
+    labels = components(shared, links)
+    # buckets with several components, and the classes in them
+    split = members.join(labels, "c").groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
+    contested = cut(members.join(split, "band", "left_semi").select("c").distinct().join(labels.select("c", "comp"), "c").join(shared, "c"))
+    drop(members, pairs, links)
+    more = contested_pairs(contested, sets, percent)
+    joined = cut(confirmed(more, sets, percent))
+    first, second = (labels.select(F.col("c").alias(k), F.col("comp").alias(f"comp_{k}")) for k in ("a", "b"))
+    between = cut(joined.join(first, "a").join(second, "b").where("comp_a <> comp_b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct())
+    roots = components(between.select(F.col("a").alias("c")).union(between.select("b")).distinct(), between)
+    lower = roots.select(F.col("c").alias("comp"), F.col("comp").alias("lower"))
+    out = cut(labels.join(lower, "comp", "left").select("c", F.coalesce("lower", "comp").alias("comp")))
+    drop(contested, more, joined, between, roots, labels, sets, shared)
+    return out
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", row_id: str = "doc_id") -> DataFrame:
@@ -259,14 +338,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     """
     rows = docs.select(F.col(row_id).alias("doc_id"), F.col(text).alias("text"))
     meta = cut(describe(rows, size, BANDS, ROWS))
-    labels = link(rows, meta, size, percent)
-    classes = meta.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"))
+    # copies fall together before anything is dealt by buckets
+    classes = cut(meta.where("n > 0").groupBy("c").agg(F.first("n").alias("n"), F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
+    labels = link(rows, classes, size, percent)
+    ids = classes.select("c", F.col("rep").alias("component_id"))
     if labels is not None:
-        placed = classes.join(labels, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
-        ids = placed.groupBy("comp").agg(F.min("least").alias("component_id"))
-        classes = placed.join(ids, "comp").select("c", "component_id")
-    else:
-        classes = classes.withColumnRenamed("least", "component_id")
-    found = meta.drop("bands").join(cut(classes), "c", "left")
+        placed = ids.join(labels, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
+        ids = placed.join(placed.groupBy("comp").agg(F.min("component_id").alias("least")), "comp").select("c", F.col("least").alias("component_id"))
+    found = meta.drop("bands").join(ids, "c", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    out = cut(found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept")))
+    drop(meta, classes, labels)
+    return out
