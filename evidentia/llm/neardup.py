@@ -15,7 +15,7 @@ and no link between contested classes is lost: the groups follow from the thresh
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -36,6 +36,8 @@ SIZE_RATIO = 1.03
 FILTER_BITS = 1 << 26
 PARTS = np.unique((SIZE_RATIO ** np.arange(1400)).astype(np.int64))
 SLICE = 64
+#: Rows of a batch that are worked on at once; what is held is bounded by their texts.
+ROWS_AT_ONCE = 512
 U = np.uint64
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -108,6 +110,16 @@ def signature(own: np.ndarray, bins: int, walk: np.ndarray, edges: np.ndarray) -
     return values
 
 
+def parts(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.cumsum([0, *map(len, arrays)], dtype=np.int32), np.concatenate([np.empty(0, np.int64), *arrays]))
+
+
 def describe(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, n, c, bands): set size, class (digest of the set; null if empty) and bucket of every band."""
     bins = bands * rows
@@ -116,7 +128,7 @@ def describe(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
         walk = walks(bins)
         edges = np.array([(k << 64) // bins for k in range(bins)], U)
         mark = scramble(np.arange(1, bands + 1, dtype=U))
-        for batch in batches:
+        for batch in parts(batches):
             sets = shingle_sets([t or "" for t in batch.column("text").to_pylist()], size)
             classes = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             buckets = []
@@ -129,10 +141,8 @@ def describe(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                     buckets.append(h.view(np.int64))
                 else:
                     buckets.append(np.empty(0, np.int64))
-            offsets = np.cumsum([0, *map(len, buckets)], dtype=np.int32)
-            flat = np.concatenate(buckets) if buckets else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.binary()), pa.ListArray.from_arrays(offsets, flat)],
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.binary()), lists(buckets)],
                 ["doc_id", "n", "c", "bands"],
             )
 
@@ -155,41 +165,27 @@ def full_sets(docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(filter_bits(reps))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             ids = batch.column("doc_id").to_pylist()
             sets = shingle_sets([t or "" for t in batch.column("text").to_pylist()], size)
-            found: dict[bytes, bytes] = {}
+            found: dict[bytes, np.ndarray] = {}
             for i, s in zip(ids, sets, strict=True):
                 if len(s):
-                    raw = s.tobytes()
-                    c = blake2b(raw, digest_size=16).digest()
+                    c = blake2b(s.tobytes(), digest_size=16).digest()
                     bit = zlib.crc32(c + (b"" if i is None else str(i).encode())) & (FILTER_BITS - 1)
                     if bits.value[bit >> 3] >> (bit & 7) & 1:
-                        found[c] = raw
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], ["c", "s"])
+                        found[c] = s.view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), lists(list(found.values()))], ["c", "s"])
 
-    sets = docs.mapInArrow(run, "c binary, s binary")
+    sets = docs.mapInArrow(run, "c binary, s array<long>")
     return sets.join(reps.select("c"), "c", "left_semi").groupBy("c").agg(F.first("s").alias("s"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
     both = pairs.join(sets.select(F.col("c").alias("b"), F.col("s").alias("s_b")), "b").join(sets.select(F.col("c").alias("a"), F.col("s").alias("s_a")), "a")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, last, left = [], None, None
-            for k, (a, x, y) in enumerate(zip(batch.column("a").to_pylist(), batch.column("s_a"), batch.column("s_b"), strict=True)):
-                if a != last:
-                    last, left = a, np.frombuffer(x.as_py(), U)
-                right = np.frombuffer(y.as_py(), U)
-                at = np.searchsorted(left, right)
-                common = int((left[np.minimum(at, len(left) - 1)] == right).sum())
-                if 100 * common >= percent * (len(left) + len(right) - common):
-                    keep.append(k)
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(keep, pa.int32())), batch.column("b").take(pa.array(keep, pa.int32()))], ["a", "b"])
-
-    return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a binary, b binary")
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    return both.where(common * (100 + percent) >= (F.size("s_a") + F.size("s_b")) * percent).select("a", "b")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -220,20 +216,6 @@ def stars(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return members, cut(met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct())
 
 
-def shingle_rows(sets: DataFrame) -> DataFrame:
-    """(c, comp, shingle), a row for each shingle of ``sets`` (c, comp, s)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                own = [np.frombuffer(x.as_py(), np.int64) for x in part.column("s")]
-                row = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))
-                yield pa.RecordBatch.from_arrays([part.column("c").take(row), part.column("comp").take(row), pa.array(np.concatenate(own))], ["c", "comp", "shingle"])
-
-    return sets.select("c", "comp", "s").mapInArrow(run, "c binary, comp binary, shingle long")
-
-
 def part_of(size: np.ndarray | int) -> np.ndarray:
     return np.searchsorted(PARTS, size, side="right")
 
@@ -248,39 +230,37 @@ def early_shingles(ranked: DataFrame, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                out: list[list[np.ndarray]] = []
-                for row, (n, common) in enumerate(zip(part.column("n").to_pylist(), part.column("common"), strict=True)):
-                    own = common.values
-                    count, shingle, live = (own.field(k).to_numpy(zero_copy_only=False) for k in ("count", "shingle", "live"))
-                    order = np.lexsort((shingle, count))
-                    i = np.arange(len(order)) + n - len(order)
-                    most, least = ((100 + percent) * (n - i)) // percent - n, -(-percent * n // 100)
-                    early = live[order] & (most >= least)
-                    shingle, most = shingle[order][early], most[early]
-                    small = most >= n
-                    low, high = np.full(len(most), part_of(least)), part_of(np.minimum(most, n))
-                    times = high - low + 1
-                    again = np.repeat(np.arange(len(most)), times)
-                    parts = low[again] + np.arange(len(again)) - np.repeat(np.cumsum(times) - times, times)
-                    out.append([np.full(small.sum(), row), shingle[small], np.full(small.sum(), part_of(n)), most[small], np.zeros(small.sum(), bool)])
-                    out.append([np.full(len(again), row), shingle[again], parts, np.minimum(most, n)[again], np.ones(len(again), bool)])
-                rows, shingles, parts, most, role = (np.concatenate(x) for x in zip(*out, strict=True))
-                n = np.array(part.column("n").to_pylist(), np.int64)[rows]
-                taken = pa.array(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shingles), pa.array(parts), part.column("c").take(taken), part.column("comp").take(taken), pa.array(n), pa.array(-(-percent * n // 100)), pa.array(most), pa.array(role)],
-                    ["shingle", "part", "c", "comp", "n", "least", "most", "larger"],
-                )
+        for part in parts(batches, SLICE):
+            out: list[list[np.ndarray]] = []
+            for row, (n, common) in enumerate(zip(part.column("n").to_pylist(), part.column("common"), strict=True)):
+                own = common.values
+                count, shingle, live = (own.field(k).to_numpy(zero_copy_only=False) for k in ("count", "shingle", "live"))
+                order = np.lexsort((shingle, count))
+                i = np.arange(len(order)) + n - len(order)
+                most, least = ((100 + percent) * (n - i)) // percent - n, -(-percent * n // 100)
+                early = live[order] & (most >= least)
+                shingle, most = shingle[order][early], most[early]
+                small = most >= n
+                low, high = np.full(len(most), part_of(least)), part_of(np.minimum(most, n))
+                times = high - low + 1
+                again = np.repeat(np.arange(len(most)), times)
+                sizes = low[again] + np.arange(len(again)) - np.repeat(np.cumsum(times) - times, times)
+                out.append([np.full(small.sum(), row), shingle[small], np.full(small.sum(), part_of(n)), most[small], np.zeros(small.sum(), bool)])
+                out.append([np.full(len(again), row), shingle[again], sizes, np.minimum(most, n)[again], np.ones(len(again), bool)])
+            rows, shingles, sizes, most, role = (np.concatenate(x) for x in zip(*out, strict=True))
+            n = np.array(part.column("n").to_pylist(), np.int64)[rows]
+            taken = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shingles), pa.array(sizes), part.column("c").take(taken), part.column("comp").take(taken), pa.array(n), pa.array(-(-percent * n // 100)), pa.array(most), pa.array(role)],
+                ["shingle", "part", "c", "comp", "n", "least", "most", "larger"],
+            )
 
     return ranked.select("c", "comp", "n", "common").mapInArrow(run, "shingle long, part long, c binary, comp binary, n long, least long, most long, larger boolean")
 
 
 def contested_pairs(contested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of ``contested`` (c, n, comp), of different components, that may be similar enough: none is missing."""
-    shingles = cut(shingle_rows(sets.join(contested.select("c", "comp"), "c")))
+    shingles = cut(sets.join(contested.select("c", "comp"), "c").select("c", "comp", F.explode("s").alias("shingle")))
     several = F.min(F.xxhash64("comp")) != F.max(F.xxhash64("comp"))
     counts = shingles.groupBy("shingle").agg(F.count("*").alias("count"), several.alias("live")).where("count > 1")
     common = shingles.join(counts, "shingle").groupBy("c").agg(F.collect_list(F.struct("count", "shingle", "live")).alias("common"))

@@ -204,3 +204,61 @@ def test_repeats_of_repeated_rows_and_empty_tables(spark):
     rows = spark.createDataFrame([(None, "z" * 10 + "abcdefghij" * 5), (None, "z" * 10 + "abcdefghij" * 5)], "doc_id long, text string")
     assert [len(r.kept) for r in repeats.remove_repeats(rows, 30).collect()] == [0, 0]
     assert repeats.remove_repeats(docs(spark, []), 30).count() == 0
+
+
+def test_main_text_keeps_odd_markup(spark):
+    long_tag = "<p data-x=it's>Hello</p><p>don't go</p>"
+    pages = [
+        (1, "a", "<article>" + "\u0130" * 12 + "<script>x</script><p>after</p></article>"),
+        (2, "b", long_tag),
+        (3, "c", '<body class="no-sidebar"><article class="post comments-open"><div class="form-factor">one</div><div class="search-results nav-less">two</div></article>'),
+        (4, "d", '<article><p title="a > b">x</p><p>y <span class="ad">buy</span> z<div class="site-nav">menu</div></article><div id="post-comments">c</div>'),
+        (5, "e", '<p a="' * 3000 + "x" * 10 + "<p>end"),
+        (6, "f", "<div>" * 3000 + "deep" + "</div>" * 3000),
+        (7, "g", "<p>" + "long " * 300_000),
+        (8, "h", "<article><p>kept<SCRIPT>no</script ><p>on</article>"),
+        (9, "i", "<!-- open comment <p>no"),
+        (10, "j", "<p hidden>no</p><p style='display: none'>no</p><p>a<br>b &lt;i&gt; &#x41;&nbsp;c</p></bogus>"),
+    ]
+    got = {r.page_id: r.text for r in wrappers.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[1] == "\u0130" * 12 + "\nafter" and got[2] == "Hello\ndon't go" and got[3] == "one\ntwo" and got[4] == "x\ny z"
+    assert got[6] == "deep" and got[7] == ("long " * 300_000).strip() and got[8] == "kept\non" and got[9] == "" and got[10] == "a b <i> A c" and got[5].endswith("end")
+
+
+def test_main_text_by_slots_without_names(spark):
+    """No name tells the article here: what varies at its place does, and what is constant or of links is left."""
+    body = "<div class=q1><div>All our topics</div><div><a href=/{0}>More on {0}</a></div></div><div class=q2><h1>Head {0}</h1>{1}</div><div class=q3><p>(c) us</p></div>"
+    notes = {k: "<div class=q4><p>Read our letter</p></div>" if k % 2 else "" for k in range(12)}
+    pages = [(k, f"https://a.example/{k}", "<body>" + body.format(k, notes[k] + "".join(f"<p>Part {k} {i}" for i in range(k % 4 + 1)))) for k in range(12)]
+    got = {r.page_id: r.text for r in wrappers.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == "\n".join([f"Head {k}", *(f"Part {k} {i}" for i in range(k % 4 + 1))]) for k in range(12))
+
+
+def test_wrappers_match_every_shape():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        shapes = []
+        for _ in range(6):
+            shape = ["html", "h1", "#h1", "/h1"]
+            if rng.random() < 0.5:
+                shape += ["div.note", "#div.note", "/div"]
+            shape += ["p", "#p", "/p"] * int(rng.integers(1, 5))
+            if rng.random() < 0.5:
+                shape += ["ul", *["li", "#li", "/li"] * int(rng.integers(1, 4)), "/ul"]
+            shapes.append([*shape, "div.end", "#div.end", "/div", "/html"])
+        folds = [wrappers.folded(s) for s in shapes]
+        wrapper = [(x, True) for x in folds[0][0]]
+        for items, _ in folds[1:]:
+            wrapper = wrappers.aligned(wrapper, [(x, True) for x in items])
+        assert len(wrappers.expression(wrapper)) > 0
+        for shape, (items, first) in zip(shapes, folds, strict=True):
+            places = wrappers.matched(items, wrapper)
+            for k, item in enumerate(items):
+                part = shape[first[k] : first[k + 1] if k + 1 < len(first) else len(shape)]
+                want = list(wrappers.slots_in(item))
+                assert set(want) == {x for x in part if x.startswith("#")}  # by brute force: what the folded item stands for
+                if want:
+                    assert places[k] >= 0 and set(want) <= set(wrappers.slots_in(wrapper[places[k]][0]))
+            assert all(wrapper[places[k]][0] in (x, [x]) or isinstance(wrapper[places[k]][0], list) for k, x in enumerate(items) if places[k] >= 0)
+            needed = {k for k, (_, need) in enumerate(wrapper) if need and list(wrappers.slots_in(wrapper[k][0]))}
+            assert needed <= set(places)  # an item of every page is in this one
