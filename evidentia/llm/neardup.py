@@ -20,7 +20,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,11 +30,10 @@ SHINGLE, PERCENT = 5, 80
 #: At a similarity of 0.8 a pair shares no bucket with a probability of 3 in a million.
 BANDS, ROWS = 24, 4
 WALK = 96
-#: Ratio of neighbouring size classes of contested sets: narrower ones give fewer candidates and more rows to find them.
-SIZE_RATIO = 1.03
+#: Size classes of contested sets to a power of two: more of them give fewer candidates and more rows to find them.
+SIZE_PARTS = 32
 #: The filter of classes in shared buckets has a fixed size; if it fills up, more sets than needed are shuffled.
 FILTER_BITS = 1 << 26
-PARTS = np.unique((SIZE_RATIO ** np.arange(1400)).astype(np.int64))
 SLICE = 64
 #: Rows of a batch that are worked on at once; what is held is bounded by their texts.
 ROWS_AT_ONCE = 512
@@ -216,65 +215,46 @@ def stars(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return members, cut(met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct())
 
 
-def part_of(size: np.ndarray | int) -> np.ndarray:
-    return np.searchsorted(PARTS, size, side="right")
+def part_of(size: Column) -> Column:
+    """Number of the size class of a set; a power of two has ``SIZE_PARTS`` of them. In whole numbers, so it is the same everywhere."""
+    power = F.length(F.bin(size)) - 1
+    return (power * SIZE_PARTS + F.floor(size * SIZE_PARTS / F.pow(F.lit(2.0), power))).cast("int")
 
 
-def early_shingles(ranked: DataFrame, percent: int) -> DataFrame:
-    """Where a class of ``ranked`` (c, comp, n, common) is to be found: (shingle, part, c, comp, n, least, most, role).
+def early_shingles(common: DataFrame, percent: int) -> DataFrame:
+    """Where a class of ``common`` is to be found: (shingle, part, c, k, n, least, most, larger).
 
-    ``common`` has the shingles that several classes have, with their count and whether several components have them. With
-    i shingles before it in the order of counts, a shingle may be the first common one of sets of n and m only if
-    (100 + percent) * (n - i) >= percent * (n + m). The larger set looks for the sizes least to most, in each part of the
-    sizes; the smaller one lies in the part of its own, and most is the largest size that may find it.
+    ``common`` (c, k, n, shingle, count, live) has the shingles that several classes have, with their count and whether
+    several components k have them. With i shingles of a set before it in the order of counts, a shingle may be the first
+    common one of sets of n and m only if (100 + percent) * (n - i) >= percent * (n + m). The larger set looks for the sizes
+    least to most, in each part of the sizes; the smaller one lies in the part of its own, and most is the largest that may find it.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts(batches, SLICE):
-            out: list[list[np.ndarray]] = []
-            for row, (n, common) in enumerate(zip(part.column("n").to_pylist(), part.column("common"), strict=True)):
-                own = common.values
-                count, shingle, live = (own.field(k).to_numpy(zero_copy_only=False) for k in ("count", "shingle", "live"))
-                order = np.lexsort((shingle, count))
-                i = np.arange(len(order)) + n - len(order)
-                most, least = ((100 + percent) * (n - i)) // percent - n, -(-percent * n // 100)
-                early = live[order] & (most >= least)
-                shingle, most = shingle[order][early], most[early]
-                small = most >= n
-                low, high = np.full(len(most), part_of(least)), part_of(np.minimum(most, n))
-                times = high - low + 1
-                again = np.repeat(np.arange(len(most)), times)
-                sizes = low[again] + np.arange(len(again)) - np.repeat(np.cumsum(times) - times, times)
-                out.append([np.full(small.sum(), row), shingle[small], np.full(small.sum(), part_of(n)), most[small], np.zeros(small.sum(), bool)])
-                out.append([np.full(len(again), row), shingle[again], sizes, np.minimum(most, n)[again], np.ones(len(again), bool)])
-            rows, shingles, sizes, most, role = (np.concatenate(x) for x in zip(*out, strict=True))
-            n = np.array(part.column("n").to_pylist(), np.int64)[rows]
-            taken = pa.array(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shingles), pa.array(sizes), part.column("c").take(taken), part.column("comp").take(taken), pa.array(n), pa.array(-(-percent * n // 100)), pa.array(most), pa.array(role)],
-                ["shingle", "part", "c", "comp", "n", "least", "most", "larger"],
-            )
-
-    return ranked.select("c", "comp", "n", "common").mapInArrow(run, "shingle long, part long, c binary, comp binary, n long, least long, most long, larger boolean")
+    # shingles of one class only come first, so it is enough to count from the end
+    left = F.row_number().over(Window.partitionBy("c").orderBy(F.desc("count"), F.desc("shingle")))
+    most = F.floor(left * (100 + percent) / percent).cast("long") - F.col("n")
+    least = F.ceil(F.col("n") * percent / 100).cast("long")
+    early = common.withColumn("most", most).withColumn("least", least).where("live and most >= least").select("shingle", "c", "k", "n", "least", "most")
+    small = early.where("most >= n").withColumn("part", part_of(F.col("n"))).withColumn("larger", F.lit(False))
+    large = early.withColumn("most", F.least("most", "n")).withColumn("part", F.explode(F.sequence(part_of(F.col("least")), part_of(F.least("most", "n"))))).withColumn("larger", F.lit(True))
+    return small.unionByName(large)
 
 
 def contested_pairs(contested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of ``contested`` (c, n, comp), of different components, that may be similar enough: none is missing."""
-    shingles = cut(sets.join(contested.select("c", "comp"), "c").select("c", "comp", F.explode("s").alias("shingle")))
-    several = F.min(F.xxhash64("comp")) != F.max(F.xxhash64("comp"))
-    counts = shingles.groupBy("shingle").agg(F.count("*").alias("count"), several.alias("live")).where("count > 1")
-    common = shingles.join(counts, "shingle").groupBy("c").agg(F.collect_list(F.struct("count", "shingle", "live")).alias("common"))
-    found = cut(early_shingles(contested.join(common, "c"), percent))
+    of = contested.select("c", "n", F.xxhash64("comp").alias("k"))
+    shingles = cut(sets.join(of, "c").select("c", "k", "n", F.explode("s").alias("shingle")))
+    counts = shingles.groupBy("shingle").agg(F.count("*").alias("count"), (F.min("k") != F.max("k")).alias("live")).where("count > 1")
+    found = cut(early_shingles(shingles.join(counts, "shingle"), percent))
     drop(shingles)
     group = ["shingle", "part"]
     small, large = found.where("not larger"), found.where("larger")
     # components first, so that the members of one are not compared with each other
-    smaller = small.groupBy(*group, F.col("comp").alias("comp_s")).agg(F.min("n").alias("m_low"), F.max("n").alias("m_high"), F.max("most").alias("up_to"))
-    larger = large.groupBy(*group, F.col("comp").alias("comp_l")).agg(F.min("least").alias("low"), F.max("most").alias("high"), F.min("n").alias("n_low"))
-    met = cut(smaller.join(larger, group).where("comp_s <> comp_l and m_low <= high and m_high >= low and up_to >= n_low").select(*group, "comp_s", "comp_l"))
+    smaller = small.groupBy(*group, F.col("k").alias("k_s")).agg(F.min("n").alias("m_low"), F.max("n").alias("m_high"), F.max("most").alias("up_to"))
+    larger = large.groupBy(*group, F.col("k").alias("k_l")).agg(F.min("least").alias("low"), F.max("most").alias("high"), F.min("n").alias("n_low"))
+    met = cut(smaller.join(larger, group).where("k_s <> k_l and m_low <= high and m_high >= low and up_to >= n_low").select(*group, "k_s", "k_l"))
     pairs = (
-        met.join(small.select(*group, F.col("comp").alias("comp_s"), F.col("c").alias("c_s"), F.col("n").alias("m"), F.col("most").alias("up_to")), [*group, "comp_s"])
-        .join(large.select(*group, F.col("comp").alias("comp_l"), F.col("c").alias("c_l"), "n", "least", "most"), [*group, "comp_l"])
+        met.join(small.select(*group, F.col("k").alias("k_s"), F.col("c").alias("c_s"), F.col("n").alias("m"), F.col("most").alias("up_to")), [*group, "k_s"])
+        .join(large.select(*group, F.col("k").alias("k_l"), F.col("c").alias("c_l"), "n", "least", "most"), [*group, "k_l"])
         .where("m between least and most and n <= up_to")
         .select(F.least("c_s", "c_l").alias("a"), F.greatest("c_s", "c_l").alias("b")).distinct()
     )
