@@ -21,6 +21,8 @@ ANCHORS = {
 }
 CHAIN = 3
 RANGES, PIECES = 128, 64
+#: Likeness below which the query does not tell two fingerprints from unlike ones: sizes that rule it out are not compared.
+LEAST = 0.05
 
 
 def anchor_pattern() -> str:
@@ -48,18 +50,19 @@ def written(sigs: Column) -> Column:
     return F.array_join(F.transform(sigs, lambda s: F.lpad(F.lower(F.hex(s.cast("long").bitwiseAND(0xFFFFFFFF))), 8, "0")), "")
 
 
-def jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
-    """Similarity of two signature sets; 0 without a look at them where their sizes keep it below ``least``."""
-    common = F.size(F.array_intersect(a, b))
-    near = common / (F.size(a) + F.size(b) - common)
-    return F.when(F.least(F.size(a), F.size(b)) < F.greatest(F.size(a), F.size(b)) * F.lit(least), F.lit(0.0)).otherwise(near)
-
-
 def size_partition(size: Column, least: float) -> Column:
     """Number of the size range of a set: sets in ranges further apart than one can not reach ``least``."""
     return F.floor(F.log(size.cast("double")) / F.lit(-log(least))).cast("int")
 
 
+def jaccard(a: Column, b: Column, least: float) -> Column:
+    """Similarity of two signature sets; 0 without a look at them where their length partitions or sizes keep it below ``least``."""
+    n, m = F.size(a), F.size(b)
+    common = F.size(F.array_intersect(a, b))
+    apart = F.abs(size_partition(n, least) - size_partition(m, least)) > 1
+    return F.when(apart | (F.least(n, m) < F.greatest(n, m) * F.lit(least)), F.lit(0.0)).otherwise(common / (n + m - common))
+
+
 def near_pairs(docs: DataFrame, least: float = 0.8, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """(id_a, id_b, similarity) of classes of equal fingerprints, each by its smallest id, at ``least`` or above.
 
@@ -74,7 +77,7 @@ def near_pairs(docs: DataFrame, least: float = 0.8, text: str = "text", row_id:
     met = keyed.withColumnRenamed("id", "id_a").join(ahead, ["part", "sig"]).where(((F.col("part_b") > F.col("part")) | (F.col("id_a") < F.col("id_b"))) & (F.least("n", "n_b") >= F.greatest("n", "n_b") * least - 1e-9))
     pairs = met.select("id_a", "id_b").distinct()
     of = lambda name: classes.select(F.col("id").alias(f"id_{name}"), F.col("sigs").alias(name))
-    scored = pairs.join(of("a"), "id_a").join(of("b"), "id_b").withColumn("similarity", jaccard(F.col("a"), F.col("b")))
+    scored = pairs.join(of("a"), "id_a").join(of("b"), "id_b").withColumn("similarity", jaccard(F.col("a"), F.col("b"), least))
     return scored.where(F.col("similarity") >= least).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "similarity")
 
 
@@ -120,7 +123,8 @@ def fingerprint_with_edit(docs: DataFrame, text: str = "text", row_id: str = "do
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures, size_part).
 
     The edited text has its last third (code points, rounded down) replaced by as many first ones of the next document
-    in descending id, or all it has. A null text is empty; a null id comes last; rows of equal id follow each other in
+    in descending id, or all it has. Two fingerprints are compared if their length partitions allow a likeness of ``LEAST``;
+    otherwise it is 0. A null text is empty; a null id comes last; rows of equal id follow each other in
     the order of their text; a lone row follows itself; an empty table gives none.
     """
     rows = docs.select(F.col(row_id).alias("doc_id"), F.coalesce(F.col(row_id), F.lit(-(1 << 63))).cast("long").alias("position"), F.coalesce(F.col(text), F.lit("")).alias("body"))
@@ -131,6 +135,6 @@ def fingerprint_with_edit(docs: DataFrame, text: str = "text", row_id: str = "do
     found = rows.select("doc_id", n.cast("long").alias("n_chars"), "sigs", "next_sigs", edited.alias("edited")).withColumn("edited_sigs", signatures(F.col("edited")))
     return found.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), written(F.col("sigs")).alias("fingerprint"), written(F.col("edited_sigs")).alias("edited_fingerprint"),
-        jaccard(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), jaccard(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
+        jaccard(F.col("sigs"), F.col("edited_sigs"), LEAST).alias("near_edited"), jaccard(F.col("sigs"), F.col("next_sigs"), LEAST).alias("near_next"),
         F.size("sigs").alias("n_signatures"), size_partition(F.size("sigs"), 0.8).alias("size_part"),
     )

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from evidentia.llm import mixing, neardup, sharding, spotsigs, topk
@@ -209,3 +210,32 @@ def test_near_duplicates_of_odd_tables(spark):
     assert neardup.near_duplicates(frame(spark, [])).count() == 0
     rows = neardup.near_duplicates(spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (3, "a b c d e f"), (4, None)], "doc_id long, text string")).collect()
     assert sorted((r.component_id, r.kept) for r in rows if r.doc_id is not None) == [(3, True), (4, True)] and len(rows) == 4
+
+
+def brute_signatures(text):
+    """Every anchor with the next three words that are none, read word by word."""
+    anchors = {w for words in spotsigs.ANCHORS.values() for w in words}
+    words = regex.sub(r"[^\p{L}\p{N}]+", " ", (text or "").lower()).split()
+    found = set()
+    for k, word in enumerate(words):
+        after = [w for w in words[k + 1 :] if w not in anchors][: spotsigs.CHAIN]
+        if word in anchors and len(after) == spotsigs.CHAIN:
+            found.add(" ".join([word, *after]))
+    return found or set(words) or {text or ""}
+
+
+def test_fingerprints_and_likeness_equal_brute_force(spark):
+    mixed = lambda n: " ".join(w for k, w in enumerate(prose(n).split()) for w in ([w, "the"] if k % 3 else [w, "of", "und"]))
+    texts = {i: mixed(int(n)) for i, n in enumerate(RNG.integers(1, 60, 40))}
+    texts |= {40: None, 41: "", 42: texts[3], 43: "The the THE", 44: "ÉTÉ, de l'été! " * 9, 45: mixed(2000), 46: "x"}
+    rows = {r.doc_id: r for r in spotsigs.fingerprint_with_edit(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    order = sorted(texts, reverse=True)
+    signs = {i: brute_signatures(t) for i, t in texts.items()}
+    likeness = lambda a, b: len(a & b) / len(a | b) if len(a & b) / len(a | b) >= spotsigs.LEAST or min(len(a), len(b)) >= spotsigs.LEAST * max(len(a), len(b)) else 0.0
+    for k, i in enumerate(order):
+        own, after = texts[i] or "", texts[order[(k + 1) % len(order)]] or ""
+        edited = own[: len(own) - len(own) // 3] + after[: len(own) // 3]
+        assert rows[i].n_signatures == len(signs[i]) and len(rows[i].fingerprint) == 8 * len(signs[i])
+        assert abs(rows[i].near_edited - likeness(signs[i], brute_signatures(edited))) < 1e-12
+        assert abs(rows[i].near_next - likeness(signs[i], signs[order[(k + 1) % len(order)]])) < 1e-12
+        assert all((rows[i].fingerprint == rows[j].fingerprint) == (signs[i] == signs[j]) for j in order)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -126,6 +127,39 @@ def test_toxicity_learns_gapped_words_and_handles_odd_rows(spark):
     assert [r.score for r in toxicity.score(odd, None).collect()] == [0.0] * 7
 
 
+def test_toxicity_table_equals_kernel_times_landmarks():
+    """The collapsed table gives what the sum over landmarks gives, with each kernel value from its definition."""
+    words = ["grumble", "gr-mble", "window", "garden", "snot", "snoot", "idle"]
+    factors = np.array([1.5, -2.0, 0.25])
+
+    def profile(word):
+        s = toxicity.symbols([word])[0].tolist()
+        out = {}
+        parts = [p for p in toxicity.ORDERS if p <= len(s)]
+        for p in parts:
+            found = {}
+            for at in combinations(range(len(s)), p):
+                if at[-1] - at[0] < p + toxicity.GAP:
+                    found.setdefault(tuple(s[i] for i in at), []).append(toxicity.DECAY ** (at[-1] - at[0] + 1))
+            norm = np.sqrt(sum(x * x for v in found.values() for x in v) * len(toxicity.ORDERS))
+            out |= {k: sum(v) / norm for k, v in found.items()}
+        return out
+
+    profiles = [profile(w) for w in words]
+    kernel = np.array([[sum(x * b.get(k, 0) for k, x in a.items()) for b in profiles] for a in profiles])
+    of = toxicity.Kernel(words)
+    assert np.allclose([of.column(k) for k in range(len(words))], kernel, atol=1e-9)
+    table = of.collapsed([0, 2, 4], factors)
+    assert np.allclose(toxicity.products(words, table), kernel[:, [0, 2, 4]] @ factors, atol=1e-9)
+    assert kernel[0, 1] > 5 * kernel[0, 2] and kernel[4, 5] > 5 * kernel[4, 6]  # inserted characters cost little
+
+
+def test_toxicity_without_documents(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert toxicity.fit(none, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")) is None
+    assert toxicity.score(none, None).count() == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body class="no-sidebar"><header>top</header><nav><a>menu</a></nav>
 <div class="ad">buy</div><article><h1>Head&nbsp;line</h1><p>One <b>bold</b>&amp;
  more<p>Two<br>lines<div class="comments"><p>reader</p></div><aside>side</aside><form>f</form></article><footer>foot</footer></body></html>"""
