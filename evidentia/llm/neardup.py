@@ -193,10 +193,10 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     labels = nodes.select("c", F.col("c").alias("comp"))
     while True:
         near = links.join(labels.withColumnRenamed("c", "b"), "b").groupBy(F.col("a").alias("c")).agg(F.min("comp").alias("near"))
-        lower = cut(labels.join(near, "c", "left").select("c", F.least("comp", F.coalesce("near", "comp")).alias("next"), "comp"))
+        lower = labels.join(near, "c", "left").select("c", F.least("comp", F.coalesce("near", "comp")).alias("next"), "comp")
         ahead = lower.select(F.col("c").alias("next"), F.col("next").alias("after"))
         last, labels = labels, cut(lower.join(ahead, "next", "left").select("c", F.coalesce("after", "next").alias("comp"), (F.coalesce("after", "next") != F.col("comp")).alias("moved")))
-        drop(last, lower)
+        drop(last)
         if not labels.where("moved").limit(1).count():
             drop(links)
             return labels
@@ -206,13 +206,12 @@ def stars(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(band, c, n) of the classes that share a bucket with another one; and their stars, pairs (a, b) of near sizes."""
     rows = classes.select("c", "n", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    sized = cut(rows.join(shared, "band"))
+    sized = rows.join(shared, "band")
     members = cut(sized.join(sized.groupBy("c").agg(F.sum("size").alias("w")), "c").select("band", "c", "n", "w"))
-    drop(sized)
     centres = members.groupBy("band").agg(F.max(F.struct("w", "c", "n")).alias("m"))
     near = F.least("n", "m.n") * 100 >= F.greatest("n", "m.n") * percent
     met = members.join(centres, "band").where((F.col("c") != F.col("m.c")) & near)
-    return members, cut(met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct())
+    return members, met.select(F.least("c", "m.c").alias("a"), F.greatest("c", "m.c").alias("b")).distinct()
 
 
 def part_of(size: Column) -> Column:
@@ -239,28 +238,25 @@ def early_shingles(common: DataFrame, percent: int) -> DataFrame:
     return small.unionByName(large)
 
 
-def contested_pairs(contested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``contested`` (c, n, comp), of different components, that may be similar enough: none is missing."""
+def contested_pairs(contested: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of ``contested`` (c, n, comp), of different components, that may be similar enough: none is missing. And the table they are read from."""
     of = contested.select("c", "n", F.xxhash64("comp").alias("k"))
-    shingles = cut(sets.join(of, "c").select("c", "k", "n", F.explode("s").alias("shingle")))
+    shingles = sets.join(of, "c").select("c", "k", "n", F.explode("s").alias("shingle"))
     counts = shingles.groupBy("shingle").agg(F.count("*").alias("count"), (F.min("k") != F.max("k")).alias("live")).where("count > 1")
     found = cut(early_shingles(shingles.join(counts, "shingle"), percent))
-    drop(shingles)
     group = ["shingle", "part"]
     small, large = found.where("not larger"), found.where("larger")
     # components first, so that the members of one are not compared with each other
     smaller = small.groupBy(*group, F.col("k").alias("k_s")).agg(F.min("n").alias("m_low"), F.max("n").alias("m_high"), F.max("most").alias("up_to"))
     larger = large.groupBy(*group, F.col("k").alias("k_l")).agg(F.min("least").alias("low"), F.max("most").alias("high"), F.min("n").alias("n_low"))
-    met = cut(smaller.join(larger, group).where("k_s <> k_l and m_low <= high and m_high >= low and up_to >= n_low").select(*group, "k_s", "k_l"))
+    met = smaller.join(larger, group).where("k_s <> k_l and m_low <= high and m_high >= low and up_to >= n_low").select(*group, "k_s", "k_l")
     pairs = (
         met.join(small.select(*group, F.col("k").alias("k_s"), F.col("c").alias("c_s"), F.col("n").alias("m"), F.col("most").alias("up_to")), [*group, "k_s"])
         .join(large.select(*group, F.col("k").alias("k_l"), F.col("c").alias("c_l"), "n", "least", "most"), [*group, "k_l"])
         .where("m between least and most and n <= up_to")
         .select(F.least("c_s", "c_l").alias("a"), F.greatest("c_s", "c_l").alias("b")).distinct()
     )
-    out = cut(pairs)
-    drop(met, found)
-    return out
+    return pairs, found
 
 
 def link(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
@@ -268,7 +264,7 @@ def link(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFr
     members, pairs = stars(classes, percent)
     shared = cut(members.select("c", "n").distinct())
     if not shared.limit(1).count():
-        drop(members, pairs, shared)
+        drop(members, shared)
         return None
     sets = cut(full_sets(docs, classes.join(shared, "c", "left_semi").select("c", "rep"), size))
     links = cut(confirmed(pairs, sets, percent))
@@ -276,15 +272,15 @@ def link(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFr
     # buckets with several components, and the classes in them
     split = members.join(labels, "c").groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
     contested = cut(members.join(split, "band", "left_semi").select("c").distinct().join(labels.select("c", "comp"), "c").join(shared, "c"))
-    drop(members, pairs, links)
-    more = contested_pairs(contested, sets, percent)
-    joined = cut(confirmed(more, sets, percent))
+    drop(members, links)
+    more, found = contested_pairs(contested, sets, percent)
+    joined = confirmed(more, sets, percent)
     first, second = (labels.select(F.col("c").alias(k), F.col("comp").alias(f"comp_{k}")) for k in ("a", "b"))
     between = cut(joined.join(first, "a").join(second, "b").where("comp_a <> comp_b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct())
     roots = components(between.select(F.col("a").alias("c")).union(between.select("b")).distinct(), between)
     lower = roots.select(F.col("c").alias("comp"), F.col("comp").alias("lower"))
     out = cut(labels.join(lower, "comp", "left").select("c", F.coalesce("lower", "comp").alias("comp")))
-    drop(contested, more, joined, between, roots, labels, sets, shared)
+    drop(contested, found, between, roots, labels, sets, shared)
     return out
 
 
