@@ -11,11 +11,16 @@ from evidentia.functions.blanks import nb
 
 #: Account names of well-known security identifiers.
 WELL_KNOWN_SIDS = {
-    "S-1-0-0": "NOBODY", "S-1-1-0": "EVERYONE", "S-1-3-0": "CREATOR OWNER", "S-1-5-7": "ANONYMOUS LOGON", "S-1-5-11": "AUTHENTICATED USERS",
-    "S-1-5-18": "SYSTEM", "S-1-5-19": "LOCAL SERVICE", "S-1-5-20": "NETWORK SERVICE", "S-1-5-32-544": "ADMINISTRATORS", "S-1-5-32-545": "USERS", "S-1-5-32-546": "GUESTS",
+    "S-1-0-0": "NULL SID", "S-1-1-0": "EVERYONE", "S-1-2-0": "LOCAL", "S-1-3-0": "CREATOR OWNER", "S-1-3-1": "CREATOR GROUP", "S-1-5-7": "ANONYMOUS LOGON",
+    "S-1-5-11": "AUTHENTICATED USERS", "S-1-5-18": "SYSTEM", "S-1-5-19": "LOCAL SERVICE", "S-1-5-20": "NETWORK SERVICE", "S-1-5-32-544": "ADMINISTRATORS",
+    "S-1-5-32-545": "USERS", "S-1-5-32-546": "GUESTS", "S-1-5-32-547": "POWER USERS", "S-1-5-32-551": "BACKUP OPERATORS", "S-1-5-32-555": "REMOTE DESKTOP USERS",
+}
+#: The names of the same accounts, in upper case.
+WELL_KNOWN_NAMES = {
+    "SYSTEM": "SYSTEM", "LOCAL SYSTEM": "SYSTEM", "LOCALSYSTEM": "SYSTEM", "SYSTEMPROFILE": "SYSTEM", "LOCAL SERVICE": "LOCAL SERVICE", "LOCALSERVICE": "LOCAL SERVICE",
+    "NETWORK SERVICE": "NETWORK SERVICE", "NETWORKSERVICE": "NETWORK SERVICE", "ADMINISTRATORS": "ADMINISTRATORS", "EVERYONE": "EVERYONE",
+    "ANONYMOUS LOGON": "ANONYMOUS LOGON", "AUTHENTICATED USERS": "AUTHENTICATED USERS",
 }
-#: Other names of the same accounts.
-FRIENDLY = {"LOCALSYSTEM": "SYSTEM", "LOCAL SYSTEM": "SYSTEM", "LOCALSERVICE": "LOCAL SERVICE", "NETWORKSERVICE": "NETWORK SERVICE"}
 
 
 def first(*values: Column) -> Column:
@@ -110,20 +115,46 @@ def win_program_name(value: Column) -> Column:
 
 
 def user_canon(value: Column) -> Column:
-    """One name for well-known accounts: identifiers named, authority prefixes dropped; domain accounts stay."""
-    bare = F.regexp_replace(F.trim(nb(value)), r"(?i)^(NT AUTHORITY|BUILTIN)\\", "")
-    return F.coalesce(map_value(bare, WELL_KNOWN_SIDS, upper=True), map_value(bare, FRIENDLY, upper=True), F.nullif(bare, F.lit("")))
+    """One name for well-known accounts: identifiers named, authority prefixes dropped; domain accounts stay as they are."""
+    v = F.nullif(F.trim(nb(value)), F.lit(""))
+    local = F.regexp_extract(v, r"(?is)^\s*(?:NT AUTHORITY|BUILTIN)\s*\\(.*)$", 1)
+    bare = F.when(F.contains(v, F.lit("\\")), F.nullif(local, F.lit(""))).otherwise(v)
+    return F.coalesce(map_value(v, WELL_KNOWN_SIDS, upper=True), map_value(F.trim(bare), WELL_KNOWN_NAMES, upper=True), bare, v)
+
+
+#: What ``parsed`` adds to a record's payload, so that each is parsed once however many fields are read from it.
+PARSED = {"data": "payload_data", "plain": "payload_plain", "user": "payload_user"}
+
+
+def parsed(blob: Column) -> dict[str, Column]:
+    """The named values of an event's Data list, its plain keys, and the children of its UserData, as maps by column name."""
+    entries = F.from_json(blob, "EventData STRUCT<Data: ARRAY<STRUCT<`@Name`: STRING, `#text`: STRING>>>")["EventData"]["Data"]
+    named = F.filter(entries, lambda x: x["@Name"].isNotNull())
+    names = F.transform(named, lambda x: x["@Name"])
+    # of a name that comes several times the last one counts
+    last = F.filter(named, lambda x, i: F.array_position(F.slice(names, i + 2, F.size(names)), x["@Name"]) == 0)
+    single = F.when(F.size(F.array_distinct(names)) == F.size(names), named).otherwise(last)
+    return {
+        PARSED["data"]: F.map_from_entries(single), PARSED["plain"]: F.from_json(blob, "MAP<STRING, STRING>"),
+        PARSED["user"]: F.map_values(F.from_json(blob, "UserData MAP<STRING, MAP<STRING, STRING>>")["UserData"]),
+    }
+
+
+def payload_of(maps: dict[str, Column], field: str) -> Column:
+    key = F.lit(field)
+    return nb(F.trim(F.coalesce(F.try_element_at(maps[PARSED["data"]], key), F.try_element_at(maps[PARSED["plain"]], key))))
+
+
+def userdata_of(maps: dict[str, Column], field: str) -> Column:
+    holder = F.try_element_at(F.filter(maps[PARSED["user"]], lambda m: F.map_contains_key(m, field)), F.lit(1))
+    return nb(F.trim(F.try_element_at(holder, F.lit(field))))
 
 
 def payload(blob: Column, field: str) -> Column:
     """A named value of an event's JSON payload: of its Data list (the last of a name wins), else a plain key."""
-    data = F.from_json(blob, "EventData STRUCT<Data: ARRAY<STRUCT<`@Name`: STRING, `#text`: STRING>>>")["EventData"]["Data"]
-    named = F.filter(data, lambda x: x["@Name"] == field)
-    return nb(F.trim(F.coalesce(F.try_element_at(named, F.lit(-1))["#text"], F.get_json_object(blob, f"$.{field}"))))
+    return payload_of(parsed(blob), field)
 
 
 def userdata(blob: Column, field: str) -> Column:
     """The value of the first child of UserData that has the key."""
-    children = F.map_values(F.from_json(blob, "UserData MAP<STRING, MAP<STRING, STRING>>")["UserData"])
-    holder = F.try_element_at(F.filter(children, lambda m: F.map_contains_key(m, field)), F.lit(1))
-    return nb(F.trim(F.try_element_at(holder, F.lit(field))))
+    return userdata_of(parsed(blob), field)

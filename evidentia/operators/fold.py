@@ -25,8 +25,10 @@ def additive(events: DataFrame, keys: list[str] = KEYS, guid: str = "guid", seq:
     """
     values = [c for c in events.columns if c not in (*keys, seq)]
     known, loose = events.where(F.col(guid).isNotNull()), events.where(F.col(guid).isNull())
-    distinct = {c: F.count_distinct(F.when(~is_missing(F.col(c).cast("string")), F.col(c).cast("string"))) for c in values if c != artefact}
-    disagree = F.array_compact(F.array(*(F.when(F.col(f"_n_{c}") > 1, F.lit(c)) for c in distinct))) if distinct else F.array().cast("array<string>")
+    present = {c: F.when(~is_missing(F.col(c).cast("string")), F.col(c).cast("string")) for c in values if c != artefact}
+    # two values or more: the least is not the greatest; one pass, no row is repeated for a column
+    distinct = {c: F.min(v) != F.max(v) for c, v in present.items()}
+    disagree = F.array_compact(F.array(*(F.when(F.col(f"_n_{c}"), F.lit(c)) for c in distinct))) if distinct else F.array().cast("array<string>")
     folded = known.groupBy(*keys).agg(
         F.min(seq).alias(seq), *(first_present(c, seq).alias(c) for c in values), F.count("*").alias("contributions"),
         F.slice(F.array_sort(F.collect_set(artefact)), 1, LISTED).alias("contributed_by"), *(n.alias(f"_n_{c}") for c, n in distinct.items()),

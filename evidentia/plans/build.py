@@ -41,17 +41,20 @@ def row_identity() -> Column:
 
 def folded(events: DataFrame) -> DataFrame:
     """One row for each event of a source: bags are merged, the first artefact wins, others are listed."""
-    keys = ["source", "source_host", "car_object", "guid", "car_action"]
+    # several accesses of a process are told by what they were to and how
+    apart = {k: F.try_element_at("props", F.lit(k)) for k in ("target_guid", "access_level")}
+    keys = ["source", "source_host", "car_object", "guid", "car_action", *apart]
     order = F.struct("timestamp", "source_artefact", "row_id")
     entries = lambda c: F.sort_array(F.collect_list(F.struct("source_artefact", "row_id", F.map_entries(c).alias("m"))))
     known, loose = events.where("guid IS NOT NULL"), events.where("guid IS NULL").withColumn("contributed_by", F.array("source_artefact"))
     first = [c for c in events.columns if c not in (*keys, "props", "native")]
+    known = known.withColumns(apart)
     together = known.groupBy(*keys).agg(
         *(F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in first), entries("props").alias("_p"), entries("native").alias("_n"), F.array_sort(F.collect_set("source_artefact")).alias("contributed_by")
     )
     # of each entry of the bags the first contributor's value
     bag = lambda c: F.map_from_entries(F.aggregate(F.transform(c, lambda x: x["m"]), F.array().cast("array<struct<key:string,value:string>>"), lambda s, m: F.concat(s, F.filter(m, lambda e: ~F.exists(s, lambda o: o["key"] == e["key"])))))
-    out = together.withColumns({"props": bag("_p"), "native": bag("_n")}).drop("_p", "_n")
+    out = together.withColumns({"props": bag("_p"), "native": bag("_n")}).drop("_p", "_n", *apart)
     return out.unionByName(loose.select(*out.columns))
 
 

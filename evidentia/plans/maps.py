@@ -20,7 +20,7 @@ Value = Callable[["Record"], Column]
 
 
 class Record:
-    """Access to one raw record (a VARIANT column): plain keys, event payloads, and typed values."""
+    """Access to one raw record (a VARIANT column): plain keys, keys of an inner record, event payloads, and typed values."""
 
     def __init__(self, column: str = "record"):
         self.column = column
@@ -31,11 +31,15 @@ class Record:
     def typed(self, key: str, kind: str) -> Column:
         return F.try_variant_get(self.column, f'$["{key}"]', kind)
 
+    def inner(self, key: str, kind: str = "string") -> Column:
+        found = F.try_variant_get(self.column, f'$["Record"]["{key}"]', kind)
+        return nb(F.trim(found)) if kind == "string" else found
+
     def payload(self, name: str) -> Column:
-        return markers.payload(self("Payload"), name)
+        return markers.payload_of({c: F.col(c) for c in markers.PARSED.values()}, name)
 
     def userdata(self, name: str) -> Column:
-        return markers.userdata(self("Payload"), name)
+        return markers.userdata_of({c: F.col(c) for c in markers.PARSED.values()}, name)
 
 
 def of(key: str) -> Value:
@@ -46,6 +50,14 @@ def data(name: str) -> Value:
     return lambda r: r.payload(name)
 
 
+def child(name: str) -> Value:
+    return lambda r: r.userdata(name)
+
+
+def inner(name: str) -> Value:
+    return lambda r: r.inner(name)
+
+
 def const(value: str) -> Value:
     return lambda r: F.lit(value)
 
@@ -87,7 +99,9 @@ def apply(records: DataFrame, maps: Mapping[str, list[Variant]], default_host: s
     r = Record(record)
     rows = F.array_compact(F.array(*(F.coalesce(*(v.row(r, name) for v in variants)) for name, variants in maps.items())))
     others = [c for c in records.columns if c != record]
-    out = records.select(*others, F.explode(rows).alias("e")).select(*others, "e.*")
+    # payloads are parsed once, in a projection of their own, and not at all where no map reads them
+    wide = records.withColumns(markers.parsed(r("Payload")))
+    out = wide.select(*others, F.explode(rows).alias("e")).select(*others, "e.*")
     return out.withColumn("source_host", F.coalesce("source_host", F.lit(default_host).cast("string")))
 
 
@@ -198,6 +212,77 @@ def registry_data(r: Record) -> Column:
     return markers.first(r("ValueData"), r("ValueData2"), r("ValueData3"))
 
 
+CHANNEL_KEEP = (*WINDOWS_KEEP, "Provider", "UserName")
+CHANNEL = WINDOWS | {"keep": CHANNEL_KEEP}
+HOSTNAME = {"hostname": computer}
+
+
+def url_part(pattern: str) -> Value:
+    return lambda r: markers.regex1(r.payload("url"), pattern)
+
+
+def name_of(value: Value) -> Value:
+    return lambda r: markers.basename(value(r))
+
+
+#: Descriptions of timestamps that tell what was done to a file, tried in this order.
+STAMPS = {"create": r"(?i)creation|crtime|birth", "modify": r"(?i)modification|mtime", "read": r"(?i)last access|atime", "delete": r"(?i)deletion|deleted"}
+PROVENANCE = ("disk_id", "volume_id", "volume_offset")
+
+
+def stamped(pattern: str) -> Value:
+    return lambda r: F.translate(r.inner("timestamp_desc"), "İı", "ii").rlike(pattern)
+
+
+def shown_path(r: Record) -> Column:
+    """The file name, else the display name without the type before its colon."""
+    return markers.first(r.inner("filename"), markers.regex1(r.inner("display_name"), r"\A[A-Z0-9]+:(.*)\z"), r.inner("display_name"))
+
+
+def entry_path(r: Record) -> Column:
+    return markers.first(r.inner("name"), r.inner("filename"))
+
+
+def spun(kind: str, **parts: Value) -> Value:
+    """A minted identity over named components."""
+    return lambda r: ids.minted(kind, 1, {k: v(r) for k, v in parts.items()})
+
+
+INNER = {"timestamp": of("Timestamp"), "host": lambda r: markers.host_label(r.inner("image_hostname")), "keep": ("SourceImage", "Parser")}
+FILE_TIMES = lambda path: {"file_path": path, "event_time": of("Timestamp")}
+
+
+def file_row(gate: Value, action: str, guid: Value, path: Value, native: tuple[str, ...], whole: bool = False) -> Variant:
+    """A file at a time: hashes and owner where the parser has them; a time of creation only where it is one."""
+    props = {"file_path": path, "extension": lambda r: markers.ext(path(r)), "file_name": name_of(path), "hostname": inner("image_hostname"), "user": inner("username")}
+    if whole:
+        props |= {f"{h}_hash": (lambda r, h=h: markers.lower(r.inner(f"{h}_hash"))) for h in ("md5", "sha1", "sha256")} | {"mode": inner("mode"), "owner_uid": inner("owner_identifier"), "gid": inner("group_identifier")}
+    if action == "create":
+        props |= {"creation_time": of("Timestamp")}
+    return Variant(gate, "file", const(action), guid, props=props, native={k: inner(k) for k in (*native, *PROVENANCE)}, **INNER)
+
+
+def session_row(gate: Value, action: str, guid: Value, native: tuple[str, ...], **more: Value) -> Variant:
+    remote = lambda r: markers.regex1(r.inner("ip_address"), r"\A(?!(?:0\.0\.0\.0|127\.0\.0\.1|::1)\z)(.+)\z")
+    return Variant(gate, "user_session", const(action), guid, props={"user": inner("username"), "hostname": inner("image_hostname"), "src_ip": remote, **more}, native={k: inner(k) for k in native}, owning_pid=inner("pid"), **INNER)
+
+
+def reason_bit(bit: int) -> Value:
+    return lambda r: F.coalesce(r.inner("update_reason_flags", "bigint"), F.lit(0)).bitwiseAND(bit) != 0
+
+
+def login_kind(*numbers: int) -> Value:
+    return lambda r: r.inner("login_type", "bigint").isin(*numbers)
+
+
+STAT_NATIVE = ("timestamp_desc", "data_type", "file_entry_type", "file_size", "file_system_type", "is_allocated", "inode", "number_of_links", "display_name")
+ENTRY_NATIVE = ("timestamp_desc", "data_type", "path_hints", "file_reference", "parent_file_reference", "is_allocated", "file_attribute_flags", "display_name")
+JOURNAL_NATIVE = ("timestamp_desc", "data_type", "update_reason_flags", "update_source_flags", "update_sequence_number", "file_reference", "parent_file_reference", "file_attribute_flags", "display_name", "offset")
+LOGIN_NATIVE = ("data_type", "login_type", "hostname", "terminal", "terminal_identifier", "exit_status")
+JOURNAL_GUID = spun("file", usn=inner("update_sequence_number"), file_reference=inner("file_reference"))
+LOGIN_GUID = spun("user_session", pid=inner("pid"), terminal=inner("terminal"), event_time=of("Timestamp"))
+LOGINS = [session_row(login_kind(6, 7), "login", LOGIN_GUID, LOGIN_NATIVE), session_row(login_kind(8), "logout", LOGIN_GUID, LOGIN_NATIVE)]
+
 MAPS: dict[str, list[Variant]] = {
     "evtx_security": [
         Variant(event("Security", 4624), "authentication", const("success"), windows_guid("authentication"), props=AUTHENTICATION, native=AUTHENTICATION_NATIVE, owning_pid=data("ProcessId"), **WINDOWS),
@@ -243,15 +328,44 @@ MAPS: dict[str, list[Variant]] = {
     "zeek_files": [Variant(lambda r: truthy(r("fuid")), "file", const("create"), record_guid("file", "fuid"), EPOCH, {"file_name": of("filename"), "extension": lambda r: markers.ext(r("filename")), "mime_type": of("mime_type"), "md5_hash": lambda r: markers.lower(r("md5")), "sha1_hash": lambda r: markers.lower(r("sha1")), "sha256_hash": lambda r: markers.lower(r("sha256"))}, keep=("fuid", "uid", "source", "seen_bytes", "total_bytes", "is_orig", "id.orig_h", "id.resp_h", "mime_type"))],
     "recmd_batch": [Variant(lambda r: truthy(r("KeyPath")) & ~two_valued(r.typed("Deleted", "boolean")), "registry", const("value_edit"), record_guid("registry", "HivePath", "KeyPath", "ValueName"), lambda r: markers.replace(r("LastWriteTimestamp"), " ", "T"), {"hive": of("HiveType"), "key": of("KeyPath"), "value": of("ValueName"), "data": registry_data, "type": of("ValueType"), "new_content": registry_data, "user": lambda r: markers.user_canon(markers.regex1(r("HivePath"), r"(?i)[/\\]Users[/\\]([^/\\]+)[/\\]"))}, keep=("HivePath", "HiveType", "Category", "Description", "Comment", "ValueType", "Deleted", "Recursive"))],
     "prefetch_dump": [Variant(lambda r: truthy(r("Executable")), "process", const("create"), record_guid("process", "Executable", "Hash"), of("LastRun"), {"exe": lambda r: markers.first(markers.win_program_name(r("Path")), r("Executable")), "image_path": lambda r: markers.win_program_path(r("Path"))}, keep=("SourceFilename", "SourceModified", "Executable", "Path", "Hash", "Version", "FileSize", "RunCount", "LastRun", "PreviousRuns", "FilesAccessed"))],
+    "evtx_bits": [
+        Variant(event("Bits-Client", 59, 60), "http", const("get"), windows_guid("http"), props={"url_full": data("url"), "url_domain": url_part(r"^https?://([^/?#]+)"), "url_scheme": url_part(r"^(https?)"), "url_remainder": url_part(r"^https?://[^/]+(/[^\s]*)"), "response_body_bytes": data("bytesTransferred"), **HOSTNAME}, native={k: data(k) for k in ("transferId", "name", "bytesTotal", "fileTime", "peer")}, **WINDOWS),
+    ],
+    "evtx_rdp": [
+        Variant(event("TerminalServices-LocalSessionManager", 21, 24, 25), "user_session", lambda r: markers.map_value(r("EventId"), {"21": "login", "24": "logout", "25": "reconnect"}), windows_guid("user_session"), props={"user": lambda r: markers.user_canon(r.userdata("User")), "src_ip": lambda r: markers.regex1(r.userdata("Address"), r"^(?!LOCAL$)(.+)$"), **HOSTNAME}, native={k: child(k) for k in ("SessionID", "Address")}, **(WINDOWS | {"keep": (*WINDOWS_KEEP, "UserName")})),
+    ],
+    "evtx_more": [
+        Variant(lambda r: event("Security", 4907)(r) & (r.payload("ObjectType") == "File"), "file", const("acl_modify"), windows_guid("file"), props={"file_path": data("ObjectName"), "file_name": name_of(data("ObjectName")), "extension": lambda r: markers.ext(r.payload("ObjectName")), "image_path": data("ProcessName"), "pid": lambda r: markers.hex_int(r.payload("ProcessId")), "user": user("SubjectUserName"), **NAMES}, native={k: data(k) for k in ("OldSd", "NewSd", "HandleId", "ObjectServer", "SubjectLogonId")}, owning_pid=data("ProcessId"), **CHANNEL),
+        Variant(event("WMI-Activity", 5857), "module", const("load"), windows_guid("module"), props={"module_path": child("ProviderPath"), "module_name": name_of(child("ProviderPath")), "image_path": child("HostProcess"), "pid": child("ProcessID"), **NAMES}, native={k: child(k) for k in ("ProviderName", "Code")}, owning_pid=child("ProcessID"), **CHANNEL),
+        Variant(event("System", 20003), "service", const("create"), windows_guid("service"), props={"name": child("ServiceName"), "image_path": child("DriverFileName"), "exe": name_of(child("DriverFileName")), **NAMES}, native={k: child(k) for k in ("DeviceInstanceID", "PrimaryService", "AddServiceStatus")}, **CHANNEL),
+        Variant(event("SmbClient", 30803), "flow", const("start"), windows_guid("flow"), props={"dest_fqdn": data("ServerName"), "start_time": of("TimeCreated"), **NAMES}, native={k: data(k) for k in ("RemoteAddress", "LocalAddress", "Status", "Reason")}, **CHANNEL),
+        Variant(event("System", 7001), "user_session", const("login"), windows_guid("user_session"), props={"uid": data("UserSid"), "login_successful": const("true"), **HOSTNAME}, native={"TSId": data("TSId")}, **CHANNEL),
+        Variant(event("System", 7002), "user_session", const("logout"), windows_guid("user_session"), props={"uid": data("UserSid"), **HOSTNAME}, native={"TSId": data("TSId")}, **CHANNEL),
+        Variant(event("System", 7034), "service", const("stop"), windows_guid("service"), props={"name": data("param1"), **NAMES}, native={"param2": data("param2")}, **CHANNEL),
+    ],
+    "l2t_filestat": [file_row(stamped(p), action, spun("file", **FILE_TIMES(shown_path)), shown_path, STAT_NATIVE, True) for action, p in STAMPS.items()],
+    "l2t_mft": [file_row(stamped(p), action, spun("file", file_reference=inner("file_reference"), event_time=of("Timestamp")), entry_path, ENTRY_NATIVE) for action, p in STAMPS.items()],
+    "l2t_usnjrnl": [file_row(gate, action, JOURNAL_GUID, shown_path, JOURNAL_NATIVE) for action, gate in (("create", reason_bit(0x100)), ("delete", reason_bit(0x200)), ("modify", lambda r: F.lit(True)))],
+    "l2t_utmp": LOGINS,
+    "l2t_utmpx": LOGINS,
+    "l2t_text": [session_row(lambda r: r.inner("data_type") == "syslog:ssh:login", "login", spun("user_session", pid=inner("pid"), user=inner("username"), event_time=of("Timestamp")), ("data_type", "authentication_method", "protocol", "reporter", "hostname"), src_port=inner("port"))],
 }
 
-#: File names to maps: the longest pattern that a name contains decides.
-ROUTES = {
-    "conn.json": ["zeek_conn"], "dns.json": ["zeek_dns"], "ssl.json": ["zeek_ssl"], "x509.json": ["zeek_x509"], "http.json": ["zeek_http"], "smtp.json": ["zeek_smtp"], "files.json": ["zeek_files"],
-    "Security": ["evtx_security", "evtx_security_sessions", "evtx_services", "evtx_process"], "System": ["evtx_services"], "Sysmon": ["evtx_sysmon"], "RECmd": ["recmd_batch"], "Prefetch": ["prefetch_dump"],
-}
+EVENT_LOG = ("evtx_security", "evtx_security_sessions", "evtx_process", "evtx_services", "evtx_sysmon", "evtx_bits", "evtx_rdp", "evtx_more")
+#: File names to maps; the first pattern that a name contains decides. A pattern without maps is known and left raw.
+ROUTES = [
+    ("_EvtxECmd_Output", EVENT_LOG), ("goevtx.jsonl", EVENT_LOG), ("conn.json", ("zeek_conn",)), ("dns.json", ("zeek_dns",)), ("http.json", ("zeek_http",)), ("smtp.json", ("zeek_smtp",)),
+    ("files.json", ("zeek_files",)), ("ssl.json", ("zeek_ssl",)), ("x509.json", ("zeek_x509",)), ("dhcp.json", ()), ("ntp.json", ()), ("snmp.json", ()), ("ocsp.json", ()), ("weird.json", ()), ("pe.json", ()), ("packet_filter.json", ()),
+    (".L2tPrefetch", ("plaso_exec_prefetch",)), (".L2tWinreg", ("plaso_exec_winreg", "plaso_registry", "plaso_shellitem")), (".L2tSyslog", ("plaso_exec_cron", "l2t_text")), (".L2tCron", ("plaso_exec_cron",)),
+    (".L2tFilestat", ("l2t_filestat",)), (".L2tMft", ("l2t_mft",)), (".L2tUsnjrnl", ("l2t_usnjrnl",)), (".L2tWinevt", ("l2t_winevt",)), (".L2tWinevtx", ("l2t_winevt",)), (".L2tMsiecf", ("l2t_msiecf",)),
+    (".L2tFirefoxCache", ("l2t_firefox_cache",)), (".L2tSqlite", ("l2t_firefox_places",)), (".L2tJavaIdx", ("l2t_javaidx",)), (".L2tLnk", ("l2t_lnk", "plaso_shellitem")), (".L2tRecycleBinInfo2", ("l2t_recyclebin",)),
+    (".L2tRecycleBin", ("l2t_recyclebin",)), (".L2tPe", ("plaso_pecoff",)), (".L2tOlecf", ("plaso_olecf",)), (".L2tRplog", ()), (".L2tFseventsd", ("plaso_fseventsd",)), (".L2tEsedb", ("l2t_srum",)),
+    ("_RECmd_Batch_", ("recmd_batch",)), ("jlecmd_AutomaticDestinations", ("jlecmd_dest",)), ("jlecmd_CustomDestinations", ()), ("_LECmd_Output", ()), ("recmd_batch.json", ("recmd_batch",)), ("NetworkDataUsage", ("esedump_srum",)),
+    ("ApplicationResourceUsage", ("esedump_srum",)), ("PrefetchDump_Output", ("prefetch_dump",)), ("gore.jsonl", ("recmd_batch",)), ("goprefetch.jsonl", ("prefetch_dump",)), ("gojle.jsonl", ("jlecmd_dest",)), ("goese.jsonl", ()),
+    ("gomft.jsonl", ()), ("gole.jsonl", ()), ("gorb.jsonl", ()), ("gosbe.jsonl", ()), ("goamcache.jsonl", ()), ("goappcompat.jsonl", ()), ("gowxt.jsonl", ()), (".L2tUtmp", ("l2t_utmp",)), (".L2tUtmpx", ("l2t_utmpx",)), (".L2tText", ("l2t_text",)),
+]
 
 
 def route(name: str) -> list[str]:
-    found = [p for p in ROUTES if p.lower() in name.lower()]
-    return ROUTES[max(found, key=len)] if found else []
+    """The maps for a file, of those that there are; none for an unknown or a raw one."""
+    return [m for m in next((names for pattern, names in ROUTES if pattern in name), ()) if m in MAPS]

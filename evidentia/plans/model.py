@@ -43,15 +43,18 @@ FIELDS = {
 }
 #: Verb of an owner's edge to what it did, by object and action; `accessed` otherwise.
 VERBS = {
-    "file": {"create": "created", "write": "modified", "modify": "modified", "delete": "deleted", "read": "accessed", "timestomp": "modified", "acl_modify": "modified"},
-    "registry": {"add": "created", "create": "created", "remove": "deleted", "delete": "deleted", "value_edit": "modified", "key_edit": "modified", "modify": "modified"},
-    "module": {"load": "loaded", "unload": "unloaded"},
-    "driver": {"load": "loaded", "unload": "unloaded"},
-    "service": {"create": "created", "delete": "deleted", "start": "started", "stop": "stopped", "modify": "modified"},
-    "thread": {"create": "created", "remote_create": "created", "terminate": "terminated", "suspend": "suspended"},
-    "flow": {"start": "connected to", "end": "connected to", "message": "connected to"},
-    "socket": {"bind": "bound", "listen": "listened on", "close": "closed"},
-    "user_session": {"login": "created", "logout": "terminated"},
+    "file": {"access": "accessed", "create": "created", "read": "accessed", "write": "modified", "modify": "modified", "delete": "deleted", "acl_modify": "modified", "timestomp": "modified", "content": "retrieved information about", "metadata": "retrieved information about"},
+    "registry": {"add": "created", "remove": "deleted", "value_edit": "modified", "key_edit": "modified", "access": "accessed", "create": "created", "delete": "deleted", "modify": "modified"},
+    "module": {"load": "loaded", "unload": "unloaded", "content": "retrieved information about", "metadata": "retrieved information about"},
+    "driver": {"load": "loaded", "unload": "unloaded", "metadata": "retrieved information about"},
+    "flow": {"start": "connected to", "message": "connected to", "end": "connected to", "create": "connected to", "content": "connected to", "flow": "connected to"},
+    "service": {"create": "created", "stop": "stopped", "start": "started", "delete": "deleted", "modify": "modified", "enumerate": "listed", "metadata": "retrieved information about", "access": "accessed", "pause": "modified"},
+    "thread": {"remote_create": "created", "create": "created", "terminate": "terminated", "suspend": "accessed"},
+    "http": {"get": "created", "post": "created", "put": "created", "tunnel": "connected to"},
+    "socket": {"bind": "bound to", "listen": "listened on", "close": "terminated"},
+    "user_session": {"login": "created", "reconnect": "created", "logout": "terminated", "unlock": "unlocked", "lock": "locked", "create": "created", "terminate": "terminated", "metadata": "retrieved information about"},
+    "authentication": {"success": "requested", "failure": "requested", "error": "requested"},
+    "email": {"deliver": "created", "block": "stopped", "redirect": "modified", "quarantine": "locked", "delete": "deleted"},
 }
 EDGE = "timestamp source_host relationship source_object source_guid target_object target_guid confidence method class identity_key inferred_end corroborated_by properties".split()
 #: What a spoke, a process and a flow's spoke take over from what they are linked to.

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from evidentia.functions import ids, markers, times
 from evidentia.operators import fold, graph, joins, projection, rules, verify
 from evidentia.plans import maps
+from evidentia.plans.model import ACTIONS
 from evidentia.plans.tables import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,9 +248,33 @@ def edges_union(spark, sf_dir):
     return order_edges(spark, sf_dir).select("relationship", "source_object", "source_guid", "target_object", "target_guid", F.date_format("timestamp", "yyyy-MM-dd").alias("day"))
 
 
-@query(f"""WITH {EVENTS_SQL} SELECT guid, CASE WHEN car_object = 'file' AND car_action = 'read' THEN 'accessed' WHEN car_object = 'flow' AND car_action = 'message' THEN 'connected to' ELSE 'accessed' END AS verb FROM ev WHERE car_object <> 'process'""")
+#: Every action of every object, and, as SQL of its own, the verb of an edge to it.
+PAIRS = [f"{kind}/{action}" for kind, actions in ACTIONS.items() for action in actions.split()]
+VERB_SQL = """CASE
+    WHEN pair IN ('file/create', 'registry/add', 'registry/create', 'service/create', 'thread/create', 'thread/remote_create', 'http/get', 'http/post', 'http/put', 'user_session/login', 'user_session/reconnect', 'user_session/create', 'email/deliver') THEN 'created'
+    WHEN pair IN ('file/write', 'file/modify', 'file/acl_modify', 'file/timestomp', 'registry/value_edit', 'registry/key_edit', 'registry/modify', 'service/modify', 'service/pause', 'email/redirect') THEN 'modified'
+    WHEN pair IN ('file/delete', 'registry/remove', 'registry/delete', 'service/delete', 'email/delete') THEN 'deleted'
+    WHEN pair IN ('file/content', 'file/metadata', 'module/content', 'module/metadata', 'driver/metadata', 'service/metadata', 'user_session/metadata') THEN 'retrieved information about'
+    WHEN pair IN ('module/load', 'driver/load') THEN 'loaded'
+    WHEN pair IN ('module/unload', 'driver/unload') THEN 'unloaded'
+    WHEN pair IN ('flow/start', 'flow/message', 'flow/end', 'flow/create', 'flow/content', 'flow/flow', 'http/tunnel') THEN 'connected to'
+    WHEN pair IN ('service/stop', 'email/block') THEN 'stopped'
+    WHEN pair IN ('service/start') THEN 'started'
+    WHEN pair IN ('service/enumerate') THEN 'listed'
+    WHEN pair IN ('thread/terminate', 'socket/close', 'user_session/logout', 'user_session/terminate') THEN 'terminated'
+    WHEN pair IN ('socket/bind') THEN 'bound to'
+    WHEN pair IN ('socket/listen') THEN 'listened on'
+    WHEN pair IN ('user_session/unlock') THEN 'unlocked'
+    WHEN pair IN ('user_session/lock', 'email/quarantine') THEN 'locked'
+    WHEN pair IN ('authentication/success', 'authentication/failure', 'authentication/error') THEN 'requested'
+    ELSE 'accessed' END"""
+
+
+@query(f"""WITH p AS (SELECT event_id, list_extract({PAIRS}, (event_id % {len(PAIRS)} + 1)::INTEGER) AS pair FROM events) SELECT event_id, pair, {VERB_SQL} AS verb FROM p""")
 def edge_verbs(spark, sf_dir):
-    return as_events(spark, sf_dir).where("car_object <> 'process'").select("guid", graph.verb_of(F.col("car_object"), F.col("car_action")).alias("verb"))
+    pair = F.element_at(F.array(*map(F.lit, PAIRS)), (F.col("event_id") % len(PAIRS) + 1).cast("int"))
+    rows = table(spark, sf_dir, "events").select("event_id", pair.alias("pair"))
+    return rows.withColumn("verb", graph.verb_of(F.split_part("pair", F.lit("/"), F.lit(1)), F.split_part("pair", F.lit("/"), F.lit(2))))
 
 
 @query(f"""WITH {EDGES_SQL}, x AS (SELECT source_guid AS entity, 'out' AS direction, target_guid AS other, relationship FROM e WHERE source_guid <> ''
@@ -333,12 +358,12 @@ def detection_priority_match(spark, sf_dir):
     return joins.priority_match([w.select("event_id", F.col("c_custkey").alias("entity")) for w in ways], "event_id")
 
 
-@query("""WITH i AS (SELECT DISTINCT 'name' AS kind, p_brand AS value, p_partkey % 3 AS score FROM part WHERE p_partkey <= 20 UNION SELECT DISTINCT 'type', p_type, 5 FROM part WHERE p_partkey <= 5)
+@query("""WITH i AS (SELECT 'name' AS kind, p_brand AS value, min(p_partkey) % 3 AS score FROM part GROUP BY p_brand UNION ALL SELECT 'type', p_type, min(p_partkey) % 5 FROM part GROUP BY p_type)
     SELECT p_partkey, kind, 'p_brand' AS field, value, score FROM part JOIN i ON kind = 'name' AND p_brand = value UNION ALL SELECT p_partkey, kind, 'p_type', value, score FROM part JOIN i ON kind = 'type' AND p_type = value""")
 def indicator_match(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    of = lambda kind, c, score, most: part.where(F.col("p_partkey") <= most).select(F.lit(kind).alias("kind"), F.col(c).alias("value"), score.cast("long").alias("score")).distinct()
-    found = joins.any_field_match(part, "p_partkey", {"name": ["p_brand"], "type": ["p_type"]}, of("name", "p_brand", F.col("p_partkey") % 3, 20).unionByName(of("type", "p_type", F.lit(5), 5)))
+    of = lambda kind, c, n: part.groupBy(F.col(c).alias("value")).agg((F.min("p_partkey") % n).alias("score")).select(F.lit(kind).alias("kind"), "value", "score")
+    found = joins.any_field_match(part, "p_partkey", {"name": ["p_brand"], "type": ["p_type"]}, of("name", "p_brand", 3).unionByName(of("type", "p_type", 5)))
     return found.select("p_partkey", "kind", "field", "value", "score")
 
 
@@ -348,12 +373,15 @@ def spindle_uuid5(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", ids.minted("order", 1, {"key": F.col("o_orderkey"), "customer": F.col("o_custkey")}).alias("guid"))
 
 
-@query(r"""SELECT doc_id, len(list_distinct(regexp_extract_all(text, '(AKIA[0-9A-Z]{16})', 1))) AS n_keys, regexp_extract_all(text, '(AKIA[0-9A-Z]{16})', 1)[1] AS first_key,
-    len(list_distinct(regexp_extract_all(text, '\b([0-9]{1,3}(?:\.[0-9]{1,3}){3})\b', 1))) AS n_ips FROM documents""")
+@query("""SELECT p_partkey, lower(printf('%02x:1b:%02x:00:aa:0f', (p_partkey % 128) * 2, p_size)) AS mac, 'T1' || lpad((p_partkey % 900)::VARCHAR, 3, '0') || '.001' AS technique, 'SER' || p_partkey AS serial,
+    '0a1b2c3d-0000-4000-8000-' || lpad(p_partkey::VARCHAR, 12, '0') AS volume FROM part""")
 def native_id_extract(spark, sf_dir):
-    keys = F.array_distinct(F.regexp_extract_all("text", F.lit("(AKIA[0-9A-Z]{16})"), F.lit(1)))
-    ips = F.array_distinct(F.regexp_extract_all("text", F.lit(r"\b([0-9]{1,3}(?:\.[0-9]{1,3}){3})\b"), F.lit(1)))
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(keys).cast("long").alias("n_keys"), ids.native_first(keys).alias("first_key"), F.size(ips).cast("long").alias("n_ips"))
+    """Identifiers that texts of tools name: addresses (a multicast one is left out), techniques, serials, volumes."""
+    two = lambda c: F.lpad(F.hex(c), 2, "0")
+    said = F.concat(F.lit("adapter "), two((F.col("p_partkey") % 128) * 2), F.lit("-1B-"), two(F.col("p_size")), F.lit("-00-AA-0F and 01-00-5E-00-00-01, by t1"), F.lpad(F.col("p_partkey") % 900, 3, "0"), F.lit("_001 on USBSTOR#Disk&Ven_X&Prod_Y#ser"), F.col("p_partkey"), F.lit("&0 of Volume{0A1B2C3D-0000-4000-8000-"), F.lpad(F.col("p_partkey"), 12, "0"), F.lit("}"))
+    text = table(spark, sf_dir, "part").select("p_partkey", said.alias("t"))
+    found = {"mac": ids.mac_addresses, "technique": ids.technique_ids, "serial": ids.usb_serials, "volume": ids.volume_guids}
+    return text.select("p_partkey", *(ids.native_first(f(F.col("t"))).alias(k) for k, f in found.items()))
 
 
 @query("""SELECT conv_id, turn, role, length(text) AS size FROM conversations""")
@@ -418,3 +446,71 @@ def zeek_flows(spark, sf_dir):
     names = maps.widened(maps.apply(tls, {"zeek_ssl": maps.MAPS["zeek_ssl"]}), "flow").select("guid", "dest_fqdn", "timestamp")
     out = joins.lookup(flows, names, {"guid": "guid"}, {"dest_fqdn": "dest_fqdn"}, "timestamp")
     return out.select("guid", F.col("car_action").alias("action"), "src_ip", "dest_fqdn", F.col("packet_count").cast("bigint").alias("packets"))
+
+
+def log_record(e: DataFrame, number: Column, channel: str, body: Column) -> DataFrame:
+    return as_records(e, {
+        "EventId": number, "Channel": F.lit(channel), "Computer": F.concat(F.lit("host"), F.col("user_id") % 7, F.lit(".example")), "EventRecordId": F.col("event_id"),
+        "TimeCreated": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "Payload": body,
+    })
+
+
+def data_list(**values: Column) -> Column:
+    return F.to_json(F.struct(F.struct(F.array(*(F.struct(F.lit(k).alias("@Name"), v.cast("string").alias("#text")) for k, v in values.items())).alias("Data")).alias("EventData")))
+
+
+def user_data(**values: Column) -> Column:
+    return F.to_json(F.struct(F.struct(F.struct(*(v.cast("string").alias(k) for k, v in values.items())).alias("EventXML")).alias("UserData")))
+
+
+@query(r"""SELECT 'http' AS object, 'get' AS action, 'http-host' || (user_id % 7) || '.example-Microsoft-Windows-Bits-Client/Operational-' || event_id AS guid, 'dom' || (user_id % 5) || '.example' AS subject, '/f?' || event_id AS detail FROM events WHERE event_type IN ('view', 'click')
+    UNION ALL SELECT 'user_session', CASE event_type WHEN 'signup' THEN 'login' WHEN 'error' THEN 'logout' ELSE 'reconnect' END, 'user_session-host' || (user_id % 7) || '.example-Microsoft-Windows-TerminalServices-LocalSessionManager/Operational-' || event_id,
+        CASE user_id % 3 WHEN 0 THEN 'SYSTEM' WHEN 1 THEN 'CORP\u' || user_id ELSE 'u' || user_id END, CASE WHEN event_type <> 'error' THEN '10.0.0.' || (user_id % 250) END FROM events WHERE event_type IN ('signup', 'error', 'purchase')
+    UNION ALL SELECT 'user_session', CASE event_type WHEN 'view' THEN 'login' ELSE 'logout' END, 'user_session-host' || (user_id % 7) || '.example-System-' || event_id, 'S-1-5-21-' || user_id, NULL FROM events WHERE event_type IN ('view', 'click')
+    UNION ALL SELECT 'service', 'stop', 'service-host' || (user_id % 7) || '.example-System-' || event_id, 'svc' || user_id, NULL FROM events WHERE event_type = 'error'
+    UNION ALL SELECT 'service', 'create', 'service-host' || (user_id % 7) || '.example-System-' || event_id, 'drv' || user_id, 'd' || user_id || '.sys' FROM events WHERE event_type = 'signup'
+    UNION ALL SELECT 'file', 'acl_modify', 'file-host' || (user_id % 7) || '.example-Security-' || event_id, 'C:\d\f' || user_id || '.TXT', 'txt' FROM events WHERE event_type = 'purchase'""")
+def evtx_channels_map(spark, sf_dir):
+    """Records of further channels: transfers, remote sessions, logons, services, changed descriptors."""
+    e = table(spark, sf_dir, "events")
+    kind, user = F.col("event_type"), F.col("user_id")
+    of = lambda table: F.element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), kind)
+    transfer = data_list(url=F.concat(F.lit("https://dom"), user % 5, F.lit(".example/f?"), F.col("event_id")))
+    name = F.when(user % 3 == 0, "S-1-5-18").when(user % 3 == 1, F.concat(F.lit("CORP\\u"), user)).otherwise(F.concat(F.lit("u"), user))
+    session = user_data(User=name, Address=F.when(kind == "error", "LOCAL").otherwise(F.concat(F.lit("10.0.0."), user % 250)))
+    system = F.when(kind == "error", data_list(param1=F.concat(F.lit("svc"), user))).when(kind == "signup", user_data(ServiceName=F.concat(F.lit("drv"), user), DriverFileName=F.concat(F.lit("C:\\w\\d"), user, F.lit(".sys")))).otherwise(data_list(UserSid=F.concat(F.lit("S-1-5-21-"), user)))
+    changed = data_list(ObjectType=F.when(kind == "purchase", "File").otherwise("Key"), ObjectName=F.concat(F.lit("C:\\d\\f"), user, F.lit(".TXT")))
+    records = [
+        log_record(e, of({"view": 59, "click": 60, "signup": 61, "error": 3, "purchase": 4}), "Microsoft-Windows-Bits-Client/Operational", transfer),
+        log_record(e, of({"signup": 21, "error": 24, "purchase": 25, "view": 40, "click": 41}), "Microsoft-Windows-TerminalServices-LocalSessionManager/Operational", session),
+        log_record(e, of({"view": 7001, "click": 7002, "error": 7034, "signup": 20003, "purchase": 1}), "System", system),
+        log_record(e, F.lit(4907), "Security", changed),
+    ]
+    events = maps.apply(records[0].unionByName(records[1]).unionByName(records[2]).unionByName(records[3]), {m: maps.MAPS[m] for m in ("evtx_bits", "evtx_rdp", "evtx_more")})
+    prop = lambda k: F.try_element_at("props", F.lit(k))
+    subject = F.coalesce(prop("url_domain"), prop("user"), prop("uid"), prop("name"), prop("file_path"))
+    return events.select(F.col("car_object").alias("object"), F.col("car_action").alias("action"), "guid", subject.alias("subject"), F.coalesce(prop("url_remainder"), prop("src_ip"), prop("exe"), prop("extension")).alias("detail"))
+
+
+@query("""SELECT o_orderkey AS k, 'file' AS object, CASE o_orderkey % 5 WHEN 0 THEN 'create' WHEN 1 THEN 'modify' WHEN 2 THEN 'read' ELSE 'delete' END AS action, '/d/f' || o_orderkey || '.Tar' AS path, 'tar' AS extension, o_orderkey % 5 = 0 AS created FROM orders WHERE o_orderkey % 5 < 4
+    UNION ALL SELECT o_orderkey, 'file', CASE WHEN o_custkey % 4 IN (1, 3) THEN 'create' WHEN o_custkey % 4 = 2 THEN 'delete' ELSE 'modify' END, 'j' || o_orderkey, NULL, o_custkey % 4 IN (1, 3) FROM orders
+    UNION ALL SELECT o_orderkey, 'user_session', CASE WHEN o_orderkey % 10 = 8 THEN 'logout' ELSE 'login' END, NULL, NULL, false FROM orders WHERE o_orderkey % 10 IN (6, 7, 8)
+    UNION ALL SELECT o_orderkey, 'user_session', 'login', NULL, NULL, false FROM orders WHERE o_custkey % 2 = 0""")
+def timeline_rows_map(spark, sf_dir):
+    """Wrapped rows of a disk image's timeline: file times, a change journal, logins."""
+    o = table(spark, sf_dir, "orders")
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    wrapped = lambda **record: as_records(o, {"SourceImage": F.lit("i"), "Timestamp": F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "Record": F.struct(*(v.alias(k) for k, v in ({"k": key.cast("string")} | record).items()))})
+    stamps = F.element_at(F.array(*(F.lit(x) for x in ("Creation Time", "Content Modification Time", "Last Access Time", "Deletion Time", "Added Time"))), (key % 5 + 1).cast("int"))
+    sources = {
+        "l2t_filestat": wrapped(display_name=F.concat(F.lit("TSK:/d/f"), key, F.lit(".Tar")), timestamp_desc=stamps, number_of_links=key),
+        "l2t_usnjrnl": wrapped(filename=F.concat(F.lit("j"), key), update_reason_flags=(customer % 4) * 256, update_sequence_number=key, file_reference=customer, number_of_links=key),
+        "l2t_utmp": wrapped(login_type=key % 10, terminal=key.cast("string")), "l2t_text": wrapped(data_type=F.when(customer % 2 == 0, "syslog:ssh:login").otherwise("syslog:line"), reporter=key.cast("string")),
+    }
+    native = {"l2t_filestat": "number_of_links", "l2t_usnjrnl": "update_sequence_number", "l2t_utmp": "terminal", "l2t_text": "reporter"}
+    prop = lambda k: F.try_element_at("props", F.lit(k))
+    out = [
+        maps.apply(rows, {name: maps.MAPS[name]}).select(F.try_element_at("native", F.lit(native[name])).cast("bigint").alias("k"), F.col("car_object").alias("object"), F.col("car_action").alias("action"), prop("file_path").alias("path"), prop("extension").alias("extension"), prop("creation_time").isNotNull().alias("created"))
+        for name, rows in sources.items()
+    ]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])

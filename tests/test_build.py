@@ -24,7 +24,7 @@ def test_build(spark, tmp_path):
     five = {"id.orig_h": "10.0.0.5", "id.resp_h": "1.2.3.4", "uid": "C1", "ts": 1704067200.5}
     capture = {"conn": [five | {"conn_state": "SF", "proto": "tcp"}], "dns": [five | {"uid": "C0", "trans_id": 7, "query": "name.example", "answers": ["1.2.3.4", "alias"]}], "http": [five | {"trans_depth": 1, "method": "GET", "host": "name.example", "uri": "/a"}]}
     files = []
-    for source, name, rows in [("pc", "Sysmon.json", sysmon + sysmon[:1]), *(("net", f"{k}.json", v) for k, v in capture.items())]:
+    for source, name, rows in [("pc", "pc_EvtxECmd_Output.json", sysmon + sysmon[:1]), *(("net", f"{k}.json", v) for k, v in capture.items())]:
         (tmp_path / source).mkdir(exist_ok=True)
         (tmp_path / source / name).write_text("\n".join(map(json.dumps, rows)))
         files.append((source, str(tmp_path / source / name), None))

@@ -39,6 +39,18 @@ def test_times(spark):
     assert values(spark, ["1601-01-01T00:00:00", "2024-01-01T00:00:00"], times.clean_ts) == [None, "2024-01-01T00:00:00"]
 
 
+def test_fixed_tables(spark):
+    """Values that must be as the event model has them, written out here once more."""
+    users = ["S-1-0-0", "s-1-5-32-555", "BUILTIN\\Administrators", "nt authority\\ann", "CORP\\SYSTEM", " localsystem ", "systemprofile", "Bob", "S-1-5-21-1", "USERS"]
+    assert values(spark, users, markers.user_canon) == ["NULL SID", "REMOTE DESKTOP USERS", "ADMINISTRATORS", "ann", "CORP\\SYSTEM", "SYSTEM", "SYSTEM", "Bob", "S-1-5-21-1", "USERS"]
+    want = {("socket", "bind"): "bound to", ("socket", "close"): "terminated", ("thread", "suspend"): "accessed", ("http", "tunnel"): "connected to", ("email", "quarantine"): "locked", ("service", "enumerate"): "listed", ("user_session", "unlock"): "unlocked", ("file", "metadata"): "retrieved information about", ("process", "create"): "accessed"}
+    rows = spark.createDataFrame([(*k, v) for k, v in want.items()], "o string, a string, v string")
+    assert all(r.v == r.got for r in rows.withColumn("got", graph.verb_of(F.col("o"), F.col("a"))).collect())
+    logs = ["evtx_security", "evtx_security_sessions", "evtx_process", "evtx_services", "evtx_sysmon", "evtx_bits", "evtx_rdp", "evtx_more"]
+    assert maps.route("20240101_EvtxECmd_Output.json") == maps.route("goevtx.jsonl") == logs
+    assert [maps.route(n) for n in ("a.L2tSyslog", "x.L2tUtmpx", "gomft.jsonl", "weird.json", "1_RECmd_Batch_x.json", "Security.json")] == [["l2t_text"], ["l2t_utmp"], [], [], ["recmd_batch"], []]
+
+
 def test_text_markers(spark):
     paths = ["C:\\Windows\\a.EXE", "/usr/bin/.profile", "\\\\srv\\share", "/a/b.tar.gz", "dir/", "-", None]
     assert values(spark, paths, markers.basename) == ["a.EXE", ".profile", None, "b.tar.gz", None, None, None]
