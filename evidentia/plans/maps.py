@@ -31,9 +31,19 @@ class Record:
     def typed(self, key: str, kind: str) -> Column:
         return F.try_variant_get(self.column, f'$["{key}"]', kind)
 
-    def inner(self, key: str, kind: str = "string") -> Column:
-        found = F.try_variant_get(self.column, f'$["Record"]["{key}"]', kind)
-        return nb(F.trim(found)) if kind == "string" else found
+    def inner(self, key: str) -> Column:
+        return nb(F.trim(F.try_element_at(F.col("record_inner"), F.lit(key))))
+
+    def inner_number(self, key: str) -> Column:
+        return F.try_variant_get(self.column, f'$["Record"]["{key}"]', "bigint")
+
+    def paths(self) -> dict[str, Column]:
+        """Of an inner record: the file name, else the display name without the type before its colon; and the entry's name."""
+        display = self.inner("display_name")
+        return {
+            "record_shown": markers.first(self.inner("filename"), markers.regex1(display, r"\A[A-Z0-9]+:(.*)\z"), display),
+            "record_entry": markers.first(self.inner("name"), self.inner("filename")),
+        }
 
     def payload(self, name: str) -> Column:
         return markers.payload_of({c: F.col(c) for c in markers.PARSED.values()}, name)
@@ -99,8 +109,9 @@ def apply(records: DataFrame, maps: Mapping[str, list[Variant]], default_host: s
     r = Record(record)
     rows = F.array_compact(F.array(*(F.coalesce(*(v.row(r, name) for v in variants)) for name, variants in maps.items())))
     others = [c for c in records.columns if c != record]
-    # payloads are parsed once, in a projection of their own, and not at all where no map reads them
-    wide = records.withColumns(markers.parsed(r("Payload")))
+    # payloads and inner records are parsed once, in projections of their own, and not at all where no map reads them
+    wide = records.withColumns(markers.parsed(r("Payload")) | {"record_inner": F.try_variant_get(record, '$["Record"]', "map<string,string>")})
+    wide = wide.withColumns(r.paths())
     out = wide.select(*others, F.explode(rows).alias("e")).select(*others, "e.*")
     return out.withColumn("source_host", F.coalesce("source_host", F.lit(default_host).cast("string")))
 
@@ -235,12 +246,11 @@ def stamped(pattern: str) -> Value:
 
 
 def shown_path(r: Record) -> Column:
-    """The file name, else the display name without the type before its colon."""
-    return markers.first(r.inner("filename"), markers.regex1(r.inner("display_name"), r"\A[A-Z0-9]+:(.*)\z"), r.inner("display_name"))
+    return F.col("record_shown")
 
 
 def entry_path(r: Record) -> Column:
-    return markers.first(r.inner("name"), r.inner("filename"))
+    return F.col("record_entry")
 
 
 def spun(kind: str, **parts: Value) -> Value:
@@ -268,11 +278,11 @@ def session_row(gate: Value, action: str, guid: Value, native: tuple[str, ...],
 
 
 def reason_bit(bit: int) -> Value:
-    return lambda r: F.coalesce(r.inner("update_reason_flags", "bigint"), F.lit(0)).bitwiseAND(bit) != 0
+    return lambda r: F.coalesce(r.inner_number("update_reason_flags"), F.lit(0)).bitwiseAND(bit) != 0
 
 
 def login_kind(*numbers: int) -> Value:
-    return lambda r: r.inner("login_type", "bigint").isin(*numbers)
+    return lambda r: r.inner_number("login_type").isin(*numbers)
 
 
 STAT_NATIVE = ("timestamp_desc", "data_type", "file_entry_type", "file_size", "file_system_type", "is_allocated", "inode", "number_of_links", "display_name")

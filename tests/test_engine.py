@@ -203,3 +203,12 @@ def test_oracles_agree(spark):
         order = sorted(got.columns)
         line = lambda row: tuple(str(x) for x in row)
         assert sorted(map(line, got.select(*order).collect())) == sorted(map(line, want.select(*(duckdb.ColumnExpression(c) for c in order)).fetchall())), name
+
+
+def test_inner_records_keep_lists_and_numbers(spark):
+    rows = [{"SourceImage": "i", "Timestamp": "2024-01-01T00:00:00Z", "Record": {"timestamp_desc": "Last Access Time", "name": "/a/b.Txt", "file_reference": 12, "path_hints": ["x", "y"], "is_allocated": True}}, {"Record": "no object", "Timestamp": "2024-01-01T00:00:00Z"}]
+    records = spark.createDataFrame([(json.dumps(r),) for r in rows], "t string").select(F.try_parse_json("t").alias("record"))
+    found = maps.apply(records, {"l2t_mft": maps.MAPS["l2t_mft"]}).collect()
+    assert len(found) == 1 and found[0].car_action == "read" and found[0].guid is not None
+    assert found[0].props == {"file_path": "/a/b.Txt", "file_name": "b.Txt", "extension": "txt"}
+    assert found[0].native["file_reference"] == "12" and found[0].native["is_allocated"] == "true" and found[0].native["path_hints"] == '["x","y"]'
