@@ -186,10 +186,11 @@ def test_main_text_without_the_constant_blocks_of_a_host(spark):
 
 
 def test_wrapper_of_two_shapes():
-    host = wrappers.Induction()
+    wrapper = None
     for body in ("<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>a</li></ul><p>x</p><hr>", "<ul><li>a</li><li>b</li><li>c</li></ul><p>y</p>"):
-        host.page(wrappers.Page(body))
-    assert wrappers.expression(host.wrapper) == "ul ( li #ul>li /li )+ /ul p #p /p ( hr )?"
+        shape = [(x, True) for x in wrappers.folded(wrappers.Page(body).shape)[0]]
+        wrapper = shape if wrapper is None else wrappers.aligned(wrapper, shape)
+    assert wrappers.expression(wrapper) == "ul ( li #ul>li /li )+ /ul p #p /p ( hr )?"
 
 
 def brute_repeats(texts, length):
