@@ -220,19 +220,19 @@ def part_of(size: Column) -> Column:
     return (power * SIZE_PARTS + F.floor(size * SIZE_PARTS / F.pow(F.lit(2.0), power))).cast("int")
 
 
-def early_shingles(common: DataFrame, percent: int) -> DataFrame:
-    """Where a class of ``common`` is to be found: (shingle, part, c, k, n, least, most, larger).
-
-    ``common`` (c, k, n, shingle, count, live) has the shingles that several classes have, with their count and whether
-    several components k have them. With i shingles of a set before it in the order of counts, a shingle may be the first
-    common one of sets of n and m only if (100 + percent) * (n - i) >= percent * (n + m). The larger set looks for the sizes
-    least to most, in each part of the sizes; the smaller one lies in the part of its own, and most is the largest that may find it.
+def early_shingles(live: DataFrame, percent: int) -> DataFrame:
+    """Where a class of ``live`` is to be found: (shingle, part, id, n, least, most, larger).
+
+    ``live`` (id, n, shingle, count) has the shingles that several components have, with the number of their classes. All
+    others come first in the order of a set, then these, by count. With i shingles of a set before it, a shingle may be the
+    first common one of sets of n and m, of different components, only if (100 + percent) * (n - i) >= percent * (n + m). The
+    larger set looks for the sizes least to most, in each part of the sizes; the smaller one lies in the part of its own, and
+    most is the largest that may find it.
     """
-    # shingles of one class only come first, so it is enough to count from the end
-    left = F.row_number().over(Window.partitionBy("c").orderBy(F.desc("count"), F.desc("shingle")))
+    left = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("count"), F.desc("shingle")))
     most = F.floor(left * (100 + percent) / percent).cast("long") - F.col("n")
     least = F.ceil(F.col("n") * percent / 100).cast("long")
-    early = common.withColumn("most", most).withColumn("least", least).where("live and most >= least").select("shingle", "c", "k", "n", "least", "most")
+    early = live.withColumn("most", most).withColumn("least", least).where("most >= least").select("shingle", "id", "n", "least", "most")
     small = early.where("most >= n").withColumn("part", part_of(F.col("n"))).withColumn("larger", F.lit(False))
     large = early.withColumn("most", F.least("most", "n")).withColumn("part", F.explode(F.sequence(part_of(F.col("least")), part_of(F.least("most", "n"))))).withColumn("larger", F.lit(True))
     return small.unionByName(large)
@@ -240,10 +240,10 @@ def early_shingles(common: DataFrame, percent: int) -> DataFrame:
 
 def contested_pairs(contested: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of ``contested`` (c, n, comp), of different components, that may be similar enough: none is missing. And the table they are read from."""
-    of = contested.select("c", "n", F.xxhash64("comp").alias("k"))
-    shingles = sets.join(of, "c").select("c", "k", "n", F.explode("s").alias("shingle"))
-    counts = shingles.groupBy("shingle").agg(F.count("*").alias("count"), (F.min("k") != F.max("k")).alias("live")).where("count > 1")
-    found = cut(early_shingles(shingles.join(counts, "shingle"), percent))
+    of = contested.select("c", "n", F.xxhash64("c").alias("id"), F.xxhash64("comp").alias("k"))
+    shingles = sets.join(of, "c").select("id", "k", "n", F.explode("s").alias("shingle"))
+    several = shingles.groupBy("shingle").agg(F.count("*").alias("count"), F.min("k").alias("low"), F.max("k").alias("high")).where("low <> high").select("shingle", "count")
+    found = cut(early_shingles(shingles.drop("k").join(several, "shingle"), percent).join(of.select("id", "k", "c"), "id"))
     group = ["shingle", "part"]
     small, large = found.where("not larger"), found.where("larger")
     # components first, so that the members of one are not compared with each other
