@@ -22,9 +22,9 @@ def uuid5(name: Column, namespace: uuid.UUID = NAMESPACE) -> Column:
 
 
 def canonical_json(values: Mapping[str, Column]) -> Column:
-    """JSON object with sorted keys and no blanks; null where a value is."""
+    """JSON object with sorted keys and no blanks, values as they are typed; null where a value is."""
     names = sorted(values)
-    text = F.to_json(F.struct(*(values[n].cast("string").alias(n) for n in names)))
+    text = F.to_json(F.struct(*(values[n].alias(n) for n in names)))
     whole = values[names[0]].isNotNull()
     for n in names[1:]:
         whole = whole & values[n].isNotNull()
@@ -33,7 +33,7 @@ def canonical_json(values: Mapping[str, Column]) -> Column:
 
 def minted(kind: str, version: int, parts: Mapping[str, Column], fallback: Mapping[str, Column] | None = None, namespace: uuid.UUID = NAMESPACE) -> Column:
     """Identity over named components; with a blank one, over the position in the evidence; null if that is blank too."""
-    fixed = {"_obj": F.lit(kind), "_v": F.lit(str(version))}
+    fixed = {"_obj": F.lit(kind), "_v": F.lit(version)}
     key = lambda values: canonical_json(fixed | {k: nb(v.cast("string")) for k, v in values.items()})
     return uuid5(F.coalesce(key(parts), key(fallback)) if fallback else key(parts), namespace)
 

@@ -12,11 +12,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.functions import ids, markers, times
+from evidentia.functions import identities, ids, markers, times
 from evidentia.functions.blanks import nb, truthy, two_valued
 from evidentia.plans.model import FIELDS, HEADER
 
 Value = Callable[["Record"], Column]
+#: Fixed value: a program by the device that it lies on.
+DEVICE_PATH = r"(?i)^(\\Device\\.+)$"
 
 
 class Record:
@@ -38,11 +40,31 @@ class Record:
         return F.try_variant_get(self.column, f'$["Record"]["{key}"]', "bigint")
 
     def paths(self) -> dict[str, Column]:
-        """Of an inner record: the file name, else the display name without the type before its colon; and the entry's name."""
-        display = self.inner("display_name")
+        """Values of an inner record that several fields of an event are made of, by column, so that each is made once.
+
+        Paths: the file name, else the display name without the type before its colon; the entry's name; a shell item's;
+        a link's target. Homes: the account in whose home a path lies. A started program's name, the visited address and
+        the program of a resource usage row.
+        """
+        one = lambda key, pattern: markers.regex1(self.inner(key), pattern)
+        display, after_prefix, home = self.inner("display_name"), r"^(?:<[^>]+>\s*)?(.+)$", r"(?i)[/\\]Users[/\\]([^/\\]+)[/\\]"
+        first = lambda *values: F.coalesce(*values)  # noqa: E731  (none of these is blank)
         return {
             "record_shown": markers.first(self.inner("filename"), markers.regex1(display, r"\A[A-Z0-9]+:(.*)\z"), display),
             "record_entry": markers.first(self.inner("name"), self.inner("filename")),
+            "record_typed": first(one("display_name", r"^[^:]+:(.+)$"), display),
+            "record_shell": markers.unescape_backslashes(first(one("shell_item_path", after_prefix), self.inner("long_name"), self.inner("name"))),
+            "record_link": markers.unescape_backslashes(first(self.inner("local_path"), self.inner("network_path"), one("link_target", after_prefix))),
+            "record_home": one("display_name", home),
+            "record_shell_home": one("shell_item_path", home),
+            "record_link_home": first(one("local_path", home), one("network_path", home), one("link_target", home)),
+            "record_deleted_home": one("original_filename", home),
+            "record_run": first(one("value_name", r"^UEME_RUNPATH:(.+)$"), one("value_name", r"^(?!UEME_)(.+)$")),
+            "record_visited": first(one("url", r"^Visited:\s*[^@]*@(.+)$"), self.inner("url")),
+            "record_cached": first(one("url", r"^HTTP:(.+)$"), self.inner("url")),
+            "record_device": one("application", DEVICE_PATH),
+            "record_host": self.inner("image_hostname"),
+            "record_user": self.inner("username"),
         }
 
     def payload(self, name: str) -> Column:
@@ -77,7 +99,7 @@ class Variant:
     gate: Value
     kind: str
     action: Value
-    guid: Value
+    guid: Value | str  # or the name of an entry of minted identities
     timestamp: Value
     props: Mapping[str, Value]
     host: Value = const("")
@@ -87,17 +109,28 @@ class Variant:
     owning_guid: Value | None = None
     parent_pid: Value | None = None
 
+    def component(self, r: Record, source: str) -> Column:
+        """What an identity reads: a column of the event, or a key of its native bag."""
+        if source == "timestamp":
+            return times.clean_ts(nb(self.timestamp(r)))
+        if source == "owning_pid":
+            return self.owning_pid(r)
+        return self.native[source.removeprefix("native.")](r) if source.startswith("native.") else self.props[source](r)
+
     def row(self, r: Record, artefact: str) -> Column:
         """The event struct; null where the gate or the action is."""
         action = self.action(r)
         bag = [x for k in self.keep for x in (F.lit(k), r(k))] + [x for k, v in self.native.items() for x in (F.lit(k), v(r).cast("string"))]
+        minted = isinstance(self.guid, str)
+        if minted:
+            bag += [x for k, v in identities.stamps(self.guid, lambda source: self.component(r, source), r).items() for x in (F.lit(k), v)]
         told = [x for k, v in self.props.items() for x in (F.lit(k), nb(v(r).cast("string")))]
         known = lambda pairs: F.map_filter(F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>"), lambda k, v: v.isNotNull())
         optional = lambda v: (v(r) if v else F.lit(None)).cast("string")
         return F.when(
             two_valued(self.gate(r)) & action.isNotNull(),
             F.struct(
-                F.lit(self.kind).alias("car_object"), action.alias("car_action"), nb(self.guid(r)).alias("guid"), times.clean_ts(nb(self.timestamp(r))).alias("timestamp"),
+                F.lit(self.kind).alias("car_object"), action.alias("car_action"), (F.lit(None).cast("string") if minted else nb(self.guid(r))).alias("guid"), times.clean_ts(nb(self.timestamp(r))).alias("timestamp"),
                 F.nullif(self.host(r), F.lit("")).alias("source_host"), F.lit(artefact).alias("source_artefact"), optional(self.owning_pid).alias("owning_pid"),
                 optional(self.owning_guid).alias("owning_guid_native"), optional(self.parent_pid).alias("parent_pid"), known(told).alias("props"), known(bag).alias("native"),
             ),
@@ -113,7 +146,8 @@ def apply(records: DataFrame, maps: Mapping[str, list[Variant]], default_host: s
     wide = records.withColumns(markers.parsed(r("Payload")) | {"record_inner": F.try_variant_get(record, '$["Record"]', "map<string,string>")})
     wide = wide.withColumns(r.paths())
     out = wide.select(*others, F.explode(rows).alias("e")).select(*others, "e.*")
-    return out.withColumn("source_host", F.coalesce("source_host", F.lit(default_host).cast("string")))
+    minted = identities.guid_of(F.try_element_at("native", F.lit(identities.KEY)))
+    return out.withColumns({"source_host": F.coalesce("source_host", F.lit(default_host).cast("string")), "guid": F.coalesce("guid", minted)})
 
 
 def widened(events: DataFrame, kind: str) -> DataFrame:
@@ -245,24 +279,19 @@ def stamped(pattern: str) -> Value:
     return lambda r: F.translate(r.inner("timestamp_desc"), "İı", "ii").rlike(pattern)
 
 
-def shown_path(r: Record) -> Column:
-    return F.col("record_shown")
-
+def made(name: str) -> Value:
+    """A value of an inner record that was made beforehand."""
+    return lambda r: F.col(f"record_{name}")
 
-def entry_path(r: Record) -> Column:
-    return F.col("record_entry")
 
-
-def spun(kind: str, **parts: Value) -> Value:
-    """A minted identity over named components."""
-    return lambda r: ids.minted(kind, 1, {k: v(r) for k, v in parts.items()})
+def made_first(*names: str) -> Value:
+    return lambda r: F.coalesce(*(F.col(f"record_{n}") for n in names))
 
 
 INNER = {"timestamp": of("Timestamp"), "host": lambda r: markers.host_label(r.inner("image_hostname")), "keep": ("SourceImage", "Parser")}
-FILE_TIMES = lambda path: {"file_path": path, "event_time": of("Timestamp")}
 
 
-def file_row(gate: Value, action: str, guid: Value, path: Value, native: tuple[str, ...], whole: bool = False) -> Variant:
+def file_row(gate: Value, action: str, guid: str, path: Value, native: tuple[str, ...], whole: bool = False) -> Variant:
     """A file at a time: hashes and owner where the parser has them; a time of creation only where it is one."""
     props = {"file_path": path, "extension": lambda r: markers.ext(path(r)), "file_name": name_of(path), "hostname": inner("image_hostname"), "user": inner("username")}
     if whole:
@@ -272,7 +301,7 @@ def file_row(gate: Value, action: str, guid: Value, path: Value, native: tuple[s
     return Variant(gate, "file", const(action), guid, props=props, native={k: inner(k) for k in (*native, *PROVENANCE)}, **INNER)
 
 
-def session_row(gate: Value, action: str, guid: Value, native: tuple[str, ...], **more: Value) -> Variant:
+def session_row(gate: Value, action: str, guid: str, native: tuple[str, ...], **more: Value) -> Variant:
     remote = lambda r: markers.regex1(r.inner("ip_address"), r"\A(?!(?:0\.0\.0\.0|127\.0\.0\.1|::1)\z)(.+)\z")
     return Variant(gate, "user_session", const(action), guid, props={"user": inner("username"), "hostname": inner("image_hostname"), "src_ip": remote, **more}, native={k: inner(k) for k in native}, owning_pid=inner("pid"), **INNER)
 
@@ -289,9 +318,122 @@ STAT_NATIVE = ("timestamp_desc", "data_type", "file_entry_type", "file_size", "f
 ENTRY_NATIVE = ("timestamp_desc", "data_type", "path_hints", "file_reference", "parent_file_reference", "is_allocated", "file_attribute_flags", "display_name")
 JOURNAL_NATIVE = ("timestamp_desc", "data_type", "update_reason_flags", "update_source_flags", "update_sequence_number", "file_reference", "parent_file_reference", "file_attribute_flags", "display_name", "offset")
 LOGIN_NATIVE = ("data_type", "login_type", "hostname", "terminal", "terminal_identifier", "exit_status")
-JOURNAL_GUID = spun("file", usn=inner("update_sequence_number"), file_reference=inner("file_reference"))
-LOGIN_GUID = spun("user_session", pid=inner("pid"), terminal=inner("terminal"), event_time=of("Timestamp"))
-LOGINS = [session_row(login_kind(6, 7), "login", LOGIN_GUID, LOGIN_NATIVE), session_row(login_kind(8), "logout", LOGIN_GUID, LOGIN_NATIVE)]
+
+
+
+def typed_as(*kinds: str) -> Value:
+    return lambda r: r.inner("data_type").isin(*kinds)
+
+
+def both(*gates: Value) -> Value:
+    def test(r: Record) -> Column:
+        out = two_valued(gates[0](r))
+        for g in gates[1:]:
+            out = out & two_valued(g(r))
+        return out
+
+    return test
+
+
+def unless(gate: Value) -> Value:
+    return lambda r: ~two_valued(gate(r))
+
+
+def parsed_by(pattern: str) -> Value:
+    """Gate of the parser's name, in lower case."""
+    return lambda r: F.lower(r("Parser")).rlike(pattern)
+
+
+def part_of(value: Value, pattern: str) -> Value:
+    return lambda r: markers.regex1(value(r), pattern)
+
+
+def either(*values: Value) -> Value:
+    return lambda r: markers.first(*(v(r) for v in values))
+
+
+def lowered(value: Value) -> Value:
+    return lambda r: markers.lower(value(r))
+
+
+def account(value: Value) -> Value:
+    return lambda r: markers.user_canon(value(r))
+
+
+def file_at(path: Value) -> dict[str, Value]:
+    return {"file_path": path, "file_name": name_of(path), "extension": lambda r: markers.ext(path(r))}
+
+
+def program(path: Value) -> dict[str, Value]:
+    return {"exe": lambda r: markers.win_program_name(path(r)), "image_path": lambda r: markers.win_program_path(path(r)), "user": account(made("user"))}
+
+
+def visited(address: Value) -> dict[str, Value]:
+    return {"url_full": address, "url_scheme": part_of(address, r"^(https?)://"), "url_domain": part_of(address, r"^https?://([^/?#:]+)"), "url_remainder": part_of(address, r"^https?://[^/]+(/[^\s]*)")}
+
+
+def inners(*names: str, **renamed: str) -> dict[str, Value]:
+    return {k: inner(k) for k in names} | {k: inner(v) for k, v in renamed.items()}
+
+
+def image_host(r: Record) -> Column:
+    return F.col("record_host")
+
+
+def image_label(r: Record) -> Column:
+    return markers.host_label(image_host(r))
+
+
+def nothing(r: Record) -> Column:
+    """No time: what is told holds of the thing, not of a moment."""
+    return F.lit(None).cast("string")
+
+
+def disk_row(gate: Value, kind: str, action: str | Value, identity: str, props: Mapping[str, Value], native: Mapping[str, Value], host: Value = image_label, timestamp: Value = of("Timestamp"), keep: tuple[str, ...] = (), name: Value | None = image_host) -> Variant:
+    """An event of a disk image's timeline."""
+    named = {"hostname": name} if name else {}
+    return Variant(gate, kind, const(action) if isinstance(action, str) else action, identity, timestamp, props={**props, **named}, host=host, native=native, keep=keep)
+
+
+def execution(gate: Value, kind: str, identity: str, props: Mapping[str, Value], *names: str, native: Mapping[str, Value] | None = None, **more) -> Variant:
+    """A trace of a program, with where it was found."""
+    found = inners("data_type", "timestamp_desc", *names, artefact_file="display_name", artefact_sha256="sha256_hash")
+    return disk_row(gate, kind, "create", identity, props, found | (native or {}), **({"host": image_host, "keep": ("SourceImage", "Parser")} | more))
+
+
+CREATED, MODIFIED, READ = stamped(r"(?i)creation|crtime|birth"), stamped(r"(?i)modification|mtime"), stamped(r"(?i)last access|atime|access time")
+MOMENTS = {"create": CREATED, "modify": MODIFIED, "read": READ}
+WRITTEN = stamped(r"(?i)modification|mtime|last written|content")
+COMPILED = stamped(r"(?i)link|compil")
+AMCACHE, LINKED_FILE, SHELL_ITEM, DOCUMENT, BINARY = parsed_by("amcache"), typed_as("windows:lnk:link"), typed_as("windows:shell_item:file_entry"), typed_as("olecf:summary_info"), typed_as("pe_coff:file")
+FILE_SHA1 = lowered(part_of(inner("file_identifier"), r"(?i)^0000([0-9a-f]{40})$"))
+CRON_HOST = either(image_host, inner("hostname"))
+#: What the times of a compatibility cache mean.
+CACHE_TIMES = {"File Last Modification Time": "file mtime, not run time", "Registry Last Written Time": "registry key write time, not run time", "Last Time Executed": "XP-era cache last-update time (plaso labels it last run)"}
+CACHE_OTHER = "cache entry timestamp (see timestamp_desc), not run time"
+REGISTRY_NATIVE = (
+    "data_type", "values", "name", "object_name", "start_type", "service_type", "service_dll", "error_control", "command", "application", "handler", "trigger", "entries", "username", "fullname", "comments", "account_rid", "login_count", "serial", "vendor", "product", "subkey_name",
+    "device_display_name", "device_type", "revision", "server_name", "share_name", "source_type", "drive_letter", "product_name", "build_number", "service_pack", "version", "owner", "configuration", "settings",
+)
+LINK_NATIVE = (
+    "data_type", "description", "working_directory", "relative_path", "file_size", "command_line_arguments", "env_var_location", "icon_location", "file_attribute_flags", "drive_type", "drive_serial_number", "volume_label", "droid_file_identifier", "droid_volume_identifier",
+    "birth_droid_file_identifier", "birth_droid_volume_identifier",
+)
+DOCUMENT_NATIVE = ("data_type", "timestamp_desc", "title", "author", "last_saved_by", "application", "revision_number", "subject", "keywords", "comments", "template", "number_of_pages", "number_of_words", "number_of_characters", "codepage", *PROVENANCE)
+USAGE_NATIVE = ("data_type", "identifier", "interface_luid", "user_identifier", "application")
+USAGE_KEEP = ("Table", "TableAlias", "AppId", "UserId", "AppIdName", "UserIdName", "TimeStamp")
+
+
+def used_by(application: Value, image: Value, account_id: Value, column: str) -> dict[str, Value]:
+    """The program and the account of a resource usage row."""
+    return {"exe": either(name_of(image), application), "image_path": image, column: part_of(account_id, r"^(S-1-[0-9-]+)$")}
+
+
+def binary(gate: Value, stamp: str | None) -> Variant:
+    """A program file without a time of its own; a stamp in it is told beside it."""
+    told = inners("data_type", "timestamp_desc", "pe_type", "export_dll_name", "section_names", *PROVENANCE) | {"imphash": lowered(inner("imphash"))} | ({stamp: of("Timestamp")} if stamp else {})
+    return disk_row(both(BINARY, gate), "file", "create", "plaso_pecoff", file_at(made("typed")) | {"sha256_hash": lowered(inner("sha256_hash"))}, told, timestamp=nothing)
+
 
 MAPS: dict[str, list[Variant]] = {
     "evtx_security": [
@@ -353,12 +495,49 @@ MAPS: dict[str, list[Variant]] = {
         Variant(event("System", 7002), "user_session", const("logout"), windows_guid("user_session"), props={"uid": data("UserSid"), **HOSTNAME}, native={"TSId": data("TSId")}, **CHANNEL),
         Variant(event("System", 7034), "service", const("stop"), windows_guid("service"), props={"name": data("param1"), **NAMES}, native={"param2": data("param2")}, **CHANNEL),
     ],
-    "l2t_filestat": [file_row(stamped(p), action, spun("file", **FILE_TIMES(shown_path)), shown_path, STAT_NATIVE, True) for action, p in STAMPS.items()],
-    "l2t_mft": [file_row(stamped(p), action, spun("file", file_reference=inner("file_reference"), event_time=of("Timestamp")), entry_path, ENTRY_NATIVE) for action, p in STAMPS.items()],
-    "l2t_usnjrnl": [file_row(gate, action, JOURNAL_GUID, shown_path, JOURNAL_NATIVE) for action, gate in (("create", reason_bit(0x100)), ("delete", reason_bit(0x200)), ("modify", lambda r: F.lit(True)))],
-    "l2t_utmp": LOGINS,
-    "l2t_utmpx": LOGINS,
-    "l2t_text": [session_row(lambda r: r.inner("data_type") == "syslog:ssh:login", "login", spun("user_session", pid=inner("pid"), user=inner("username"), event_time=of("Timestamp")), ("data_type", "authentication_method", "protocol", "reporter", "hostname"), src_port=inner("port"))],
+    "l2t_filestat": [file_row(stamped(p), action, "l2t_filestat", made("shown"), STAT_NATIVE, True) for action, p in STAMPS.items()],
+    "l2t_mft": [file_row(stamped(p), action, "l2t_mft", made("entry"), ENTRY_NATIVE) for action, p in STAMPS.items()],
+    "l2t_usnjrnl": [file_row(gate, action, "l2t_usnjrnl", made("shown"), JOURNAL_NATIVE) for action, gate in (("create", reason_bit(0x100)), ("delete", reason_bit(0x200)), ("modify", lambda r: F.lit(True)))],
+    **{m: [session_row(login_kind(6, 7), "login", m, LOGIN_NATIVE), session_row(login_kind(8), "logout", m, LOGIN_NATIVE)] for m in ("l2t_utmp", "l2t_utmpx")},
+    "l2t_text": [session_row(lambda r: r.inner("data_type") == "syslog:ssh:login", "login", "l2t_text", ("data_type", "authentication_method", "protocol", "reporter", "hostname"), src_port=inner("port"))],
+    "plaso_exec_prefetch": [execution(typed_as("windows:prefetch:execution"), "process", "plaso_exec_prefetch", {"exe": inner("executable"), "user": account(made("user"))}, "path_hints", "run_count", "prefetch_hash", "mapped_files", "volume_device_paths", "volume_serial_numbers", "number_of_volumes", "version")],
+    "plaso_exec_winreg": [
+        execution(both(AMCACHE, COMPILED), "file", "plaso_exec_winreg/amcache_link_time", file_at(inner("full_path")) | {"sha1_hash": FILE_SHA1, "company": inner("company_name")}, "key_path", "program_identifier", "file_reference", native={"compile_time": of("Timestamp")}, timestamp=nothing),
+        execution(AMCACHE, "process", "plaso_exec_winreg/amcache", program(inner("full_path")) | {"sha1_hash": FILE_SHA1}, "key_path", "program_identifier", "file_reference"),
+        execution(both(parsed_by("userassist"), lambda r: r.inner("value_name").rlike("^(?:UEME_RUNPATH:|(?!UEME_))")), "process", "plaso_exec_winreg/userassist", {"exe": name_of(made("run")), "image_path": part_of(made("run"), r"^(.*[\\/].*)$"), "user": account(made_first("user", "home"))}, "key_path", "value_name", "number_of_executions"),
+        execution(parsed_by("(?:^|/)bam(?:/|$)"), "process", "plaso_exec_winreg/bam", program(inner("path")) | {"sid": inner("user_identifier")}, "key_path"),
+        execution(parsed_by("appcompatcache"), "process", "plaso_exec_winreg/appcompatcache", program(inner("path")), "key_path", "entry_index", "control_set", native={"execution_inferred": const("true"), "time_meaning": lambda r: markers.first(markers.map_value(r.inner("timestamp_desc"), CACHE_TIMES), F.lit(CACHE_OTHER))}),
+    ],
+    "plaso_exec_cron": [execution(typed_as("syslog:cron:task_run"), "process", "plaso_exec_cron", {"exe": name_of(part_of(inner("command"), r"^(\S+)")), "image_path": part_of(inner("command"), r"^(/\S+)"), "command_line": inner("command"), "pid": inner("pid"), "user": inner("username")}, "reporter", "message_body", native=inners(syslog_hostname="hostname"), host=CRON_HOST, name=CRON_HOST)],
+    "plaso_fseventsd": [disk_row(typed_as("macos:fseventsd:record"), "file", "modify", "plaso_fseventsd", file_at(inner("path")), inners("data_type", "flags", "event_identifier", "node_identifier", "timestamp_desc", "disk_id", "volume_id", artefact_sha256="sha256_hash"))],
+    "plaso_pecoff": [binary(CREATED, "compile_time"), binary(WRITTEN, "pe_table_time"), binary(BINARY, None)],
+    "plaso_olecf": [
+        disk_row(both(DOCUMENT, gate), "file", action, "plaso_olecf", file_at(made("typed")) | {"sha256_hash": lowered(inner("sha256_hash")), "owner": inner("author")}, inners(*DOCUMENT_NATIVE, security_flags="security"))
+        for action, gate in (("create", CREATED), ("modify", unless(CREATED)))
+    ],
+    "plaso_registry": [disk_row(lambda r: r.inner("data_type").startswith("windows:registry:"), "registry", "key_edit", "plaso_registry", {"key": inner("key_path"), "hive": inner("display_name"), "image_path": inner("image_path"), "user": account(made_first("user", "home"))}, inners(*REGISTRY_NATIVE))],
+    "plaso_shellitem": [
+        disk_row(both(SHELL_ITEM, gate), "file", action, "plaso_shellitem", file_at(made("shell")) | {"user": account(made_first("home", "shell_home"))} | ({"creation_time": of("Timestamp")} if action == "create" else {}), inners("data_type", "origin", "shell_item_path", "long_name", "name", "localized_name", *PROVENANCE, artefact_path="display_name", artefact_sha256="sha256_hash"))
+        for action, gate in MOMENTS.items()
+    ],
+    "l2t_lnk": [
+        disk_row(both(LINKED_FILE, gate), "file", action, "l2t_lnk", file_at(made("link")) | {"link_target": inner("link_target"), "user": account(made_first("user", "home", "link_home"))}, inners(*LINK_NATIVE, lnk_file="display_name", link_target_raw="link_target"))
+        for action, gate in MOMENTS.items()
+    ],
+    "l2t_recyclebin": [disk_row(both(typed_as("windows:metadata:deleted_item"), stamped("(?i)deletion")), "file", "delete", "l2t_recyclebin", file_at(inner("original_filename")) | {"user": account(made_first("user", "deleted_home")), "uid": part_of(inner("display_name"), r"(?i)\$Recycle\.Bin[/\\](S-1-[0-9-]+)")}, inners("data_type", "file_size", "record_index", "drive_number", *PROVENANCE, artefact_file="display_name", artefact_sha256="sha256_hash"))],
+    "l2t_srum": [
+        disk_row(typed_as("windows:srum:network_usage"), "flow", "message", "l2t_srum/network_usage", used_by(inner("application"), made("device"), inner("user_identifier"), "uid") | inners(in_bytes="bytes_received", out_bytes="bytes_sent"), inners(*USAGE_NATIVE), host=const(""), name=None),
+        disk_row(typed_as("windows:srum:application_usage"), "process", "create", "l2t_srum/application_usage", used_by(inner("application"), made("device"), inner("user_identifier"), "sid"), inners(*USAGE_NATIVE, "foreground_cycle_time", "foreground_bytes_read", "foreground_bytes_written", "face_time"), host=const(""), name=None),
+    ],
+    "l2t_msiecf": [disk_row(both(typed_as("msiecf:url"), lambda r: F.contains(r.inner("timestamp_desc"), F.lit("Last Visited"))), "http", "get", "l2t_msiecf", visited(made("visited")), inners("data_type", "number_of_hits", raw_url="url", artefact_file="display_name"))],
+    "l2t_firefox_cache": [disk_row(typed_as("firefox:cache:record"), "http", lambda r: markers.map_value(r.inner("request_method"), {"GET": "get", "POST": "post", "PUT": "put"}, upper=True), "l2t_firefox_cache", visited(made("cached")) | {"response_status_code": lambda r: markers.hex_int(markers.regex1(r.inner("response_code"), r"\s(\d{3})\s"))}, inners("data_type", "fetch_count", "data_size", artefact_file="display_name"))],
+    "l2t_firefox_places": [disk_row(typed_as("firefox:places:page_visited", "chrome:history:page_visited", "chrome:history:file_downloaded"), "http", "get", "l2t_firefox_places", visited(inner("url")) | {"request_referrer": either(part_of(inner("from_visit"), r"^(\S+)"), inner("from_visit")), "response_body_bytes": inner("received_bytes")}, inners("data_type", "title", "visit_count", "visit_type", "typed", "total_bytes", "full_path", artefact_file="display_name"))],
+    "l2t_javaidx": [disk_row(typed_as("java:download:idx"), "http", "get", "l2t_javaidx", visited(inner("url")), inners("data_type", "ip_address", "idx_version", artefact_file="display_name"))],
+    "esedump_srum": [
+        Variant(lambda r: r("TableAlias") == "NetworkDataUsage", "flow", const("message"), record_guid("flow", "AppId", "UserId", "InterfaceLuid", "TimeStamp", "BytesSent", "BytesRecvd"), of("TimeStamp"), used_by(of("AppIdName"), part_of(of("AppIdName"), DEVICE_PATH), of("UserIdName"), "uid") | {"in_bytes": of("BytesRecvd"), "out_bytes": of("BytesSent")}, keep=(*USAGE_KEEP, "InterfaceLuid", "L2ProfileId", "L2ProfileFlags", "BytesSent", "BytesRecvd")),
+        Variant(lambda r: r("TableAlias") == "ApplicationResourceUsage", "process", const("create"), record_guid("process", "AppId", "UserId", "TimeStamp"), of("TimeStamp"), used_by(of("AppIdName"), part_of(of("AppIdName"), DEVICE_PATH), of("UserIdName"), "sid"), keep=(*USAGE_KEEP, "ForegroundCycleTime", "BackgroundCycleTime", "FaceTime", "ForegroundBytesRead", "ForegroundBytesWritten", "BackgroundBytesRead", "BackgroundBytesWritten")),
+    ],
+    "jlecmd_dest": [Variant(lambda r: truthy(r("Path")), "file", const("read"), record_guid("file", "SourceFile", "EntryNumber"), of("LastModified"), file_at(of("Path")) | {"hostname": of("Hostname")}, host=of("Hostname"), keep=("AppId", "AppDescription", "InteractionCount", "CreatedOn", "EntryNumber", "MRUPosition", "Pinned", "MacAddress", "VolumeDroid", "SourceFile"))],
 }
 
 EVENT_LOG = ("evtx_security", "evtx_security_sessions", "evtx_process", "evtx_services", "evtx_sysmon", "evtx_bits", "evtx_rdp", "evtx_more")

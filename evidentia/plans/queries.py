@@ -367,7 +367,7 @@ def indicator_match(spark, sf_dir):
     return found.select("p_partkey", "kind", "field", "value", "score")
 
 
-@query(f"""WITH h AS (SELECT o_orderkey, sha1(unhex('{ids.NAMESPACE.hex}') || encode('{{"_obj":"order","_v":"1","customer":"' || o_custkey || '","key":"' || o_orderkey || '"}}')) AS h FROM orders)
+@query(f"""WITH h AS (SELECT o_orderkey, sha1(unhex('{ids.NAMESPACE.hex}') || encode('{{"_obj":"order","_v":1,"customer":"' || o_custkey || '","key":"' || o_orderkey || '"}}')) AS h FROM orders)
     SELECT o_orderkey, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || substr('89ab89ab89ab89ab', strpos('0123456789abcdef', h[17:17]), 1) || h[18:20] || '-' || h[21:32] AS guid FROM h""")
 def spindle_uuid5(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", ids.minted("order", 1, {"key": F.col("o_orderkey"), "customer": F.col("o_custkey")}).alias("guid"))

@@ -77,10 +77,10 @@ def test_identities(spark):
     space = uuid.uuid5(uuid.NAMESPACE_DNS, "other.example")
     names = ["a", "ü", "", "long " * 50]
     assert values(spark, names, lambda v: ids.uuid5(v, space)) == [str(uuid.uuid5(space, n)) for n in names]
-    key = json.dumps({"_obj": "file", "_v": "1", "path": "C:\\x", "when": "t"}, sort_keys=True, separators=(",", ":"))
+    key = json.dumps({"_obj": "file", "_v": 1, "path": "C:\\x", "when": "t"}, sort_keys=True, separators=(",", ":"))
     made = lambda v: ids.minted("file", 1, {"when": F.lit("t"), "path": v}, {"line": F.lit(7)})
     got = values(spark, ["C:\\x", "-"], made)
-    assert got[0] == str(uuid.uuid5(ids.NAMESPACE, key)) and got[1] == str(uuid.uuid5(ids.NAMESPACE, '{"_obj":"file","_v":"1","line":"7"}'))
+    assert got[0] == str(uuid.uuid5(ids.NAMESPACE, key)) and got[1] == str(uuid.uuid5(ids.NAMESPACE, '{"_obj":"file","_v":1,"line":"7"}'))
     assert values(spark, ["x", None, ""], lambda v: ids.fields_guid("flow", v, F.lit(1))) == ["flow-x-1", None, "flow--1"]
     assert values(spark, ["00:1A:2b:3c:4d:5e and 01-00-5e-00-00-fb"], ids.mac_addresses) == [["00:1a:2b:3c:4d:5e"]]
     assert values(spark, ["\\\\?\\Volume{AABBCCDD-0000-1111-2222-333344445555}\\x"], ids.volume_guids) == [["aabbccdd-0000-1111-2222-333344445555"]]
