@@ -15,10 +15,10 @@ NAMESPACE = uuid.uuid5(uuid.NAMESPACE_DNS, "evidentia.example")
 
 
 def uuid5(name: Column, namespace: uuid.UUID = NAMESPACE) -> Column:
-    """Version 5 UUID of a text, with built-in functions."""
+    """Version 5 UUID of a text, with built-in functions; null of none."""
     h = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(name, "UTF-8")))
     variant = F.substring(F.lit("89ab89ab89ab89ab"), (F.conv(F.substring(h, 17, 1), 16, 10).cast("int") + 1), F.lit(1))
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    return F.when(name.isNotNull(), F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12)))
 
 
 def canonical_json(values: Mapping[str, Column]) -> Column:

@@ -48,7 +48,7 @@ def test_fixed_tables(spark):
     assert all(r.v == r.got for r in rows.withColumn("got", graph.verb_of(F.col("o"), F.col("a"))).collect())
     logs = ["evtx_security", "evtx_security_sessions", "evtx_process", "evtx_services", "evtx_sysmon", "evtx_bits", "evtx_rdp", "evtx_more"]
     assert maps.route("20240101_EvtxECmd_Output.json") == maps.route("goevtx.jsonl") == logs
-    assert [maps.route(n) for n in ("a.L2tSyslog", "x.L2tUtmpx", "gomft.jsonl", "weird.json", "1_RECmd_Batch_x.json", "Security.json")] == [["l2t_text"], ["l2t_utmp"], [], [], ["recmd_batch"], []]
+    assert [maps.route(n) for n in ("a.L2tSyslog", "x.L2tUtmpx", "gomft.jsonl", "weird.json", "1_RECmd_Batch_x.json", "Security.json")] == [["plaso_exec_cron", "l2t_text"], ["l2t_utmp"], [], [], ["recmd_batch"], []]
 
 
 def test_text_markers(spark):
