@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.llm import bpe, toxicity
+from evidentia.llm.audit import audit_filters
 from evidentia.llm.common import read, text_or_empty
+from evidentia.llm.exact import deduplicate
 from evidentia.llm.mixing import BUDGET_PERCENT, DOMAIN_WEIGHTS, EPOCHS, LANG_WEIGHTS, SEED, mix_sources
 from evidentia.llm.neardup import near_duplicates
 from evidentia.llm.repeats import LENGTH, remove_repeats
@@ -16,6 +18,7 @@ from evidentia.llm.secrets import BASE, scan_secrets
 from evidentia.llm.sharding import shard_documents
 from evidentia.llm.spotsigs import fingerprint_with_edit
 from evidentia.llm.topk import top_k
+from evidentia.llm.variants import spelling_variants
 from evidentia.llm.wrappers import extract_text
 
 
@@ -77,6 +80,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate(spark, f"{sf_dir}/documents.parquet")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def _case(column: str, weights: dict[str, int]) -> str:
     return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 1 END"
 
@@ -124,9 +139,53 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+OP12_SQL = r"""
+WITH rows_ AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS body FROM documents),
+ranked AS (
+    SELECT doc_id, body, count(*) OVER (PARTITION BY body) AS group_size,
+        first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS place
+    FROM rows_ WINDOW w AS (PARTITION BY body ORDER BY length(t) DESC, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT doc_id, keep_id, group_size::BIGINT AS group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM ranked
+"""
+
+
+OP13_SQL = r"""
+WITH words AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+told AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t))::INT
+        + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(words.doc_id > min(words.doc_id) OVER (PARTITION BY t), false)::INT AS pattern
+    FROM words LEFT JOIN told ON words.doc_id = told.doc_id),
+counts AS (SELECT part, pattern, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM failed GROUP BY part, pattern),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS b),
+orders AS (
+    SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+    FROM letters a, letters b, letters c, letters d, letters e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND a.b | b.b | c.b | d.b | e.b = 31),
+steps AS (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step, bits FROM orders),
+bits AS (SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS gone FROM steps),
+figures AS (
+    SELECT part, filter_order, step, own,
+        sum(CASE WHEN pattern & (own | gone) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN pattern & own > 0 AND pattern & gone = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN pattern & own > 0 AND pattern & gone > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN pattern = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN pattern & own > 0 AND pattern & gone = 0 THEN n_good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN pattern & own > 0 AND pattern & gone = 0 THEN n_toxic ELSE 0 END)::BIGINT AS toxic_lost
+    FROM counts, bits GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM figures
+"""
+
+
+QUERIES = [
+    op1_repeats, op2_toxicity, op3_fingerprints, op4_top_k, op5_sharding, op6_secrets, op7_bpe, op8_main_text, op9_near_duplicates, op10_mixing,
+    op11_spelling_variants, op12_exact_duplicates, op13_filter_audit,
+]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_repeats": op1_repeats, "op2_toxicity": op2_toxicity, "op3_fingerprints": op3_fingerprints, "op4_top_k": op4_top_k, "op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_bpe": op7_bpe, "op8_main_text": op8_main_text, "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_top_k": OP4_SQL, "op10_mixing": OP10_SQL}
+    return {"op4_top_k": OP4_SQL, "op10_mixing": OP10_SQL, "op12_exact_duplicates": OP12_SQL, "op13_filter_audit": OP13_SQL}
