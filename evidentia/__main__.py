@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import argparse
-from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from evidentia.plans import build, maps
+from evidentia.plans import build
+from evidentia.sources import discover
 
 
 def main() -> int:
     parser = argparse.ArgumentParser(prog="evidentia")
     verbs = parser.add_subparsers(dest="verb", required=True)
-    one = verbs.add_parser("build", help="folder/<source>/<file> to tables of events and edges")
+    one = verbs.add_parser("build", help="folder/<source>/.../<file> to tables of events and edges")
     one.add_argument("folder")
     one.add_argument("out")
     two = verbs.add_parser("timeline", help="ordered entries of a built case, as JSON lines")
@@ -24,8 +24,7 @@ def main() -> int:
     given = parser.parse_args()
     spark = SparkSession.builder.appName("evidentia").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if given.verb == "build":
-        files = [(p.parent.name, str(p), None) for p in sorted(Path(given.folder).glob("*/*")) if p.is_file() and maps.route(p.name)]
-        build.build(spark, files, given.out)
+        build.build(spark, discover.files(spark, given.folder), given.out)
     else:
         events, edges = spark.read.parquet(f"{given.out}/events"), spark.read.parquet(f"{given.out}/edges")
         build.timeline(events, edges, given.host, given.after, given.before).write.mode("overwrite").json(given.to)

@@ -15,9 +15,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from evidentia.functions.blanks import nb, two_valued
-from evidentia.functions.ids import canonical_json, uuid5
+from evidentia.functions.ids import canonical_json, sha1_of_name, uuid_of_sha1
 
-#: Fixed value: the namespace of these identities.
+#: Fixed value: the namespace of these identities, itself the version 5 UUID of a name of their registry.
 SPACE = uuid.UUID("afab0259-176f-58d2-9e88-8f508fb46232")
 VERSION = 1
 INTRINSIC, POSITIONAL = "intrinsic", "positional"
@@ -83,8 +83,12 @@ def stamps(name: str, value: Callable[[str], Column], place: Callable[[str], Col
     return {KEY: F.coalesce(own, fallback), SCOPE: scope, PLACE: F.to_json(F.struct(*(F.coalesce(place(k), F.lit("")).alias(k) for k in POSITION)))}
 
 
+def hash_of(key: Column) -> Column:
+    return sha1_of_name(key, SPACE)
+
+
 def guid_of(key: Column) -> Column:
-    return uuid5(key, SPACE)
+    return uuid_of_sha1(hash_of(key))
 
 
 def known_keys(artefact: Column, kind: Column, names: Column) -> Column:

@@ -14,11 +14,21 @@ from evidentia.functions.blanks import nb, unidentified
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_DNS, "evidentia.example")
 
 
+def sha1_of_name(name: Column, namespace: uuid.UUID = NAMESPACE) -> Column:
+    return F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(name, "UTF-8")))
+
+
+def uuid_of_sha1(h: Column) -> Column:
+    """The version 5 UUID that a hash makes; null of none. Every part can be null alone, so that the hash is made once."""
+    part = lambda start, size: F.substring(h, start, size)
+    variant = F.substring(F.lit("89ab89ab89ab89ab"), F.conv(part(17, 1), 16, 10).cast("int") + 1, F.lit(1))
+    dash = F.lit("-")
+    return F.concat(part(1, 8), dash, part(9, 4), dash, F.lit("5"), part(14, 3), dash, variant, part(18, 3), dash, part(21, 12))
+
+
 def uuid5(name: Column, namespace: uuid.UUID = NAMESPACE) -> Column:
     """Version 5 UUID of a text, with built-in functions; null of none."""
-    h = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(name, "UTF-8")))
-    variant = F.substring(F.lit("89ab89ab89ab89ab"), (F.conv(F.substring(h, 17, 1), 16, 10).cast("int") + 1), F.lit(1))
-    return F.when(name.isNotNull(), F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12)))
+    return uuid_of_sha1(sha1_of_name(name, namespace))
 
 
 def canonical_json(values: Mapping[str, Column]) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from evidentia.functions.blanks import present
 
+#: Microseconds from the start of the year one to that of 1970.
+EPOCH_MICROS = 62_135_596_800_000_000
 
 def same(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> Column:
     """Null-safe equality of several keys (name on the left: name on the right)."""
@@ -35,28 +37,86 @@ def inherit(rows: DataFrame, owner: str, fields: dict[str, str]) -> DataFrame:
     return rows.withColumns({own: F.coalesce(present(F.col(own)), F.col(f"{owner}.{theirs}")) for theirs, own in fields.items()})
 
 
+#: A key is hot with more than one row in so many, and is then cut into this many stretches of time.
+HOT_SHARE, STRETCHES = 1000, 64
+
+
+def last_seen(stream: DataFrame, keys: list[str], at: str, order: list[str], values: dict[str, Column]) -> DataFrame:
+    """``stream`` with, of each value, the last one that is not null up to the row, in the order of ``order`` within its keys.
+
+    ``at`` is the first column of the order, a long. The rows of hot keys, of which there are fewer than HOT_SHARE, are dealt by
+    stretches of it, at quantiles of the key; what was last before a stretch is carried into it. ``stream`` is read several times.
+    """
+    sizes = stream.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total = sizes.agg(F.sum("_rows").alias("n")).first().n or 0
+    hot = sizes.where(F.col("_rows") * HOT_SHARE > total).where(F.col("_rows") > STRETCHES * STRETCHES).drop("_rows")
+    steps = F.array(*(F.lit(k / STRETCHES) for k in range(1, STRETCHES)))
+    of_hot = stream.join(F.broadcast(hot), same(stream, hot, {k: k for k in keys}), "left_semi")
+    cuts = of_hot.groupBy(*keys).agg(F.percentile_approx(at, steps, F.lit(1000)).alias("_cuts"))
+    cuts = cuts.select(*(F.col(k).alias(f"_c_{k}") for k in keys), "_cuts")
+    dealt = stream.join(F.broadcast(cuts), same(stream, cuts, {k: f"_c_{k}" for k in keys}), "left").drop(*(f"_c_{k}" for k in keys))
+    dealt = dealt.withColumn("_stretch", F.when(F.col("_cuts").isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(at))))).withColumns({f"_v_{n}": v for n, v in values.items()})
+    within = Window.partitionBy(*keys, "_stretch").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = dealt.withColumns({n: F.last(f"_v_{n}", ignorenulls=True).over(within) for n in values})
+    # the last value of every stretch of the hot keys, and from these what each stretch begins with
+    place = F.struct(*order)
+    ends = dealt.where("_stretch >= 0").groupBy(*keys, "_stretch").agg(*(F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), place)).alias(n) for n in values))
+    earlier = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*(F.col(k).alias(f"_c_{k}") for k in keys), F.col("_stretch").alias("_c_stretch"), *(F.last(n, ignorenulls=True).over(earlier).alias(f"_b_{n}") for n in values))
+    out = own.join(F.broadcast(carried), same(own, carried, {k: f"_c_{k}" for k in keys} | {"_stretch": "_c_stretch"}), "left")
+    return out.select(*stream.columns, *(F.coalesce(n, f"_b_{n}").alias(n) for n in values))
+
+
+#: Bits of a time in microseconds since the year one.
+LEVELS = 60
+
+
+def innermost(points: DataFrame, spans: DataFrame, keys: list[str], at: str, start: str, end: str, take: Column, order: Column) -> DataFrame:
+    """``points`` whose time lies in a span of their keys, with ``taken`` of the span that comes last by ``order``.
+
+    A span is a few aligned stretches, each of a power of two, and a time lies in one stretch of each size, so that this is an
+    equi-join: rows are made only of spans that hold the point. ``at``, ``start`` and ``end`` are longs, of 0 at least.
+    """
+    level = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))
+    cut = spans.select(*keys, F.col(start), F.col(end), take.alias("_take"), order.alias("_order"), level.alias("_level"))
+    shifted = lambda c: F.call_function("shiftright", c, F.col("_level"))
+    width = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_level"))
+    first, last = shifted(F.col(start) + width - 1), shifted(F.col(end) + 1) - 1
+    ends = F.array_compact(F.array(F.when((first <= last) & (first % 2 == 1), first), F.when((first <= last) & (last % 2 == 0), last)))
+    parts = cut.select(*(F.col(k).alias(f"_k_{k}") for k in keys), "_take", "_order", F.col("_level").alias("_k_level"), F.explode(ends).alias("_k_part"))
+    asked = points.withColumn("_level", level).withColumn("_part", shifted(F.col(at)))
+    met = asked.join(parts, same(asked, parts, {k: f"_k_{k}" for k in keys} | {"_level": "_k_level", "_part": "_k_part"}))
+    return met.groupBy(*points.columns).agg(F.max_by("_take", "_order").alias("taken"), F.max("_order").alias("taken_order"))
+
+
 def owner_as_of(spokes: DataFrame, creates: DataFrame, keys: list[str], guid: str = "guid", at: str = "ts", ended: str = "exit_ts", row: str = "row_id", seq: str = "seq") -> DataFrame:
     """``spokes`` with ``owning_guid``: the latest create of the same keys at or before the spoke that had not ended.
 
-    The latest create before each spoke comes from one pass over the union of both, sorted by time: nothing is joined
-    per pair, so a key that is used over and over costs no more than its rows. Only spokes whose latest create had
-    ended already are joined with the earlier ones. A create without a time counts as the earliest; a spoke without a
-    time is linked only to a lone create of its keys.
+    The latest create before each spoke, and the latest without an end, come from one pass over the union of both, sorted by
+    time. If the latest had ended already, the spoke goes to what is later of the latest one without an end and of the
+    creates with an end in whose lifetimes it lies. Nothing is compared per pair, and hot keys are cut by time. A create without
+    a time counts as the earliest; a spoke without a time is linked only to a lone create of its keys.
     """
-    made = creates.select(*keys, F.coalesce(at, F.lit("0001-01-01").cast("timestamp")).alias("_at"), F.col(ended).alias("_end"), F.col(guid).alias("_guid"), F.col(seq).alias("_seq"))
+    clock = lambda c: F.unix_micros(c) + EPOCH_MICROS
+    made = creates.select(*keys, F.coalesce(clock(F.col(at)), F.lit(0).cast("long")).alias("_at"), clock(F.col(ended)).alias("_end"), F.col(guid).alias("_guid"), F.col(seq).alias("_seq"))
     create = F.struct("_at", "_seq", "_guid", "_end")
-    timed = spokes.where(F.col(at).isNotNull())
-    stream = made.select(*keys, "_at", F.lit(0).alias("_kind"), "_seq", create.alias("_made"), F.lit(None).cast(spokes.schema[row].dataType).alias(row)).unionByName(
-        timed.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(made.schema["_seq"].dataType).alias("_seq"), F.lit(None).cast(made.select(create.alias("c")).schema["c"].dataType).alias("_made"), row)
+    timed = spokes.where(F.col(at).isNotNull()).select(*keys, clock(F.col(at)).alias("_at"), row)
+    nothing = lambda of, c: F.lit(None).cast(of.schema[c].dataType)
+    born = made.withColumn("_made", create)
+    stream = born.select(*keys, "_at", F.lit(0).alias("_kind"), "_seq", "_made", nothing(spokes, row).alias(row)).unionByName(
+        timed.select(*keys, "_at", F.lit(1).alias("_kind"), nothing(made, "_seq").alias("_seq"), nothing(born, "_made").alias("_made"), row)
     )
-    order = Window.partitionBy(*keys).orderBy("_at", "_kind", "_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    latest = stream.withColumn("_last", F.last("_made", ignorenulls=True).over(order)).where("_kind = 1").select(row, *keys, "_at", "_last")
-    alive = F.col("_last").isNotNull() & (F.col("_last._end").isNull() | (F.col("_last._end") >= F.col("_at")))
-    direct = latest.where(alive).select(row, F.col("_last._guid").alias("owning_guid"))
-    gone = latest.where(F.col("_last").isNotNull() & ~alive).select(row, *keys, F.col("_at").alias("_t"))
-    on = same(gone, made, {k: k for k in keys}) & (made["_at"] <= gone["_t"]) & (made["_end"].isNull() | (made["_end"] >= gone["_t"]))
-    # open-ended or long-lived creates behind one that has ended: rows only where such a create exists
-    earlier = gone.join(made, on).groupBy(row).agg(F.max_by("_guid", F.struct("_at", "_seq")).alias("owning_guid"))
+    seen = last_seen(stream, keys, "_at", ["_at", "_kind", "_seq"], {"_last": F.col("_made"), "_open": F.when(F.col("_made._end").isNull(), F.col("_made"))}).where("_kind = 1")
+    alive = F.col("_last._end").isNull() | (F.col("_last._end") >= F.col("_at"))
+    latest = seen.where("_last IS NOT NULL").select(row, *keys, "_at", "_last", "_open", alive.alias("_alive"))
+    direct = latest.where("_alive").select(row, F.col("_last._guid").alias("owning_guid"))
+    gone = latest.where("NOT _alive").select(row, *keys, "_at", F.struct("_open._at", "_open._seq").alias("_open_order"), F.col("_open._guid").alias("_open_guid"))
+    some = gone.select(*keys).distinct()
+    closed = made.where("_end IS NOT NULL AND _end >= _at").join(some, same(made, some, {k: k for k in keys}), "left_semi")
+    within = innermost(gone.select(row, *keys, "_at"), closed, keys, "_at", "_at", "_end", F.col("_guid"), F.struct("_at", "_seq")).select(F.col(row).alias("_in"), "taken", "taken_order")
+    both = gone.join(within, gone[row] == within["_in"], "left")
+    later = F.col("taken_order").isNotNull() & (F.col("_open_order._at").isNull() | (F.col("taken_order") > F.col("_open_order")))
+    earlier = both.select(row, F.when(later, F.col("taken")).otherwise(F.col("_open_guid")).alias("owning_guid"))
     lone = made.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_guid").alias("owning_guid")).where("_n = 1").drop("_n")
     untimed = spokes.where(F.col(at).isNull()).select(row, *keys)
     single = untimed.join(lone, same(untimed, lone, {k: k for k in keys})).select(untimed[row], lone["owning_guid"])

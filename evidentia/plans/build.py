@@ -14,24 +14,33 @@ from evidentia.functions.markers import hex_int, user_canon
 from evidentia.operators import graph, joins
 from evidentia.plans import maps
 from evidentia.plans.model import FIELDS, FLOW_INHERITS, OWNER_INHERITS, PARENT_INHERITS
-from evidentia.plans.tables import written
+from evidentia.plans.tables import shared_folder, written
 from evidentia.sources import jsonl
 
 
 def parse(spark: SparkSession, files: list[tuple[str, str, str | None]]) -> DataFrame:
-    """Events of (source, path, default host) files, each by the maps of its name; files of equal maps are one scan."""
-    groups: dict[tuple[str, ...], list[tuple[str, str, str | None]]] = {}
+    """Events of (source, path, default host) files, each by the maps of its name; files of equal maps are one scan.
+
+    A .jsonl file without a route is taken for a container of many parsers' records and split into a table for each.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    parts = []
     for source, path, host in files:
-        if names := maps.route(path.rsplit("/", 1)[-1]):
-            groups.setdefault((*names, source, host or ""), []).append((source, path, host))
+        if names := maps.route(path):
+            groups.setdefault((*names, source, host or ""), []).append(path)
+        elif path.endswith(".jsonl") and not maps.known(path):
+            folder = shared_folder(spark, "container")
+            for table in jsonl.container_tables(spark, path, path.rsplit("/", 1)[-1], folder):
+                if names := maps.route(f".{table}"):
+                    parts.append((jsonl.read_container_table(spark, folder, table), names, source, host))
+    parts += [(jsonl.scan(spark, paths).drop("path"), list(names), source, host or None) for (*names, source, host), paths in groups.items()]
     out = None
-    for (*names, source, host), members in groups.items():
-        records = jsonl.scan(spark, [p for _, p, _ in members]).withColumn("source", F.lit(source))
-        events = maps.apply(records, {n: maps.MAPS[n] for n in names}, host or None)
+    for records, names, source, host in parts:
+        events = maps.mapped(records.withColumn("source", F.lit(source)), names, host)
         out = events if out is None else out.unionByName(events)
     if out is None:
         raise ValueError("no file has a map")
-    return out.drop("path").withColumn("ts", times.parse_ts(F.col("timestamp"))).withColumn("row_id", row_identity())
+    return out.withColumn("ts", times.parse_ts(F.col("timestamp"))).withColumn("row_id", row_identity())
 
 
 def row_identity() -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from evidentia.functions import identities, ids, markers, times
 from evidentia.functions.blanks import nb, truthy, two_valued
 from evidentia.plans.model import FIELDS, HEADER
+from evidentia.sources import adapters
 
 Value = Callable[["Record"], Column]
 #: Fixed value: a program by the device that it lies on.
@@ -146,8 +147,9 @@ def apply(records: DataFrame, maps: Mapping[str, list[Variant]], default_host: s
     wide = records.withColumns(markers.parsed(r("Payload")) | {"record_inner": F.try_variant_get(record, '$["Record"]', "map<string,string>")})
     wide = wide.withColumns(r.paths())
     out = wide.select(*others, F.explode(rows).alias("e")).select(*others, "e.*")
-    minted = identities.guid_of(F.try_element_at("native", F.lit(identities.KEY)))
-    return out.withColumns({"source_host": F.coalesce("source_host", F.lit(default_host).cast("string")), "guid": F.coalesce("guid", minted)})
+    # a column of its own: the parts of an identity share its hash
+    out = out.withColumn("_hash", identities.hash_of(F.try_element_at("native", F.lit(identities.KEY))))
+    return out.withColumns({"source_host": F.coalesce("source_host", F.lit(default_host).cast("string")), "guid": F.coalesce("guid", identities.uuid_of_sha1(F.col("_hash")))}).drop("_hash")
 
 
 def widened(events: DataFrame, kind: str) -> DataFrame:
@@ -435,6 +437,7 @@ def binary(gate: Value, stamp: str | None) -> Variant:
     return disk_row(both(BINARY, gate), "file", "create", "plaso_pecoff", file_at(made("typed")) | {"sha256_hash": lowered(inner("sha256_hash"))}, told, timestamp=nothing)
 
 
+#: Channels, event numbers, keys and actions of each map.
 MAPS: dict[str, list[Variant]] = {
     "evtx_security": [
         Variant(event("Security", 4624), "authentication", const("success"), windows_guid("authentication"), props=AUTHENTICATION, native=AUTHENTICATION_NATIVE, owning_pid=data("ProcessId"), **WINDOWS),
@@ -555,6 +558,33 @@ ROUTES = [
 ]
 
 
-def route(name: str) -> list[str]:
-    """The maps for a file, of those that there are; none for an unknown or a raw one."""
-    return [m for m in next((names for pattern, names in ROUTES if pattern in name), ()) if m in MAPS]
+#: Names of routes whose records are brought into another shape first: how, and the maps that then read them.
+ADAPTERS: dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...]]] = {
+    "l2t_winevt": (adapters.winevt, EVENT_LOG),
+    "jlecmd_dest": (adapters.jump_lists, ("jlecmd_dest",)),
+}
+
+
+def pattern_of(path: str) -> tuple[str, tuple[str, ...]] | None:
+    """The first pattern that the file's name contains. A .jsonl file that is named for its asset goes by its folder's name."""
+    folder, _, name = path.rpartition("/")
+    tried = [name, folder.rpartition("/")[2] + ".jsonl"] if name.endswith(".jsonl") else [name]
+    return next(((pattern, names) for n in tried for pattern, names in ROUTES if pattern in n), None)
+
+
+def known(path: str) -> bool:
+    return pattern_of(path) is not None
+
+
+def route(path: str) -> list[str]:
+    """The maps, or the adapter, for a file; none for an unknown or a raw one."""
+    found = pattern_of(path)
+    return [m for m in found[1] if m in MAPS or m in ADAPTERS] if found else []
+
+
+def mapped(records: DataFrame, names: list[str], default_host: str | None = None) -> DataFrame:
+    """Events of the records of a file with these routes."""
+    if len(names) == 1 and names[0] in ADAPTERS:
+        adapt, read = ADAPTERS[names[0]]
+        return apply(adapt(records), {n: MAPS[n] for n in read}, default_host)
+    return apply(records, {n: MAPS[n] for n in names}, default_host)

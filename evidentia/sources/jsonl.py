@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evidentia.plans.model import FIELDS, conform, schema
+from evidentia.plans.tables import written
 
 
 def scan(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -36,21 +34,20 @@ def field(name: str, kind: str = "string", record: str = "record") -> Column:
     return F.try_variant_get(record, f'$["{name}"]', kind)
 
 
-def numbered(spark: SparkSession, path: str) -> DataFrame:
-    """(path, record_id, line) of containers; the number is that of the physical line, skipped lines counted.
+def numbered(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, record_id, line) of the lines of containers that are not blank; the number is that of the physical line.
 
-    A file is one task, read as a stream of its bytes.
+    Lines end with \\n, \\r\\n or \\r, and blank ones count. A file is read in splits: a line's number is its place in its split
+    plus the lines of the splits before it. Bytes that are no UTF-8 become replacement characters.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                kept = [(k, line.strip()) for k, line in enumerate(content.decode("utf-8", "replace").split("\n"), 1) if line.strip()]
-                for at in range(0, len(kept), 10_000):
-                    part = kept[at : at + 10_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array([k for k, _ in part], pa.int64()), pa.array([x for _, x in part])], ["path", "record_id", "line"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, record_id long, line string")
+    at = {"path": F.col("_metadata.file_path"), "split": F.col("_metadata.file_block_start"), "place": F.monotonically_increasing_id()}
+    # a table, so that the places are those that were counted, however later jobs would cut the files
+    lines = written(spark.read.text(path).select(*(v.alias(k) for k, v in at.items()), F.make_valid_utf8("value").alias("line")))
+    splits = lines.groupBy("path", "split").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("path", "split", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"))
+    kept = lines.withColumn("line", F.regexp_replace("line", r"^[\s\u0085\u00a0\u2028\u2029\u001c-\u001f]+|[\s\u0085\u00a0\u2028\u2029\u001c-\u001f]+$", "")).where("line <> ''")
+    return kept.join(starts, ["path", "split"]).select("path", (F.col("place") + F.col("shift")).alias("record_id"), "line")
 
 
 def parser_table(parser: Column) -> Column:
@@ -70,6 +67,23 @@ def wrap_container(lines: DataFrame, image: str) -> DataFrame:
     return parsed.select(F.lit(image).alias("source_image"), "record_id", parser.alias("parser"), parser_table(parser).alias("table"), stamp.alias("timestamp"), "record")
 
 
+def container_tables(spark: SparkSession, path: str, image: str, folder: str) -> list[str]:
+    """Write a container's rows below ``folder``, a table for each parser, as the maps of the tables read them; their names.
+
+    A row is (record): SourceImage, RecordId, Parser, Timestamp and, as Record, what the container's line has. Lines that are no
+    objects, or wrapped already, are left out.
+    """
+    rows = wrap_container(numbered(spark, path), image)
+    bare = F.schema_of_variant("record").startswith("OBJECT") & F.try_variant_get("record", "$.data_type", "variant").isNotNull() & F.try_variant_get("record", "$.Record", "variant").isNull()
+    row = F.struct(F.col("source_image").alias("SourceImage"), F.col("record_id").alias("RecordId"), F.coalesce("parser", F.lit("unknown")).alias("Parser"), F.col("timestamp").alias("Timestamp"), F.col("record").alias("Record"))
+    rows.where(bare).select("table", F.to_variant_object(row).alias("record")).write.mode("overwrite").partitionBy("table").parquet(folder)
+    return [r.table for r in spark.read.parquet(folder).select("table").distinct().collect()]
+
+
+def read_container_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spark.read.parquet(folder).where(F.col("table") == table).drop("table")
+
+
 def write_tree(events: DataFrame, path: str) -> None:
     """A folder of JSON lines for each object, with all columns of the object, nulls too."""
     for kind in FIELDS:
