@@ -29,6 +29,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # many small stores would each reserve some megabytes of disk ahead
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 CHANGED = "digest binary, group_size long, best struct<chars: long, back: long, doc_id: long, file: string, row: long>"
 Digest = Callable[[Column], Column]
