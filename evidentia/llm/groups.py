@@ -22,7 +22,9 @@ def with_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread:
     facts = F.struct(*(c for c in groups.columns if c != key))
     is_hot = F.col(size) * HOT_SHARE > total
     hot = groups.where(is_hot).select(key, facts.alias("_hot"))
-    cold = groups.where(~is_hot).select(key, F.lit(0).cast("long").alias("_deal"), facts.alias("_cold"))
+    # no plain constant: the optimizer would take it for a condition on the rows and deal them by the key alone
+    none = F.when(F.col(size) > 0, F.lit(0).cast("long"))
+    cold = groups.where(~is_hot).select(key, none.alias("_deal"), facts.alias("_cold"))
     dealt = F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), 0).otherwise(F.shiftrightunsigned(F.xxhash64(*spread), 1) + 1)
     marked = rows.join(F.broadcast(hot), key, "left").withColumn("_deal", dealt)
     joined = marked.join(cold, [key, "_deal"], "left").withColumn("_facts", F.coalesce("_hot", "_cold"))
