@@ -45,20 +45,48 @@ def reconstruct(references: DataFrame, observed: DataFrame, keys: list[str], rul
     return missing_references(references, observed, keys).groupBy(*keys).agg(F.array_sort(F.collect_set(rule)).alias("rules"), F.count("*").alias("references"), F.min(at).alias("first_seen"), F.max(at).alias("last_seen"))
 
 
-def content_nodes(rows: DataFrame, identity: str, at: str, properties: list[str]) -> DataFrame:
-    """A node for each identity value: references, first and last time, and the values of its properties."""
-    return rows.where(F.coalesce(F.col(identity), F.lit("")) != "").groupBy(identity).agg(
-        F.count("*").alias("ref_count"), F.min(at).alias("first_seen"), F.max(at).alias("last_seen"), *(F.slice(F.array_sort(F.collect_set(p)), 1, LISTED).alias(p) for p in properties)
-    )
+def first_values(said: DataFrame, keys: list[str], prop: str, value: str, order: str, limit: int = LISTED) -> DataFrame:
+    """(keys, values): of each property its first different values by ``order``, ``limit`` at most, as arrays by name.
 
+    The values are made different, and ranked, by aggregations and a limited rank that both work before the shuffle; only what
+    is listed is collected.
+    """
+    distinct = said.where(F.col(value).isNotNull()).groupBy(*keys, prop, value).agg(F.min(order).alias("_at"))
+    ranked = distinct.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, prop).orderBy("_at", value))).where(F.col("_r") <= limit)
+    lists = ranked.groupBy(*keys, prop).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", value))), lambda x: x[value]).alias("_values"))
+    return lists.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(prop, "_values")))).alias("values"))
 
-def converge(rows: DataFrame, tiers: list[tuple[str, Column]], row: str, source: str) -> DataFrame:
-    """(tier, join_key, sources, members) of keys that two or more sources share; a member set comes once, at its best tier."""
+
+def content_nodes(rows: DataFrame, identity: str, at: str, properties: list[str]) -> DataFrame:
+    """A node for each identity value: references, first and last time, and the smallest values of its properties, LISTED at most."""
+    named = rows.where(F.coalesce(F.col(identity), F.lit("")) != "")
+    nodes = named.groupBy(identity).agg(F.count("*").alias("ref_count"), F.min(at).alias("first_seen"), F.max(at).alias("last_seen"))
+    flat = F.array(*(F.struct(F.lit(p).alias("property"), F.col(p).alias("value")) for p in properties))
+    said = named.select(identity, F.explode(flat).alias("p")).select(identity, "p.*").withColumn("_at", F.lit(0))
+    lists = first_values(said, [identity], "property", "value", "_at")
+    empty = F.array().cast("array<string>")
+    return nodes.join(lists, identity, "left").select(identity, "ref_count", "first_seen", "last_seen", *(F.coalesce(F.try_element_at("values", F.lit(p)), empty).alias(p) for p in properties))
+
+
+def member_sets(rows: DataFrame, tiers: list[tuple[str, Column]], row: str, source: str) -> DataFrame:
+    """(tier, join_key, row, source): the rows that share a key over two sources or more, one row for each member.
+
+    Keys with the same members count once, at the best tier. Members are never gathered: a set is known by its number of
+    members and two sums of their hashes, whatever their order.
+    """
     keys = F.array_compact(F.array(*(F.when(k.isNotNull() & (k != ""), F.struct(F.lit(n).alias("rank"), F.lit(t).alias("tier"), k.alias("join_key"))) for n, (t, k) in enumerate(tiers))))
     long = rows.select(row, source, F.explode(keys).alias("k")).select(row, source, "k.*")
-    groups = long.groupBy("rank", "tier", "join_key").agg(F.array_sort(F.collect_set(source)).alias("sources"), F.array_sort(F.collect_set(row)).alias("members")).where(F.size("sources") >= 2)
-    best = groups.groupBy("members").agg(F.min_by(F.struct("tier", "join_key", "sources"), F.struct("rank", "join_key")).alias("b"))
-    return best.select("b.tier", "b.join_key", "b.sources", "members")
+    by = ["rank", "tier", "join_key"]
+    members = long.groupBy(*by, row).agg(F.min(source).alias("_low"), F.max(source).alias("_high"))
+    digest = lambda seed: F.sum(F.xxhash64(F.lit(seed), F.col(row)).cast("decimal(38,0)"))
+    sets = members.groupBy(*by).agg(F.count("*").alias("n"), digest(1).alias("s1"), digest(2).alias("s2"), F.min("_low").alias("low"), F.max("_high").alias("high")).where("low <> high")
+    best = sets.groupBy("n", "s1", "s2").agg(F.min(F.struct(*by)).alias("b")).select("b.*")
+    return long.join(best, by).select("tier", "join_key", row, source).distinct()
+
+
+def converge(rows: DataFrame, tiers: list[tuple[str, Column]], row: str, source: str) -> DataFrame:
+    """(tier, join_key, sources, members) of ``member_sets``, each set in one row: for reports on keys of few members."""
+    return member_sets(rows, tiers, row, source).groupBy("tier", "join_key").agg(F.array_sort(F.collect_set(source)).alias("sources"), F.array_sort(F.collect_set(row)).alias("members"))
 
 
 def merged_properties(rows: DataFrame, group: str, properties: list[str], order: str) -> DataFrame:
@@ -91,8 +119,3 @@ def timeline(objects: list[tuple[str, DataFrame]], host: str | None = None, afte
     for test in ([F.col("host") == host] if host else []) + ([F.col("ts") >= F.lit(after).cast("timestamp")] if after else []) + ([F.col("ts") < F.lit(before).cast("timestamp")] if before else []):
         every = every.where(test)
     return every.orderBy("ts", F.col("kind") == "relationship", "object", "guid", "detail")
-
-
-def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The newest version of each key."""
-    return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_r = 1").drop("_r")

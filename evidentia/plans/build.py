@@ -8,12 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.functions import times
-from evidentia.functions.ids import is_ip
-from evidentia.functions.markers import hex_int, user_canon
-from evidentia.operators import graph, joins
-from evidentia.plans import maps
-from evidentia.plans.model import FIELDS, FLOW_INHERITS, OWNER_INHERITS, PARENT_INHERITS
+from evidentia.functions import markers, times
+from evidentia.functions.blanks import present
+from evidentia.operators import fold, graph
+from evidentia.plans import derived, links, maps
+from evidentia.plans.model import ASSOCIATIONS, FIELDS
 from evidentia.plans.tables import shared_folder, written
 from evidentia.sources import jsonl
 
@@ -49,97 +48,62 @@ def row_identity() -> Column:
 
 
 def folded(events: DataFrame) -> DataFrame:
-    """One row for each event of a source: bags are merged, the first artefact wins, others are listed."""
+    """One row for each event of a source, see ``fold.merged``."""
     # several accesses of a process are told by what they were to and how
-    apart = {k: F.try_element_at("props", F.lit(k)) for k in ("target_guid", "access_level")}
+    apart = {f"_{k}": links.prop(k) for k in ("target_guid", "access_level")}
     keys = ["source", "source_host", "car_object", "guid", "car_action", *apart]
-    order = F.struct("timestamp", "source_artefact", "row_id")
-    entries = lambda c: F.sort_array(F.collect_list(F.struct("source_artefact", "row_id", F.map_entries(c).alias("m"))))
-    known, loose = events.where("guid IS NOT NULL"), events.where("guid IS NULL").withColumn("contributed_by", F.array("source_artefact"))
-    first = [c for c in events.columns if c not in (*keys, "props", "native")]
-    known = known.withColumns(apart)
-    together = known.groupBy(*keys).agg(
-        *(F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in first), entries("props").alias("_p"), entries("native").alias("_n"), F.array_sort(F.collect_set("source_artefact")).alias("contributed_by")
-    )
-    # of each entry of the bags the first contributor's value
-    bag = lambda c: F.map_from_entries(F.aggregate(F.transform(c, lambda x: x["m"]), F.array().cast("array<struct<key:string,value:string>>"), lambda s, m: F.concat(s, F.filter(m, lambda e: ~F.exists(s, lambda o: o["key"] == e["key"])))))
-    out = together.withColumns({"props": bag("_p"), "native": bag("_n")}).drop("_p", "_n", *apart)
-    return out.unionByName(loose.select(*out.columns))
+    # a table: events are read several times, and their maps are large plans
+    return fold.merged(written(events.withColumns(apart)), keys, ["timestamp", "source_artefact", "row_id"]).drop(*apart)
 
 
-def filled(own: Column, theirs: Column, fields: dict[str, str]) -> Column:
-    """A bag with fields of another one where it has none."""
-    if not fields:
-        return own
-    pairs = [x for a, b in fields.items() for x in (F.lit(b), F.try_element_at(theirs, F.lit(a)))]
-    more = F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull() & ~F.map_contains_key(own, k))
-    return F.when(theirs.isNotNull(), F.map_concat(more, own)).otherwise(own)
-
-
-def prop(name: str) -> Column:
-    return F.try_element_at("props", F.lit(name))
+def linked(events: DataFrame) -> DataFrame:
+    """Events with all that links tell, account names first, so that what is inherited is canonical."""
+    rows = written(links.canonical(links.lifted(events)))
+    return links.with_facts(rows, links.stages(rows))
 
 
-def native(name: str) -> Column:
-    return F.try_element_at("native", F.lit(name))
+METHODS = {links.DEFINITIVE: "native_guid", links.HEURISTIC: "pid_window"}
 
 
-def linked(events: DataFrame) -> DataFrame:
-    """Events with owners, parents, flows and names; account names first, so that what is inherited is canonical."""
-    canonical = F.when(prop("user").isNotNull(), F.map_concat(F.map_filter("props", lambda k, v: k != "user"), F.create_map(F.lit("user"), user_canon(prop("user"))))).otherwise(F.col("props"))
-    rows = written(events.withColumn("props", canonical))
-    process = rows.where("car_object = 'process'")
-    exits = process.where("car_action = 'terminate'").groupBy("source", "source_host", "guid").agg(F.min("ts").alias("exit_ts"))
-    creates = process.where("car_action = 'create'").select("source", "source_host", "guid", "ts", "props", hex_int(prop("pid")).alias("pid"), F.col("row_id").alias("seq"))
-    ended = joins.lookup(creates, exits, {k: k for k in ("source", "source_host", "guid")}, {"exit_ts": "exit_ts"}, "exit_ts")
-
-    # owners: by the tool's own process identity, else by process number and lifetime
-    spokes = rows.where("NOT (car_object = 'process' AND car_action = 'create')").select("row_id", "source", "source_host", "ts", "owning_guid_native", hex_int(F.col("owning_pid")).alias("pid"))
-    by_guid = joins.lookup(spokes, creates, {"source": "source", "source_host": "source_host", "owning_guid_native": "guid"}, {"guid": "owner_guid"}, "seq", last=True)
-    sure = by_guid.where("owner_guid IS NOT NULL").select("row_id", "owner_guid", F.lit("definitive").alias("link_confidence"))
-    likely = joins.owner_as_of(by_guid.where("owner_guid IS NULL AND pid IS NOT NULL").drop("owner_guid"), ended, ["source", "source_host", "pid"])
-    likely = likely.where("owning_guid IS NOT NULL").select("row_id", F.col("owning_guid").alias("owner_guid"), F.lit("heuristic").alias("link_confidence"))
-    rows = rows.join(sure.unionByName(likely), "row_id", "left")
-    rows = joins.lookup(rows, creates, {"source": "source", "source_host": "source_host", "owner_guid": "guid"}, {"props": "_owner"}, "seq", last=True)
-    inherits = None
-    for kind, fields in FIELDS.items():
-        own = filled(F.col("props"), F.col("_owner"), {f: f for f in OWNER_INHERITS if f in fields.split()})
-        inherits = F.when(F.col("car_object") == kind, own) if inherits is None else inherits.when(F.col("car_object") == kind, own)
-    # a table at this point: what follows looks rows up in themselves
-    rows = written(rows.withColumn("props", F.coalesce(inherits, "props")).drop("_owner"))
-
-    # parents of processes, by the tool's identity
-    parents = joins.lookup(rows.withColumn("_parent", F.when((F.col("car_object") == "process") & (F.col("car_action") == "create"), native("ParentProcessGuid"))), creates, {"source": "source", "source_host": "source_host", "_parent": "guid"}, {"props": "_made", "guid": "parent_guid"}, "seq", last=True)
-    rows = parents.withColumn("props", filled(F.col("props"), F.col("_made"), PARENT_INHERITS)).drop("_made", "_parent")
-
-    # what a sensor saw in a connection belongs to its flow
-    flows = rows.where("car_object = 'flow'").select("source", "source_host", F.coalesce(native("uid"), F.col("guid")).alias("uid"), F.col("guid").alias("flow"), "props", F.col("row_id").alias("seq"), "native", "source_artefact")
-    own_flows = flows.where("source_artefact = 'zeek_conn'")
-    rows = joins.lookup(rows.withColumn("_uid", F.when(F.col("car_object").isin("http", "file"), native("uid"))), own_flows, {"source": "source", "source_host": "source_host", "_uid": "uid"}, {"flow": "flow_guid", "props": "_flow"}, "seq")
-    rows = rows.withColumn("props", F.when(F.col("car_object") == "http", filled(F.col("props"), F.col("_flow"), FLOW_INHERITS)).otherwise(F.col("props"))).drop("_flow", "_uid")
-
-    # names of destinations: resolved by the host's own queries, else as the client asked for
-    answers = flows.where("source_artefact = 'zeek_dns'").select("source", "source_host", F.try_element_at("props", F.lit("fqdn")).alias("name"), "seq", F.explode(F.from_json(F.try_element_at("native", F.lit("answers")), "array<string>")).alias("ip")).where(is_ip(F.col("ip")))
-    asked = flows.where("source_artefact = 'zeek_ssl'").select("source", "source_host", "uid", F.try_element_at("props", F.lit("dest_fqdn")).alias("name"), "seq").where("name IS NOT NULL")
-    is_flow = F.col("car_object") == "flow"
-    rows = joins.lookup(rows.withColumn("_ip", F.when(is_flow, prop("dest_ip"))), answers, {"source": "source", "source_host": "source_host", "_ip": "ip"}, {"name": "_dns"}, "seq")
-    rows = joins.lookup(rows.withColumn("_uid", F.when(is_flow, F.coalesce(native("uid"), F.col("guid")))), asked, {"source": "source", "source_host": "source_host", "_uid": "uid"}, {"name": "_sni"}, "seq")
-    name = F.coalesce(prop("dest_fqdn"), F.col("_dns"), F.col("_sni"))
-    named = F.when(is_flow & name.isNotNull() & prop("dest_fqdn").isNull(), F.map_concat("props", F.create_map(F.lit("dest_fqdn"), name))).otherwise(F.col("props"))
-    return rows.withColumn("props", named).drop("_ip", "_dns", "_uid", "_sni")
+def association(key: str) -> Column:
+    """Facts of a relation itself, as a JSON text; of each the first place that has it."""
+    places = ASSOCIATIONS.get(key, {})
+    place = lambda p: links.native(p.removeprefix("native.")) if p.startswith("native.") else links.prop(p)
+    told = links.known({name: F.coalesce(*(present(place(p)) for p in of)) for name, of in places.items()})
+    return F.when(F.size(told) > 0, F.to_json(told)) if places else F.lit(None).cast("string")
 
 
 def edges(rows: DataFrame) -> DataFrame:
-    """All relations of linked events, a scan for all kinds."""
-    own = lambda kind: F.col("car_object") == kind
-    at, guid, confidence = F.col("ts"), F.col("guid"), F.coalesce("link_confidence", F.lit("definitive"))
-    kinds = [graph.edge(graph.verb_of(F.lit(kind), F.col("car_action")), ("process", F.col("owner_guid")), (kind, guid), own(kind) & (F.col("owner_guid") != guid), at, source=F.col("source"), source_host=F.col("source_host"), confidence=confidence, method=F.lit("owner")) for kind in FIELDS if kind != "process"]
-    more = {"source": F.col("source"), "source_host": F.col("source_host"), "confidence": F.lit("definitive")}
+    """All relations that linked events declare, a scan for all kinds.
+
+    Owners and what they did, parents, accesses and injections, changes of processes, what a connection contained, processes
+    and the files that they ran, and the sessions of authentications.
+    """
+    own = lambda kind, action=None: (F.col("car_object") == kind) & (F.lit(True) if action is None else F.col("car_action") == action)
+    guid, owner, native = F.col("guid"), F.col("owner_guid"), links.native
+    link = {"confidence": F.col("link_confidence"), "method": markers.map_value(F.col("link_confidence"), METHODS)}
+    said = lambda confidence, method: {"confidence": confidence, "method": F.lit(method)}
+    scope = {"source": F.col("source"), "source_host": F.col("source_host"), "class": F.lit("declared")}
+
+    def edge(verb: Column, start: tuple[str, Column], end: tuple[str, Column], when: Column, told: dict[str, Column], key: str = "") -> Column:
+        properties = association(key) if isinstance(key, str) else key
+        return graph.edge(verb, start, end, when & (start[1] != end[1]), F.col("ts"), **scope, **told, properties=properties)
+
+    kinds = []
+    for kind in FIELDS:
+        if kind != "process":
+            actions = [k.split("/")[1] for k in ASSOCIATIONS if k.startswith(f"{kind}/")]
+            properties = F.coalesce(*(F.when(F.col("car_action") == a, association(f"{kind}/{a}")) for a in actions), F.lit(None).cast("string"))
+            kinds.append(edge(graph.verb_of(F.lit(kind), F.col("car_action")), ("process", owner), (kind, guid), own(kind), link, properties))
+            if kind != "flow":
+                kinds.append(edge(F.lit("contained"), ("flow", native("flow_guid")), (kind, guid), own(kind), said(native("flow_link"), "capture_uid")))
+            kinds.append(edge(F.lit("executed"), ("process", native("executed_as_process_guid")), (kind, guid), own(kind), said(native("executed_as_process_link"), "image_path")))
     kinds += [
-        graph.edge(F.lit("created"), ("process", F.col("parent_guid")), ("process", guid), own("process"), at, **more, method=F.lit("parent")),
-        graph.edge(F.lit("accessed"), ("process", F.col("owning_guid_native")), ("process", prop("target_guid")), own("process") & (F.col("car_action") == "access"), at, **more, method=F.lit("access")),
-        graph.edge(F.lit("accessed"), ("thread", guid), ("process", native("TargetProcessGuid")), own("thread"), at, **more, method=F.lit("injection")),
-        *(graph.edge(F.lit("contained"), ("flow", F.col("flow_guid")), (kind, guid), own(kind), at, **more, method=F.lit("capture_uid")) for kind in ("http", "file")),
+        edge(F.lit("created"), ("process", F.col("parent_guid")), ("process", guid), own("process", "create"), link),
+        edge(F.lit("accessed"), ("process", owner), ("process", links.prop("target_guid")), own("process", "access"), link, "edge:process_access"),
+        edge(F.lit("modified"), ("process", native("modifier_process_guid")), ("process", guid), own("process", "modify"), said(native("modifier_process_link"), "native_guid")),
+        edge(F.lit("accessed"), ("process", owner), ("process", native("target_process_guid")), F.lit(True), said(native("target_process_link"), "native_guid"), "edge:thread_injection"),
+        *(edge(F.lit("created"), ("authentication", guid), ("user_session", native(f"{end}_session_guid")), own("authentication"), said(native(f"{end}_session_link"), "luid")) for end in ("target", "subject")),
     ]
     return graph.edges(rows, kinds)
 
@@ -151,6 +115,9 @@ def timeline(rows: DataFrame, relations: DataFrame, host: str | None = None, aft
 
 
 def build(spark: SparkSession, files: list[tuple[str, str, str | None]], out: str) -> None:
-    """Linked events, by source and object, and edges, by source, as Parquet tables under ``out``."""
+    """Linked events by source and object, relations by source, inferred and content nodes, as Parquet tables under ``out``."""
     linked(folded(parse(spark, files))).write.mode("overwrite").partitionBy("source", "car_object").parquet(f"{out}/events")
-    edges(spark.read.parquet(f"{out}/events")).write.mode("overwrite").partitionBy("source").parquet(f"{out}/edges")
+    rows = spark.read.parquet(f"{out}/events")
+    derived.relations(rows).unionByName(edges(rows), allowMissingColumns=True).write.mode("overwrite").partitionBy("source").parquet(f"{out}/edges")
+    derived.inferred_nodes(rows).write.mode("overwrite").partitionBy("source").parquet(f"{out}/inferred")
+    derived.content_nodes(rows).write.mode("overwrite").parquet(f"{out}/content")

@@ -56,6 +56,18 @@ VERBS = {
     "authentication": {"success": "requested", "failure": "requested", "error": "requested"},
     "email": {"deliver": "created", "block": "stopped", "redirect": "modified", "quarantine": "locked", "delete": "deleted"},
 }
+#: Facts of a relation by the object and action of its row, or by its kind; where a row has them, strongest first.
+ASSOCIATIONS = {
+    "file/access": {"access_level": ["native.GrantedAccess"], "handle_value": ["native.HandleValue"]},
+    "file/timestomp": {"previous_creation_time": ["previous_creation_time"]},
+    "file/acl_modify": {"previous_acl": ["native.OldSd"], "new_acl": ["native.NewSd"]},
+    "registry/value_edit": {"new_content": ["new_content"]},
+    "registry/key_edit": {"new_content": ["new_content"]},
+    "module/load": {"base_address": ["base_address"], "tid": ["tid"]},
+    "driver/load": {"base_address": ["base_address"]},
+    "edge:process_access": {"access_level": ["access_level", "native.GrantedAccess"], "call_trace": ["call_trace", "native.CallTrace"], "target_address": ["target_address"]},
+    "edge:thread_injection": {"start_address": ["start_address", "native.StartAddress"], "start_function": ["start_function", "native.StartFunction"], "start_module": ["start_module", "native.StartModule"], "new_thread_id": ["tgt_tid", "native.NewThreadId"]},
+}
 EDGE = "timestamp source_host relationship source_object source_guid target_object target_guid confidence method class identity_key inferred_end corroborated_by properties".split()
 #: What a spoke, a process and a flow's spoke take over from what they are linked to.
 OWNER_INHERITS = "exe image_path command_line user sid fqdn hostname ppid".split()
