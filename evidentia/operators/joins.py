@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions.blanks import present
+from evidentia.plans.tables import written
 
 #: Microseconds from the start of the year one to that of 1970.
 EPOCH_MICROS = 62_135_596_800_000_000
@@ -47,9 +48,12 @@ def last_seen(stream: DataFrame, keys: list[str], at: str, order: list[str], val
     ``at`` is the first column of the order, a long. The rows of hot keys, of which there are fewer than HOT_SHARE, are dealt by
     stretches of it, at quantiles of the key; what was last before a stretch is carried into it. ``stream`` is read several times.
     """
-    sizes = stream.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    sizes = written(stream.groupBy(*keys).agg(F.count("*").alias("_rows")))
     total = sizes.agg(F.sum("_rows").alias("n")).first().n or 0
-    hot = sizes.where(F.col("_rows") * HOT_SHARE > total).where(F.col("_rows") > STRETCHES * STRETCHES).drop("_rows")
+    hot = written(sizes.where(F.col("_rows") * HOT_SHARE > total).where(F.col("_rows") > STRETCHES * STRETCHES).drop("_rows"))
+    if hot.isEmpty():
+        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return stream.withColumns({n: F.last(v, ignorenulls=True).over(upto) for n, v in values.items()})
     steps = F.array(*(F.lit(k / STRETCHES) for k in range(1, STRETCHES)))
     of_hot = stream.join(F.broadcast(hot), same(stream, hot, {k: k for k in keys}), "left_semi")
     cuts = of_hot.groupBy(*keys).agg(F.percentile_approx(at, steps, F.lit(1000)).alias("_cuts"))
@@ -108,19 +112,20 @@ def owner_as_of(spokes: DataFrame, creates: DataFrame, keys: list[str], guid: st
     )
     seen = last_seen(stream, keys, "_at", ["_at", "_kind", "_seq"], {"_last": F.col("_made"), "_open": F.when(F.col("_made._end").isNull(), F.col("_made"))}).where("_kind = 1")
     alive = F.col("_last._end").isNull() | (F.col("_last._end") >= F.col("_at"))
-    latest = seen.where("_last IS NOT NULL").select(row, *keys, "_at", "_last", "_open", alive.alias("_alive"))
-    direct = latest.where("_alive").select(row, F.col("_last._guid").alias("owning_guid"))
-    gone = latest.where("NOT _alive").select(row, *keys, "_at", F.struct("_open._at", "_open._seq").alias("_open_order"), F.col("_open._guid").alias("_open_guid"))
-    some = gone.select(*keys).distinct()
-    closed = made.where("_end IS NOT NULL AND _end >= _at").join(some, same(made, some, {k: k for k in keys}), "left_semi")
-    within = innermost(gone.select(row, *keys, "_at"), closed, keys, "_at", "_at", "_end", F.col("_guid"), F.struct("_at", "_seq")).select(F.col(row).alias("_in"), "taken", "taken_order")
-    both = gone.join(within, gone[row] == within["_in"], "left")
-    later = F.col("taken_order").isNotNull() & (F.col("_open_order._at").isNull() | (F.col("taken_order") > F.col("_open_order")))
-    earlier = both.select(row, F.when(later, F.col("taken")).otherwise(F.col("_open_guid")).alias("owning_guid"))
+    found = F.when(alive, F.col("_last._guid")).alias("owning_guid")
+    latest = written(seen.where("_last IS NOT NULL").select(row, *keys, "_at", alive.alias("_alive"), found, F.struct("_open._at", "_open._seq").alias("_open_order"), F.col("_open._guid").alias("_open_guid")))
+    linked, gone = latest.where("_alive").select(row, "owning_guid"), latest.where("NOT _alive").drop("_alive", "owning_guid")
+    if not gone.isEmpty():
+        some = gone.select(*keys).distinct()
+        closed = made.where("_end IS NOT NULL AND _end >= _at").join(some, same(made, some, {k: k for k in keys}), "left_semi")
+        within = innermost(gone.select(row, *keys, "_at"), closed, keys, "_at", "_at", "_end", F.col("_guid"), F.struct("_at", "_seq")).select(F.col(row).alias("_in"), "taken", "taken_order")
+        both = gone.join(within, gone[row] == within["_in"], "left")
+        later = F.col("taken_order").isNotNull() & (F.col("_open_order._at").isNull() | (F.col("taken_order") > F.col("_open_order")))
+        linked = linked.unionByName(both.select(row, F.when(later, F.col("taken")).otherwise(F.col("_open_guid")).alias("owning_guid")))
     lone = made.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_guid").alias("owning_guid")).where("_n = 1").drop("_n")
     untimed = spokes.where(F.col(at).isNull()).select(row, *keys)
     single = untimed.join(lone, same(untimed, lone, {k: k for k in keys})).select(untimed[row], lone["owning_guid"])
-    return spokes.join(direct.unionByName(earlier).unionByName(single), row, "left")
+    return spokes.join(linked.unionByName(single), row, "left")
 
 
 def pair_sessions(logins: DataFrame, logouts: DataFrame, keys: list[str], order: str = "seq") -> tuple[DataFrame, DataFrame]:
