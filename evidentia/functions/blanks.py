@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,15 @@ def nb(value: Column) -> Column:
     return F.when(~value.isin("", "-"), value)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, however often the body has it.
+
+    In a branch of a conditional Spark makes a value again wherever it is written; nested functions that have theirs
+    several times would multiply.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def is_missing(value: Column) -> Column:
     """Null or empty (fold and derivation)."""
     return value.isNull() | (value == "")

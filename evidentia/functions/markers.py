@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from evidentia.functions.blanks import nb
+from evidentia.functions.blanks import bound, nb
 
 #: Account names of well-known security identifiers.
 WELL_KNOWN_SIDS = {
@@ -35,14 +35,17 @@ def concat(*parts: Column) -> Column:
 
 def basename(path: Column) -> Column:
     """Last component: by backslashes, drive left out, where the path has one, else by slashes; null if empty."""
+    return bound(bound(nb(path), last_component), lambda tail: F.when(tail != "", tail))
+
+
+def last_component(path: Column) -> Column:
     windows = F.regexp_replace(path, r"^(\\\\[^\\/]+[\\/][^\\/]+|[A-Za-z]:)", "")
-    tail = F.when(F.contains(path, F.lit("\\")), F.regexp_extract(windows, r"([^\\/]*)\z", 1)).otherwise(F.regexp_extract(path, r"([^/]*)\z", 1))
-    return F.when(nb(path).isNotNull(), F.nullif(tail, F.lit("")))
+    return F.when(F.contains(path, F.lit("\\")), F.regexp_extract(windows, r"([^\\/]*)\z", 1)).otherwise(F.regexp_extract(path, r"([^/]*)\z", 1))
 
 
 def ext(path: Column) -> Column:
     """Lower-case suffix of the last component; dots at its start begin no suffix."""
-    return F.nullif(F.lower(F.regexp_extract(basename(path), r"^\.*[^.].*\.([^.]*)\z", 1)), F.lit(""))
+    return bound(F.lower(F.regexp_extract(basename(path), r"^\.*[^.].*\.([^.]*)\z", 1)), lambda e: F.when(e != "", e))
 
 
 def lower(value: Column) -> Column:
@@ -51,7 +54,7 @@ def lower(value: Column) -> Column:
 
 def regex1(value: Column, pattern: str) -> Column:
     """First group of the first match; null without one."""
-    return F.when(nb(value).rlike(pattern), F.regexp_extract(value, pattern, 1))
+    return bound(value, lambda v: F.when(nb(v).rlike(pattern), F.regexp_extract(v, pattern, 1)))
 
 
 def domain_of(value: Column) -> Column:
@@ -66,7 +69,10 @@ def host_label(value: Column) -> Column:
 
 def exe_path(command: Column) -> Column:
     """The program of a command line: what is quoted, else up to the first .exe, else the first word."""
-    c = F.trim(nb(command))
+    return bound(F.trim(nb(command)), program_of)
+
+
+def program_of(c: Column) -> Column:
     quoted = F.regexp_extract(c, '^"([^"]+)"', 1)
     upto = F.regexp_extract(c, r"(?i)^(.*?\.exe)", 1)
     return F.when(quoted != "", quoted).when(upto != "", upto).otherwise(F.nullif(F.split_part(c, F.lit(" "), F.lit(1)), F.lit("")))
@@ -116,45 +122,57 @@ def win_program_name(value: Column) -> Column:
 
 def user_canon(value: Column) -> Column:
     """One name for well-known accounts: identifiers named, authority prefixes dropped; domain accounts stay as they are."""
-    v = F.nullif(F.trim(nb(value)), F.lit(""))
+    return bound(bound(F.trim(nb(value)), lambda v: F.when(v != "", v)), account_of)
+
+
+def account_of(v: Column) -> Column:
     local = F.regexp_extract(v, r"(?is)^\s*(?:NT AUTHORITY|BUILTIN)\s*\\(.*)$", 1)
-    bare = F.when(F.contains(v, F.lit("\\")), F.nullif(local, F.lit(""))).otherwise(v)
-    return F.coalesce(map_value(v, WELL_KNOWN_SIDS, upper=True), map_value(F.trim(bare), WELL_KNOWN_NAMES, upper=True), bare, v)
+    bare = F.when(F.contains(v, F.lit("\\")), bound(local, lambda x: F.when(x != "", x))).otherwise(v)
+    known = bound(bare, lambda b: F.coalesce(map_value(F.trim(b), WELL_KNOWN_NAMES, upper=True), b))
+    return F.coalesce(map_value(v, WELL_KNOWN_SIDS, upper=True), known, v)
 
 
-#: What ``parsed`` adds to a record's payload, so that each is parsed once however many fields are read from it.
+#: What ``parsed`` and then ``cleaned`` add to a record, so that its payload is parsed, and its values cleaned, once however many fields are read from it.
 PARSED = {"data": "payload_data", "plain": "payload_plain", "user": "payload_user"}
+CLEANED = {"values": "payload_values", "children": "payload_children"}
+BAG = "map<string,string>"
 
 
 def parsed(blob: Column) -> dict[str, Column]:
-    """The named values of an event's Data list, its plain keys, and the children of its UserData, as maps by column name."""
-    entries = F.from_json(blob, "EventData STRUCT<Data: ARRAY<STRUCT<`@Name`: STRING, `#text`: STRING>>>")["EventData"]["Data"]
-    named = F.filter(entries, lambda x: x["@Name"].isNotNull())
-    names = F.transform(named, lambda x: x["@Name"])
-    # of a name that comes several times the last one counts
-    last = F.filter(named, lambda x, i: F.array_position(F.slice(names, i + 2, F.size(names)), x["@Name"]) == 0)
-    single = F.when(F.size(F.array_distinct(names)) == F.size(names), named).otherwise(last)
+    """The named values of an event's Data list, its plain keys, and the children of its UserData, by column name."""
+    listed = F.from_json(blob, "EventData STRUCT<Data: ARRAY<STRUCT<`@Name`: STRING, `#text`: STRING>>>")["EventData"]["Data"]
     return {
-        PARSED["data"]: F.map_from_entries(single), PARSED["plain"]: F.from_json(blob, "MAP<STRING, STRING>"),
-        PARSED["user"]: F.map_values(F.from_json(blob, "UserData MAP<STRING, MAP<STRING, STRING>>")["UserData"]),
+        PARSED["data"]: F.filter(listed, lambda x: x["@Name"].isNotNull()), PARSED["plain"]: F.from_json(blob, "MAP<STRING, STRING>"),
+        PARSED["user"]: F.when(F.contains(blob, F.lit('"UserData"')), F.map_values(F.from_json(blob, "UserData MAP<STRING, MAP<STRING, STRING>>")["UserData"])),
     }
 
 
-def payload_of(maps: dict[str, Column], field: str) -> Column:
-    key = F.lit(field)
-    return nb(F.trim(F.coalesce(F.try_element_at(maps[PARSED["data"]], key), F.try_element_at(maps[PARSED["plain"]], key))))
+def bag_of(pairs: Column) -> Column:
+    """A map of (name, value) pairs, of a name that comes several times the last one."""
+    empty = F.create_map().cast(BAG)
+    several = F.aggregate(pairs, empty, lambda have, p: F.map_concat(F.map_filter(have, lambda k, v: k != p["key"]), F.map_from_arrays(F.array(p["key"]), F.array(p["value"]))))
+    names = F.transform(pairs, lambda p: p["key"])
+    return F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_entries(pairs)).otherwise(several)
 
 
-def userdata_of(maps: dict[str, Column], field: str) -> Column:
-    holder = F.try_element_at(F.filter(maps[PARSED["user"]], lambda m: F.map_contains_key(m, field)), F.lit(1))
-    return nb(F.trim(F.try_element_at(holder, F.lit(field))))
+def cleaned(columns: dict[str, Column]) -> dict[str, Column]:
+    """Trimmed values by name, blank ones left out: of the Data list, or plain keys that it has no value for; and of the first child with the key."""
+    empty = F.create_map().cast(BAG)
+    data = F.coalesce(columns[PARSED["data"]], F.array().cast("array<struct<`@Name`:string,`#text`:string>>"))
+    last = F.transform(data, lambda x: F.struct(x["@Name"].alias("key"), x["#text"].alias("value")))
+    own = F.map_filter(bag_of(last), lambda k, v: v.isNotNull())
+    plain = F.coalesce(columns[PARSED["plain"]], empty)
+    values = F.when(F.size(own) == 0, plain).otherwise(F.map_concat(F.map_filter(plain, lambda k, v: ~F.map_contains_key(own, k) & (k != "EventData")), own))
+    tidy = lambda of: F.map_filter(F.transform_values(of, lambda k, v: F.trim(v)), lambda k, v: ~v.isin("", "-"))
+    children = F.aggregate(columns[PARSED["user"]], empty, lambda have, child: F.map_concat(have, F.map_filter(F.coalesce(child, empty), lambda k, v: ~F.map_contains_key(have, k))))
+    return {CLEANED["values"]: tidy(values), CLEANED["children"]: tidy(children)}
 
 
 def payload(blob: Column, field: str) -> Column:
     """A named value of an event's JSON payload: of its Data list (the last of a name wins), else a plain key."""
-    return payload_of(parsed(blob), field)
+    return F.try_element_at(cleaned(parsed(blob))[CLEANED["values"]], F.lit(field))
 
 
 def userdata(blob: Column, field: str) -> Column:
     """The value of the first child of UserData that has the key."""
-    return userdata_of(parsed(blob), field)
+    return F.try_element_at(cleaned(parsed(blob))[CLEANED["children"]], F.lit(field))

@@ -69,10 +69,10 @@ class Record:
         }
 
     def payload(self, name: str) -> Column:
-        return markers.payload_of({c: F.col(c) for c in markers.PARSED.values()}, name)
+        return F.try_element_at(F.col(markers.CLEANED["values"]), F.lit(name))
 
     def userdata(self, name: str) -> Column:
-        return markers.userdata_of({c: F.col(c) for c in markers.PARSED.values()}, name)
+        return F.try_element_at(F.col(markers.CLEANED["children"]), F.lit(name))
 
 
 def of(key: str) -> Value:
@@ -141,12 +141,12 @@ class Variant:
 def apply(records: DataFrame, maps: Mapping[str, list[Variant]], default_host: str | None = None, record: str = "record") -> DataFrame:
     """Events of all maps in one scan: of each map the first variant whose gate holds. Other columns come along."""
     r = Record(record)
-    rows = F.array_compact(F.array(*(F.coalesce(*(v.row(r, name) for v in variants)) for name, variants in maps.items())))
+    rows = F.array(*(F.coalesce(*(v.row(r, name) for v in variants)) for name, variants in maps.items()))
     others = [c for c in records.columns if c != record]
     # payloads and inner records are parsed once, in projections of their own, and not at all where no map reads them
     wide = records.withColumns(markers.parsed(r("Payload")) | {"record_inner": F.try_variant_get(record, '$["Record"]', "map<string,string>")})
-    wide = wide.withColumns(r.paths())
-    out = wide.select(*others, F.explode(rows).alias("e")).select(*others, "e.*")
+    wide = wide.withColumns(markers.cleaned({c: F.col(c) for c in markers.PARSED.values()}) | r.paths())
+    out = wide.select(*others, F.explode(rows).alias("e")).where("e IS NOT NULL").select(*others, "e.*")
     # a column of its own: the parts of an identity share its hash
     out = out.withColumn("_hash", identities.hash_of(F.try_element_at("native", F.lit(identities.KEY))))
     return out.withColumns({"source_host": F.coalesce("source_host", F.lit(default_host).cast("string")), "guid": F.coalesce("guid", identities.uuid_of_sha1(F.col("_hash")))}).drop("_hash")

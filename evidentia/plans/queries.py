@@ -413,8 +413,8 @@ def flagship(spark, sf_dir):
 
 
 def as_records(rows: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    """Rows as raw tool records: JSON lines, parsed as a scan would."""
-    return rows.select(F.try_parse_json(F.to_json(F.struct(*(v.alias(k) for k, v in fields.items())))).alias("record"))
+    """Rows as raw tool records: JSON lines, parsed as a scan would, dealt over the cores as the splits of such files would be."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).select(F.try_parse_json(F.to_json(F.struct(*(v.alias(k) for k, v in fields.items())))).alias("record"))
 
 
 @query("""SELECT 'authentication-host' || (user_id % 7) || '.example-Security-' || event_id AS guid, CASE event_type WHEN 'signup' THEN 'success' ELSE 'failure' END AS action,
