@@ -21,8 +21,6 @@ ANCHORS = {
 }
 CHAIN = 3
 RANGES, PIECES = 128, 64
-#: Likeness below which the query does not tell two fingerprints from unlike ones: sizes that rule it out are not compared.
-LEAST = 0.05
 
 
 def anchor_pattern() -> str:
@@ -123,8 +121,7 @@ def fingerprint_with_edit(docs: DataFrame, text: str = "text", row_id: str = "do
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures, size_part).
 
     The edited text has its last third (code points, rounded down) replaced by as many first ones of the next document
-    in descending id, or all it has. Two fingerprints are compared if their length partitions allow a likeness of ``LEAST``;
-    otherwise it is 0. A null text is empty; a null id comes last; rows of equal id follow each other in
+    in descending id, or all it has. The likeness of two fingerprints is their exact Jaccard similarity. A null text is empty; a null id comes last; rows of equal id follow each other in
     the order of their text; a lone row follows itself; an empty table gives none.
     """
     rows = docs.select(F.col(row_id).alias("doc_id"), F.coalesce(F.col(row_id), F.lit(-(1 << 63))).cast("long").alias("position"), F.coalesce(F.col(text), F.lit("")).alias("body"))
@@ -135,6 +132,6 @@ def fingerprint_with_edit(docs: DataFrame, text: str = "text", row_id: str = "do
     found = rows.select("doc_id", n.cast("long").alias("n_chars"), "sigs", "next_sigs", edited.alias("edited")).withColumn("edited_sigs", signatures(F.col("edited")))
     return found.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), written(F.col("sigs")).alias("fingerprint"), written(F.col("edited_sigs")).alias("edited_fingerprint"),
-        jaccard(F.col("sigs"), F.col("edited_sigs"), LEAST).alias("near_edited"), jaccard(F.col("sigs"), F.col("next_sigs"), LEAST).alias("near_next"),
+        jaccard(F.col("sigs"), F.col("edited_sigs"), 0.0).alias("near_edited"), jaccard(F.col("sigs"), F.col("next_sigs"), 0.0).alias("near_next"),
         F.size("sigs").alias("n_signatures"), size_partition(F.size("sigs"), 0.8).alias("size_part"),
     )
