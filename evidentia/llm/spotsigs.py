@@ -53,12 +53,17 @@ def size_partition(size: Column, least: float) -> Column:
     return F.floor(F.log(size.cast("double")) / F.lit(-log(least))).cast("int")
 
 
-def jaccard(a: Column, b: Column, least: float) -> Column:
+def jaccard(a: Column, b: Column) -> Column:
+    """Similarity of two signature sets, of which none is empty."""
+    common = F.size(F.array_intersect(a, b))
+    return common / (F.size(a) + F.size(b) - common)
+
+
+def pruned_jaccard(a: Column, b: Column, least: float) -> Column:
     """Similarity of two signature sets; 0 without a look at them where their length partitions or sizes keep it below ``least``."""
     n, m = F.size(a), F.size(b)
-    common = F.size(F.array_intersect(a, b))
     apart = F.abs(size_partition(n, least) - size_partition(m, least)) > 1
-    return F.when(apart | (F.least(n, m) < F.greatest(n, m) * F.lit(least)), F.lit(0.0)).otherwise(common / (n + m - common))
+    return F.when(apart | (F.least(n, m) < F.greatest(n, m) * F.lit(least)), F.lit(0.0)).otherwise(jaccard(a, b))
 
 
 def near_pairs(docs: DataFrame, least: float = 0.8, text: str = "text", row_id: str = "doc_id") -> DataFrame:
@@ -75,7 +80,7 @@ def near_pairs(docs: DataFrame, least: float = 0.8, text: str = "text", row_id:
     met = keyed.withColumnRenamed("id", "id_a").join(ahead, ["part", "sig"]).where(((F.col("part_b") > F.col("part")) | (F.col("id_a") < F.col("id_b"))) & (F.least("n", "n_b") >= F.greatest("n", "n_b") * least - 1e-9))
     pairs = met.select("id_a", "id_b").distinct()
     of = lambda name: classes.select(F.col("id").alias(f"id_{name}"), F.col("sigs").alias(name))
-    scored = pairs.join(of("a"), "id_a").join(of("b"), "id_b").withColumn("similarity", jaccard(F.col("a"), F.col("b"), least))
+    scored = pairs.join(of("a"), "id_a").join(of("b"), "id_b").withColumn("similarity", pruned_jaccard(F.col("a"), F.col("b"), least))
     return scored.where(F.col("similarity") >= least).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "similarity")
 
 
@@ -132,6 +137,6 @@ def fingerprint_with_edit(docs: DataFrame, text: str = "text", row_id: str = "do
     found = rows.select("doc_id", n.cast("long").alias("n_chars"), "sigs", "next_sigs", edited.alias("edited")).withColumn("edited_sigs", signatures(F.col("edited")))
     return found.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), written(F.col("sigs")).alias("fingerprint"), written(F.col("edited_sigs")).alias("edited_fingerprint"),
-        jaccard(F.col("sigs"), F.col("edited_sigs"), 0.0).alias("near_edited"), jaccard(F.col("sigs"), F.col("next_sigs"), 0.0).alias("near_next"),
+        jaccard(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), jaccard(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
         F.size("sigs").alias("n_signatures"), size_partition(F.size("sigs"), 0.8).alias("size_part"),
     )
