@@ -99,3 +99,20 @@ def merged(events: DataFrame, keys: list[str], order: list[str], guid: str = "gu
     folded = {"props": F.col("_props"), "native": F.map_concat("_native", kept, own)} | {c: F.try_element_at("_columns", F.lit(c)).cast(events.schema[c].dataType) for c in columns}
     picked = {c: F.when(F.col("_n") > 1, folded[c]).otherwise(F.col(f"_b.{c}")) if c in folded else F.col(f"_b.{c}") for c in rest}
     return out.select(*keys, *(v.alias(c) for c, v in picked.items())).unionByName(loose)
+
+
+def documents(entries: DataFrame, key: str, field: str, value: str, order: str) -> DataFrame:
+    """(key, fields, conflicts): documents put together from entries, rows of (key, field, value, listed), in the order of ``order``.
+
+    Of a field the first value fills it; other values of a listed field are added to it, in their order, and other values of a
+    plain one are its conflicts. Fields and conflicts are maps from names to lists of at most LISTED values; a plain field's list
+    has one. Nulls and blanks fill nothing. Values are ranked by name before anything is gathered.
+    """
+    there = entries.where(F.coalesce(F.col(value), F.lit("")) != "")
+    distinct = there.groupBy(key, field, value).agg(F.min(order).alias("_at"), F.max("listed").alias("listed"))
+    ranked = distinct.withColumn("_r", F.row_number().over(Window.partitionBy(key, field).orderBy("_at", value))).where(F.col("_r") <= LISTED + 1)
+    lists = ranked.groupBy(key, field).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", value))), lambda x: x[value]).alias("_all"), F.max("listed").alias("listed"))
+    whole = F.when(F.col("listed"), F.slice("_all", 1, LISTED)).otherwise(F.slice("_all", 1, 1))
+    others = F.when(~F.col("listed") & (F.size("_all") > 1), F.struct(F.col(field), F.slice("_all", 2, LISTED)))
+    maps = lists.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(field), whole)))).alias("fields"), F.map_from_entries(F.array_sort(F.collect_list(others))).alias("conflicts"))
+    return maps

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.operators import fold, graph
-from evidentia.plans import build, derived, links
+from evidentia.plans import build, derived, links, observables
 from evidentia.plans.queries import query, table
 from evidentia.plans.tables import written
 
@@ -315,3 +315,57 @@ def converging_members(spark, sf_dir):
     """Members of keys that two sources share, one row for each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.when(F.col("text") != "", F.sha2("text", 256)).alias("h"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("line"))
     return graph.member_sets(docs, [("content", F.col("h")), ("name", F.col("line"))], "doc_id", "source").select("tier", F.sha2("join_key", 256).alias("key_hash"), "doc_id", "source")
+
+
+def uuid_sql(name: str) -> str:
+    """SQL of the version 5 UUID of a text in the standard's namespace."""
+    h = f"sha1(unhex('{observables.STANDARD.hex}') || encode({name}))"
+    return f"(SELECT h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || substr('89ab89ab89ab89ab', strpos('0123456789abcdef', h[17:17]), 1) || h[18:20] || '-' || h[21:32] FROM (SELECT {h} AS h))"
+
+
+@query(f"""WITH f AS (SELECT o_orderkey, '10.' || (o_custkey % 80) || '.0.1' AS ip, 'n' || (o_custkey % 90) || '.example' AS name, 'https://n' || (o_custkey % 90) || '.example/' || (o_orderkey % 700) AS url FROM orders),
+    v AS (SELECT 'ipv4-addr' AS kind, ip AS value, 'dest_ip' AS role, o_orderkey FROM f UNION ALL SELECT 'ipv6-addr', 'fe80::' || (o_orderkey % 9), 'src_ip', o_orderkey FROM f WHERE o_orderkey % 3 = 0
+        UNION ALL SELECT 'ipv4-addr', '10.' || (o_orderkey % 50) || '.0.1', 'src_ip', o_orderkey FROM f WHERE o_orderkey % 3 = 1 UNION ALL SELECT 'domain-name', name, 'dest_fqdn', o_orderkey FROM f WHERE o_orderkey % 2 = 0
+        UNION ALL SELECT 'url', url, 'url_full', o_orderkey FROM f WHERE o_orderkey % 5 = 0)
+    SELECT kind, value, kind || '--' || {uuid_sql("'{\"value\":\"' || value || '\"}'")} AS id, array_to_string(list_sort(list(DISTINCT role)), ',') AS roles, count(*) AS observations FROM v GROUP BY kind, value""")
+def value_observables(spark, sf_dir):
+    """Addresses, names and locators as observables with the standard's identities; what is no address is left out."""
+    o = table(spark, sf_dir, "orders")
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    text = lambda *parts: F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
+    source = F.when(key % 3 == 0, text("FE80::", key % 9)).when(key % 3 == 1, text("10.", key % 50, ".0.1")).otherwise(F.lit("999.1.1.1"))
+    rows = model_rows(
+        o, F.lit("flow"), F.lit("message"), text("c", key), F.col("o_orderdate"),
+        {"dest_ip": text("10.", customer % 80, ".0.1"), "src_ip": source, "dest_fqdn": F.when(key % 2 == 0, text("n", customer % 90, ".example")), "url_full": F.when(key % 5 == 0, text("https://n", customer % 90, ".example/", key % 700))}, {},
+        row_id=text("c", key),
+    )
+    return observables.value_observables(rows).select("kind", "value", "id", F.array_join("roles", ",").alias("roles"), "observations")
+
+
+@query(f"""WITH f AS (SELECT event_id, 'S-1-5-21-1-2-3-' || (user_id % 60) AS sid, 'n' || (event_id % 3) AS name FROM events WHERE event_id % 4 > 0)
+    SELECT 'user-account--' || {uuid_sql("'{\"user_id\":\"' || sid || '\"}'")} AS id, sid AS user_id, arg_min(name, event_id) AS display_name, count(DISTINCT name) - 1 AS conflicts FROM f GROUP BY sid""")
+def account_observables(spark, sf_dir):
+    """Real accounts put together from all events that name them: the first name, and how many others there are."""
+    e = table(spark, sf_dir, "events")
+    event, user = F.col("event_id"), F.col("user_id")
+    rows = model_rows(
+        e, F.lit("process"), F.lit("create"), F.concat(F.lit("p"), event), F.lit(None).cast("timestamp"), {"sid": F.when(event % 4 > 0, F.concat(F.lit("s-1-5-21-1-2-3-"), user % 60)), "user": F.concat(F.lit("n"), event % 3)}, {},
+        row_id=F.lpad(event.cast("string"), 12, "0"),
+    )
+    upper = F.map_from_entries(F.transform(F.map_entries("props"), lambda x: F.struct(x["key"], F.when(x["key"] == "sid", F.upper(x["value"])).otherwise(x["value"]))))
+    found = observables.accounts(rows.withColumn("props", upper), "c").where(F.map_contains_key("fields", "display_name"))
+    of = lambda name: F.try_element_at("fields", F.lit(name))[0].alias(name)
+    return found.select("id", of("user_id"), of("display_name"), F.coalesce(F.size(F.try_element_at("conflicts", F.lit("display_name"))), F.lit(0)).cast("long").alias("conflicts")).withColumn("conflicts", F.greatest("conflicts", F.lit(0).cast("long")))
+
+
+@query(f"""WITH RECURSIVE d AS (SELECT doc_id, md5(text) AS m, sha256(text) AS s FROM documents)
+    SELECT DISTINCT 'file--' || {uuid_sql("'{\"hashes\":{\"MD5\":\"' || m || '\"}}'")} AS id, m AS md5, s AS sha256 FROM d""")
+def content_file_observables(spark, sf_dir):
+    """The contents of files by all their hashes, some of which only some events have; the identity is over the MD5 one."""
+    d = table(spark, sf_dir, "documents")
+    doc = F.col("doc_id")
+    both = model_rows(d, F.lit("file"), F.lit("create"), F.concat(F.lit("f"), doc), F.lit(None).cast("timestamp"), {"md5_hash": F.md5("text"), "sha256_hash": F.upper(F.sha2("text", 256))}, {}, row_id=F.concat(F.lit("f"), doc))
+    one = model_rows(d.where("doc_id % 2 = 0"), F.lit("process"), F.lit("create"), F.concat(F.lit("p"), doc), F.lit(None).cast("timestamp"), {"sha256_hash": F.sha2("text", 256)}, {}, row_id=F.concat(F.lit("p"), doc))
+    files, _ = observables.content_files(both.unionByName(one))
+    of = lambda name: F.try_element_at("hashes", F.lit(name)).alias(name)
+    return files.select("id", of("md5"), of("sha256"))
