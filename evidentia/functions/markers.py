@@ -98,10 +98,20 @@ def at(values: Column, index: int) -> Column:
 
 
 def hex_int(value: Column) -> Column:
-    """An integer as written: decimal if it can be, else hexadecimal with or without 0x."""
-    v = F.trim(nb(value))
-    digits = F.regexp_replace(v, "(?i)^([+-]?)0x", "$1")
-    return F.coalesce(F.when(v.rlike(r"^[+-]?\d+$"), v.try_cast("bigint")), F.when(digits.rlike("^[+-]?[0-9A-Fa-f]{1,15}$"), F.conv(digits, 16, 10).try_cast("bigint")))
+    """An integer as written: decimal if it can be, else hexadecimal with or without 0x; single underscores between digits are allowed.
+
+    Null for what is no integer, or none of 64 bits.
+    """
+    return bound(F.trim(nb(value)), integer_of)
+
+
+def integer_of(v: Column) -> Column:
+    decimal = F.when(v.rlike(r"^[+-]?\d+(?:_\d+)*$"), F.replace(v, F.lit("_"), F.lit("")).try_cast("bigint"))
+    # the sign apart: a conversion of bases takes a negative number for a large one
+    digits = F.regexp_replace(F.replace(F.regexp_replace(v, "^[+-]?(?:0[xX]_?)?", ""), F.lit("_"), F.lit("")), "^0+(?=.)", "")
+    size = F.conv(digits, 16, 10).try_cast("bigint")
+    hexadecimal = F.when(v.rlike("^[+-]?(?:0[xX]_?)?[0-9A-Fa-f]+(?:_[0-9A-Fa-f]+)*$") & (F.length(digits) <= 16), F.when(v.startswith("-"), -size).otherwise(size))
+    return F.coalesce(decimal, hexadecimal)
 
 
 def has_bit(value: Column, bit: int) -> Column:

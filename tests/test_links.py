@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from evidentia.functions import markers
 from evidentia.operators import fold, graph, joins
 from evidentia.plans import build, derived, links, maps
 from evidentia.sources import discover, jsonl
@@ -157,3 +158,17 @@ def test_member_sets_count_once_at_their_best_tier(spark):
     rows = spark.createDataFrame([(1, "a", "x", "n"), (2, "b", "x", "n"), (3, "a", "y", "n2"), (4, "a", "y", "n2"), (5, "b", None, "n3"), (6, "a", "", "n3")], "row int, source string, h string, n string")
     got = {(r.tier, r.join_key, r.row, r.source) for r in graph.member_sets(rows, [("content", F.col("h")), ("name", F.col("n"))], "row", "source").collect()}
     assert got == {("content", "x", 1, "a"), ("content", "x", 2, "b"), ("name", "n3", 5, "b"), ("name", "n3", 6, "a")}
+
+
+def test_integers_are_read_as_a_scripting_language_would(spark):
+    def integer(text):
+        for base in (10, 16):
+            try:
+                return n if -(1 << 63) <= (n := int(text, base)) < 1 << 63 else None
+            except ValueError:
+                pass
+        return None
+
+    texts = ["12", "-12", "+7", "0x1FC", "0X1fc", "ff", "-0xff", "-ff", "1_000", "0x_1f", "1__0", "_1", "7fffffffffffffff", "0x7FFFFFFFFFFFFFFF", "ffffffffffffffff", "000000000000000000ff", "9223372036854775807", "0", "-0x0", "x", "0x", " 5 ", "1.5", "12 3", "deadbeefdeadbeef1"]
+    got = [r.n for r in spark.createDataFrame([(t,) for t in texts], "t string").select(markers.hex_int(F.col("t")).alias("n")).collect()]
+    assert got == [integer(t) for t in texts]
