@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from evidentia.functions.blanks import is_missing
 
-KEYS = "source_host car_object guid car_action target_guid access_level".split()
+KEYS = ["source_host", "car_object", "guid", "car_action", "target_guid", "access_level"]
 #: Contributors and conflicts that are listed for a row.
 LISTED = 64
 

@@ -1,4 +1,4 @@
-"""Projection to typed documents: coercions, fallbacks with verbatim overflow, related values, and the way back."""
+"""Projection to typed documents: coercions, fallbacks with verbatim overflow, and related values."""
 
 from __future__ import annotations
 

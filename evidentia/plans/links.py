@@ -63,7 +63,7 @@ def order() -> Column:
 
 def canonical(rows: DataFrame) -> DataFrame:
     """Account names as they are told everywhere: well-known ones by their identifier where the name is blank or a rendering."""
-    has_user = F.col("car_object").isin([k for k, fields in FIELDS.items() if "user" in fields.split()])
+    has_user = F.col("car_object").isin([k for k, fields in FIELDS.items() if "user" in fields])
     sid = F.coalesce(present(prop("sid")), present(prop("uid")))
     named = F.try_element_at(F.create_map(*(F.lit(x) for k in NAMED_SIDS for x in (k, WELL_KNOWN_SIDS[k]))), sid)
     loose = present(prop("user")).isNull() | F.lower(F.trim(prop("user"))).isin(ALIASES)
@@ -206,7 +206,7 @@ def with_facts(rows: DataFrame, every: list[DataFrame]) -> DataFrame:
     merged = lambda name: F.aggregate(F.transform("all", lambda x: F.from_json(x[name], BAG)), F.create_map().cast(BAG), lambda have, more: F.map_concat(F.map_filter(more, lambda k, v: ~F.map_contains_key(have, k)), have))
     found = together.select(F.col("row_id").alias("_id"), merged("columns").alias("_columns"), merged("fill").alias("_fill"), merged("evidence").alias("_evidence"))
     out = rows.join(found, rows["row_id"] == found["_id"], "left").drop("_id")
-    fields = F.create_map(*(x for kind, f in FIELDS.items() for x in (F.lit(kind), F.array(*(F.lit(n) for n in f.split())))))
+    fields = F.create_map(*(x for kind, f in FIELDS.items() for x in (F.lit(kind), F.array(*(F.lit(n) for n in f)))))
     own = F.try_element_at(fields, "car_object")
     missing = F.map_filter("_fill", lambda k, v: F.array_contains(own, k) & present(F.try_element_at("props", k)).isNull())
     filled = F.when(F.col("_fill").isNotNull(), put(F.col("props"), missing)).otherwise(F.col("props"))

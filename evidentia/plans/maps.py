@@ -154,7 +154,7 @@ def apply(records: DataFrame, maps: Mapping[str, list[Variant]], default_host: s
 
 def widened(events: DataFrame, kind: str) -> DataFrame:
     """Events of one object with a column for each of its fields."""
-    own = [f for f in FIELDS[kind].split() if f not in HEADER]
+    own = [f for f in FIELDS[kind] if f not in HEADER]
     return events.where(F.col("car_object") == kind).select("*", *(F.try_element_at("props", F.lit(f)).alias(f) for f in own)).drop("props")
 
 

@@ -9,38 +9,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HEADER = "timestamp car_action guid owning_guid volume_guid mac_address device_serial link_confidence source_artefact source_host native".split()
+HEADER = [
+    "timestamp", "car_action", "guid", "owning_guid", "volume_guid", "mac_address", "device_serial", "link_confidence", "source_artefact",
+    "source_host", "native",
+]
 
 ACTIONS = {
-    "authentication": "success failure error",
-    "driver": "load metadata unload",
-    "email": "deliver block redirect quarantine delete",
-    "file": "access acl_modify content create delete metadata modify read timestomp write",
-    "flow": "content create end flow message start",
-    "http": "get post put tunnel",
-    "module": "content load metadata unload",
-    "process": "access create execute metadata modify terminate",
-    "registry": "access add create delete key_edit modify remove value_edit",
-    "service": "access create delete enumerate metadata modify pause start stop",
-    "socket": "bind listen close",
-    "thread": "create suspend terminate remote_create",
-    "user_session": "create lock login logout metadata reconnect terminate unlock",
-}
+    "authentication": ["success", "failure", "error"],
+    "driver": ["load", "metadata", "unload"],
+    "email": ["deliver", "block", "redirect", "quarantine", "delete"],
+    "file": ["access", "acl_modify", "content", "create", "delete", "metadata", "modify", "read", "timestomp", "write"],
+    "flow": ["content", "create", "end", "flow", "message", "start"],
+    "http": ["get", "post", "put", "tunnel"],
+    "module": ["content", "load", "metadata", "unload"],
+    "process": ["access", "create", "execute", "metadata", "modify", "terminate"],
+    "registry": ["access", "add", "create", "delete", "key_edit", "modify", "remove", "value_edit"],
+    "service": ["access", "create", "delete", "enumerate", "metadata", "modify", "pause", "start", "stop"],
+    "socket": ["bind", "listen", "close"],
+    "thread": ["create", "suspend", "terminate", "remote_create"],
+    "user_session": ["create", "lock", "login", "logout", "metadata", "reconnect", "terminate", "unlock"],
+}
 FIELDS = {
-    "authentication": "app_name method auth_service auth_target target_ad_domain decision_reason response_time fqdn hostname ad_domain uid user_role user_type user user_agent target_uid target_user_role target_user_type target_user",
-    "driver": "fqdn hostname base_address image_path md5_hash sha1_hash sha256_hash module_name signer pid signature_valid",
-    "email": "action_reason attachment_name attachment_size attachment_mime_type dest_ip dest_port dest_address date server_relay from smtp_uid message_links src_address src_domain return_address message_body subject src_ip src_port message_type to",
-    "file": "creation_time file_name fqdn hostname image_path md5_hash sha1_hash sha256_hash pid ppid previous_creation_time signer user company file_path owner_uid owner content extension gid group link_target mime_type mode signature_valid uid",
-    "flow": "fqdn hostname content dest_ip dest_port src_ip src_port start_time end_time exe image_path packet_count pid ppid proto_info user src_fqdn src_hostname dest_fqdn dest_hostname application_protocol in_bytes out_bytes network_direction tcp_flags transport_protocol uid",
-    "http": "hostname request_body_bytes http_version request_body_content request_referrer requester_ip_address response_body_bytes response_body_content response_status_code url_full url_domain url_remainder url_scheme user_agent_full user_agent_name user_agent_device user_agent_version",
-    "module": "fqdn hostname base_address image_path md5_hash sha1_hash sha256_hash module_path module_name pid signer tid signature_valid",
-    "process": "fqdn hostname command_line exe image_path md5_hash sha1_hash sha256_hash parent_exe parent_image_path pid ppid sid signer user integrity_level parent_command_line current_working_directory env_vars access_level call_trace parent_guid signature_valid target_guid target_pid target_address target_name uid",
-    "registry": "fqdn hostname key value data type hive image_path pid user new_content",
-    "service": "fqdn hostname user command_line exe image_path name pid ppid uid",
-    "socket": "pid image_path success family protocol local_address local_port remote_port remote_address local_path",
-    "thread": "hostname src_pid src_tid tgt_pid tgt_tid stack_base stack_limit start_address user user_stack_base user_stack_limit start_function start_module start_module_name uid",
-    "user_session": "dest_ip dest_port hostname login_id src_ip src_port user login_type uid login_successful",
-}
+    "authentication": [
+        "app_name", "method", "auth_service", "auth_target", "target_ad_domain", "decision_reason", "response_time", "fqdn", "hostname", "ad_domain",
+        "uid", "user_role", "user_type", "user", "user_agent", "target_uid", "target_user_role", "target_user_type", "target_user",
+    ],
+    "driver": ["fqdn", "hostname", "base_address", "image_path", "md5_hash", "sha1_hash", "sha256_hash", "module_name", "signer", "pid", "signature_valid"],
+    "email": [
+        "action_reason", "attachment_name", "attachment_size", "attachment_mime_type", "dest_ip", "dest_port", "dest_address", "date", "server_relay",
+        "from", "smtp_uid", "message_links", "src_address", "src_domain", "return_address", "message_body", "subject", "src_ip", "src_port",
+        "message_type", "to",
+    ],
+    "file": [
+        "creation_time", "file_name", "fqdn", "hostname", "image_path", "md5_hash", "sha1_hash", "sha256_hash", "pid", "ppid",
+        "previous_creation_time", "signer", "user", "company", "file_path", "owner_uid", "owner", "content", "extension", "gid", "group",
+        "link_target", "mime_type", "mode", "signature_valid", "uid",
+    ],
+    "flow": [
+        "fqdn", "hostname", "content", "dest_ip", "dest_port", "src_ip", "src_port", "start_time", "end_time", "exe", "image_path", "packet_count",
+        "pid", "ppid", "proto_info", "user", "src_fqdn", "src_hostname", "dest_fqdn", "dest_hostname", "application_protocol", "in_bytes",
+        "out_bytes", "network_direction", "tcp_flags", "transport_protocol", "uid",
+    ],
+    "http": [
+        "hostname", "request_body_bytes", "http_version", "request_body_content", "request_referrer", "requester_ip_address", "response_body_bytes",
+        "response_body_content", "response_status_code", "url_full", "url_domain", "url_remainder", "url_scheme", "user_agent_full",
+        "user_agent_name", "user_agent_device", "user_agent_version",
+    ],
+    "module": [
+        "fqdn", "hostname", "base_address", "image_path", "md5_hash", "sha1_hash", "sha256_hash", "module_path", "module_name", "pid", "signer",
+        "tid", "signature_valid",
+    ],
+    "process": [
+        "fqdn", "hostname", "command_line", "exe", "image_path", "md5_hash", "sha1_hash", "sha256_hash", "parent_exe", "parent_image_path", "pid",
+        "ppid", "sid", "signer", "user", "integrity_level", "parent_command_line", "current_working_directory", "env_vars", "access_level",
+        "call_trace", "parent_guid", "signature_valid", "target_guid", "target_pid", "target_address", "target_name", "uid",
+    ],
+    "registry": ["fqdn", "hostname", "key", "value", "data", "type", "hive", "image_path", "pid", "user", "new_content"],
+    "service": ["fqdn", "hostname", "user", "command_line", "exe", "image_path", "name", "pid", "ppid", "uid"],
+    "socket": ["pid", "image_path", "success", "family", "protocol", "local_address", "local_port", "remote_port", "remote_address", "local_path"],
+    "thread": [
+        "hostname", "src_pid", "src_tid", "tgt_pid", "tgt_tid", "stack_base", "stack_limit", "start_address", "user", "user_stack_base",
+        "user_stack_limit", "start_function", "start_module", "start_module_name", "uid",
+    ],
+    "user_session": ["dest_ip", "dest_port", "hostname", "login_id", "src_ip", "src_port", "user", "login_type", "uid", "login_successful"],
+}
 #: Verb of an owner's edge to what it did, by object and action; `accessed` otherwise.
 VERBS = {
     "file": {"access": "accessed", "create": "created", "read": "accessed", "write": "modified", "modify": "modified", "delete": "deleted", "acl_modify": "modified", "timestomp": "modified", "content": "retrieved information about", "metadata": "retrieved information about"},
@@ -68,15 +100,18 @@ ASSOCIATIONS = {
     "edge:process_access": {"access_level": ["access_level", "native.GrantedAccess"], "call_trace": ["call_trace", "native.CallTrace"], "target_address": ["target_address"]},
     "edge:thread_injection": {"start_address": ["start_address", "native.StartAddress"], "start_function": ["start_function", "native.StartFunction"], "start_module": ["start_module", "native.StartModule"], "new_thread_id": ["tgt_tid", "native.NewThreadId"]},
 }
-EDGE = "timestamp source_host relationship source_object source_guid target_object target_guid confidence method class identity_key inferred_end corroborated_by properties".split()
+EDGE = [
+    "timestamp", "source_host", "relationship", "source_object", "source_guid", "target_object", "target_guid", "confidence", "method", "class",
+    "identity_key", "inferred_end", "corroborated_by", "properties",
+]
 #: What a spoke, a process and a flow's spoke take over from what they are linked to.
-OWNER_INHERITS = "exe image_path command_line user sid fqdn hostname ppid".split()
+OWNER_INHERITS = ["exe", "image_path", "command_line", "user", "sid", "fqdn", "hostname", "ppid"]
 PARENT_INHERITS = {"exe": "parent_exe", "image_path": "parent_image_path", "command_line": "parent_command_line"}
 FLOW_INHERITS = {"src_ip": "requester_ip_address", "src_hostname": "hostname"}
 
 
 def columns(kind: str) -> list[str]:
-    return HEADER + [f for f in FIELDS[kind].split() if f not in HEADER]
+    return HEADER + [f for f in FIELDS[kind] if f not in HEADER]
 
 
 def schema(kind: str) -> T.StructType:

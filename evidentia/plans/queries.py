@@ -249,7 +249,7 @@ def edges_union(spark, sf_dir):
 
 
 #: Every action of every object, and, as SQL of its own, the verb of an edge to it.
-PAIRS = [f"{kind}/{action}" for kind, actions in ACTIONS.items() for action in actions.split()]
+PAIRS = [f"{kind}/{action}" for kind, actions in ACTIONS.items() for action in actions]
 VERB_SQL = """CASE
     WHEN pair IN ('file/create', 'registry/add', 'registry/create', 'service/create', 'thread/create', 'thread/remote_create', 'http/get', 'http/post', 'http/put', 'user_session/login', 'user_session/reconnect', 'user_session/create', 'email/deliver') THEN 'created'
     WHEN pair IN ('file/write', 'file/modify', 'file/acl_modify', 'file/timestomp', 'registry/value_edit', 'registry/key_edit', 'registry/modify', 'service/modify', 'service/pause', 'email/redirect') THEN 'modified'
