@@ -6,16 +6,19 @@ makes a file, a click a thread in another process, a purchase a registry value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evidentia.functions import ids
 from evidentia.operators import fold, graph
-from evidentia.plans import build, derived, links, observables
+from evidentia.plans import build, derived, exchange, links, observables
 from evidentia.plans.queries import query, table
 from evidentia.plans.tables import written
 
+
 def model_rows(rows: DataFrame, kind: Column, action: Column, guid: Column, ts: Column, props: Mapping[str, Column], native: Mapping[str, Column], **more: Column) -> DataFrame:
     """Rows of the event model with these bags, as a written table."""
     columns = {
@@ -369,3 +372,67 @@ def content_file_observables(spark, sf_dir):
     files, _ = observables.content_files(both.unionByName(one))
     of = lambda name: F.try_element_at("hashes", F.lit(name)).alias(name)
     return files.select("id", of("md5"), of("sha256"))
+
+
+CASE_NAMESPACE = uuid.uuid5(ids.NAMESPACE, "case|c")
+
+
+def case_sql(kind: str, key: str) -> str:
+    """SQL of the case's identity of a thing of ``kind``, over its key."""
+    return f"'{kind}--' || " + uuid_sql(key).replace(observables.STANDARD.hex, CASE_NAMESPACE.hex)
+
+
+def exchanged_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as files that processes of their customers' machines wrote, customers as those processes, of two images each."""
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    order, key, customer = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_custkey")
+    none = F.lit(None).cast("string")
+    files = model_rows(
+        orders, F.lit("file"), F.lit("write"), F.concat(F.lit("f"), order), F.col("o_orderdate").cast("timestamp"),
+        {"file_path": F.concat(F.lit("/d"), key % 20, F.lit("/x"), order % 300), "mime_type": F.col("o_orderpriority"), "pid": F.concat(F.lit("0x"), F.lower(F.hex(key))), "content": F.col("o_orderstatus")}, {},
+        source_host=F.concat(F.lit("h"), key % 5), row_id=F.lpad(order.cast("string"), 12, "0"), owner_guid=F.concat(F.lit("p"), key), parent_guid=none, link_confidence=none,
+    )
+    processes = model_rows(
+        customers, F.lit("process"), F.lit("create"), F.concat(F.lit("p"), customer), F.lit("1990-01-01").cast("timestamp"), {"image_path": F.concat(F.lit("/bin/i"), customer % 2), "command_line": F.col("c_name"), "env_vars": F.col("c_mktsegment")}, {},
+        source_host=F.concat(F.lit("h"), customer % 5), row_id=F.concat(F.lit("c"), customer), owner_guid=none, parent_guid=none, link_confidence=none,
+    )
+    return files.unionByName(processes)
+
+
+@query(f"""WITH f AS (SELECT 'h' || (o_custkey % 5) AS host, '/d' || (o_custkey % 20) || '/x' || (o_orderkey % 300) AS path, o_orderdate AS d, lpad(o_orderkey::VARCHAR, 12, '0') AS r, o_orderpriority AS m FROM orders),
+    g AS (SELECT host, path, arg_min(m, (d, r)) AS mime_type, count(DISTINCT m) - 1 AS conflicts, regexp_replace(path, '/[^/]*$', '') AS folder FROM f GROUP BY host, path)
+    SELECT {case_sql("file", "'file|' || host || '|path|' || path")} AS id, host, path AS x_path, regexp_extract(path, '[^/]*$') AS name, mime_type, conflicts, {case_sql("directory", "'directory|' || host || '|' || folder")} AS parent_directory_ref FROM g""")
+def exchange_files(spark, sf_dir):
+    """Files at paths, put together from all events that wrote them, with their folders."""
+    made = exchange.objects(exchange.prepared(exchanged_case(spark, sf_dir), no_contents(spark)), "c").where("kind = 'file' AND map_contains_key(fields, 'mime_type')")
+    of = lambda name, called=None: F.try_element_at("fields", F.lit(name))[0].alias(called or name)
+    others = F.coalesce(F.try_element_at("conflicts", F.lit("mime_type")), F.array().cast("array<string>"))
+    return made.select("id", of("x_source_host", "host"), of("x_path"), of("name"), of("mime_type"), F.size(others).cast("long").alias("conflicts"), of("parent_directory_ref"))
+
+
+def no_contents(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "node_id string, id string")
+
+
+@query(f"""WITH f AS (SELECT 'h' || (o_custkey % 5) AS host, '/d' || (o_custkey % 20) || '/x' || (o_orderkey % 300) AS path, '/d' || (o_custkey % 20) AS folder, 'p' || o_custkey AS p, 'f' || o_orderkey AS guid, o_orderstatus AS s, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000000') AS t FROM orders),
+    r AS (SELECT guid, {case_sql("observed-data", "'observed-data|s|' || host || '|file|' || guid || '|write|' || t || '||'")} AS id, s AS content, {case_sql("file", "'file|' || host || '|path|' || path")} AS a, {case_sql("directory", "'directory|' || host || '|' || folder")} AS b, {case_sql("process", "'process|' || host || '|' || p")} AS c FROM f)
+    SELECT guid, id, content, array_to_string([a, b, c], ',') AS refs, c AS owner FROM r""")
+def exchange_observations(spark, sf_dir):
+    """Observations of files: what they refer to, in order, the process in its role, and what no thing took over."""
+    seen = exchange.observations(exchange.prepared(exchanged_case(spark, sf_dir), no_contents(spark)), "c").where("car_object = 'file'")
+    own = F.element_at(F.map_keys(F.map_filter("roles", lambda k, v: F.array_contains(v, "owning_guid"))), 1)
+    return seen.select("guid", "id", F.try_element_at("fields", F.lit("content")).alias("content"), F.array_join("object_refs", ",").alias("refs"), own.alias("owner"))
+
+
+@query(f"""WITH f AS (SELECT 'h' || (o_custkey % 5) AS host, '/d' || (o_custkey % 20) || '/x' || (o_orderkey % 300) AS path, 'p' || o_custkey AS p, o_orderkey, o_orderdate FROM orders),
+    r AS (SELECT {case_sql("process", "'process|' || host || '|' || p")} AS s, {case_sql("file", "'file|' || host || '|path|' || path")} AS t, o_orderdate, o_orderkey FROM f),
+    d AS (SELECT s, t, count(DISTINCT o_orderdate) AS n FROM r GROUP BY s, t)
+    SELECT 'f' || o_orderkey AS guid, r.s AS source_ref, r.t AS target_ref, n AS relationships FROM r JOIN d USING (s, t)""")
+def exchange_connected(spark, sf_dir):
+    """The related pairs of things of each observation, and by how many relations; relations of one time are one."""
+    rows = exchanged_case(spark, sf_dir)
+    ready = exchange.prepared(rows, no_contents(spark))
+    seen = written(exchange.observations(ready, "c"))
+    wrote = written(build.edges(rows)).withColumns({c: F.lit(None).cast("string") for c in ("identity_key", "inferred_end", "corroborated_by")})
+    related = exchange.relationships(wrote, exchange.ends(ready, seen, "c"), "c")
+    return exchange.connected(seen, related).join(seen.select("id", "guid"), "id").select("guid", "source_ref", "target_ref", "relationships")

@@ -27,8 +27,11 @@ VALUES = {
     "url": ["url_full"],
     "email-addr": ["src_address", "dest_address", "return_address"],
 }
-#: The accounts that events name: their identifier, by the first field that has one, and their name.
-ACCOUNTS = [(["sid", "uid"], "user"), (["target_uid"], "target_user"), (["owner_uid"], "owner")]
+#: The accounts that events name, by their objects: the identifier, by the first field that has one, and the name.
+ACCOUNTS = [
+    (["process"], ["sid", "uid"], "user"), (["file", "service", "thread", "authentication", "user_session"], ["uid"], "user"), (["registry"], [], "user"),
+    (["authentication"], ["target_uid"], "target_user"), (["file"], ["owner_uid"], "owner"),
+]
 #: Hash algorithms in the order in which one of them names the contents of a file.
 ALGORITHMS = {"md5": "MD5", "sha1": "SHA-1", "sha256": "SHA-256"}
 
@@ -69,9 +72,9 @@ def accounts(rows: DataFrame, case: str) -> DataFrame:
     over its identifier or, without one, its name. Names that differ are conflicts.
     """
     told = []
-    for fields, name in ACCOUNTS:
-        identifier, called = F.coalesce(*(present(F.trim(prop(f))) for f in fields)), present(prop(name))
-        told.append(F.when(identifier.isNotNull() | called.isNotNull(), F.struct(identifier.alias("sid"), called.alias("name"))))
+    for kinds, fields, name in ACCOUNTS:
+        identifier, called = F.coalesce(F.lit(None).cast("string"), *(present(F.trim(prop(f))) for f in fields)), present(prop(name))
+        told.append(F.when(F.col("car_object").isin(kinds) & (identifier.isNotNull() | called.isNotNull()), F.struct(identifier.alias("sid"), called.alias("name"))))
     every = rows.select("source_host", F.struct("timestamp", "row_id").alias("at"), F.explode(F.array_compact(F.array(*told))).alias("a")).select("source_host", "at", "a.*")
     real = F.upper(derived.accepted(F.col("sid"), derived.SID))
     own = F.when(F.col("sid").isNotNull(), case_id(case, "user-account", F.col("source_host"), F.lit("id"), F.col("sid"))).otherwise(case_id(case, "user-account", F.col("source_host"), F.lit("name"), F.col("name")))
