@@ -8,6 +8,7 @@ once, in a join on the group, and what the groups return is merged by query.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,18 +21,27 @@ from evidentia.llm.common import cut, shuffle_partitions
 BLOCK, BLOCKS_IN_GROUP, QUERIES_IN_BATCH = 256, 32, 512
 #: A batch of queries is repeated for each slot of groups, not for each group.
 SLOTS = 4096
-#: Scores that a long can not hold are cut to this, up or down.
+#: A score is a long: one that is larger is this, up or down, and equal to all that are.
 MOST = (1 << 63) - 1
 
 
-def quantised(vector: Column) -> Column:
-    """floor(256 * x) of every component."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * 256).cast("long"))
+def quantised(values: np.ndarray) -> np.ndarray:
+    """floor(256 * x) of every component: as 64-bit integers if all have room in them, else as integers of any size."""
+    if np.abs(values).max(initial=0) < 1 << 54:
+        return np.floor(values * 256).astype(np.int64)
+    # a double of 2**53 or more is whole
+    exact = [[math.floor(x) * 256 if abs(x) >= 1 << 53 else math.floor(x * 256) for x in row] for row in values.tolist()]
+    return np.array(exact, object).reshape(values.shape)
 
 
 def valid(vector: Column) -> Column:
-    """No null, and nothing but finite components (of a size whose floor fits a long)."""
-    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < 3e16))
+    """No null, and nothing but finite components."""
+    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
+
+
+def held(scores: np.ndarray) -> np.ndarray:
+    """Scores as a long holds them."""
+    return np.clip(scores, -MOST, MOST) if scores.dtype == object else scores
 
 
 def packed(rows: DataFrame, size: int) -> DataFrame:
@@ -42,11 +52,11 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
-        vectors: list[list[int]] = []
+        vectors: list[list[float]] = []
 
         def lot() -> pa.RecordBatch:
             width = max(map(len, vectors))
-            values = np.zeros((len(vectors), width), np.int64)
+            values = np.zeros((len(vectors), width), np.float64)
             for k, v in enumerate(vectors):
                 values[k, : len(v)] = v
             return pa.RecordBatch.from_arrays([pa.array([np.array(ids, np.int64).tobytes()]), pa.array([values.tobytes()]), pa.array([width], pa.int32())], ["ids", "values", "width"])
@@ -65,8 +75,9 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
     return ordered.mapInArrow(run, "ids binary, values binary, width int").withColumn("pack", F.monotonically_increasing_id())
 
 
-def matrix(raw: bytes, width: int, wide: int) -> np.ndarray:
-    values = np.frombuffer(raw, np.int64).reshape(-1, width)
+def matrix(raw: bytes, width: int, wide: int, rows: int) -> np.ndarray:
+    """Packed vectors as integers, filled up to ``wide`` components."""
+    values = quantised(np.frombuffer(raw, np.float64).reshape(rows, width))
     return np.pad(values, ((0, 0), (0, wide - width))) if width < wide else values
 
 
@@ -81,12 +92,14 @@ def search_group(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, va
     reach = int(np.abs(queries).max(initial=0)) * int(np.abs(values).max(initial=0)) * max(1, values.shape[1])
     if reach < 1 << 53:
         queries, values = queries.astype(np.float64), values.astype(np.float64)
-    elif reach >= 1 << 63:
+    elif reach < 1 << 63:
+        queries, values = queries.astype(np.int64), values.astype(np.int64)
+    else:
         queries, values = queries.astype(object), values.astype(object)
     starts = np.arange(0, len(ids), BLOCK)
     high, low = np.maximum.reduceat(values, starts, axis=0), np.minimum.reduceat(values, starts, axis=0)
     positive, negative = np.maximum(queries, 0), np.minimum(queries, 0)
-    bounds = positive @ high.T + negative @ low.T
+    bounds = held(positive @ high.T + negative @ low.T)
     order = np.argsort(-bounds, axis=1, kind="stable")
     found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, values.dtype))] * len(query_ids)
     waiting = np.arange(len(query_ids))
@@ -96,7 +109,7 @@ def search_group(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, va
         for b in np.unique(block):
             own = waiting[block == b]
             part = slice(starts[b], starts[b] + BLOCK)
-            scores = queries[own] @ values[part].T
+            scores = held(queries[own] @ values[part].T)
             for q, row in zip(own, scores, strict=True):
                 other = ids[part] != query_ids[q]
                 have, had = found[q]
@@ -114,12 +127,13 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, row_id: str = "vec_id",
 
     Queries are the rows for which ``is_query`` holds, candidates all rows but the query's own id. Rows whose vector or
     id is null, or with a component that is null or not finite, take no part; an empty vector scores 0. Vectors of
-    unequal lengths are compared over the shorter, and scores beyond a long are cut to its limits. Rows that repeat an id are one candidate each for other queries. An
-    empty table, or one row, gives none.
+    unequal lengths are compared over the shorter. Components of any finite size count whole; a score that a long can not hold is
+    the largest, or smallest but one, that it can, and ties with others like it. Rows that repeat an id are one candidate each for
+    other queries. An empty table, or one row, gives none.
     """
     usable = rows.where(F.col(row_id).isNotNull() & valid(F.col(vector)))
-    candidates = usable.select(F.col(row_id).cast("long").alias("id"), quantised(F.col(vector)).alias("v"))
-    asked = usable.where(is_query).select(F.col(row_id).cast("long").alias("id"), quantised(F.col(vector)).alias("v")).dropDuplicates(["id"])
+    candidates = usable.select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    asked = usable.where(is_query).select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).dropDuplicates(["id"])
     # a group of blocks is one row of about BLOCK * BLOCKS_IN_GROUP vectors
     groups = cut(packed(candidates, BLOCK * BLOCKS_IN_GROUP))
     numbered = groups.select("pack", "ids", "values", "width")
@@ -135,10 +149,11 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, row_id: str = "vec_id",
             for row in range(part.num_rows):
                 at = {n: part.column(n)[row].as_py() for n in part.schema.names}
                 wide = max(at["width"], at["q_width"])
-                result = search_group(np.frombuffer(at["q_ids"], np.int64), matrix(at["q_values"], at["q_width"], wide), np.frombuffer(at["ids"], np.int64), matrix(at["values"], at["width"], wide), k)
+                q_ids, own = np.frombuffer(at["q_ids"], np.int64), np.frombuffer(at["ids"], np.int64)
+                result = search_group(q_ids, matrix(at["q_values"], at["q_width"], wide, len(q_ids)), own, matrix(at["values"], at["width"], wide, len(own)), k)
                 ids = [q for q, i, _ in result for _ in i]
                 vecs = np.concatenate([i for _, i, _ in result]) if result else np.empty(0, np.int64)
-                scores = [max(-MOST, min(MOST, int(x))) for _, _, s in result for x in s]
+                scores = [int(x) for _, _, s in result for x in s]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vecs, pa.int64()), pa.array(scores, pa.int64())], ["query_id", "vec_id", "score"])
 
     local = pairs.mapInArrow(run, "query_id long, vec_id long, score long")

@@ -162,13 +162,22 @@ def test_top_k_equals_brute_force(spark):
 
 
 def test_large_components_stay_exact(spark):
-    for big in (1e4, 1e6, 1e13):
+    for big in (1e4, 1e6, 1e13, 1e17, 1e300, 1.7e308):
         df = spark.createDataFrame([(0, [big, 3.0]), (1, [big, 1.0]), (2, [-big, 2.0])], "vec_id long, embedding array<double>")
         rows = topk.top_k(df, F.col("vec_id") == 0, 2).orderBy("rank").collect()
         square, most = (int(big) * 256) ** 2, (1 << 63) - 1
         assert [(r.vec_id, r.score) for r in rows] == [(1, min(most, square + 768 * 256)), (2, max(-most, 768 * 512 - square))]
 
 
+def test_scores_that_no_long_holds_are_ties(spark):
+    df = spark.createDataFrame([(0, [1e200, 1.0]), (3, [1e200, 0.0]), (2, [1e100, 9.0]), (1, [-1e200, 0.0]), (4, [0.0, 2.0]), (5, [-1e100, 7.0])], "vec_id long, embedding array<double>")
+    most = (1 << 63) - 1
+    rows = topk.top_k(df, F.col("vec_id") == 0, 5).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in rows] == [(2, most), (3, most), (4, 2 * 65536), (1, -most), (5, -most)]
+    none = spark.createDataFrame([(0, []), (1, [])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(none, F.col("vec_id") == 0, 5).collect()] == [(0, 1, 1, 0)]
+
+
 def jaccard_components(texts, size, percent):
     lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     sets = []
