@@ -17,6 +17,7 @@ from evidentia.operators import fold, graph
 from evidentia.plans import build, derived, exchange, links, observables
 from evidentia.plans.queries import query, table
 from evidentia.plans.tables import written
+from evidentia.sources import hits
 
 
 def model_rows(rows: DataFrame, kind: Column, action: Column, guid: Column, ts: Column, props: Mapping[str, Column], native: Mapping[str, Column], **more: Column) -> DataFrame:
@@ -436,3 +437,18 @@ def exchange_connected(spark, sf_dir):
     wrote = written(build.edges(rows)).withColumns({c: F.lit(None).cast("string") for c in ("identity_key", "inferred_end", "corroborated_by")})
     related = exchange.relationships(wrote, exchange.ends(ready, seen, "c"), "c")
     return exchange.connected(seen, related).join(seen.select("id", "guid"), "id").select("guid", "source_ref", "target_ref", "relationships")
+
+
+@query("""SELECT 'e' || event_id AS guid, CASE WHEN event_id % 2 = 0 THEN 'd-' ELSE 'r-' END || event_type AS detection_id, CASE WHEN event_id % 2 = 0 THEN 'high' END AS severity, 'T10' || (10 + user_id % 80) AS techniques,
+        CASE WHEN event_id % 2 = 0 THEN '10.0.0.' || (user_id % 250) END AS source_ip, CASE WHEN event_id % 2 = 0 THEN (event_id % 1000)::VARCHAR END AS port, strftime(ts, '%Y-%m-%dT%H:%M:%S.') || lpad((extract(milliseconds FROM ts)::BIGINT % 1000)::VARCHAR, 3, '0') || 'Z' AS at
+    FROM events WHERE event_type <> 'error'""")
+def detection_hits(spark, sf_dir):
+    """Hits of documents of two shapes, with dotted and nested names; documents that name no detection give none."""
+    e = table(spark, sf_dir, "events")
+    event, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    text = lambda *parts: F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
+    at, technique = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), text("T10", user % 80 + 10)
+    envelope = F.to_json(F.struct(F.when(kind != "error", text("d-", kind)).alias("DetectionId"), F.lit("HIGH").alias("Severity"), F.array(F.lower(technique)).alias("AttackIds"), at.alias("Timestamp"), text("10.0.0.", user % 250, " -> 10.1.0.1:", event % 1000).alias("Entity"), text("e", event).alias("RunId")))
+    searched = F.to_json(F.struct(F.struct(F.when(kind != "error", text("r-", kind)).alias("id")).alias("rule"), F.array(technique, technique).alias("threat.technique.id"), at.alias("@timestamp"), F.struct(text("e", event).alias("id")).alias("event")))
+    docs = e.select(F.lit("events").alias("path"), F.lit(None).cast("string").alias("index"), F.try_parse_json(F.when(event % 2 == 0, envelope).otherwise(searched)).alias("doc"))
+    return hits.hits(docs).select(F.coalesce("guid", "run_id").alias("guid"), "detection_id", "severity", F.array_join("attack_ids", ",").alias("techniques"), "source_ip", F.col("destination_port").cast("string").alias("port"), "at")
