@@ -42,8 +42,8 @@ def inherit(rows: DataFrame, owner: str, fields: dict[str, str]) -> DataFrame:
 HOT_SHARE, STRETCHES = 1000, 64
 
 
-def last_seen(stream: DataFrame, keys: list[str], at: str, order: list[str], values: dict[str, Column]) -> DataFrame:
-    """``stream`` with, of each value, the last one that is not null up to the row, in the order of ``order`` within its keys.
+def last_seen(stream: DataFrame, keys: list[str], at: str, order: list[str], values: dict[str, Column], peaks: dict[str, Column]) -> DataFrame:
+    """``stream`` with, of each value, the last one that is not null up to the row, in the order of ``order`` within its keys, and of each peak the largest one.
 
     ``at`` is the first column of the order, a long. The rows of hot keys, of which there are fewer than HOT_SHARE, are dealt by
     stretches of it, at quantiles of the key; what was last before a stretch is carried into it. ``stream`` is read several times.
@@ -53,22 +53,22 @@ def last_seen(stream: DataFrame, keys: list[str], at: str, order: list[str], val
     hot = written(sizes.where(F.col("_rows") * HOT_SHARE > total).where(F.col("_rows") > STRETCHES * STRETCHES).drop("_rows"))
     if hot.isEmpty():
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return stream.withColumns({n: F.last(v, ignorenulls=True).over(upto) for n, v in values.items()})
+        return stream.withColumns({n: F.last(v, ignorenulls=True).over(upto) for n, v in values.items()} | {n: F.max(v).over(upto) for n, v in peaks.items()})
     steps = F.array(*(F.lit(k / STRETCHES) for k in range(1, STRETCHES)))
     of_hot = stream.join(F.broadcast(hot), same(stream, hot, {k: k for k in keys}), "left_semi")
     cuts = of_hot.groupBy(*keys).agg(F.percentile_approx(at, steps, F.lit(1000)).alias("_cuts"))
     cuts = cuts.select(*(F.col(k).alias(f"_c_{k}") for k in keys), "_cuts")
     dealt = stream.join(F.broadcast(cuts), same(stream, cuts, {k: f"_c_{k}" for k in keys}), "left").drop(*(f"_c_{k}" for k in keys))
-    dealt = dealt.withColumn("_stretch", F.when(F.col("_cuts").isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(at))))).withColumns({f"_v_{n}": v for n, v in values.items()})
+    dealt = dealt.withColumn("_stretch", F.when(F.col("_cuts").isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(at))))).withColumns({f"_v_{n}": v for n, v in (values | peaks).items()})
     within = Window.partitionBy(*keys, "_stretch").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = dealt.withColumns({n: F.last(f"_v_{n}", ignorenulls=True).over(within) for n in values})
-    # the last value of every stretch of the hot keys, and from these what each stretch begins with
+    own = dealt.withColumns({n: F.last(f"_v_{n}", ignorenulls=True).over(within) for n in values} | {n: F.max(f"_v_{n}").over(within) for n in peaks})
+    # the last value, and the peak, of every stretch of the hot keys, and from these what each stretch begins with
     place = F.struct(*order)
-    ends = dealt.where("_stretch >= 0").groupBy(*keys, "_stretch").agg(*(F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), place)).alias(n) for n in values))
+    ends = dealt.where("_stretch >= 0").groupBy(*keys, "_stretch").agg(*(F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), place)).alias(n) for n in values), *(F.max(f"_v_{n}").alias(n) for n in peaks))
     earlier = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*(F.col(k).alias(f"_c_{k}") for k in keys), F.col("_stretch").alias("_c_stretch"), *(F.last(n, ignorenulls=True).over(earlier).alias(f"_b_{n}") for n in values))
+    carried = ends.select(*(F.col(k).alias(f"_c_{k}") for k in keys), F.col("_stretch").alias("_c_stretch"), *(F.last(n, ignorenulls=True).over(earlier).alias(f"_b_{n}") for n in values), *(F.max(n).over(earlier).alias(f"_b_{n}") for n in peaks))
     out = own.join(F.broadcast(carried), same(own, carried, {k: f"_c_{k}" for k in keys} | {"_stretch": "_c_stretch"}), "left")
-    return out.select(*stream.columns, *(F.coalesce(n, f"_b_{n}").alias(n) for n in values))
+    return out.select(*stream.columns, *(F.coalesce(n, f"_b_{n}").alias(n) for n in values), *(F.greatest(n, f"_b_{n}").alias(n) for n in peaks))
 
 
 #: Bits of a time in microseconds since the year one.
@@ -89,17 +89,19 @@ def innermost(points: DataFrame, spans: DataFrame, keys: list[str], at: str, sta
     ends = F.array_compact(F.array(F.when((first <= last) & (first % 2 == 1), first), F.when((first <= last) & (last % 2 == 0), last)))
     parts = cut.select(*(F.col(k).alias(f"_k_{k}") for k in keys), "_take", "_order", F.col("_level").alias("_k_level"), F.explode(ends).alias("_k_part"))
     asked = points.withColumn("_level", level).withColumn("_part", shifted(F.col(at)))
-    met = asked.join(parts, same(asked, parts, {k: f"_k_{k}" for k in keys} | {"_level": "_k_level", "_part": "_k_part"}))
+    # both sides are exploded, which the estimate of their sizes does not count: never a broadcast
+    met = asked.join(parts.hint("merge"), same(asked, parts, {k: f"_k_{k}" for k in keys} | {"_level": "_k_level", "_part": "_k_part"}))
     return met.groupBy(*points.columns).agg(F.max_by("_take", "_order").alias("taken"), F.max("_order").alias("taken_order"))
 
 
 def owner_as_of(spokes: DataFrame, creates: DataFrame, keys: list[str], guid: str = "guid", at: str = "ts", ended: str = "exit_ts", row: str = "row_id", seq: str = "seq") -> DataFrame:
     """``spokes`` with ``owning_guid``: the latest create of the same keys at or before the spoke that had not ended.
 
-    The latest create before each spoke, and the latest without an end, come from one pass over the union of both, sorted by
-    time. If the latest had ended already, the spoke goes to what is later of the latest one without an end and of the
-    creates with an end in whose lifetimes it lies. Nothing is compared per pair, and hot keys are cut by time. A create without
-    a time counts as the earliest; a spoke without a time is linked only to a lone create of its keys.
+    The latest create before each spoke, the latest without an end, and the latest end so far come from one pass over the union
+    of both, sorted by time. If the latest had ended already, the spoke goes to what is later of the latest one without an end and
+    of the creates with an end in whose lifetimes it lies; there is none of these if the latest end so far lies before the spoke.
+    Nothing is compared per pair, and hot keys are cut by time. A create without a time counts as the earliest; a spoke without a
+    time is linked only to a lone create of its keys.
     """
     clock = lambda c: F.unix_micros(c) + EPOCH_MICROS
     made = creates.select(*keys, F.coalesce(clock(F.col(at)), F.lit(0).cast("long")).alias("_at"), clock(F.col(ended)).alias("_end"), F.col(guid).alias("_guid"), F.col(seq).alias("_seq"))
@@ -110,18 +112,22 @@ def owner_as_of(spokes: DataFrame, creates: DataFrame, keys: list[str], guid: st
     stream = born.select(*keys, "_at", F.lit(0).alias("_kind"), "_seq", "_made", nothing(spokes, row).alias(row)).unionByName(
         timed.select(*keys, "_at", F.lit(1).alias("_kind"), nothing(made, "_seq").alias("_seq"), nothing(born, "_made").alias("_made"), row)
     )
-    seen = last_seen(stream, keys, "_at", ["_at", "_kind", "_seq"], {"_last": F.col("_made"), "_open": F.when(F.col("_made._end").isNull(), F.col("_made"))}).where("_kind = 1")
+    seen = last_seen(
+        stream, keys, "_at", ["_at", "_kind", "_seq"], {"_last": F.col("_made"), "_open": F.when(F.col("_made._end").isNull(), F.col("_made"))}, {"_reach": F.col("_made._end")}
+    ).where("_kind = 1")
     alive = F.col("_last._end").isNull() | (F.col("_last._end") >= F.col("_at"))
-    found = F.when(alive, F.col("_last._guid")).alias("owning_guid")
-    latest = written(seen.where("_last IS NOT NULL").select(row, *keys, "_at", alive.alias("_alive"), found, F.struct("_open._at", "_open._seq").alias("_open_order"), F.col("_open._guid").alias("_open_guid")))
-    linked, gone = latest.where("_alive").select(row, "owning_guid"), latest.where("NOT _alive").drop("_alive", "owning_guid")
-    if not gone.isEmpty():
-        some = gone.select(*keys).distinct()
+    found = F.when(alive, F.col("_last._guid")).otherwise(F.col("_open._guid")).alias("owning_guid")
+    # the latest has ended, and an earlier one may not have
+    covered = ~alive & (F.col("_reach") >= F.col("_at"))
+    latest = written(seen.where("_last IS NOT NULL").select(row, *keys, "_at", covered.alias("_covered"), found, F.struct("_open._at", "_open._seq").alias("_open_order")))
+    linked, asking = latest.where("NOT _covered").select(row, "owning_guid"), latest.where("_covered").drop("_covered")
+    if not asking.isEmpty():
+        some = asking.select(*keys).distinct()
         closed = made.where("_end IS NOT NULL AND _end >= _at").join(some, same(made, some, {k: k for k in keys}), "left_semi")
-        within = innermost(gone.select(row, *keys, "_at"), closed, keys, "_at", "_at", "_end", F.col("_guid"), F.struct("_at", "_seq")).select(F.col(row).alias("_in"), "taken", "taken_order")
-        both = gone.join(within, gone[row] == within["_in"], "left")
+        within = innermost(asking.select(row, *keys, "_at"), closed, keys, "_at", "_at", "_end", F.col("_guid"), F.struct("_at", "_seq")).select(F.col(row).alias("_in"), "taken", "taken_order")
+        both = asking.join(within, asking[row] == within["_in"], "left")
         later = F.col("taken_order").isNotNull() & (F.col("_open_order._at").isNull() | (F.col("taken_order") > F.col("_open_order")))
-        linked = linked.unionByName(both.select(row, F.when(later, F.col("taken")).otherwise(F.col("_open_guid")).alias("owning_guid")))
+        linked = linked.unionByName(both.select(row, F.when(later, F.col("taken")).otherwise(F.col("owning_guid")).alias("owning_guid")))
     lone = made.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_guid").alias("owning_guid")).where("_n = 1").drop("_n")
     untimed = spokes.where(F.col(at).isNull()).select(row, *keys)
     single = untimed.join(lone, same(untimed, lone, {k: k for k in keys})).select(untimed[row], lone["owning_guid"])

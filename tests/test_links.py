@@ -42,6 +42,21 @@ def test_owners_equal_brute_force_with_a_hot_key_and_nested_lifetimes(spark, see
     assert got == want
 
 
+def test_lifetimes_are_never_broadcast_and_only_asked_where_one_may_hold(spark, monkeypatch):
+    spans = spark.createDataFrame([(1, 0, 900, "a"), (1, 5, 8, "b")], "pid int, start long, end long, guid string")
+    points = spark.createDataFrame([(1, 1, 7), (2, 1, 9), (3, 1, 901)], "row_id int, pid int, at long")
+    met = joins.innermost(points, spans, ["pid"], "at", "start", "end", F.col("guid"), F.struct("start"))
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+    assert {r.row_id: r.taken for r in met.collect()} == {1: "b", 2: "a"}
+    # every earlier lifetime has ended as well: no spoke is compared with stretches
+    made = spark.createDataFrame([(1, seconds(10 * k), seconds(10 * k + 5), f"g{k}", k) for k in range(5)], "pid int, ts timestamp, exit_ts timestamp, guid string, seq int")
+    spokes = spark.createDataFrame([(k, 1, seconds(k)) for k in range(60)], "row_id int, pid int, ts timestamp")
+    asked = []
+    monkeypatch.setattr(joins, "innermost", lambda *rest: asked.append(rest))
+    got = {r.row_id: r.owning_guid for r in joins.owner_as_of(spokes, made, ["pid"]).collect()}
+    assert got == {k: f"g{k // 10}" if k < 50 and k % 10 <= 5 else None for k in range(60)} and not asked
+
+
 def test_lines_are_numbered_over_splits_with_every_kind_of_line_end(spark, tmp_path):
     lines = [json.dumps({"n": k, "pad": "x" * 200}) for k in range(3000)]
     lines[10], lines[20], lines[21] = "", "  ", "broken"
