@@ -446,15 +446,28 @@ def inferred(nodes: DataFrame, related: DataFrame, case: str) -> DataFrame:
     return own.unionByName(alone, allowMissingColumns=True).withColumn("id", identity(scoped("x-inferred-node", host(), F.col("node_id")), case))
 
 
+def short(ref: Column) -> Column:
+    """An identity as bytes, its kind and the 16 of its UUID; different identities stay different, those of another form too."""
+    uuid = F.regexp_extract(ref, "^[^\\x00].*--([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})\\z", 1)
+    kind = F.encode(F.left(ref, F.length(ref) - 38), "UTF-8")
+    return F.when(uuid != "", F.concat(kind, F.unhex(F.replace(uuid, F.lit("-"), F.lit(""))))).otherwise(F.concat(F.unhex(F.lit("00")), F.encode(ref, "UTF-8")))
+
+
 def connected(observed: DataFrame, related: DataFrame) -> DataFrame:
     """(id, source_ref, target_ref, relationships): the pairs of things of an observation that are related, and by how many relations.
 
     An observation's pairs are made of its own row, a bounded number; no thing's observations meet its relations. The relations
-    of a pair are those of ``related`` with both ends.
+    of a pair are those of ``related`` with both ends. A pair is shuffled once for both directions, as bytes; the relations have
+    the identities as texts.
     """
-    pairs = observed.select("id", F.explode("object_refs").alias("source_ref"), "object_refs").select("id", "source_ref", F.explode("object_refs").alias("target_ref"))
+    # a column of its own: each identity is shortened once
+    refs = observed.select("id", F.transform(F.array_compact("object_refs"), short).alias("refs"))
+    both = F.flatten(F.transform("refs", lambda a: F.transform(F.filter("refs", lambda b: b > a), lambda b: F.struct(a.alias("low"), b.alias("high")))))
+    pairs = refs.select("id", F.explode(both).alias("p")).select("id", "p.*")
     told = related.where("source_ref IS NOT NULL AND target_ref IS NOT NULL").groupBy("source_ref", "target_ref").agg(F.count("*").alias("relationships"))
-    return pairs.where("source_ref <> target_ref").join(told, ["source_ref", "target_ref"]).select("id", "source_ref", "target_ref", "relationships")
+    ends = {"_source": short(F.col("source_ref")), "_target": short(F.col("target_ref"))}
+    told = told.withColumns(ends).withColumns({"low": F.least(*ends), "high": F.greatest(*ends)}).drop(*ends)
+    return pairs.join(told, ["low", "high"]).select("id", "source_ref", "target_ref", "relationships")
 
 
 def sightings(hits: DataFrame, observed: DataFrame, case: str) -> DataFrame:

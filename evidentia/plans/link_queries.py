@@ -433,10 +433,12 @@ def exchange_connected(spark, sf_dir):
     """The related pairs of things of each observation, and by how many relations; relations of one time are one."""
     rows = exchanged_case(spark, sf_dir)
     ready = exchange.prepared(rows, no_contents(spark))
-    seen = written(exchange.observations(ready, "c"))
+    seen = written(exchange.observations(ready, "c").select(*links.SCOPE, "car_object", "timestamp", "guid", "id", "object_refs"))
     wrote = written(build.edges(rows)).withColumns({c: F.lit(None).cast("string") for c in ("identity_key", "inferred_end", "corroborated_by")})
     related = exchange.relationships(wrote, exchange.ends(ready, seen, "c"), "c")
-    return exchange.connected(seen, related).join(seen.select("id", "guid"), "id").select("guid", "source_ref", "target_ref", "relationships")
+    # an observation goes by its event's identity, so that no second join brings it
+    named = seen.select(F.col("guid").alias("id"), "object_refs")
+    return exchange.connected(named, related).select(F.col("id").alias("guid"), "source_ref", "target_ref", "relationships")
 
 
 @query("""SELECT 'e' || event_id AS guid, CASE WHEN event_id % 2 = 0 THEN 'd-' ELSE 'r-' END || event_type AS detection_id, CASE WHEN event_id % 2 = 0 THEN 'high' END AS severity, 'T10' || (10 + user_id % 80) AS techniques,

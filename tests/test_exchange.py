@@ -166,3 +166,17 @@ def test_an_empty_case_has_no_objects(spark):
     rows = rows_of(spark, EVENTS[:1]).where(F.lit(False))
     made = exchange.prepared(rows)
     assert exchange.objects(made, "c").count() == 0 and exchange.observations(made, "c").count() == 0
+
+
+def test_pairs_of_an_observation_are_shuffled_once_and_short(spark):
+    uuid = "00000000-0000-5000-8000-00000000000"
+    a, b, c, odd = f"ipv4-addr--{uuid}1", f"domain-name--{uuid}1", f"file--{uuid}2", "file--A-1"
+    observed = spark.createDataFrame([("o1", [c, a, None, b, odd]), ("o2", [b, c]), ("o3", None)], "id string, object_refs array<string>")
+    related = spark.createDataFrame([(a, c), (c, a), (a, c), (b, c), (a, b), (odd, a), (a, None), (a, a)], "source_ref string, target_ref string")
+    met = exchange.connected(observed, related)
+    assert {tuple(r) for r in met.collect()} == {("o1", a, c, 2), ("o1", c, a, 1), ("o1", b, c, 1), ("o1", a, b, 1), ("o1", odd, a, 1), ("o2", b, c, 1)}
+    assert met.count() == 6
+    # one row for each two things, whatever the direction, and half as many bytes as the text of an identity
+    texts = [a, b, c, odd, "file--A1", "file--a-1", f"\x00file--{uuid}2"]
+    short = [bytes(r[0]) for r in spark.createDataFrame([(x,) for x in texts], "x string").select(exchange.short(F.col("x"))).collect()]
+    assert len(set(short)) == len(texts) and [len(x) for x in short[:3]] == [25, 27, 20]
