@@ -159,6 +159,10 @@ def parsed(blob: Column) -> dict[str, Column]:
 
 def bag_of(pairs: Column) -> Column:
     """A map of (name, value) pairs, of a name that comes several times the last one."""
+    return bound(pairs, bag_of_made)
+
+
+def bag_of_made(pairs: Column) -> Column:
     empty = F.create_map().cast(BAG)
     several = F.aggregate(pairs, empty, lambda have, p: F.map_concat(F.map_filter(have, lambda k, v: k != p["key"]), F.map_from_arrays(F.array(p["key"]), F.array(p["value"]))))
     names = F.transform(pairs, lambda p: p["key"])
@@ -172,7 +176,8 @@ def cleaned(columns: dict[str, Column]) -> dict[str, Column]:
     last = F.transform(data, lambda x: F.struct(x["@Name"].alias("key"), x["#text"].alias("value")))
     own = F.map_filter(bag_of(last), lambda k, v: v.isNotNull())
     plain = F.coalesce(columns[PARSED["plain"]], empty)
-    values = F.when(F.size(own) == 0, plain).otherwise(F.map_concat(F.map_filter(plain, lambda k, v: ~F.map_contains_key(own, k) & (k != "EventData")), own))
+    # made once: it is read again for every plain key
+    values = bound(own, lambda own: F.when(F.size(own) == 0, plain).otherwise(F.map_concat(F.map_filter(plain, lambda k, v: ~F.map_contains_key(own, k) & (k != "EventData")), own)))
     tidy = lambda of: F.map_filter(F.transform_values(of, lambda k, v: F.trim(v)), lambda k, v: ~v.isin("", "-"))
     children = F.aggregate(columns[PARSED["user"]], empty, lambda have, child: F.map_concat(have, F.map_filter(F.coalesce(child, empty), lambda k, v: ~F.map_contains_key(have, k))))
     return {CLEANED["values"]: tidy(values), CLEANED["children"]: tidy(children)}

@@ -187,3 +187,12 @@ def test_integers_are_read_as_a_scripting_language_would(spark):
     texts = ["12", "-12", "+7", "0x1FC", "0X1fc", "ff", "-0xff", "-ff", "1_000", "0x_1f", "1__0", "_1", "7fffffffffffffff", "0x7FFFFFFFFFFFFFFF", "ffffffffffffffff", "000000000000000000ff", "9223372036854775807", "0", "-0x0", "x", "0x", " 5 ", "1.5", "12 3", "deadbeefdeadbeef1"]
     got = [r.n for r in spark.createDataFrame([(t,) for t in texts], "t string").select(markers.hex_int(F.col("t")).alias("n")).collect()]
     assert got == [integer(t) for t in texts]
+
+
+def test_values_of_a_payload_are_put_together_once(spark):
+    blob = '{"EventData": {"Data": [{"@Name": "a", "#text": " 1 "}, {"@Name": "a", "#text": "2"}, {"@Name": "b", "#text": "-"}]}, "a": "9", "c": "3"}'
+    rows = spark.createDataFrame([(blob,), ('{"c": "4"}',), (None,)], "p string").select(*(v.alias(k) for k, v in markers.parsed(F.col("p")).items()))
+    out = rows.select(markers.cleaned({c: F.col(c) for c in markers.PARSED.values()})[markers.CLEANED["values"]].alias("v"))
+    assert [r.v for r in out.collect()] == [{"a": "2", "c": "3"}, {"c": "4"}, {}]
+    # its text has the making of the bag once, however often the values are read
+    assert out._jdf.queryExecution().analyzed().toString().count("map_from_entries") == 1
