@@ -169,6 +169,11 @@ def bag_of_made(pairs: Column) -> Column:
     return F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_entries(pairs)).otherwise(several)
 
 
+def tidy(values: Column) -> Column:
+    """Values by name, trimmed; blank ones left out."""
+    return F.map_filter(F.transform_values(values, lambda k, v: F.trim(v)), lambda k, v: ~v.isin("", "-"))
+
+
 def cleaned(columns: dict[str, Column]) -> dict[str, Column]:
     """Trimmed values by name, blank ones left out: of the Data list, or plain keys that it has no value for; and of the first child with the key."""
     empty = F.create_map().cast(BAG)
@@ -178,7 +183,6 @@ def cleaned(columns: dict[str, Column]) -> dict[str, Column]:
     plain = F.coalesce(columns[PARSED["plain"]], empty)
     # made once: it is read again for every plain key
     values = bound(own, lambda own: F.when(F.size(own) == 0, plain).otherwise(F.map_concat(F.map_filter(plain, lambda k, v: ~F.map_contains_key(own, k) & (k != "EventData")), own)))
-    tidy = lambda of: F.map_filter(F.transform_values(of, lambda k, v: F.trim(v)), lambda k, v: ~v.isin("", "-"))
     children = F.aggregate(columns[PARSED["user"]], empty, lambda have, child: F.map_concat(have, F.map_filter(F.coalesce(child, empty), lambda k, v: ~F.map_contains_key(have, k))))
     return {CLEANED["values"]: tidy(values), CLEANED["children"]: tidy(children)}
 
