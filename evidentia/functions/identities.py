@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -74,13 +75,18 @@ def key_of(kind: str, parts: Mapping[str, Column]) -> Column:
     return canonical_json({"_obj": F.lit(kind), "_v": F.lit(VERSION)} | {k: nb(v.cast("string")) for k, v in parts.items()})
 
 
+def complete(parts: Mapping[str, Column]) -> Column:
+    """Whether no component is blank, so that the key of them is there."""
+    return reduce(lambda a, b: a & b, (nb(v.cast("string")).isNotNull() for v in parts.values()))
+
+
 def stamps(name: str, value: Callable[[str], Column], place: Callable[[str], Column]) -> dict[str, Column]:
     """What an event of an entry carries in its native bag: key, scope and place; no key and scope without components and place."""
     entry = ENTRIES[name]
-    own = key_of(entry.kind, {k: value(source) for k, source in entry.parts.items()})
-    fallback = key_of(entry.kind, {k: place(k) for k in POSITION})
-    scope = F.when(own.isNotNull(), INTRINSIC).when(fallback.isNotNull(), POSITIONAL)
-    return {KEY: F.coalesce(own, fallback), SCOPE: scope, PLACE: F.to_json(F.struct(*(F.coalesce(place(k), F.lit("")).alias(k) for k in POSITION)))}
+    own, fallback = {k: value(source) for k, source in entry.parts.items()}, {k: place(k) for k in POSITION}
+    # the keys are made for one of the three only
+    scope = F.when(complete(own), INTRINSIC).when(complete(fallback), POSITIONAL)
+    return {KEY: F.coalesce(key_of(entry.kind, own), key_of(entry.kind, fallback)), SCOPE: scope, PLACE: F.to_json(F.struct(*(F.coalesce(place(k), F.lit("")).alias(k) for k in POSITION)))}
 
 
 def hash_of(key: Column) -> Column:
