@@ -5,8 +5,8 @@ an empty bin takes the value of another one, found by a fixed random walk. Bands
 star, not all pairs: its centre is the class that shares most buckets with others (what copies were made from), and
 every candidate is confirmed on the full sets.
 
-Classes of a bucket that is in several components after the stars are contested: a link of two points of a star may be
-missing there. They are dealt into smaller groups by their rare shingles. Where the similarity of two sets is high enough,
+Points of a star that are in several components after the stars are contested: a link between two of them may be missing. A
+centre has been compared with all of its bucket, so a bucket of two classes leaves nothing open. The contested classes are dealt into smaller groups by their rare shingles. Where the similarity of two sets is high enough,
 both have a common shingle so early in the order of rarity that what follows can still hold the needed intersection, and
 their sizes are near; so a class is found under its early shingles and sizes only. Nothing is compared within a component,
 and no link between contested classes is lost: the groups follow from the threshold, not from chance.
@@ -203,7 +203,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def stars(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(band, c, n) of the classes that share a bucket with another one; and their stars, pairs (a, b) of near sizes."""
+    """(band, c, n, w) of the classes that share a bucket with another one, the largest w, then c, being the centre; and their stars, pairs (a, b) of near sizes."""
     rows = classes.select("c", "n", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     sized = rows.join(shared, "band")
@@ -259,6 +259,15 @@ def contested_pairs(contested: DataFrame, sets: DataFrame, percent: int) -> tupl
     return pairs, found
 
 
+def open_points(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(c) of the classes that have been compared with their bucket's centre only, where the bucket's others are in several components."""
+    comps = members.join(labels.select("c", "comp"), "c").groupBy("band", "comp").agg(F.count("*").alias("size"), F.max(F.struct("w", "c", "n")).alias("m"))
+    buckets = comps.groupBy("band").agg(F.count("*").alias("comps"), F.max(F.struct("m", "size")).alias("of"))
+    # without the centre, its component may have no one left
+    split = buckets.where((F.col("comps") > 2) | (F.col("comps") == 2) & (F.col("of.size") > 1)).select("band", F.col("of.m.c").alias("centre"))
+    return members.join(split, "band").where("c <> centre").select("c").distinct()
+
+
 def link(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
     """(c, comp) of the classes that share a bucket with another class; None if no class does."""
     members, pairs = stars(classes, percent)
@@ -269,9 +278,7 @@ def link(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFr
     sets = cut(full_sets(docs, classes.join(shared, "c", "left_semi").select("c", "rep"), size))
     links = cut(confirmed(pairs, sets, percent))
     labels = components(shared, links)
-    # buckets with several components, and the classes in them
-    split = members.join(labels, "c").groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
-    contested = cut(members.join(split, "band", "left_semi").select("c").distinct().join(labels.select("c", "comp"), "c").join(shared, "c"))
+    contested = cut(open_points(members, labels).join(labels.select("c", "comp"), "c").join(shared, "c"))
     drop(members, links)
     more, found = contested_pairs(contested, sets, percent)
     joined = confirmed(more, sets, percent)

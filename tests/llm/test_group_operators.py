@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evidentia.llm import audit, exact, variants
+from evidentia.llm import audit, exact, neardup, variants
 from evidentia.llm.groups import with_groups
 
 RNG = np.random.default_rng(5)
@@ -188,3 +188,12 @@ def test_audit_equals_brute_force(spark):
 def test_audit_of_an_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string, source string")
     assert audit.audit_filters(none, spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
+
+
+def test_only_points_that_were_not_compared_are_contested(spark):
+    """Of buckets: two classes apart; a centre apart from the others, which are together; three apart; a centre with one of two others."""
+    buckets = {1: [("a", 2), ("b", 1)], 2: [("c", 3), ("d", 1), ("e", 1)], 3: [("f", 3), ("g", 1), ("h", 1)], 4: [("i", 3), ("j", 1), ("k", 1)]}
+    comps = {"d": "d", "e": "d", "i": "i", "j": "i"}
+    members = spark.createDataFrame([(band, c.encode(), 5, w) for band, own in buckets.items() for c, w in own], "band long, c binary, n long, w long")
+    labels = spark.createDataFrame([(c.encode(), comps.get(c, c).encode()) for own in buckets.values() for c, _ in own], "c binary, comp binary")
+    assert sorted(bytes(r.c).decode() for r in neardup.open_points(members, labels).collect()) == ["g", "h", "j", "k"]
