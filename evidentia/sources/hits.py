@@ -12,11 +12,12 @@ from evidentia.functions.blanks import present
 from evidentia.functions.markers import hex_int
 from evidentia.functions.times import iso_z, parse_ts
 
-#: Hash fields of documents; details of an envelope that name the host and the protocols; the files of lanes of tools.
+#: Hash fields of documents; details of an envelope that name the host and the protocols; the fields of an envelope; the files of lanes of tools.
 HASH_NAMES = {"MD5": "file.hash.md5", "SHA-1": "file.hash.sha1", "SHA-256": "file.hash.sha256", "SHA-512": "file.hash.sha512"}
 HOST_DETAILS = ["Computer", "host.name", "Hostname", "HostName", "image_hostname"]
 TRANSPORT_DETAILS = ["network.transport", "proto", "Proto", "transport"]
 PROTOCOL_DETAILS = ["network.protocol", "app_proto", "service", "Protocol"]
+ENVELOPE = ["DetectionId", "Title", "Severity", "AttackIds", "Source", "Timestamp", "DetectedAt", "RunId", "Entity", "Details"]
 LANES = {"suricata": ["eve.json", ".eve.jsonl"], "hayabusa": ["timeline.jsonl"], "yara": ["yara.jsonl", "scan.jsonl", "memory.jsonl", "disk.jsonl", "matches.jsonl"]}
 
 
@@ -37,7 +38,7 @@ def paths(name: str) -> list[str]:
 
 def at(doc: Column, name: str, kind: str = "string") -> Column:
     """A field by its dotted name; of a list its first element."""
-    return F.get(F.array_compact(F.array(*(F.try_variant_get(doc, p, kind) for path in paths(name) for p in (f"{path}[0]", path)))), F.lit(0))
+    return F.coalesce(*(F.try_variant_get(doc, p, kind) for path in paths(name) for p in (f"{path}[0]", path)))
 
 
 def whole(doc: Column, name: str) -> Column:
@@ -45,11 +46,6 @@ def whole(doc: Column, name: str) -> Column:
     return F.coalesce(*(F.try_variant_get(doc, p, "string") for p in paths(name)))
 
 
-def first(doc: Column, *names: str) -> Column:
-    """The first of several fields that has a text; each is looked up once."""
-    return F.get(F.filter(F.array(*(at(doc, n) for n in names)), lambda v: v != ""), F.lit(0))
-
-
 def documents_of(parsed: DataFrame) -> DataFrame:
     """(path, doc): of each parsed text its documents: the elements of a list, what a search response found, or the text's own."""
     found = F.try_variant_get("value", "$.hits.hits", "array<variant>")
@@ -116,36 +112,47 @@ def hits(docs: DataFrame) -> DataFrame:
     An envelope has DetectionId and its fields beside it; its entity may be ``address -> address:port``. A document of the search
     engine names its rule by any of four fields.
     """
-    doc = F.col("doc")
-    e = lambda name: present(F.try_variant_get(doc, f"$.{name}", "string"))
-    wrapped = F.coalesce(F.try_variant_get(doc, "$.DetectionId", "variant").isNotNull(), F.lit(False))
+    doc, fields, values = F.col("doc"), {}, {}
+
+    def kept(made: dict[str, Column], column: Column) -> Column:
+        """A column that is made once, in a projection of its own: those that follow read it several times."""
+        name = f"_{'f' if made is fields else 'v'}{len(made)}"
+        made[name] = column
+        return F.col(name)
+
+    field = lambda *names: F.coalesce(*(present(kept(fields, at(doc, n))) for n in names))
+    told = {n: kept(fields, present(F.try_variant_get(doc, f"$.{n}", "string"))) for n in ENVELOPE}
+    e = lambda name: told[name]
+    wrapped = kept(fields, F.coalesce(F.try_variant_get(doc, "$.DetectionId", "variant").isNotNull(), F.lit(False)))
     entity = e("Entity")
-    arrow = lambda n: present(F.regexp_extract(entity, r"^\s*(\S+)\s*->\s*(\S+)\s*$", n))
+    arrow = lambda n: kept(values, present(F.regexp_extract(entity, r"^\s*(\S+)\s*->\s*(\S+)\s*$", n)))
+    left, right = arrow(1), arrow(2)
+    inner = kept(values, F.coalesce(F.try_parse_json(e("Details")), F.to_variant_object(F.struct(e("Details").alias("value")))))
     # an address that ends the entity whole has no port
-    start, end = ip(arrow(1)), F.coalesce(ip(arrow(2)), ip(F.regexp_extract(arrow(2), r"^\[?(.*?)\]?:\d+$", 1)))
+    start, end = ip(left), F.coalesce(ip(right), ip(F.regexp_extract(right, r"^\[?(.*?)\]?:\d+$", 1)))
     both = start.isNotNull() & end.isNotNull()
-    number = F.when(ip(arrow(2)).isNull(), F.regexp_extract(arrow(2), r":(\d+)$", 1).try_cast("bigint"))
-    inner = F.coalesce(F.try_parse_json(e("Details")), F.to_variant_object(F.struct(e("Details").alias("value"))))
+    number = F.when(ip(right).isNull(), F.regexp_extract(right, r":(\d+)$", 1).try_cast("bigint"))
     detail = lambda *names: F.coalesce(*(present(F.try_variant_get(inner, f'$["{n}"]', "string")) for n in names))
     envelope = {
         "detection_id": F.trim(e("DetectionId")), "title": F.coalesce(e("Title"), F.trim(e("DetectionId"))), "severity": F.lower(e("Severity")), "attack_ids": ids.technique_ids(F.coalesce(e("AttackIds"), F.lit(""))), "source": e("Source"), "at": moment(e("Timestamp")),
         "detected_at": moment(e("DetectedAt")), "run_id": e("RunId"), "entity": entity, "host": detail(*HOST_DETAILS), "source_ip": F.when(both, start), "destination_ip": F.when(both, end), "destination_port": F.when(both, number),
         "transport": F.lower(detail(*TRANSPORT_DETAILS)), "protocol": F.lower(detail(*PROTOCOL_DETAILS)), "file_name": F.lit(None).cast("string"), "guid": F.lit(None).cast("string"), "hashes": F.lit(None).cast("map<string,string>"),
     }
-    named = F.trim(first(doc, "detection.id", "rule.id", "kibana.alert.rule.rule_id", "signal.rule.id"))
+    named = F.trim(field("detection.id", "rule.id", "kibana.alert.rule.rule_id", "signal.rule.id"))
     techniques = F.concat(ids.technique_ids(F.coalesce(whole(doc, "threat.technique.id"), F.lit(""))), ids.technique_ids(F.coalesce(whole(doc, "kibana.alert.rule.threat"), F.lit(""))))
-    host, source, target, number = first(doc, "host.name", "host.hostname"), ip(at(doc, "source.ip")), ip(at(doc, "destination.ip")), port(at(doc, "destination.port"))
-    file, event = first(doc, "file.name", "file.path"), first(doc, "event.id")
+    host, event, file = field("host.name", "host.hostname"), field("event.id"), field("file.name", "file.path")
+    source, target, number = kept(values, ip(field("source.ip"))), kept(values, ip(field("destination.ip"))), kept(values, port(field("destination.port")))
     way = F.concat(source, F.lit(" -> "), target, F.coalesce(F.concat(F.lit(":"), number), F.lit("")))
     known = F.map_filter(F.create_map(*(x for label, name in HASH_NAMES.items() for x in (F.lit(label), at(doc, name)))), lambda k, v: v.isNotNull())
     searched = {
-        "detection_id": named, "title": F.coalesce(first(doc, "rule.name", "kibana.alert.rule.name"), named), "severity": F.lower(first(doc, "detection.severity", "kibana.alert.severity", "event.severity")), "attack_ids": F.array_distinct(techniques),
-        "source": F.coalesce(first(doc, "detection.source_index"), F.col("index"), first(doc, "_index", "event.dataset")), "at": moment(first(doc, "kibana.alert.original_time", "@timestamp")),
-        "detected_at": moment(first(doc, "detection.detected_at", "kibana.alert.last_detected", "kibana.alert.start")), "run_id": first(doc, "detection.run_id", "kibana.alert.rule.execution.uuid"),
-        "entity": F.coalesce(host, way, file, first(doc, "process.name"), event), "host": host, "source_ip": source, "destination_ip": target, "destination_port": number,
-        "transport": F.lower(first(doc, "network.transport")), "protocol": F.lower(first(doc, "network.protocol")), "file_name": file, "guid": event, "hashes": known,
+        "detection_id": named, "title": F.coalesce(field("rule.name", "kibana.alert.rule.name"), named), "severity": F.lower(field("detection.severity", "kibana.alert.severity", "event.severity")), "attack_ids": F.array_distinct(techniques),
+        "source": F.coalesce(field("detection.source_index"), F.col("index"), field("_index", "event.dataset")), "at": moment(field("kibana.alert.original_time", "@timestamp")),
+        "detected_at": moment(field("detection.detected_at", "kibana.alert.last_detected", "kibana.alert.start")), "run_id": field("detection.run_id", "kibana.alert.rule.execution.uuid"),
+        "entity": F.coalesce(host, way, file, field("process.name"), event), "host": host, "source_ip": source, "destination_ip": target, "destination_port": number,
+        "transport": F.lower(field("network.transport")), "protocol": F.lower(field("network.protocol")), "file_name": file, "guid": event, "hashes": known,
     }
-    out = docs.select("path", *(F.when(wrapped, envelope[c]).otherwise(v).alias(c) for c, v in searched.items()))
+    read = docs.select("*", *(v.alias(k) for k, v in fields.items())).withColumns(values)
+    out = read.select("path", *(F.when(wrapped, envelope[c]).otherwise(v).alias(c) for c, v in searched.items()))
     return out.where("detection_id <> ''")
 
 

@@ -54,3 +54,11 @@ def test_lanes_of_tools(spark, tmp_path):
     assert [(r.name, r.attack_ids, r.ips) for r in got["suricata"]] == [("S", ["T1046"], ["10.0.0.1"])]
     assert [(r.name, r.attack_ids, r.process_guid, r.pid, r.process) for r in got["hayabusa"]] == [("R", ["T1003"], "g", 16, "p.exe"), ("Hayabusa detection", [], None, None, None)]
     assert [(r.name, r.pid, r.host) for r in got["yara"]] == [("T1055_inject", 7, "h")]
+
+
+def test_a_field_of_a_document_is_read_once(spark):
+    docs = spark.createDataFrame([(json.dumps(FOUND),), (json.dumps(ENVELOPE),)], "t string").selectExpr("'p' AS path", "CAST(NULL AS string) AS index", "try_parse_json(t) AS doc")
+    out = hits.hits(docs).select("at", "source_ip", "destination_port")
+    assert sorted(map(tuple, out.collect())) == [("2024-01-01T00:00:00.000Z", "10.0.0.1", 445), ("2024-01-02T00:00:00.500Z", "10.0.0.9", 80)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count('$["@timestamp"][0]') == 1 and plan.count('$["source"]["ip"][0]') == 1
