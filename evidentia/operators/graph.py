@@ -45,15 +45,16 @@ def reconstruct(references: DataFrame, observed: DataFrame, keys: list[str], rul
     return missing_references(references, observed, keys).groupBy(*keys).agg(F.array_sort(F.collect_set(rule)).alias("rules"), F.count("*").alias("references"), F.min(at).alias("first_seen"), F.max(at).alias("last_seen"))
 
 
-def first_values(said: DataFrame, keys: list[str], prop: str, value: str, order: str, limit: int = LISTED) -> DataFrame:
-    """(keys, values): of each property its first different values by ``order``, ``limit`` at most, as arrays by name.
+def first_values(said: DataFrame, keys: list[str], prop: str, value: str, order: str, limit: int | None = LISTED) -> DataFrame:
+    """(keys, values): of each property its different values by ``order``, the first ``limit`` or all of them, as arrays by name.
 
-    The values are made different, and ranked, by aggregations and a limited rank that both work before the shuffle; only what
-    is listed is collected.
+    The values are made different, and with a limit ranked, by aggregations and a limited rank that both work before the shuffle;
+    only what is listed is collected.
     """
-    distinct = said.where(F.col(value).isNotNull()).groupBy(*keys, prop, value).agg(F.min(order).alias("_at"))
-    ranked = distinct.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, prop).orderBy("_at", value))).where(F.col("_r") <= limit)
-    lists = ranked.groupBy(*keys, prop).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", value))), lambda x: x[value]).alias("_values"))
+    listed = said.where(F.col(value).isNotNull()).groupBy(*keys, prop, value).agg(F.min(order).alias("_at"))
+    if limit is not None:
+        listed = listed.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, prop).orderBy("_at", value))).where(F.col("_r") <= limit)
+    lists = listed.groupBy(*keys, prop).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at" if limit is None else "_r", value))), lambda x: x[value]).alias("_values"))
     return lists.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(prop, "_values")))).alias("values"))
 
 

@@ -24,7 +24,7 @@ SID, SID_FIELDS = r"^S-1-(?:5-21|12-1)-\d+-\d+-\d+-\d+$", ["sid", "uid", "owner_
 LUID = r"(?i)^0x(?!0$|3e4$|3e5$|3e7$)[0-9a-f]+$"
 HASH_PROPERTIES = ["file_path", "image_path", "module_path", "file_name", "signer"]
 SID_PROPERTIES = ["user", "hostname"]
-#: Corroborating rows, and values of a property, that a node lists.
+#: Values of a property that a content node lists.
 LISTED = 64
 
 
@@ -200,8 +200,8 @@ def relations(rows: DataFrame) -> DataFrame:
 def inferred_nodes(rows: DataFrame) -> DataFrame:
     """A node for each thing that is referred to and was not observed: which rules and rows it rests on, and what these say of it.
 
-    Of a property the first row's value is kept, by the order of the rules, then of time; others are listed as conflicts. Lists
-    have LISTED entries at most; the reason has the full number of rows.
+    Of a property the first row's value is kept, by the order of the rules, then of time; all others are listed as conflicts, and
+    all rows that it rests on as its corroboration: a node is as long as what refers to it.
     """
     key = [*SCOPE, "node_id"]
     asked = references(rows).withColumn("_at", F.struct("rule_no", "timestamp", "row_id"))
@@ -210,10 +210,10 @@ def inferred_nodes(rows: DataFrame) -> DataFrame:
     rules = F.array_sort(F.array_distinct(F.flatten(F.collect_set("rules"))))
     nodes = by_row.groupBy(*key).agg(rules.alias("rules"), F.count("*").alias("n"), F.min("first").alias("first_seen"), F.max("last").alias("last_seen"), F.min_by("of", "_at").alias("of"))
     said = asked.select(*key, "_at", F.explode("told").alias("property", "value"))
-    lists = graph.first_values(said, key, "property", "value", "_at", LISTED)
-    seen = graph.first_values(by_row.select(*key, "_at", F.lit("").alias("property"), F.col("seen_guid").alias("value")), key, "property", "value", "_at", LISTED)
+    lists = graph.first_values(said, key, "property", "value", "_at", None)
+    seen = graph.first_values(by_row.select(*key, "_at", F.lit("").alias("property"), F.col("seen_guid").alias("value")), key, "property", "value", "_at", None)
     first = F.transform_values("values", lambda k, v: v[0])
-    more = F.map_filter(F.transform_values("values", lambda k, v: F.slice(v, 2, LISTED)), lambda k, v: F.size(v) > 0)
+    more = F.map_filter(F.transform_values("values", lambda k, v: F.slice(v, F.lit(2), F.size(v))), lambda k, v: F.size(v) > 0)
     said = lists.select(*(F.col(k).alias(f"_s_{k}") for k in key), first.alias("properties"), F.when(F.size(more) > 0, F.to_json(more)).alias("conflicts"))
     seen = seen.select(*(F.col(k).alias(f"_r_{k}") for k in key), F.try_element_at("values", F.lit("")).alias("corroborated_by"))
     on = lambda p: reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"{p}{k}")) for k in key))

@@ -163,6 +163,15 @@ def test_memory_offsets_and_sessions_that_nothing_observed_are_inferred(spark):
     assert told == {("loaded", "proc-ff", "m1", "source"), ("loaded", "proc-ff", "m2", "source"), ("created", "a", "user_session-0xab", "target")}
 
 
+def test_an_inferred_node_lists_all_that_it_rests_on(spark):
+    base = {"car_object": "module", "car_action": "load", "source_host": "h"}
+    rows = model(spark, [base | {"guid": f"m{k:03}", "timestamp": f"2024-01-01T00:{k // 60:02}:{k % 60:02}", "owning_pid": str(k + 10)} for k in range(150)])
+    rows = links.with_facts(rows, links.stages(rows)).withColumn("owning_offset", F.lit("255"))
+    (node,) = derived.inferred_nodes(rows).collect()
+    assert node.corroborated_by == [f"m{k:03}" for k in range(150)]
+    assert node.properties == {"pid": "10"} and json.loads(node.conflicts) == {"pid": [str(k + 10) for k in range(1, 150)]}
+
+
 def test_lists_of_values_are_bounded_and_first_seen(spark):
     said = spark.range(5000).select(F.lit("k").alias("k"), F.lit("p").alias("property"), (F.col("id") % 1000).cast("string").alias("value"), F.col("id").alias("at"))
     (row,) = graph.first_values(said, ["k"], "property", "value", "at", 64).collect()
