@@ -1,9 +1,10 @@
 """Exact top-k inner products, block at a time.
 
-Vectors are packed into blocks of consecutive ids with the largest and smallest value of every term. A query orders the
-blocks by the sum of what each term could give at most, scores block after block through its matrix, and stops when the
-next bound falls below its k-th score. Queries are packed as well; every batch of queries meets every group of blocks
-once, in a join on the group, and what the groups return is merged by query.
+Vectors are packed, as integers, into groups of blocks of consecutive ids; a block has the largest and smallest value of every
+term. A query orders a group's blocks by the sum of what each term could give at most, scores block after block through its
+matrix, and stops when the next bound falls below its k-th score. Queries are packed as well. All pairs are laid out as a grid:
+a cell has a bounded share of the queries, which its task holds, and a share of the groups, which stream past them and leave each
+query's k best. What the cells return is merged by query.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from evidentia.llm.common import cut, shuffle_partitions
 
 BLOCK, BLOCKS_IN_GROUP, QUERIES_IN_BATCH = 256, 32, 512
-#: A batch of queries is repeated for each slot of groups, not for each group.
-SLOTS = 4096
+#: Queries that a task holds, and components of them; queries that are scored together.
+HELD, HELD_VALUES, AT_ONCE = 8192, 1 << 22, 1024
 #: A score is a long: one that is larger is this, up or down, and equal to all that are.
 MOST = (1 << 63) - 1
 
@@ -41,13 +42,14 @@ def valid(vector: Column) -> Column:
 
 def held(scores: np.ndarray) -> np.ndarray:
     """Scores as a long holds them."""
-    return np.clip(scores, -MOST, MOST) if scores.dtype == object else scores
+    return (np.clip(scores, -MOST, MOST) if scores.dtype == object else scores).astype(np.int64)
 
 
 def packed(rows: DataFrame, size: int) -> DataFrame:
-    """(pack, ids, values, width): rows of up to ``size`` vectors of neighbouring ids, numbered within their partition.
+    """(pack, ids, values, form, width): rows of up to ``size`` vectors of neighbouring ids, numbered within their partition.
 
-    Shorter vectors are filled up with zeros, which add nothing to a product.
+    Shorter vectors are filled up with zeros, which add nothing to a product. The values are the smallest integers that hold them
+    all, or the components themselves if 64 bits don't.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +61,11 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
             values = np.zeros((len(vectors), width), np.float64)
             for k, v in enumerate(vectors):
                 values[k, : len(v)] = v
-            return pa.RecordBatch.from_arrays([pa.array([np.array(ids, np.int64).tobytes()]), pa.array([values.tobytes()]), pa.array([width], pa.int32())], ["ids", "values", "width"])
+            whole = quantised(values)
+            most = int(np.abs(whole).max(initial=0))
+            form = "f8" if whole.dtype == object else next(f for f, bits in (("i2", 15), ("i4", 31), ("i8", 63)) if most < 1 << bits)
+            raw = (values if form == "f8" else whole).astype(form).tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([np.array(ids, np.int64).tobytes()]), pa.array([raw]), pa.array([form]), pa.array([width], pa.int32())], ["ids", "values", "form", "width"])
 
         for batch in batches:
             for i, v in zip(batch.column("id").to_pylist(), batch.column("v").to_pylist(), strict=True):
@@ -72,13 +78,19 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
             yield lot()
 
     ordered = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), "id").sortWithinPartitions("id")
-    return ordered.mapInArrow(run, "ids binary, values binary, width int").withColumn("pack", F.monotonically_increasing_id())
+    return ordered.mapInArrow(run, "ids binary, values binary, form string, width int").withColumn("pack", F.monotonically_increasing_id())
 
 
-def matrix(raw: bytes, width: int, wide: int, rows: int) -> np.ndarray:
-    """Packed vectors as integers, filled up to ``wide`` components."""
-    values = quantised(np.frombuffer(raw, np.float64).reshape(rows, width))
-    return np.pad(values, ((0, 0), (0, wide - width))) if width < wide else values
+def matrix(raw: bytes, form: str, width: int, rows: int) -> np.ndarray:
+    """Packed vectors as integers."""
+    values = np.frombuffer(raw, form).reshape(rows, width)
+    return quantised(values) if form == "f8" else values.astype(np.int64)
+
+
+def share(of: int) -> Column:
+    """Packs dealt over ``of`` shares, whichever partitions they are from."""
+    partition, place = F.shiftright("pack", 33), F.col("pack").bitwiseAND((1 << 33) - 1)
+    return F.pmod(partition + place, F.lit(of)).cast("int")
 
 
 def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,40 +98,59 @@ def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np
     return ids[order], scores[order]
 
 
-def search_group(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """The k best vectors of a group for each query, itself not among them; pruned block by block."""
-    # sums of products below 2**53 are exact in floating point, which is faster
-    reach = int(np.abs(queries).max(initial=0)) * int(np.abs(values).max(initial=0)) * max(1, values.shape[1])
-    if reach < 1 << 53:
-        queries, values = queries.astype(np.float64), values.astype(np.float64)
-    elif reach < 1 << 63:
-        queries, values = queries.astype(np.int64), values.astype(np.int64)
-    else:
-        queries, values = queries.astype(object), values.astype(object)
-    starts = np.arange(0, len(ids), BLOCK)
-    high, low = np.maximum.reduceat(values, starts, axis=0), np.minimum.reduceat(values, starts, axis=0)
-    positive, negative = np.maximum(queries, 0), np.minimum(queries, 0)
-    bounds = held(positive @ high.T + negative @ low.T)
-    order = np.argsort(-bounds, axis=1, kind="stable")
-    found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, values.dtype))] * len(query_ids)
-    waiting = np.arange(len(query_ids))
-    for turn in range(len(starts)):
-        block = order[waiting, turn]
-        still = []
-        for b in np.unique(block):
-            own = waiting[block == b]
-            part = slice(starts[b], starts[b] + BLOCK)
-            scores = held(queries[own] @ values[part].T)
-            for q, row in zip(own, scores, strict=True):
-                other = ids[part] != query_ids[q]
-                have, had = found[q]
-                found[q] = best_of(np.concatenate((have, ids[part][other])), np.concatenate((had, row[other])), k)
-                if turn + 1 < len(starts) and (len(found[q][0]) < k or bounds[q, order[q, turn + 1]] >= found[q][1][-1]):
-                    still.append(q)
-        waiting = np.array(sorted(still), np.int64)
-        if not len(waiting):
-            break
-    return [(int(q), i, s) for q, (i, s) in zip(query_ids, found, strict=True) if len(i)]
+class Held:
+    """The queries of a cell, with the k best vectors that each has met."""
+
+    def __init__(self, batches: list[tuple[np.ndarray, np.ndarray]], k: int) -> None:
+        wide = max(v.shape[1] for _, v in batches)
+        self.k, self.ids = k, np.concatenate([i for i, _ in batches])
+        self.values = np.concatenate([np.pad(v, ((0, 0), (0, wide - v.shape[1]))) for _, v in batches])
+        self.forms: dict[type, np.ndarray] = {}
+        self.found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(self.ids)
+        #: The k-th score of each query, below all scores as long as there is none.
+        self.last = np.full(len(self.ids), -MOST - 1, np.int64)
+
+    def meet(self, ids: np.ndarray, values: np.ndarray) -> None:
+        """The vectors of a group, pruned block by block; a query's own id is left out. Vectors are compared over the shorter."""
+        width = min(self.values.shape[1], values.shape[1])
+        values = values[:, :width]
+        # sums of products below 2**53 are exact in floating point, which is faster
+        reach = int(np.abs(self.values).max(initial=0)) * int(np.abs(values).max(initial=0)) * max(1, width)
+        form = np.float64 if reach < 1 << 53 else np.int64 if reach < 1 << 63 else object
+        if form not in self.forms:
+            self.forms[form] = self.values.astype(form)
+        every, values = self.forms[form][:, :width], values.astype(form)
+        starts = np.arange(0, len(ids), BLOCK)
+        high, low = np.maximum.reduceat(values, starts, axis=0), np.minimum.reduceat(values, starts, axis=0)
+        for first in range(0, len(every), AT_ONCE):
+            queries, last = every[first : first + AT_ONCE], self.last[first : first + AT_ONCE]
+            bounds = held(np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T)
+            order = np.argsort(-bounds, axis=1, kind="stable")
+            waiting = np.arange(len(queries))
+            for turn in range(len(starts)):
+                block = order[waiting, turn]
+                # the k-th score may be shared, and the smaller id wins
+                open_ = bounds[waiting, block] >= last[waiting]
+                waiting, block = waiting[open_], block[open_]
+                if not len(waiting):
+                    break
+                for b in np.unique(block):
+                    own, part = waiting[block == b], slice(starts[b], starts[b] + BLOCK)
+                    scores = held(queries[own] @ values[part].T)
+                    for row in np.flatnonzero(scores.max(axis=1) >= last[own]):
+                        q = own[row]
+                        self.take(first + q, ids[part], scores[row])
+
+    def take(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        use = (ids != self.ids[q]) & (scores >= self.last[q])
+        have, had = self.found[q]
+        self.found[q] = have, had = best_of(np.concatenate((have, ids[use])), np.concatenate((had, scores[use])), self.k)
+        if len(had) == self.k:
+            self.last[q] = had[-1]
+
+    def result(self) -> pa.RecordBatch:
+        columns = np.repeat(self.ids, [len(i) for i, _ in self.found]), np.concatenate([i for i, _ in self.found]), np.concatenate([s for _, s in self.found])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 5, row_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -135,29 +166,44 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, row_id: str = "vec_id",
     candidates = usable.select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     asked = usable.where(is_query).select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).dropDuplicates(["id"])
     # a group of blocks is one row of about BLOCK * BLOCKS_IN_GROUP vectors
-    groups = cut(packed(candidates, BLOCK * BLOCKS_IN_GROUP))
-    numbered = groups.select("pack", "ids", "values", "width")
-    batches = cut(packed(asked, QUERIES_IN_BATCH)).select(F.col("ids").alias("q_ids"), F.col("values").alias("q_values"), F.col("width").alias("q_width"))
-    slots = min(SLOTS, groups.count())
-    if not slots:
+    groups, batches = cut(packed(candidates, BLOCK * BLOCKS_IN_GROUP)), cut(packed(asked, QUERIES_IN_BATCH))
+    n_groups = groups.count()
+    n_batches, n_queries, wide = batches.agg(F.count("*"), F.sum(F.length("ids") / 8).cast("long"), F.max("width")).first()
+    if not n_groups or not n_batches:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    each = batches.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    pairs = numbered.withColumn("slot", F.pmod(F.xxhash64("pack"), F.lit(slots)).cast("int")).join(each, "slot")
+    # as many cells as partitions, and more where a cell would hold too many queries
+    down = min(n_batches, -(-n_queries // max(1, min(HELD, HELD_VALUES // max(1, wide)))))
+    across = max(1, min(n_groups, -(-shuffle_partitions(rows.sparkSession) // down)))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    columns = ["ids", "values", "form", "width", "pack"]
+    dealt = batches.select(*columns, F.lit(0).alias("side"), share(down).alias("row"), each(across).alias("at"))
+    dealt = dealt.unionByName(groups.select(*columns, F.lit(1).alias("side"), share(across).alias("at"), each(down).alias("row")))
+    # both sides of a cell in one stream, its queries first: no join, so nothing that is repeated is broadcast
+    dealt = dealt.withColumn("cell", F.col("row") * across + F.col("at")).drop("row", "at")
+    grid = dealt.repartitionById(down * across, F.col("cell")).sortWithinPartitions("cell", "side", "pack")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, waiting, met = None, [], None
         for part in parts:
             for row in range(part.num_rows):
                 at = {n: part.column(n)[row].as_py() for n in part.schema.names}
-                wide = max(at["width"], at["q_width"])
-                q_ids, own = np.frombuffer(at["q_ids"], np.int64), np.frombuffer(at["ids"], np.int64)
-                result = search_group(q_ids, matrix(at["q_values"], at["q_width"], wide, len(q_ids)), own, matrix(at["values"], at["width"], wide, len(own)), k)
-                ids = [q for q, i, _ in result for _ in i]
-                vecs = np.concatenate([i for _, i, _ in result]) if result else np.empty(0, np.int64)
-                scores = [int(x) for _, _, s in result for x in s]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vecs, pa.int64()), pa.array(scores, pa.int64())], ["query_id", "vec_id", "score"])
-
-    local = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
-    # k rows a query from each group of blocks; a query's are merged in two steps
+                if at["cell"] != cell:
+                    if met:
+                        yield met.result()
+                    cell, waiting, met = at["cell"], [], None
+                ids = np.frombuffer(at["ids"], np.int64)
+                values = matrix(at["values"], at["form"], at["width"], len(ids))
+                if at["side"] == 0:
+                    waiting.append((ids, values))
+                elif waiting or met:
+                    met = met or Held(waiting, k)
+                    waiting = []
+                    met.meet(ids, values)
+        if met:
+            yield met.result()
+
+    local = grid.mapInArrow(run, "query_id long, vec_id long, score long")
+    # k rows a query from each cell; a query's are merged in two steps
     merged = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("less"), "vec_id"))), 1, k).alias("best")
     partly = local.groupBy("query_id", F.pmod(F.xxhash64("vec_id"), F.lit(64)).alias("part")).agg(merged).select("query_id", F.explode("best").alias("x"))
     ranked = partly.select("query_id", (-F.col("x.less")).alias("score"), "x.vec_id").groupBy("query_id").agg(merged)

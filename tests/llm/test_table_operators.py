@@ -1,6 +1,7 @@
 """Operators over whole tables: sharding, mixing, fingerprints, search, near duplicates."""
 
 import hashlib
+import math
 import re
 from collections import defaultdict
 
@@ -161,6 +162,24 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(df.where("vec_id < 0"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_no_query_is_broadcast_and_cells_hold_a_bounded_number(spark, monkeypatch):
+    for name, n in (("BLOCK", 4), ("BLOCKS_IN_GROUP", 3), ("QUERIES_IN_BATCH", 5), ("HELD", 20)):
+        monkeypatch.setattr(topk, name, n)
+    vectors = {i: [int(x) for x in RNG.integers(-3, 4, size=3 + i % 3)] for i in range(300)} | {301: [1e200, -1.0], 302: [2.0**40, 3.0, 1.0]}
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    out = topk.top_k(df, F.col("vec_id") % 2 == 0, 4)
+    # repeated for each share of the groups, queries are larger than Spark's estimate of them
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    got = defaultdict(list)
+    for r in out.orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    most = (1 << 63) - 1
+    whole = {i: [math.floor(256 * x) if abs(x) < 2**53 else math.floor(x) * 256 for x in v] for i, v in vectors.items()}
+    for q in (i for i in vectors if i % 2 == 0):
+        scores = {i: max(-most, min(most, sum(a * b for a, b in zip(whole[q], v, strict=False)))) for i, v in whole.items() if i != q}
+        assert got[q] == sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:4]
+
+
 def test_large_components_stay_exact(spark):
     for big in (1e4, 1e6, 1e13, 1e17, 1e300, 1.7e308):
         df = spark.createDataFrame([(0, [big, 3.0]), (1, [big, 1.0]), (2, [-big, 2.0])], "vec_id long, embedding array<double>")
