@@ -18,12 +18,14 @@ def sha1_of_name(name: Column, namespace: uuid.UUID = NAMESPACE) -> Column:
     return F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(name, "UTF-8")))
 
 
+#: Each digit with that of the variant which it makes.
+VARIANTS = "".join(f"{d:x}{8 + d % 4:x}" for d in range(16))
+
+
 def uuid_of_sha1(h: Column) -> Column:
-    """The version 5 UUID that a hash makes; null of none. Every part can be null alone, so that the hash is made once."""
-    part = lambda start, size: F.substring(h, start, size)
-    variant = F.substring(F.lit("89ab89ab89ab89ab"), F.conv(part(17, 1), 16, 10).cast("int") + 1, F.lit(1))
-    dash = F.lit("-")
-    return F.concat(part(1, 8), dash, part(9, 4), dash, F.lit("5"), part(14, 3), dash, variant, part(18, 3), dash, part(21, 12))
+    """The version 5 UUID that a hash makes; null of none. The hash is written once, so that it is made once; its digit of the variant is looked up in what is put behind it."""
+    parts = "^(.{8})(.{4}).(.{3})(.)(.{3})(.{12}).*#(?:..)*?\\4(.).*$"
+    return F.regexp_replace(F.concat(h, F.lit(f"#{VARIANTS}")), parts, "$1-$2-5$3-$7$5-$6")
 
 
 def uuid5(name: Column, namespace: uuid.UUID = NAMESPACE) -> Column:

@@ -5,6 +5,8 @@ Every row carries ``source``; every key has it first, so that sources stay apart
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,8 +75,8 @@ def association(key: str) -> Column:
     return F.when(F.size(told) > 0, F.to_json(told)) if places else F.lit(None).cast("string")
 
 
-def edges(rows: DataFrame) -> DataFrame:
-    """All relations that linked events declare, a scan for all kinds.
+def edges(rows: DataFrame, objects: Collection[str] = tuple(FIELDS)) -> DataFrame:
+    """All relations that linked events declare, a scan for all kinds. ``objects`` are the event objects that the rows can have.
 
     Owners and what they did, parents, accesses and injections, changes of processes, what a connection contained, processes
     and the files that they ran, and the sessions of authentications.
@@ -91,20 +93,21 @@ def edges(rows: DataFrame) -> DataFrame:
 
     kinds = []
     for kind in FIELDS:
-        if kind != "process":
+        if kind != "process" and kind in objects:
             actions = [k.split("/")[1] for k in ASSOCIATIONS if k.startswith(f"{kind}/")]
             properties = F.coalesce(*(F.when(F.col("car_action") == a, association(f"{kind}/{a}")) for a in actions), F.lit(None).cast("string"))
             kinds.append(edge(graph.verb_of(F.lit(kind), F.col("car_action")), ("process", owner), (kind, guid), own(kind), link, properties))
             if kind != "flow":
                 kinds.append(edge(F.lit("contained"), ("flow", native("flow_guid")), (kind, guid), own(kind), said(native("flow_link"), "capture_uid")))
             kinds.append(edge(F.lit("executed"), ("process", native("executed_as_process_guid")), (kind, guid), own(kind), said(native("executed_as_process_link"), "image_path")))
-    kinds += [
+    of_processes = [
         edge(F.lit("created"), ("process", F.col("parent_guid")), ("process", guid), own("process", "create"), link),
         edge(F.lit("accessed"), ("process", owner), ("process", links.prop("target_guid")), own("process", "access"), link, "edge:process_access"),
         edge(F.lit("modified"), ("process", native("modifier_process_guid")), ("process", guid), own("process", "modify"), said(native("modifier_process_link"), "native_guid")),
-        edge(F.lit("accessed"), ("process", owner), ("process", native("target_process_guid")), F.lit(True), said(native("target_process_link"), "native_guid"), "edge:thread_injection"),
-        *(edge(F.lit("created"), ("authentication", guid), ("user_session", native(f"{end}_session_guid")), own("authentication"), said(native(f"{end}_session_link"), "luid")) for end in ("target", "subject")),
     ]
+    of_sessions = [edge(F.lit("created"), ("authentication", guid), ("user_session", native(f"{end}_session_guid")), own("authentication"), said(native(f"{end}_session_link"), "luid")) for end in ("target", "subject")]
+    kinds.append(edge(F.lit("accessed"), ("process", owner), ("process", native("target_process_guid")), F.lit(True), said(native("target_process_link"), "native_guid"), "edge:thread_injection"))
+    kinds += (of_processes if "process" in objects else []) + (of_sessions if "authentication" in objects else [])
     return graph.edges(rows, kinds)
 
 

@@ -8,7 +8,7 @@ that start with ``=`` are over contents alone and have the standard's own identi
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import cache, reduce
 
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.functions import ids
-from evidentia.functions.blanks import bound, present
+from evidentia.functions.blanks import present
 from evidentia.functions.markers import hex_int
 from evidentia.functions.times import iso_z, parse_ts
 from evidentia.operators import fold, joins
@@ -76,7 +76,7 @@ def identity(key: Column, case: str) -> Column:
     wide = key.startswith("=")
     space = F.when(wide, F.unhex(F.lit(observables.STANDARD.hex))).otherwise(F.unhex(F.lit(uuid.uuid5(ids.NAMESPACE, f"case|{case}").hex)))
     name = F.when(wide, F.regexp_replace(key, "^[^|]*[|]", "")).otherwise(key)
-    made = bound(F.sha1(F.concat(space, F.encode(name, "UTF-8"))), ids.uuid_of_sha1)
+    made = ids.uuid_of_sha1(F.sha1(F.concat(space, F.encode(name, "UTF-8"))))
     return F.when(F.contains(key, F.lit("|")), F.concat(F.regexp_extract(key, "^=?([^|]*)", 1), F.lit("--"), made)).otherwise(key)
 
 
@@ -166,7 +166,8 @@ def file_at(path: Told | None, name: Told | None, role: str | None, fallback: tu
     cut = F.regexp_replace(path.value, r"[/\\]+$", "")
     folder = F.regexp_extract(cut, r"(?s)^(.*)[/\\][^/\\]+$", 1)
     folder = F.when(folder != "", folder).when(cut.rlike("^/[^/\\\\]+$"), "/")
-    inside = F.when(folder.isNotNull(), scoped("directory", host(), folder))
+    # null without a folder, which is written once
+    inside = F.concat(scoped("directory", host(), ""), folder)
     called = F.coalesce(name.value, present(F.regexp_extract(cut, r"([^/\\]*)$", 1)))
     if hashed:
         properties["x_content_ref"] = F.col("content_ref")
@@ -311,12 +312,13 @@ def things() -> dict[str, list[Thing]]:
 #: Names under which a thing keeps what it takes over in another form: homed, not written.
 SHOWN_OTHERWISE = ["transport", "application", "scheme", "remainder", "to", "links"]
 STORED = "struct<key:string,role:string,rank:int,end_object:string,end_guid:string,told:map<string,array<string>>>"
+REFERENCES = STORED.replace(",told:map<string,array<string>>", "")
 
 
-def stored(kind: str, n: int, thing: Thing) -> Column:
+def stored(kind: str, n: int, thing: Thing, properties: bool) -> Column:
     """A thing as a struct; its key is null where the event does not tell of it."""
     entries = []
-    for name, said in thing.properties.items():
+    for name, said in thing.properties.items() if properties else ():
         if name not in SHOWN_OTHERWISE:
             v = said.value if isinstance(said, Told) else said
             entries += [F.lit(name), v if name in ("protocols", "to_refs", "x_link_refs") else F.array(v.cast("string"))]
@@ -324,18 +326,26 @@ def stored(kind: str, n: int, thing: Thing) -> Column:
     # the first thing stands for the event; a process that another event names, and an account, for itself
     own = n == 0 and kind not in OCCURRENCES and thing.ends is None
     first, second = (F.lit(kind), guid()) if own else (F.lit(ends[0]), ends[1])
-    return F.struct(thing.key.alias("key"), F.lit(thing.role).alias("role"), F.lit(n).alias("rank"), first.alias("end_object"), second.cast("string").alias("end_guid"), F.create_map(*entries).alias("told")).cast(STORED)
+    fields = [thing.key.alias("key"), F.lit(thing.role).alias("role"), F.lit(n).alias("rank"), first.alias("end_object"), second.cast("string").alias("end_guid")]
+    return F.struct(*fields, F.create_map(*entries).alias("told")).cast(STORED) if properties else F.struct(*fields).cast(REFERENCES)
 
 
-def prepared(rows: DataFrame, contents: DataFrame | None = None) -> DataFrame:
+def event_objects(rows: DataFrame) -> list[str]:
+    """The event objects that rows have, for ``prepared``: what is declared of others need not be planned. Reads one column."""
+    return sorted(r[0] for r in rows.where(F.col("car_object").isin(list(things()))).select("car_object").distinct().collect())
+
+
+def prepared(rows: DataFrame, contents: DataFrame | None = None, kinds: Collection[str] | None = None, properties: bool = True) -> DataFrame:
     """Linked events with their things, what no thing takes over, and the contents that their hashes are of; a written table.
 
-    ``contents`` are the (node_id, id) pairs of ``observables.content_files``.
+    ``contents`` are the (node_id, id) pairs of ``observables.content_files``. ``kinds`` are the event objects that the rows can
+    have, by default all. Without ``properties`` things have their keys, roles and ends only: enough for references and
+    relations, not for objects and for the fields of observations.
     """
     for name in ("owner_guid", "parent_guid", "link_confidence"):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
-    spec = things()
+    spec = {k: v for k, v in things().items() if kinds is None or k in kinds} or {"file": things()["file"]}
     rows = rows.where(F.col("car_object").isin(list(spec)))
     accepted = {f.removesuffix("_hash"): F.lower(derived.accepted(prop(f), derived.HASH)) for f in HASHES}
     rows = rows.withColumn("node", F.coalesce(*(F.concat(F.lit(f"{a}:"), v) for a, v in accepted.items())))
@@ -344,21 +354,30 @@ def prepared(rows: DataFrame, contents: DataFrame | None = None) -> DataFrame:
     found = contents if contents is not None else observables.content_files(rows)[1]
     hashed = hashed.join(found.select(F.col("node_id").alias("node"), F.col("id").alias("content_ref")), "node", "left")
     every = plain.unionByName(hashed.select(*plain.columns)).drop("node")
-    lists, homes = [], []
+    lists, homes, form = [], [], STORED if properties else REFERENCES
     for kind, own in spec.items():
-        every_thing = F.concat(F.array(*(stored(kind, n, t) for n, t in enumerate(own))), *(listed_things(*x) for x in LISTING.get(kind, [])))
+        listed = [listed_things(*x) for x in LISTING.get(kind, [])]
+        if properties:
+            every_thing = F.concat(F.array(*(stored(kind, n, t, True) for n, t in enumerate(own))), *listed)
+        else:
+            # each thing that there is, without a function over the entries of an array, which has no generated code
+            there = [F.when(t.key.isNotNull(), F.array(stored(kind, n, t, False))).otherwise(F.array().cast(f"array<{form}>")) for n, t in enumerate(own)]
+            every_thing = F.concat(*there, *(F.transform(x, lambda t: t.dropFields("told").cast(form)) for x in listed))
         lists.append(F.when(F.col("car_object") == kind, every_thing))
         homes.append(F.when(F.col("car_object") == kind, F.array(*(F.when(t.value.isNotNull(), F.lit(t.name)) for thing in own for t in thing.told()))))
-    there = F.filter(F.coalesce(*lists), lambda t: t["key"].isNotNull())
-    # of what is told only what there is
-    made = F.transform(there, lambda t: F.struct(*(t[c].alias(c) for c in ("key", "role", "rank", "end_object", "end_guid")), F.map_filter(t["told"], lambda k, v: F.size(F.array_compact(v)) > 0).alias("told")))
-    record = F.struct(
-        scoped("x-record", host(), F.col("car_object"), guid()).alias("key"), F.col("car_object").alias("role"), F.lit(0).alias("rank"), F.col("car_object").alias("end_object"), guid().cast("string").alias("end_guid"),
-        F.map_filter(F.create_map(F.lit("x_object"), F.array("car_object"), F.lit("x_event_id"), F.array("guid"), F.lit("x_source_host"), F.array("source_host")), lambda k, v: F.size(F.array_compact(v)) > 0).alias("told"),
-    ).cast(STORED)
-    out = every.withColumn("things", made).withColumn("homed", F.array_compact(F.coalesce(*homes)))
+    made = F.coalesce(*lists)
+    record = [scoped("x-record", host(), F.col("car_object"), guid()).alias("key"), F.col("car_object").alias("role"), F.lit(0).alias("rank"), F.col("car_object").alias("end_object"), guid().cast("string").alias("end_guid")]
+    if properties:
+        there = F.filter(made, lambda t: t["key"].isNotNull())
+        # of what is told only what there is
+        made = F.transform(there, lambda t: F.struct(*(t[c].alias(c) for c in ("key", "role", "rank", "end_object", "end_guid")), F.map_filter(t["told"], lambda k, v: F.size(F.array_compact(v)) > 0).alias("told")))
+        said = F.create_map(F.lit("x_object"), F.array("car_object"), F.lit("x_event_id"), F.array("guid"), F.lit("x_source_host"), F.array("source_host"))
+        record.append(F.map_filter(said, lambda k, v: F.size(F.array_compact(v)) > 0).alias("told"))
+        every = every.withColumn("homed", F.array_compact(F.coalesce(*homes)))
+    out = every.withColumn("things", made)
     own = F.exists("things", lambda t: F.coalesce(t["role"] != "owning_guid", F.lit(True)))
-    return written(out.withColumn("things", F.when(own | guid().isNull(), F.col("things")).otherwise(F.concat(F.array(record), F.col("things")))))
+    out = out.withColumn("things", F.when(own | guid().isNull(), F.col("things")).otherwise(F.concat(F.array(F.struct(*record).cast(form)), F.col("things"))))
+    return written(out)
 
 
 # -- objects ----------------------------------------------------------------------------------------------------------------
@@ -399,7 +418,7 @@ def observations(ready: DataFrame, case: str) -> DataFrame:
     return out.select(
         identity(key, case).alias("id"), *SCOPE, "car_object", "car_action", "guid", acting.alias("process_entity_id"), iso_z(F.col("ts")).alias("at"), "timestamp", "source_artefact", "link_confidence", "object_refs",
         F.map_filter(F.map_from_entries(F.transform("object_refs", lambda i: F.struct(i, roles(i)))), lambda k, v: F.size(v) > 0).alias("roles"),
-        F.map_filter("props", lambda k, v: ~F.array_contains("homed", k) & (F.coalesce(v, F.lit("")) != "")).alias("fields"), "native",
+        *([F.map_filter("props", lambda k, v: ~F.array_contains("homed", k) & (F.coalesce(v, F.lit("")) != "")).alias("fields")] if "homed" in ready.columns else []), "native",
     )
 
 
@@ -432,8 +451,10 @@ def relationships(edges: DataFrame, known: DataFrame, case: str) -> DataFrame:
         "identity_key", "inferred_end", "corroborated_by", "properties", F.when(F.col("inferred_end") == "source", F.col("source_guid")).when(F.col("inferred_end") == "target", F.col("target_guid")).alias("node_id"),
         F.when(F.col("inferred_end") == "source", F.col("source_object")).otherwise(F.col("target_object")).alias("node_object"),
     )
-    rest = [c for c in out.columns if c != "id"]
-    return out.groupBy("id").agg(F.min_by(F.struct(*rest), F.struct("source", "source_host", F.col("identity_key"))).alias("r")).select("id", "r.*")
+    # the identity is over both ends, so that they are keys like it, and the rest is made only for those who read it
+    keys = ["id", "source_ref", "target_ref"]
+    rest = [c for c in out.columns if c not in keys]
+    return out.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("source", "source_host", F.col("identity_key"))).alias("r")).select(*keys, "r.*")
 
 
 def inferred(nodes: DataFrame, related: DataFrame, case: str) -> DataFrame:
@@ -448,25 +469,29 @@ def inferred(nodes: DataFrame, related: DataFrame, case: str) -> DataFrame:
 
 def short(ref: Column) -> Column:
     """An identity as bytes, its kind and the 16 of its UUID; different identities stay different, those of another form too."""
-    uuid = F.regexp_extract(ref, "^[^\\x00].*--([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})\\z", 1)
-    kind = F.encode(F.left(ref, F.length(ref) - 38), "UTF-8")
-    return F.when(uuid != "", F.concat(kind, F.unhex(F.replace(uuid, F.lit("-"), F.lit(""))))).otherwise(F.concat(F.unhex(F.lit("00")), F.encode(ref, "UTF-8")))
+    tail = F.substring(ref, -38, 38)
+    plain = tail.rlike("^--[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\\z") & ~ref.startswith("\x00")
+    kind = F.encode(F.substring(ref, F.lit(1), F.length(ref) - 38), "UTF-8")
+    return F.when(plain, F.concat(kind, F.unhex(F.replace(tail, F.lit("-"), F.lit(""))))).otherwise(F.concat(F.unhex(F.lit("00")), F.encode(ref, "UTF-8")))
 
 
 def connected(observed: DataFrame, related: DataFrame) -> DataFrame:
     """(id, source_ref, target_ref, relationships): the pairs of things of an observation that are related, and by how many relations.
 
     An observation's pairs are made of its own row, a bounded number; no thing's observations meet its relations. The relations
-    of a pair are those of ``related`` with both ends. A pair is shuffled once for both directions, as bytes; the relations have
-    the identities as texts.
+    of a pair are those of ``related`` with both ends. A pair is shuffled once for both directions, as bytes, if any relation is
+    between things of its two kinds; the relations have the identities as texts.
     """
-    # a column of its own: each identity is shortened once
-    refs = observed.select("id", F.transform(F.array_compact("object_refs"), short).alias("refs"))
-    both = F.flatten(F.transform("refs", lambda a: F.transform(F.filter("refs", lambda b: b > a), lambda b: F.struct(a.alias("low"), b.alias("high")))))
-    pairs = refs.select("id", F.explode(both).alias("p")).select("id", "p.*")
     told = related.where("source_ref IS NOT NULL AND target_ref IS NOT NULL").groupBy("source_ref", "target_ref").agg(F.count("*").alias("relationships"))
-    ends = {"_source": short(F.col("source_ref")), "_target": short(F.col("target_ref"))}
-    told = told.withColumns(ends).withColumns({"low": F.least(*ends), "high": F.greatest(*ends)}).drop(*ends)
+    told = written(told)
+    low, high = F.least("source_ref", "target_ref"), F.greatest("source_ref", "target_ref")
+    kind = lambda ref: F.substring_index(ref, "--", 1)
+    kinds = told.select(kind(low).alias("low_kind"), kind(high).alias("high_kind")).distinct()
+    # both ends as rows, by generated code, and shortened when few are left
+    pairs = observed.select("id", "object_refs", F.explode("object_refs").alias("low")).select("id", "low", F.explode("object_refs").alias("high")).where("low < high")
+    pairs = pairs.withColumns({"low_kind": kind(F.col("low")), "high_kind": kind(F.col("high"))}).join(F.broadcast(kinds), ["low_kind", "high_kind"], "left_semi")
+    pairs = pairs.select("id", short(F.col("low")).alias("low"), short(F.col("high")).alias("high"))
+    told = told.withColumns({"low": short(low), "high": short(high)})
     return pairs.join(told, ["low", "high"]).select("id", "source_ref", "target_ref", "relationships")
 
 

@@ -432,9 +432,10 @@ def exchange_observations(spark, sf_dir):
 def exchange_connected(spark, sf_dir):
     """The related pairs of things of each observation, and by how many relations; relations of one time are one."""
     rows = exchanged_case(spark, sf_dir)
-    ready = exchange.prepared(rows, no_contents(spark))
+    kinds = exchange.event_objects(rows)
+    ready = exchange.prepared(rows, no_contents(spark), kinds, properties=False)
     seen = written(exchange.observations(ready, "c").select(*links.SCOPE, "car_object", "timestamp", "guid", "id", "object_refs"))
-    wrote = written(build.edges(rows)).withColumns({c: F.lit(None).cast("string") for c in ("identity_key", "inferred_end", "corroborated_by")})
+    wrote = written(build.edges(rows, kinds)).withColumns({c: F.lit(None).cast("string") for c in ("identity_key", "inferred_end", "corroborated_by")})
     related = exchange.relationships(wrote, exchange.ends(ready, seen, "c"), "c")
     # an observation goes by its event's identity, so that no second join brings it
     named = seen.select(F.col("guid").alias("id"), "object_refs")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evidentia.functions import ids
-from evidentia.plans import exchange, observables
+from evidentia.plans import build, exchange, observables
 from tests.test_links import model
 
 MD5, SHA = "a" * 32, "c" * 64
@@ -180,3 +180,17 @@ def test_pairs_of_an_observation_are_shuffled_once_and_short(spark):
     texts = [a, b, c, odd, "file--A1", "file--a-1", f"\x00file--{uuid}2"]
     short = [bytes(r[0]) for r in spark.createDataFrame([(x,) for x in texts], "x string").select(exchange.short(F.col("x"))).collect()]
     assert len(set(short)) == len(texts) and [len(x) for x in short[:3]] == [25, 27, 20]
+
+
+def test_references_need_no_properties_and_only_the_objects_that_there_are(spark, ready, observed):
+    rows = rows_of(spark, EVENTS)
+    kinds = exchange.event_objects(rows)
+    assert kinds == sorted({e["car_object"] for e in EVENTS} - {"nothing"})
+    light = exchange.prepared(rows, observables.content_files(rows)[1], kinds, properties=False)
+    assert "told" not in light.select(F.explode("things").alias("t")).select("t.*").columns
+    made = exchange.observations(light, "c")
+    assert {r.guid: r.object_refs for r in made.collect()} == {r.guid: r.object_refs for r in observed.values()}
+    ends = lambda of: {tuple(r) for r in exchange.ends(of, made, "c").collect()}
+    assert ends(light) == ends(ready[1])
+    owned = rows.where("car_object = 'file'")
+    assert {tuple(r) for r in build.edges(owned, ["file"]).collect()} == {tuple(r) for r in build.edges(owned).collect()}
